@@ -93,7 +93,7 @@ def extract(pattern: str, c: str | Column, group: int = 1) -> Column:
 
 def trim_chars(chars: str, c: str | Column) -> Column:
     """``trim(chars, s)`` for a single literal character class."""
-    return F.trim(col_(c), chars)
+    return F.trim(col_(c), F.lit(chars))
 
 
 def label_case(table, default: str, msg: str | Column = "message",

@@ -82,3 +82,273 @@ SELECT LastError AS TimeGenerated, 'Critical Error Spike' AS AnomalyType,
        {arr('ErrorTypes')} AS ErrorTypes, {arr('ErrorCodes')} AS ErrorCodes,
        {window_text('FirstError', 'LastError')} AS TimeWindow, {arr('SampleErrors')} AS SampleErrors
 FROM g"""
+
+
+def sess_auth_cte():
+    return sess_cte("sess", authorized_only=True)
+
+
+def _enriched(ev_cte: str, where_final: str = "", auth_only=False, direct=True):
+    """sess + ev + j(+FinalUser..) CTEs; ``where_final`` filters j."""
+    parts = [sess_cte("sess", authorized_only=auth_only), ev_cte,
+             f"j0 AS (SELECT ev.*, {final_cols()} FROM ev LEFT JOIN sess s USING (processId, LogicalServerName))",
+             f"j AS (SELECT * FROM j0 {('WHERE ' + where_final) if where_final else ''})"]
+    return parts
+
+
+def exfiltration_sql(threshold=15, high=30, critical=50):
+    ev = f"""ev AS (
+  SELECT * FROM (
+    SELECT b.*, {S.extract(P.AUDIT_CLASS_RE, 'message')} AS AuditOperation,
+      {S.extract(P.AUDIT_STATEMENT_RE, 'message')} AS AuditStatement,
+      {S.extract(P.AUDIT_OBJECT_TYPE_RE, 'message')} AS TableName,
+      trim({S.extract(P.QUERY_TEXT_RE, 'message')}, '"') AS QueryText,
+      LogicalServerName || '-' || COALESCE(CAST(processId AS VARCHAR), '') AS ProcessSession,
+      {direct_cols()}
+    FROM bronze b WHERE {CAT} AND {AUDIT} AND {S.has_any('message', P.EXFIL_TERMS)} AND {CLIENT}) x
+  WHERE AuditOperation = 'READ' OR AuditStatement = 'SELECT')"""
+    g = f"""g AS (
+  SELECT ProcessSession, LogicalServerName, backend_type, processId, count(*) AS SelectCount,
+    min({TS}) AS FirstSeen, max({TS}) AS LastSeen, {S.set_n('TableName', 10)} AS TablesAccessed,
+    {S.set_n('QueryText', 3)} AS SampleQueries, max(FinalUser) AS "User", max(FinalDatabase) AS "Database",
+    max(FinalHost) AS SourceHost
+  FROM j GROUP BY ProcessSession, LogicalServerName, backend_type, processId HAVING count(*) > {threshold})"""
+    return with_bronze(*_enriched(ev, "FinalUser <> 'azuresu'"), g) + f"""
+SELECT LastSeen AS TimeGenerated, 'Potential Data Exfiltration' AS AnomalyType,
+  {S.severity('SelectCount', high, critical)} AS Severity, LogicalServerName AS ServerName,
+  "User", "Database", SourceHost, backend_type AS BackendType, processId AS ProcessID, SelectCount,
+  {hms_window('FirstSeen', 'LastSeen')} AS TimeWindow,
+  COALESCE(array_to_string(TablesAccessed, ', '), '') AS TablesAccessed,
+  COALESCE(array_to_string(SampleQueries, ' ||| '), '') AS SampleQueries
+FROM g"""
+
+
+def destructive_ops_sql(bucket_secs=DAY, threshold=5, high=10, critical=20):
+    ev = f"""ev AS (
+  SELECT * FROM (
+    SELECT b.*, {S.extract(P.AUDIT_CLASS_RE, 'message')} AS AuditOperation,
+      trim({S.extract(P.AUDIT_STATEMENT_RE, 'message')}, ' ') AS AuditStatement,
+      {S.extract(P.AUDIT_OBJECT_TYPE_RE, 'message')} AS TableAffected,
+      trim({S.extract(P.QUERY_TEXT_RE, 'message')}, '"') AS QueryText,
+      {direct_cols()}, {bucket(bucket_secs)} AS Bucket
+    FROM bronze b WHERE {CAT} AND {AUDIT} AND {S.has_any('message', P.DESTRUCTIVE_PREFILTER_TERMS)}) x
+  WHERE {S.has_any('message', P.DESTRUCTIVE_TERMS)}
+    AND (AuditOperation = 'WRITE' OR {S.has_any('AuditStatement', P.DESTRUCTIVE_TERMS)}))"""
+    g = f"""g AS (
+  SELECT LogicalServerName, backend_type, Bucket, count(*) AS OperationCount,
+    {S.set_n('AuditStatement', None)} AS Operations, {S.set_n('TableAffected', None)} AS TablesAffected,
+    min({TS}) AS FirstOccurrence, max({TS}) AS LastOccurrence, {S.set_n('QueryText', 3)} AS SampleMessages,
+    max(FinalUser) AS "User", max(FinalDatabase) AS "Database", max(FinalHost) AS SourceHost
+  FROM j GROUP BY LogicalServerName, backend_type, Bucket
+  HAVING count(*) > {threshold} AND backend_type = 'client backend')"""
+    return with_bronze(*_enriched(ev, "FinalUser NOT IN ('azuresu', 'azure_maintenance', 'UNKNOWN')"), g) + f"""
+SELECT LastOccurrence AS TimeGenerated, 'Mass Destructive Operations' AS AnomalyType,
+  {S.severity('OperationCount', high, critical)} AS Severity, LogicalServerName AS ServerName,
+  "User", "Database", SourceHost, backend_type AS BackendType, OperationCount,
+  {arr('Operations')} AS Operations, {arr('TablesAffected')} AS TablesAffected,
+  {window_text('FirstOccurrence', 'LastOccurrence')} AS TimeWindow, {arr('SampleMessages')} AS SampleMessages
+FROM g"""
+
+
+def privilege_escalation_sql(bucket_secs=DAY, threshold=0, high=3, critical=5):
+    ev = f"""ev AS (
+  SELECT b.*, {S.label_case(P.PRIVILEGE_OPS, P.PRIVILEGE_OPS_DEFAULT)} AS PrivilegeOp,
+    substring(message, 1, 200) AS QueryText, {direct_cols()}, errorLevel AS LogType,
+    {bucket(bucket_secs)} AS Bucket
+  FROM bronze b WHERE {CAT} AND {S.has_any('message', P.PRIVILEGE_TERMS)}
+    AND NOT {S.contains('message', 'azure_maintenance')} AND NOT {S.contains('message', 'azuresu')}
+    AND (backend_type = 'client backend' OR {S.empty('backend_type')}))"""
+    g = f"""g AS (
+  SELECT LogicalServerName, Bucket, count(*) AS PrivilegeOpsCount,
+    {S.set_n('PrivilegeOp', None)} AS Operations, {S.set_n('LogType', None)} AS LogTypes,
+    min({TS}) AS FirstOp, max({TS}) AS LastOp, {S.set_n('QueryText', 3)} AS SampleQueries,
+    max(FinalUser) AS "User"
+  FROM j GROUP BY LogicalServerName, Bucket HAVING count(*) > {threshold})"""
+    return with_bronze(*_enriched(ev, "FinalUser NOT IN ('azuresu', 'azure_maintenance', 'UNKNOWN')"), g) + f"""
+SELECT LastOp AS TimeGenerated, 'Privilege Escalation' AS AnomalyType,
+  {S.severity('PrivilegeOpsCount', high, critical)} AS Severity, LogicalServerName AS ServerName, "User",
+  PrivilegeOpsCount, {arr('Operations')} AS Operations, {arr('LogTypes')} AS LogTypes,
+  {window_text('FirstOp', 'LastOp')} AS TimeWindow, {arr('SampleQueries')} AS SampleQueries
+FROM g"""
+
+
+def cross_schema_recon_sql(threshold=4, high=5, critical=8):
+    ev = f"""ev AS (
+  SELECT * FROM (
+    SELECT *, CASE WHEN {S.non_empty('SchemaAccessed')} THEN SchemaAccessed
+                   ELSE {S.extract(P.SCHEMA_PREFIX_RE, 'TableAccessed')} END AS SchemaName
+    FROM (SELECT *, {S.extract(P.SCHEMA_PREFIX_RE, 'TableAccessed')} AS SchemaAccessed
+          FROM (SELECT b.*, {S.extract(P.AUDIT_OBJECT_NAME_RE, 'message')} AS TableAccessed,
+                       {S.extract(P.USER_RE, 'message')} AS DirectUser, '' AS DirectDatabase, '' AS DirectHost
+                FROM bronze b WHERE {CAT} AND {AUDIT} AND {CLIENT}) a) c
+    WHERE {S.non_empty('SchemaAccessed')} OR {S.non_empty('TableAccessed')}) d
+  WHERE {S.non_empty('SchemaName')} AND SchemaName NOT IN ('pg_catalog', 'information_schema', ''))"""
+    g = f"""g AS (
+  SELECT LogicalServerName, processId, count(DISTINCT SchemaName) AS SchemasAccessed,
+    {S.set_n('SchemaName', None)} AS SchemaList, count(DISTINCT TableAccessed) AS TablesAccessed,
+    min({TS}) AS FirstAccess, max({TS}) AS LastAccess, max(FinalUser) AS "User"
+  FROM j GROUP BY LogicalServerName, processId HAVING count(DISTINCT SchemaName) > {threshold})"""
+    return with_bronze(*_enriched(ev, "FinalUser <> 'azuresu'", auth_only=True), g) + f"""
+SELECT LastAccess AS TimeGenerated, 'Cross-Schema Reconnaissance' AS AnomalyType,
+  {S.severity('SchemasAccessed', high, critical)} AS Severity, LogicalServerName AS ServerName, "User",
+  SchemasAccessed, {arr('SchemaList')} AS SchemaList, TablesAccessed,
+  {window_text('FirstAccess', 'LastAccess')} AS TimeWindow
+FROM g"""
+
+
+def deep_schema_enum_sql(threshold=10, high=15, critical=30, multi=5):
+    qt = S.first_non_empty(f"trim({S.extract(P.QUERY_TEXT_RE, 'message')}, '\"')",
+                           S.extract(P.STATEMENT_TEXT_RE, 'message'), 'message')
+    ev = f"""ev AS (
+  SELECT *, {S.label_case(P.SYSTEM_TABLES, P.SYSTEM_TABLES_DEFAULT, msg='QueryText')} AS SystemTable
+  FROM (SELECT b.*, {qt} AS QueryText, {S.extract(P.USER_RE, 'message')} AS DirectUser,
+               '' AS DirectDatabase, '' AS DirectHost
+        FROM bronze b WHERE {CAT} AND {AUDIT} AND {CLIENT} AND {S.has_any('message', P.CATALOG_TERMS)}) a)"""
+    g = f"""g AS (
+  SELECT LogicalServerName, processId, count(*) AS SystemTableQueries,
+    {S.set_n('SystemTable', None)} AS TablesScanned, count(DISTINCT SystemTable) AS UniqueSystemTables,
+    min({TS}) AS FirstQuery, max({TS}) AS LastQuery, max(FinalUser) AS "User"
+  FROM j GROUP BY LogicalServerName, processId HAVING count(*) > {threshold})"""
+    return with_bronze(*_enriched(ev, "FinalUser <> 'azuresu'", auth_only=True), g) + f"""
+SELECT LastQuery AS TimeGenerated, 'Deep Schema Enumeration' AS AnomalyType,
+  {S.severity('SystemTableQueries', high, critical)} AS Severity,
+  CASE WHEN UniqueSystemTables > {multi} THEN 'HIGH - Multi-table scan' ELSE 'MEDIUM' END AS RiskLevel,
+  LogicalServerName AS ServerName, "User", SystemTableQueries, UniqueSystemTables,
+  {arr('TablesScanned')} AS TablesScanned, {window_text('FirstQuery', 'LastQuery')} AS TimeWindow
+FROM g"""
+
+
+AUTH_FAIL = (f"({S.contains('message', 'authentication failed')} OR "
+             f"{S.contains('message', 'password authentication failed')} OR sqlerrcode = '28P01')")
+
+
+def brute_force_sql(threshold=5, high=10, critical=20):
+    return with_bronze(f"""ev AS (
+  SELECT * FROM (SELECT b.*, {S.extract(P.USER_RE, 'message')} AS UserName,
+                        {S.extract(P.HOST_RE, 'message')} AS ClientHost,
+                        {S.extract(P.DATABASE_RE, 'message')} AS DatabaseName
+                 FROM bronze b WHERE {CAT} AND {AUTH_FAIL}) x
+  WHERE {S.non_empty('ClientHost')} OR {S.non_empty('UserName')})""", f"""g AS (
+  SELECT ClientHost, count(*) AS FailedAttempts, min({TS}) AS FirstAttempt, max({TS}) AS LastAttempt,
+    {S.set_n('UserName', 10)} AS Users, {S.set_n('DatabaseName', 5)} AS Databases
+  FROM ev GROUP BY ClientHost HAVING count(*) > {threshold})""") + f"""
+SELECT LastAttempt AS TimeGenerated, 'Brute Force Authentication' AS AnomalyType,
+  {S.severity('FailedAttempts', high, critical)} AS Severity, 'Multiple' AS ServerName,
+  ClientHost AS SourceHost, FailedAttempts, {arr('Users')} AS Users, {arr('Databases')} AS Databases,
+  {hms_window('FirstAttempt', 'LastAttempt')} AS TimeWindow
+FROM g"""
+
+
+def brute_force_by_code_sql(low=5, high=10, critical=20):
+    pred = ("((starts_with(sqlerrcode, '28') AND sqlerrcode <> '28000') OR "
+            "(sqlerrcode = '28000' AND lower(errorLevel) IN ('error', 'fatal')) OR "
+            f"(lower(errorLevel) IN ('error', 'fatal') AND {S.contains('message', 'authentication')}))")
+    return with_bronze(f"""ev AS (
+  SELECT b.*, {S.extract(P.USER_RE, 'message')} AS UserName,
+    {S.first_non_empty(S.extract(P.HOST_RE, 'message'), default='UNKNOWN')} AS ClientHost,
+    {S.extract(P.DATABASE_RE, 'message')} AS DatabaseName, sqlerrcode AS ErrorCode
+  FROM bronze b WHERE {pred})""", f"""g AS (
+  SELECT ClientHost, LogicalServerName, count(*) AS FailedAttempts, min({TS}) AS FirstAttempt,
+    max({TS}) AS LastAttempt, {S.set_n('UserName', 10)} AS Users, {S.set_n('DatabaseName', 5)} AS Databases,
+    {S.set_n('ErrorCode', 5)} AS ErrorCodes, {S.set_n('message', 2)} AS SampleMessages
+  FROM ev GROUP BY ClientHost, LogicalServerName)""") + f"""
+SELECT ClientHost, LogicalServerName AS ServerName, FailedAttempts,
+  {S.severity('FailedAttempts', high, critical, low=low)} AS Severity,
+  {arr('Users')} AS Users, {arr('Databases')} AS Databases, {arr('ErrorCodes')} AS ErrorCodes,
+  FirstAttempt, LastAttempt, {arr('SampleMessages')} AS SampleMessages
+FROM g"""
+
+
+def activity_cte(bucket_secs=300):
+    m = "message"
+    return f"""am AS (
+  SELECT LogicalServerName AS ServerName, {bucket(bucket_secs)} AS "Timestamp",
+    CAST(hour({TS}) AS INTEGER) AS HourOfDay, CAST(dayofweek({TS}) AS INTEGER) AS DayOfWeek,
+    count(*) AS ActivityCount,
+    count(*) FILTER (WHERE {S.contains(m, P.AUDIT_MARK)}) AS AuditLogs,
+    count(*) FILTER (WHERE {S.in_list('errorLevel', P.ERROR_LEVELS)}) AS Errors,
+    count(*) FILTER (WHERE {S.contains(m, P.CONN_AUTHORIZED)}) AS Connections,
+    count(DISTINCT NULLIF({S.extract(P.USER_RE, m)}, '')) AS UniqueUsers,
+    count(*) FILTER (WHERE {S.has_any(m, P.ACTIVITY_SELECT_TERMS)}) AS SelectOps,
+    count(*) FILTER (WHERE {S.has_any(m, P.ACTIVITY_WRITE_TERMS)}) AS WriteOps,
+    count(*) FILTER (WHERE {S.has_any(m, P.ACTIVITY_DDL_TERMS)}) AS DDLOps,
+    count(*) FILTER (WHERE {S.has_any(m, P.ACTIVITY_PRIVILEGE_TERMS)}) AS PrivilegeOps
+  FROM bronze WHERE {CAT}
+  GROUP BY LogicalServerName, {bucket(bucket_secs)}, CAST(hour({TS}) AS INTEGER), CAST(dayofweek({TS}) AS INTEGER))"""
+
+
+def privilege_offhours_sql():
+    return with_bronze(activity_cte()) + """
+SELECT "Timestamp", ServerName, PrivilegeOps, HourOfDay, DayOfWeek,
+  CASE WHEN HourOfDay < 6 OR HourOfDay > 22 THEN 'Midnight'
+       WHEN HourOfDay < 9 OR HourOfDay > 17 THEN 'Off-Hours' ELSE 'Business Hours' END AS TimeContext,
+  CASE WHEN DayOfWeek IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS DayContext,
+  CASE WHEN (HourOfDay < 6 OR HourOfDay > 22) AND DayOfWeek IN (0, 6) THEN 'CRITICAL'
+       WHEN HourOfDay < 9 OR HourOfDay > 17 THEN 'HIGH' ELSE 'MEDIUM' END AS Severity,
+  ActivityCount
+FROM am WHERE PrivilegeOps > 0"""
+
+
+def error_spike_5m_sql(bucket_secs=DAY, threshold=10, high=25, critical=50):
+    return with_bronze(f"""ev AS (
+  SELECT b.*, {S.label_case(P.ERROR_5M_CATEGORIES, P.ERROR_5M_DEFAULT)} AS ErrorCategory,
+    {bucket(bucket_secs)} AS Bucket
+  FROM bronze b WHERE {S.in_list('errorLevel', P.ERROR_LEVELS)})""", f"""g AS (
+  SELECT Bucket, LogicalServerName, count(*) AS ErrorCount, count(DISTINCT ErrorCategory) AS UniqueErrorTypes,
+    list_slice({S.set_n('ErrorCategory', None)}, 1, 5) AS ErrorTypes
+  FROM ev GROUP BY Bucket, LogicalServerName HAVING count(*) > {threshold})""") + f"""
+SELECT Bucket AS TimeWindow, LogicalServerName AS ServerName, ErrorCount,
+  {S.severity('ErrorCount', high, critical)} AS Severity,
+  COALESCE(array_to_string(ErrorTypes, '; '), '') AS ErrorTypes, UniqueErrorTypes
+FROM g"""
+
+
+def exfiltration_by_user_sql(threshold=15, high=30, critical=50):
+    return with_bronze(sess_cte("sess", authorized_only=True), f"""ev AS (
+  SELECT b.* FROM bronze b WHERE {AUDIT} AND {S.has_any('message', P.USER_SELECT_TERMS)} AND {CLIENT})""",
+                       """j AS (
+  SELECT ev.*, COALESCE(s."User", '') AS "User", COALESCE(s."Database", '') AS "Database",
+    COALESCE(s.SourceHost, '') AS SourceHost
+  FROM ev LEFT JOIN sess s USING (processId, LogicalServerName))""", f"""g AS (
+  SELECT "User", "Database", SourceHost, processId, count(*) AS SelectCount, max({TS}) AS LastQuery,
+    count(DISTINCT {S.extract(P.AUDIT_OBJECT_TYPE_RE, 'message')}) AS TablesAccessed
+  FROM j GROUP BY "User", "Database", SourceHost, processId HAVING count(*) > {threshold})""") + f"""
+SELECT "User", "Database", SourceHost, SelectCount, TablesAccessed,
+  {S.severity('SelectCount', high, critical)} AS Severity, LastQuery
+FROM g"""
+
+
+def _quick_sql(pred, exclude, extra_keys, bucket_secs, count_name, threshold, high, critical, anomaly):
+    b = f", {bucket(bucket_secs)} AS Bucket" if bucket_secs else ""
+    gb = ", Bucket" if bucket_secs else ""
+    where = ("WHERE FinalUser NOT IN (" + ", ".join(S.q(x) for x in exclude) + ")") if exclude else ""
+    keys = "".join(f", {k}" for k in extra_keys)
+    return with_bronze(sess_cte("sess", authorized_only=True), f"""ev AS (
+  SELECT b.*, {S.extract(P.USER_RE, 'message')} AS DirectUser{b}
+  FROM bronze b WHERE {CAT} AND {pred})""", f"""j AS (
+  SELECT * FROM (SELECT ev.*, {S.first_non_empty('DirectUser', 's."User"', default='UNKNOWN')} AS FinalUser
+                 FROM ev LEFT JOIN sess s USING (processId, LogicalServerName)) x {where})""", f"""g AS (
+  SELECT LogicalServerName{keys}{gb}, count(*) AS {count_name}, max({TS}) AS LastSeen, max(FinalUser) AS "User"
+  FROM j GROUP BY LogicalServerName{keys}{gb} HAVING count(*) > {threshold})""") + f"""
+SELECT LastSeen AS TimeGenerated, {S.q(anomaly)} AS AnomalyType,
+  {S.severity(count_name, high, critical)} AS Severity, LogicalServerName AS ServerName, "User", {count_name}
+FROM g"""
+
+
+def quick_exfil_sql():
+    pred = f"{AUDIT} AND {S.has_any('message', P.EXFIL_TERMS)} AND {CLIENT}"
+    return _quick_sql(pred, ("azuresu",), ["processId"], None, "SelectCount", 15, 30, 50, "Data Exfiltration")
+
+
+def quick_destructive_sql():
+    pred = f"{AUDIT} AND {S.has_any('message', P.DESTRUCTIVE_TERMS)} AND {CLIENT}"
+    return _quick_sql(pred, (), [], DAY, "OperationCount", 5, 10, 20, "Destructive Operations")
+
+
+def quick_errors_sql():
+    return _quick_sql(S.in_list('errorLevel', P.ERROR_LEVELS), (), [], DAY, "ErrorCount", 3, 8, 15, "Error Spike")
+
+
+def quick_privilege_sql():
+    pred = S.has_any('message', P.ACTIVITY_PRIVILEGE_TERMS)
+    return _quick_sql(pred, ("azuresu",), [], DAY, "PrivilegeOpsCount", 3, 5, 10, "Privilege Escalation")

@@ -5,5 +5,18 @@ from auditlens.plans import oracle as O
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "exfiltration": O.exfiltration_sql(),
+        "destructive_ops": O.destructive_ops_sql(),
         "error_spike": O.error_spike_sql(),
+        "privilege_escalation": O.privilege_escalation_sql(),
+        "cross_schema_recon": O.cross_schema_recon_sql(),
+        "deep_schema_enum": O.deep_schema_enum_sql(),
+        "brute_force": O.brute_force_sql(),
+        "brute_force_by_code": O.brute_force_by_code_sql(),
+        "error_spike_5m": O.error_spike_5m_sql(),
+        "exfiltration_by_user": O.exfiltration_by_user_sql(),
+        "quick_exfil": O.quick_exfil_sql(),
+        "quick_destructive": O.quick_destructive_sql(),
+        "quick_errors": O.quick_errors_sql(),
+        "quick_privilege": O.quick_privilege_sql(),
     }

@@ -37,7 +37,24 @@ def _detector(fn, key):
     return run
 
 
+_DETECTORS = {
+    "exfiltration": D.exfiltration,
+    "destructive_ops": D.destructive_ops,
+    "error_spike": D.error_spike,
+    "privilege_escalation": D.privilege_escalation,
+    "cross_schema_recon": D.cross_schema_recon,
+    "deep_schema_enum": D.deep_schema_enum,
+    "brute_force": D.brute_force,
+    "brute_force_by_code": D.brute_force_by_code,
+    "error_spike_5m": D.error_spike_5m,
+    "exfiltration_by_user": D.exfiltration_by_user,
+    "quick_exfil": D.quick_exfil,
+    "quick_destructive": D.quick_destructive,
+    "quick_errors": D.quick_errors,
+    "quick_privilege": D.quick_privilege,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "error_spike": _detector(D.error_spike, "error_spike"),
-    }
+    out = {k: _detector(fn, k) for k, fn in _DETECTORS.items()}
+    return out

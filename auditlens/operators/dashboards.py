@@ -20,8 +20,14 @@ from auditlens.operators.detectors import auth_failure_predicate
 from auditlens.operators.sets import attach_sets, join_set, small_set
 
 SRV = "LogicalServerName"
-ERR = F.col("errorLevel").isin(*P.ERROR_LEVELS)
-ERR2 = F.col("errorLevel").isin(*P.ERROR_LEVELS_NO_PANIC)
+
+
+def _err() -> Column:
+    return F.col("errorLevel").isin(*P.ERROR_LEVELS)
+
+
+def _err2() -> Column:
+    return F.col("errorLevel").isin(*P.ERROR_LEVELS_NO_PANIC)
 
 
 def pct2(num: str, den: str) -> Column:
@@ -38,7 +44,7 @@ def _nonempty_or_null(c: Column) -> Column:
 def activity_by_server(bronze, *, as_of=None, lookback="1h", bucket="2m"):
     df = since(bronze, as_of, lookback).where(is_not_empty(SRV) & (F.trim(F.col(SRV)) != ""))
     return df.groupBy(SRV, bin_ts(TS, bucket).alias(TS)).agg(
-        F.count(F.lit(1)).alias("TotalEvents"), F.count_if(ERR).alias("Errors"),
+        F.count(F.lit(1)).alias("TotalEvents"), F.count_if(_err()).alias("Errors"),
         F.count_if(F.col("errorLevel") == "WARNING").alias("Warnings"),
         F.count_if(contains("message", P.AUDIT_MARK)).alias("AuditLogs"))
 
@@ -76,7 +82,7 @@ def audit_timeline(bronze, *, as_of=None, lookback="1h", bucket="2m", include_mi
 
 # Q5
 def errors_by_category(bronze, *, as_of=None, lookback="24h", bucket="30m"):
-    df = since(bronze, as_of, lookback).where(ERR)
+    df = since(bronze, as_of, lookback).where(_err())
     df = df.withColumn("ErrorCategory", label_case(P.ERROR_DASHBOARD_CATEGORIES, P.ERROR_DASHBOARD_DEFAULT))
     return df.groupBy("ErrorCategory", bin_ts(TS, bucket).alias(TS)).agg(F.count(F.lit(1)).alias("Count"))
 
@@ -85,7 +91,7 @@ def errors_by_category(bronze, *, as_of=None, lookback="24h", bucket="30m"):
 def activity_by_backend(bronze, *, as_of=None, lookback="1h", bucket="5m"):
     df = since(bronze, as_of, lookback).where(contains("message", P.AUDIT_MARK))
     return df.groupBy("backend_type", bin_ts(TS, bucket).alias(TS)).agg(
-        F.count(F.lit(1)).alias("TotalLogs"), F.count_if(ERR2).alias("Errors"))
+        F.count(F.lit(1)).alias("TotalLogs"), F.count_if(_err2()).alias("Errors"))
 
 
 # Q7
@@ -97,7 +103,7 @@ def top_users(bronze, *, as_of=None, lookback="24h", top=10):
         F.count(F.lit(1)).alias("TotalActivity"),
         F.count_if(contains("message", P.AUDIT_MARK)).alias("AuditLogs"),
         F.count_if(contains("message", P.CONN_AUTHORIZED)).alias("Connections"),
-        F.count_if(ERR2).alias("Errors"), F.count_distinct(db).alias("Databases"),
+        F.count_if(_err2()).alias("Errors"), F.count_distinct(db).alias("Databases"),
         F.max(TS).alias("LastActivity"))
     return agg.orderBy(F.desc("TotalActivity"), "UserName").limit(top).select(
         "UserName", "TotalActivity", "AuditLogs", "Connections", "Errors", "Databases", "LastActivity")
@@ -111,7 +117,7 @@ def top_hosts(bronze, *, as_of=None, lookback="24h", top=10, high=20, medium=5):
     agg = df.groupBy("ClientHost").agg(
         F.count(F.lit(1)).alias("TotalConnections"),
         F.count_distinct(_nonempty_or_null(F.col("UserName"))).alias("UniqueUsers"),
-        F.count_if(ERR2).alias("Errors"), F.min(TS).alias("FirstSeen"), F.max(TS).alias("LastSeen"))
+        F.count_if(_err2()).alias("Errors"), F.min(TS).alias("FirstSeen"), F.max(TS).alias("LastSeen"))
     agg = agg.orderBy(F.desc("TotalConnections"), "ClientHost").limit(top)
     agg = attach_sets(agg, df, ["ClientHost"], [("Users", "UserName", 10)])
     rate = pct2("Errors", "TotalConnections")
@@ -194,7 +200,7 @@ def audit_coverage(bronze, *, as_of=None, lookback="1h"):
     agg = df.groupBy(SRV).agg(
         F.count(F.lit(1)).alias("TotalLogs"),
         F.count_if(contains("message", P.AUDIT_MARK)).alias("AuditLogs"),
-        F.count_if(ERR).alias("ErrorLogs"), F.count_if(F.col("errorLevel") == "WARNING").alias("WarningLogs"))
+        F.count_if(_err()).alias("ErrorLogs"), F.count_if(F.col("errorLevel") == "WARNING").alias("WarningLogs"))
     return agg.withColumns({"AuditCoverage": pct2("AuditLogs", "TotalLogs"),
                             "ErrorRate": pct2("ErrorLogs", "TotalLogs")})
 
@@ -241,7 +247,7 @@ def privilege_ops_by_user(bronze, *, as_of=None, lookback="24h"):
 
 # Q20
 def errors_per_minute(bronze, *, as_of=None, lookback="10m", bucket="1m", threshold=15):
-    df = since(bronze, as_of, lookback).where(ERR)
+    df = since(bronze, as_of, lookback).where(_err())
     return (df.groupBy(bin_ts(TS, bucket).alias(TS)).agg(F.count(F.lit(1)).alias("ErrorCount"))
             .where(F.col("ErrorCount") > threshold))
 
@@ -290,6 +296,6 @@ def current_activity(bronze, *, as_of=None, lookback="1h"):
         F.count(F.lit(1)).alias("TotalEvents"),
         F.count_if(contains("message", P.AUDIT_MARK)).alias("AuditLogs"),
         F.count_if(contains("message", P.CONN_AUTHORIZED)).alias("Connections"),
-        F.count_if(ERR).alias("Errors"),
+        F.count_if(_err()).alias("Errors"),
         F.count_distinct(_nonempty_or_null(extract(P.USER_RE, "message"))).alias("Users"),
         F.max(TS).alias("LastEvent"))

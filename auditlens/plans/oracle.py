@@ -352,3 +352,255 @@ def quick_errors_sql():
 def quick_privilege_sql():
     pred = S.has_any('message', P.ACTIVITY_PRIVILEGE_TERMS)
     return _quick_sql(pred, ("azuresu",), [], DAY, "PrivilegeOpsCount", 3, 5, 10, "Privilege Escalation")
+
+
+# ------------------------------------------------------------------ metric tables
+def activity_metrics_sql():
+    return with_bronze(activity_cte()) + "SELECT * FROM am"
+
+
+def error_metrics_sql(bucket_secs=60):
+    cat = S.label_case(P.ERROR_METRIC_CATEGORIES, P.ERROR_METRIC_DEFAULT)
+    return with_bronze(f"""ev AS (
+  SELECT b.*, {cat} AS ErrorCategory FROM bronze b WHERE {CAT} AND {ERRPRED})""") + f"""
+SELECT {bucket(bucket_secs)} AS "Timestamp", LogicalServerName AS ServerName, count(*) AS ErrorRate,
+  {S.set_text('ErrorCategory', None)} AS ErrorTypes
+FROM ev GROUP BY LogicalServerName, {bucket(bucket_secs)}"""
+
+
+def user_metrics_cte(bucket_secs=3600):
+    return [sess_cte("sess"), f"""um AS (
+  SELECT {bucket(bucket_secs)} AS "Timestamp", s."User" AS UserName, b.LogicalServerName AS ServerName,
+    count(*) AS QueryCount,
+    count(*) FILTER (WHERE {S.has_any('message', P.USER_SELECT_TERMS)}) AS SelectQueries,
+    count(*) FILTER (WHERE {S.has_any('message', P.USER_DESTRUCTIVE_TERMS)}) AS DestructiveOps
+  FROM bronze b JOIN sess s USING (processId, LogicalServerName)
+  WHERE {CAT} AND {AUDIT} AND s."User" <> ''
+  GROUP BY s."User", b.LogicalServerName, {bucket(bucket_secs)})"""]
+
+
+def user_metrics_sql():
+    return with_bronze(*user_metrics_cte()) + "SELECT * FROM um"
+
+
+# ------------------------------------------------------------------ dashboards
+ERR3 = S.in_list("errorLevel", P.ERROR_LEVELS)
+ERR2 = S.in_list("errorLevel", P.ERROR_LEVELS_NO_PANIC)
+
+
+def pct2(num, den):
+    return f"((({num}) * 20000 + ({den})) // (2 * ({den}))) / 100.0"
+
+
+def activity_by_server_sql(bucket_secs=120):
+    return with_bronze() + f"""
+SELECT LogicalServerName, {bucket(bucket_secs)} AS {TS}, count(*) AS TotalEvents,
+  count(*) FILTER (WHERE {ERR3}) AS Errors, count(*) FILTER (WHERE errorLevel = 'WARNING') AS Warnings,
+  count(*) FILTER (WHERE {AUDIT}) AS AuditLogs
+FROM bronze WHERE {S.non_empty('LogicalServerName')} AND trim(LogicalServerName) <> ''
+GROUP BY LogicalServerName, {bucket(bucket_secs)}"""
+
+
+def audit_distribution_sql(top=10):
+    st = S.extract(P.AUDIT_STATEMENT_RE, 'message')
+    return with_bronze() + f"""
+SELECT AuditStatement, count(*) AS "Count"
+FROM (SELECT {st} AS AuditStatement FROM bronze WHERE {AUDIT}) x
+WHERE {S.non_empty('AuditStatement')}
+GROUP BY AuditStatement ORDER BY "Count" DESC, AuditStatement LIMIT {top}"""
+
+
+def top_tables_sql(top=15):
+    return with_bronze(f"""ev AS (
+  SELECT * FROM (SELECT b.*, {S.extract(P.AUDIT_OBJECT_TYPE_RE, 'message')} AS ObjectType,
+                        {S.extract(P.AUDIT_OBJECT_NAME_RE, 'message')} AS ObjectName
+                 FROM bronze b WHERE {AUDIT}) x WHERE {S.non_empty('ObjectName')})""") + f"""
+SELECT ObjectName, {S.set_text('ObjectType', 5)} AS ObjectTypesDisplay, LogicalServerName,
+  count(*) AS AccessCount, max({TS}) AS LastAccess
+FROM ev GROUP BY ObjectName, LogicalServerName
+ORDER BY AccessCount DESC, ObjectName, LogicalServerName LIMIT {top}"""
+
+
+def audit_timeline_sql(bucket_secs=120):
+    lab = S.label_case(P.AUDIT_OPERATION_TYPES, P.AUDIT_OPERATION_DEFAULT)
+    return with_bronze() + f"""
+SELECT OperationType, b AS {TS}, count(*) AS "Count"
+FROM (SELECT {lab} AS OperationType, {bucket(bucket_secs)} AS b FROM bronze WHERE {AUDIT}) x
+GROUP BY OperationType, b"""
+
+
+def errors_by_category_sql(bucket_secs=1800):
+    lab = S.label_case(P.ERROR_DASHBOARD_CATEGORIES, P.ERROR_DASHBOARD_DEFAULT)
+    return with_bronze() + f"""
+SELECT ErrorCategory, b AS {TS}, count(*) AS "Count"
+FROM (SELECT {lab} AS ErrorCategory, {bucket(bucket_secs)} AS b FROM bronze WHERE {ERR3}) x
+GROUP BY ErrorCategory, b"""
+
+
+def activity_by_backend_sql(bucket_secs=300):
+    return with_bronze() + f"""
+SELECT backend_type, {bucket(bucket_secs)} AS {TS}, count(*) AS TotalLogs,
+  count(*) FILTER (WHERE {ERR2}) AS Errors
+FROM bronze WHERE {AUDIT} GROUP BY backend_type, {bucket(bucket_secs)}"""
+
+
+def top_users_sql(top=10):
+    u = f"trim({S.extract(P.USER_RE, 'message')}, '\"')"
+    d = f"NULLIF(trim({S.extract(P.DATABASE_RE, 'message')}, '\"'), '')"
+    return with_bronze() + f"""
+SELECT UserName, count(*) AS TotalActivity, count(*) FILTER (WHERE {AUDIT}) AS AuditLogs,
+  count(*) FILTER (WHERE {S.contains('message', P.CONN_AUTHORIZED)}) AS Connections,
+  count(*) FILTER (WHERE {ERR2}) AS Errors, count(DISTINCT db) AS Databases, max({TS}) AS LastActivity
+FROM (SELECT *, {u} AS UserName, {d} AS db FROM bronze) x
+WHERE {S.non_empty('UserName')}
+GROUP BY UserName ORDER BY TotalActivity DESC, UserName LIMIT {top}"""
+
+
+def top_hosts_sql(top=10, high=20, medium=5):
+    return with_bronze(f"""ev AS (
+  SELECT * FROM (SELECT b.*, {S.extract(P.HOST_RE, 'message')} AS ClientHost,
+                        {S.extract(P.USER_RE, 'message')} AS UserName FROM bronze b) x
+  WHERE {S.non_empty('ClientHost')})""", f"""g AS (
+  SELECT ClientHost, count(*) AS TotalConnections, count(DISTINCT NULLIF(UserName, '')) AS UniqueUsers,
+    {S.set_text('UserName', 10)} AS UsersDisplay, count(*) FILTER (WHERE {ERR2}) AS Errors,
+    min({TS}) AS FirstSeen, max({TS}) AS LastSeen
+  FROM ev GROUP BY ClientHost ORDER BY TotalConnections DESC, ClientHost LIMIT {top})""") + f"""
+SELECT ClientHost, TotalConnections, UniqueUsers, UsersDisplay, Errors,
+  {pct2('Errors', 'TotalConnections')} AS ErrorRate,
+  CASE WHEN {pct2('Errors', 'TotalConnections')} > {high} THEN 'HIGH'
+       WHEN {pct2('Errors', 'TotalConnections')} > {medium} THEN 'MEDIUM' ELSE 'LOW' END AS Risk,
+  FirstSeen, LastSeen
+FROM g"""
+
+
+def user_db_heatmap_sql(min_activity=10, top=50):
+    cond = S.contains_any('message', (P.AUDIT_MARK, P.CONN_AUTHORIZED))
+    return with_bronze() + f"""
+SELECT UserName, DatabaseName, count(*) AS ActivityCount, count(*) FILTER (WHERE {AUDIT}) AS AuditLogs,
+  max({TS}) AS LastActivity
+FROM (SELECT *, {S.extract(P.USER_RE, 'message')} AS UserName, {S.extract(P.DATABASE_RE, 'message')} AS DatabaseName
+      FROM bronze WHERE {cond}) x
+WHERE {S.non_empty('UserName')} AND {S.non_empty('DatabaseName')}
+GROUP BY UserName, DatabaseName HAVING count(*) > {min_activity}
+ORDER BY ActivityCount DESC, UserName, DatabaseName LIMIT {top}"""
+
+
+def auth_failures_sql(top=20):
+    return with_bronze() + f"""
+SELECT UserName, ClientHost, count(*) AS FailedAttempts,
+  {S.severity('count(*)', 10, 20, low=5)} AS ThreatLevel,
+  {arr(S.set_n('DatabaseName', None))} AS Databases, min({TS}) AS FirstAttempt, max({TS}) AS LastAttempt
+FROM (SELECT *, {S.extract(P.USER_RE, 'message')} AS UserName, {S.extract(P.HOST_RE, 'message')} AS ClientHost,
+             {S.extract(P.DATABASE_RE, 'message')} AS DatabaseName FROM bronze WHERE {AUTH_FAIL}) x
+GROUP BY UserName, ClientHost ORDER BY FailedAttempts DESC, UserName, ClientHost LIMIT {top}"""
+
+
+def top_error_codes_sql(top=15):
+    return with_bronze(f"""g AS (
+  SELECT sqlerrcode, errorLevel, count(*) AS "Count", max({TS}) AS LastOccurrence
+  FROM bronze WHERE sqlerrcode <> '00000' AND sqlerrcode <> ''
+  GROUP BY sqlerrcode, errorLevel ORDER BY "Count" DESC, sqlerrcode, errorLevel LIMIT {top})""") + f"""
+SELECT sqlerrcode, {S.label_case(P.ERROR_CODE_CLASSES, P.ERROR_CODE_DEFAULT)} AS ErrorDescription,
+  errorLevel, "Count", LastOccurrence FROM g"""
+
+
+def metrics_latest_sql(top=20):
+    return with_bronze(activity_cte()) + f'SELECT * FROM am ORDER BY "Timestamp" DESC, ServerName LIMIT {top}'
+
+
+def metrics_stats_sql():
+    return with_bronze(activity_cte()) + """
+SELECT ServerName, count(*) AS Records, avg(ActivityCount) AS AvgActivity, max(ActivityCount) AS MaxActivity,
+  avg(Errors) AS AvgErrors, avg(UniqueUsers) AS AvgUniqueUsers
+FROM am GROUP BY ServerName"""
+
+
+def minute_diff(later, earlier):
+    return f"date_diff('minute', date_trunc('minute', {earlier}), date_trunc('minute', {later}))"
+
+
+def data_freshness_sql(fresh=5):
+    return with_bronze(f"""g AS (
+  SELECT max({TS}) AS LastEvent, min({TS}) AS FirstEvent, count(*) AS TotalEvents FROM bronze)""") + f"""
+SELECT LastEvent, FirstEvent, TotalEvents,
+  date_diff('day', CAST(FirstEvent AS DATE), CAST(LastEvent AS DATE)) AS TimeRange,
+  CASE WHEN {minute_diff('LastEvent', 'LastEvent')} < {fresh} THEN 'Fresh data' ELSE 'Stale data' END AS Status,
+  {minute_diff('LastEvent', 'LastEvent')} AS LatencyMinutes
+FROM g"""
+
+
+def audit_coverage_sql():
+    return with_bronze(f"""g AS (
+  SELECT LogicalServerName, count(*) AS TotalLogs, count(*) FILTER (WHERE {AUDIT}) AS AuditLogs,
+    count(*) FILTER (WHERE {ERR3}) AS ErrorLogs, count(*) FILTER (WHERE errorLevel = 'WARNING') AS WarningLogs
+  FROM bronze GROUP BY LogicalServerName)""") + f"""
+SELECT *, {pct2('AuditLogs', 'TotalLogs')} AS AuditCoverage, {pct2('ErrorLogs', 'TotalLogs')} AS ErrorRate FROM g"""
+
+
+def backend_distribution_sql():
+    return with_bronze() + 'SELECT backend_type, count(*) AS "Count" FROM bronze GROUP BY backend_type'
+
+
+def metrics_status_sql(healthy=10):
+    return with_bronze(activity_cte(), """g AS (
+  SELECT ServerName, max("Timestamp") AS LastUpdate, count(*) AS TotalRecords,
+    avg(ActivityCount) AS AvgActivity, max(Errors) AS MaxErrors FROM am GROUP BY ServerName)""",
+                       """n AS (SELECT max("Timestamp") AS now_ts FROM am)""") + f"""
+SELECT ServerName, CASE WHEN {minute_diff('now_ts', 'LastUpdate')} < {healthy} THEN 'Healthy' ELSE 'Delayed' END AS Status,
+  {minute_diff('now_ts', 'LastUpdate')} AS DelayMinutes, LastUpdate, TotalRecords, AvgActivity, MaxErrors
+FROM g, n"""
+
+
+def error_code_diagnostics_sql():
+    return with_bronze() + """
+SELECT sqlerrcode, errorLevel, count(*) AS count_, max(message) AS sample_msg
+FROM bronze WHERE sqlerrcode <> '00000' AND sqlerrcode <> '' GROUP BY sqlerrcode, errorLevel"""
+
+
+def privilege_ops_by_user_sql():
+    return with_bronze() + f"""
+SELECT UserName, LogicalServerName, count(*) AS Operations
+FROM (SELECT *, {S.extract(P.USER_RE, 'message')} AS UserName FROM bronze
+      WHERE {S.has_any('message', P.ACTIVITY_PRIVILEGE_TERMS)}) x
+GROUP BY UserName, LogicalServerName HAVING count(*) > 0"""
+
+
+def errors_per_minute_sql(bucket_secs=60, threshold=15):
+    return with_bronze() + f"""
+SELECT {bucket(bucket_secs)} AS {TS}, count(*) AS ErrorCount FROM bronze WHERE {ERR3}
+GROUP BY {bucket(bucket_secs)} HAVING count(*) > {threshold}"""
+
+
+def history_depth_sql():
+    return with_bronze(activity_cte()) + "SELECT ServerName, count(*) AS count_ FROM am GROUP BY ServerName"
+
+
+def connection_sample_sql(n=10):
+    return with_bronze() + f"""
+SELECT * FROM bronze WHERE {S.contains('message', P.CONN_AUTHORIZED)}
+ORDER BY {TS} DESC, LogicalServerName, processId, message LIMIT {n}"""
+
+
+def hourly_profile_sql():
+    return with_bronze(activity_cte()) + """
+SELECT HourOfDay, DayOfWeek, count(*) AS Buckets, avg(ActivityCount) AS AvgActivity, avg(Errors) AS AvgErrors,
+  avg(UniqueUsers) AS AvgUniqueUsers, max(ActivityCount) AS MaxActivity
+FROM am GROUP BY CUBE (HourOfDay, DayOfWeek)"""
+
+
+def active_users_today_sql():
+    return with_bronze("""d AS (SELECT date_trunc('day', max(EventProcessedUtcTime)) AS day0 FROM bronze)""") + f"""
+SELECT UserName, count(*) AS Connections, count(DISTINCT NULLIF(DatabaseName, '')) AS Databases,
+  min({TS}) AS FirstConnection, max({TS}) AS LastConnection
+FROM (SELECT b.*, {S.extract(P.USER_RE, 'message')} AS UserName, {S.extract(P.DATABASE_RE, 'message')} AS DatabaseName
+      FROM bronze b, d WHERE b.{TS} >= d.day0 AND {S.contains('message', P.CONN_AUTHORIZED)}) x
+WHERE {S.non_empty('UserName')} GROUP BY UserName"""
+
+
+def current_activity_sql():
+    return with_bronze() + f"""
+SELECT LogicalServerName, count(*) AS TotalEvents, count(*) FILTER (WHERE {AUDIT}) AS AuditLogs,
+  count(*) FILTER (WHERE {S.contains('message', P.CONN_AUTHORIZED)}) AS Connections,
+  count(*) FILTER (WHERE {ERR3}) AS Errors,
+  count(DISTINCT NULLIF({S.extract(P.USER_RE, 'message')}, '')) AS Users, max({TS}) AS LastEvent
+FROM bronze GROUP BY LogicalServerName"""

@@ -19,4 +19,34 @@ def oracle_sql() -> dict[str, str]:
         "quick_destructive": O.quick_destructive_sql(),
         "quick_errors": O.quick_errors_sql(),
         "quick_privilege": O.quick_privilege_sql(),
+        "activity_metrics": O.activity_metrics_sql(),
+        "activity_backfill": O.activity_metrics_sql(),
+        "error_metrics": O.error_metrics_sql(),
+        "user_metrics": O.user_metrics_sql(),
+        "privilege_offhours": O.privilege_offhours_sql(),
+        "metrics_latest": O.metrics_latest_sql(),
+        "metrics_stats": O.metrics_stats_sql(),
+        "metrics_status": O.metrics_status_sql(),
+        "history_depth": O.history_depth_sql(),
+        "hourly_profile": O.hourly_profile_sql(),
+        "data_freshness": O.data_freshness_sql(),
+        "active_users_today": O.active_users_today_sql(),
+        "activity_by_server": O.activity_by_server_sql(),
+        "audit_distribution": O.audit_distribution_sql(),
+        "top_tables": O.top_tables_sql(),
+        "audit_timeline": O.audit_timeline_sql(),
+        "errors_by_category": O.errors_by_category_sql(),
+        "activity_by_backend": O.activity_by_backend_sql(),
+        "top_users": O.top_users_sql(),
+        "top_hosts": O.top_hosts_sql(),
+        "user_db_heatmap": O.user_db_heatmap_sql(),
+        "auth_failures": O.auth_failures_sql(),
+        "top_error_codes": O.top_error_codes_sql(),
+        "audit_coverage": O.audit_coverage_sql(),
+        "backend_distribution": O.backend_distribution_sql(),
+        "error_code_diagnostics": O.error_code_diagnostics_sql(),
+        "privilege_ops_by_user": O.privilege_ops_by_user_sql(),
+        "errors_per_minute": O.errors_per_minute_sql(),
+        "connection_sample": O.connection_sample_sql(),
+        "current_activity": O.current_activity_sql(),
     }

@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from auditlens.config import shared_dir
+from auditlens.operators import dashboards as Q
 from auditlens.operators import detectors as D
+from auditlens.operators import metrics as M
 from auditlens.plans.profile import HUNT
 from auditlens.sources.events_adapter import load_bronze
 
@@ -55,6 +58,61 @@ _DETECTORS = {
 }
 
 
+def _on_bronze(fn, **kw):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return display(fn(load_bronze(spark, sf_dir), **kw))
+    return run
+
+
+def _on_metrics(fn, **kw):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return display(fn(M.activity_metrics(load_bronze(spark, sf_dir)), **kw))
+    return run
+
+
+def _activity_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "activity_metrics")
+    return M.activity_backfill(spark, load_bronze(spark, sf_dir), path, lookback=None)
+
+
+_DASHBOARDS = {
+    "activity_by_server": (Q.activity_by_server, {}),
+    "audit_distribution": (Q.audit_distribution, {}),
+    "top_tables": (Q.top_tables, {}),
+    "audit_timeline": (Q.audit_timeline, {}),
+    "errors_by_category": (Q.errors_by_category, {}),
+    "activity_by_backend": (Q.activity_by_backend, {}),
+    "top_users": (Q.top_users, {}),
+    "top_hosts": (Q.top_hosts, {}),
+    "user_db_heatmap": (Q.user_db_heatmap, {}),
+    "auth_failures": (Q.auth_failures, {}),
+    "top_error_codes": (Q.top_error_codes, {}),
+    "audit_coverage": (Q.audit_coverage, {}),
+    "backend_distribution": (Q.backend_distribution, {}),
+    "error_code_diagnostics": (Q.error_code_diagnostics, {}),
+    "privilege_ops_by_user": (Q.privilege_ops_by_user, {}),
+    "errors_per_minute": (Q.errors_per_minute, {}),
+    "connection_sample": (Q.connection_sample, {}),
+    "current_activity": (Q.current_activity, {}),
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {k: _detector(fn, k) for k, fn in _DETECTORS.items()}
+    out.update({
+        "activity_metrics": _on_bronze(M.activity_metrics),
+        "activity_backfill": _activity_backfill,
+        "error_metrics": _on_bronze(M.error_metrics),
+        "user_metrics": _on_bronze(M.user_metrics, session_lookback=None),
+        "privilege_offhours": _on_metrics(D.privilege_offhours, lookback=None),
+        "metrics_latest": _on_metrics(Q.metrics_latest),
+        "metrics_stats": _on_metrics(Q.metrics_stats, lookback=None),
+        "metrics_status": _on_metrics(Q.metrics_status),
+        "history_depth": _on_metrics(Q.history_depth, lookback=None),
+        "hourly_profile": _on_metrics(Q.hourly_profile),
+        "data_freshness": _on_bronze(Q.data_freshness),
+        "active_users_today": _on_bronze(Q.active_users_today),
+    })
+    for k, (fn, kw) in _DASHBOARDS.items():
+        out[k] = _on_bronze(fn, lookback=None, **kw)
     return out

@@ -147,7 +147,7 @@ def error_predicate() -> Column:
 
 def error_spike(bronze: DataFrame, *, as_of=None, lookback="15m", bucket="1m",
                 threshold=3, high=8, critical=15, session_lookback="24h",
-                sessions: DataFrame | None = None) -> DataFrame:
+                sessions: DataFrame | None = None, ordered: bool = True) -> DataFrame:
     """Critical error spike per server, backend and minute, newest causes first."""
     as_of = _as_of(bronze, as_of, lookback, session_lookback)
     df = since(bronze, as_of, lookback).where(_is_category(bronze) & error_predicate())
@@ -168,14 +168,16 @@ def error_spike(bronze: DataFrame, *, as_of=None, lookback="15m", bucket="1m",
         F.max("FinalHost").alias("SourceHost"))
     agg = agg.where(F.col("ErrorCount") > threshold)
     agg = attach_sets(agg, df, keys, [("SampleErrors", "message", 3)])
-    return agg.select(
+    out = agg.select(
         F.col("LastError").alias("TimeGenerated"),
         F.lit("Critical Error Spike").alias("AnomalyType"),
         severity("ErrorCount", high, critical).alias("Severity"),
         F.col(SRV).alias("ServerName"), "User", "Database", "SourceHost",
         F.col("backend_type").alias("BackendType"), "ErrorCount", "ErrorTypes", "ErrorCodes",
-        _window_text("FirstError", "LastError").alias("TimeWindow"), "SampleErrors"
-    ).orderBy(F.desc("ErrorCount"), F.desc("TimeGenerated"), "ServerName", "BackendType")
+        _window_text("FirstError", "LastError").alias("TimeWindow"), "SampleErrors")
+    if ordered:
+        out = out.orderBy(F.desc("ErrorCount"), F.desc("TimeGenerated"), "ServerName", "BackendType")
+    return out
 
 
 # --------------------------------------------------------------------- D4

@@ -604,3 +604,127 @@ SELECT LogicalServerName, count(*) AS TotalEvents, count(*) FILTER (WHERE {AUDIT
   count(*) FILTER (WHERE {ERR3}) AS Errors,
   count(DISTINCT NULLIF({S.extract(P.USER_RE, 'message')}, '')) AS Users, max({TS}) AS LastEvent
 FROM bronze GROUP BY LogicalServerName"""
+
+
+# ------------------------------------------------------------------ union, alerts, KPIs
+def _kv(k, expr):
+    return f"'{k}=' || COALESCE(CAST({expr} AS VARCHAR), '')"
+
+
+COMMON_ORDER = ('TimeGenerated DESC, AnomalyType NULLS FIRST, Severity NULLS FIRST, ServerName NULLS FIRST, '
+                '"User" NULLS FIRST, "Database" NULLS FIRST, SourceHost NULLS FIRST, MetricName NULLS FIRST, '
+                'MetricValue NULLS FIRST, Details NULLS FIRST')
+
+
+def anomalies_union_sql(hunt=True):
+    def part(sql, u, d, h, metric, kvs):
+        det = "concat_ws('; ', " + ", ".join(_kv(k, e) for k, e in kvs) + ")"
+        return (f"SELECT TimeGenerated, AnomalyType, Severity, ServerName, {u} AS \"User\", {d} AS \"Database\", "
+                f"{h} AS SourceHost, '{metric}' AS MetricName, CAST({metric} AS BIGINT) AS MetricValue, "
+                f"{det} AS Details FROM ({sql}) x")
+    N = "CAST(NULL AS VARCHAR)"
+    parts = [
+        part(exfiltration_sql(), '"User"', '"Database"', "SourceHost", "SelectCount",
+             [("ProcessID", "ProcessID"), ("BackendType", "BackendType"), ("TimeWindow", "TimeWindow"),
+              ("TablesAccessed", "TablesAccessed"), ("SampleQueries", "SampleQueries")]),
+        part(destructive_ops_sql(), '"User"', '"Database"', "SourceHost", "OperationCount",
+             [("BackendType", "BackendType"), ("Operations", "Operations"), ("TablesAffected", "TablesAffected"),
+              ("TimeWindow", "TimeWindow"), ("SampleMessages", "SampleMessages")]),
+        part(error_spike_sql(), '"User"', '"Database"', "SourceHost", "ErrorCount",
+             [("BackendType", "BackendType"), ("ErrorTypes", "ErrorTypes"), ("ErrorCodes", "ErrorCodes"),
+              ("TimeWindow", "TimeWindow"), ("SampleErrors", "SampleErrors")]),
+        part(privilege_escalation_sql(), '"User"', N, N, "PrivilegeOpsCount",
+             [("Operations", "Operations"), ("LogTypes", "LogTypes"), ("TimeWindow", "TimeWindow"),
+              ("SampleQueries", "SampleQueries")]),
+        part(cross_schema_recon_sql(), '"User"', N, N, "SchemasAccessed",
+             [("SchemaList", "SchemaList"), ("TablesAccessed", "TablesAccessed"), ("TimeWindow", "TimeWindow")]),
+        part(deep_schema_enum_sql(), '"User"', N, N, "SystemTableQueries",
+             [("RiskLevel", "RiskLevel"), ("UniqueSystemTables", "UniqueSystemTables"),
+              ("TablesScanned", "TablesScanned"), ("TimeWindow", "TimeWindow")]),
+        part(brute_force_sql(), N, N, "SourceHost", "FailedAttempts",
+             [("Users", "Users"), ("Databases", "Databases"), ("TimeWindow", "TimeWindow")]),
+    ]
+    return "\nUNION ALL\n".join(f"({p})" for p in parts)
+
+
+def anomalies_all_sql(limit=100):
+    return f"SELECT * FROM ({anomalies_union_sql()}) u ORDER BY {COMMON_ORDER} LIMIT {limit}"
+
+
+def security_kpis_sql(host_error_rate=10):
+    u = anomalies_union_sql()
+    host = S.extract(P.HOST_RE, 'message')
+    return with_bronze(f"a AS ({u})", f"""h AS (
+  SELECT ClientHost, count(*) AS n, count(*) FILTER (WHERE {ERR2}) AS e
+  FROM (SELECT *, {host} AS ClientHost FROM bronze) x WHERE {S.non_empty('ClientHost')} GROUP BY ClientHost)""") + f"""
+SELECT 'anomalies_by_type_severity' AS Kpi, concat_ws(' / ', AnomalyType, Severity) AS Dimension, count(*) AS "Value"
+FROM a GROUP BY concat_ws(' / ', AnomalyType, Severity)
+UNION ALL
+SELECT 'users_with_anomalies', '', count(DISTINCT "User") FROM a WHERE "User" <> '' AND "User" <> 'UNKNOWN'
+UNION ALL
+SELECT 'hosts_error_rate_over_10pct', '', count(*) FROM h WHERE {pct2('e', 'n')} > {host_error_rate}"""
+
+
+def alert_candidates_sql(day=DAY):
+    b = bucket(day)
+    du = S.first_non_empty(S.extract(P.USER_RE, 'message'), default='UNKNOWN')
+    cls = S.extract(P.AUDIT_CLASS_RE, 'message')
+    stm = S.extract(P.AUDIT_STATEMENT_RE, 'message')
+
+    def cand(rule, where, keys, bucketed, metric="count(*)"):
+        wcol = f"{b}" if bucketed else "CAST(NULL AS TIMESTAMP)"
+        gk = " || '|' || ".join(f"COALESCE(CAST({k} AS VARCHAR), '')" for k in keys)
+        gby = ", ".join(keys + (["WindowStart"] if bucketed else []))
+        return f"""SELECT '{rule}' AS RuleName, LogicalServerName AS ServerName, {gk} AS GroupKey,
+  {"WindowStart" if bucketed else "CAST(NULL AS TIMESTAMP)"} AS WindowStart,
+  CAST({metric} AS DOUBLE) AS MetricValue, max({TS}) AS TimeGenerated
+FROM (SELECT *, {wcol} AS WindowStart, {du} AS FinalUser FROM bronze) x WHERE {where}
+GROUP BY {gby}"""
+    parts = [
+        cand("Data Exfil", f"{CAT} AND {AUDIT} AND {S.has_any('message', P.EXFIL_TERMS)} AND {CLIENT} "
+                           f"AND ({cls} = 'READ' OR {stm} = 'SELECT') AND FinalUser <> 'azuresu'",
+             ["LogicalServerName", "backend_type", "processId"], False),
+        cand("Destruction", f"{CAT} AND {AUDIT} AND {S.has_any('message', P.DESTRUCTIVE_PREFILTER_TERMS)} "
+                            f"AND {S.has_any('message', P.DESTRUCTIVE_TERMS)} AND ({cls} = 'WRITE' OR "
+                            f"{S.has_any(f'trim({stm}, chr(32))', P.DESTRUCTIVE_TERMS)}) "
+                            f"AND FinalUser NOT IN ('azuresu', 'azure_maintenance', 'UNKNOWN') AND {CLIENT}",
+             ["LogicalServerName", "backend_type"], True),
+        cand("Privilege", f"{CAT} AND {S.has_any('message', P.PRIVILEGE_ALERT_TERMS)} AND ({CLIENT} OR "
+                          f"{S.empty('backend_type')}) AND FinalUser NOT IN ('azuresu', 'azure_maintenance')",
+             ["LogicalServerName"], True),
+        cand("Error Spike", f"{CAT} AND {ERRPRED}", ["LogicalServerName", "backend_type"], True),
+    ]
+    sch = S.extract(P.AUDIT_SCHEMA_RE, 'message')
+    tab = S.extract(P.AUDIT_OBJECT_TYPE_RE, 'message')
+    schema_name = (f"CASE WHEN {S.non_empty(sch)} THEN {sch} ELSE {S.extract(P.SCHEMA_PREFIX_RE, tab)} END")
+    parts.append(f"""SELECT 'Recon (Schema)' AS RuleName, LogicalServerName AS ServerName,
+  COALESCE(CAST(LogicalServerName AS VARCHAR), '') || '|' || COALESCE(CAST(processId AS VARCHAR), '') AS GroupKey,
+  WindowStart, CAST(count(DISTINCT SchemaName) AS DOUBLE) AS MetricValue, max({TS}) AS TimeGenerated
+FROM (SELECT *, {b} AS WindowStart, {du} AS FinalUser, {schema_name} AS SchemaName FROM bronze
+      WHERE {CAT} AND {AUDIT} AND {CLIENT} AND ({S.non_empty(sch)} OR {S.non_empty(tab)})) x
+WHERE {S.non_empty('SchemaName')} AND SchemaName NOT IN ('pg_catalog', 'information_schema', '')
+  AND FinalUser <> 'azuresu'
+GROUP BY LogicalServerName, processId, WindowStart""")
+    parts.append(cand("Recon (Deep)", f"{CAT} AND {AUDIT} AND {CLIENT} AND {S.has_any('message', P.CATALOG_TERMS)} "
+                                      f"AND FinalUser <> 'azuresu'", ["LogicalServerName", "processId"], True))
+    return "\nUNION ALL\n".join(f"({p})" for p in parts)
+
+
+def rules_values():
+    from auditlens.operators.alerts import RULES
+
+    def lit(v):
+        return "NULL" if v is None else (S.q(v) if isinstance(v, str) else f"CAST({v} AS DOUBLE)")
+    rows = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in RULES)
+    return (f"rules(RuleName, QuerySource, TriggerField, Threshold, HighAbove, CriticalAbove, BaseSeverity, "
+            f"Action, Frequency) AS (VALUES {rows})")
+
+
+def alert_rules_sql():
+    return with_bronze(f"c AS ({alert_candidates_sql()})", rules_values()) + """
+SELECT RuleName, QuerySource, TriggerField, CAST(Threshold AS DOUBLE) AS Threshold, ServerName, GroupKey,
+  WindowStart, MetricValue,
+  CASE WHEN CriticalAbove IS NOT NULL AND MetricValue > CriticalAbove THEN 'CRITICAL'
+       WHEN HighAbove IS NOT NULL AND MetricValue > HighAbove THEN 'HIGH' ELSE BaseSeverity END AS Severity,
+  Action, Frequency, TimeGenerated
+FROM c JOIN rules USING (RuleName) WHERE MetricValue > Threshold"""

@@ -19,6 +19,9 @@ def oracle_sql() -> dict[str, str]:
         "quick_destructive": O.quick_destructive_sql(),
         "quick_errors": O.quick_errors_sql(),
         "quick_privilege": O.quick_privilege_sql(),
+        "anomalies_all": O.anomalies_all_sql(),
+        "security_kpis": O.security_kpis_sql(),
+        "alert_rules": O.alert_rules_sql(),
         "activity_metrics": O.activity_metrics_sql(),
         "activity_backfill": O.activity_metrics_sql(),
         "error_metrics": O.error_metrics_sql(),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.config import shared_dir
+from auditlens.operators import alerts as A
 from auditlens.operators import dashboards as Q
 from auditlens.operators import detectors as D
 from auditlens.operators import metrics as M
@@ -97,8 +98,30 @@ _DASHBOARDS = {
 }
 
 
+HUNT_UNION = {k: HUNT[k] for k in A.UNION_KINDS}
+HUNT_ALERT_WINDOWS = {r: (None, None if r == "Data Exfil" else "1d") for r in A.ALERT_WINDOWS}
+
+
+def _anomalies_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.anomalies_all(load_bronze(spark, sf_dir), params=HUNT_UNION)
+
+
+def _security_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = load_bronze(spark, sf_dir)
+    return A.security_kpis(A.anomalies_union(bronze, params=HUNT_UNION), bronze, lookback=None)
+
+
+def _alert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = load_bronze(spark, sf_dir)
+    cands = A.alert_candidates(bronze, windows=HUNT_ALERT_WINDOWS)
+    return A.alert_rules(cands, A.rules_df(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {k: _detector(fn, k) for k, fn in _DETECTORS.items()}
+    out["anomalies_all"] = _anomalies_all
+    out["security_kpis"] = _security_kpis
+    out["alert_rules"] = _alert_rules
     out.update({
         "activity_metrics": _on_bronze(M.activity_metrics),
         "activity_backfill": _activity_backfill,

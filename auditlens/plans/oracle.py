@@ -728,3 +728,68 @@ SELECT RuleName, QuerySource, TriggerField, CAST(Threshold AS DOUBLE) AS Thresho
        WHEN HighAbove IS NOT NULL AND MetricValue > HighAbove THEN 'HIGH' ELSE BaseSeverity END AS Severity,
   Action, Frequency, TimeGenerated
 FROM c JOIN rules USING (RuleName) WHERE MetricValue > Threshold"""
+
+
+# ------------------------------------------------------------------ series
+def series_ctes(step=300, periods=(12, 288, 2016), min_corr=0.6, threshold=1.5):
+    def clean(c):
+        return f"(CASE WHEN {c} IS NULL OR isnan({c}) THEN 0.0 ELSE {c} END)"
+    cv = {p: f"(CASE WHEN n >= {2 * p} THEN {clean(f'c{p}')} ELSE 0.0 END)" for p in periods}
+    whens = []
+    for i, p in enumerate(periods):
+        conds = [f"{cv[p]} >= {cv[q]}" for q in periods[i + 1:]] + [f"{cv[p]} >= {min_corr}"]
+        whens.append(f"WHEN {' AND '.join(conds)} THEN {p}")
+    lags = ", ".join(f"lag(d, {p}) OVER (PARTITION BY ServerName ORDER BY idx) AS l{p}" for p in periods)
+    corrs = ", ".join(f"corr(d, l{p}) AS c{p}" for p in periods)
+    return [activity_cte(), f"""s AS (
+  SELECT ServerName, {S.bin_ts('"Timestamp"', step)} AS ts, CAST(sum(ActivityCount) AS BIGINT) AS v
+  FROM am WHERE {S.non_empty('ServerName')} GROUP BY ServerName, {S.bin_ts('"Timestamp"', step)})""",
+            """bnd AS (SELECT min(ts) AS t0, max(ts) AS t1 FROM s)""",
+            f"""grid AS (
+  SELECT ServerName, ts, CAST(round((epoch(ts) - epoch(t0)) / {step}) AS BIGINT) AS idx
+  FROM (SELECT ServerName, unnest(generate_series(t0, t1, INTERVAL '{step} seconds')) AS ts, t0
+        FROM (SELECT DISTINCT ServerName FROM s) k, bnd) g)""",
+            """x AS (SELECT g.ServerName, g.ts, g.idx, COALESCE(s.v, 0) AS v FROM grid g LEFT JOIN s USING (ServerName, ts))""",
+            """tr AS (
+  SELECT ServerName, COALESCE(regr_slope(v, idx), 0.0) AS slope, COALESCE(regr_intercept(v, idx), avg(v)) AS icpt,
+    count(*) AS n FROM x GROUP BY ServerName)""",
+            """d AS (SELECT x.*, tr.icpt + tr.slope * x.idx AS trend, x.v - (tr.icpt + tr.slope * x.idx) AS d, tr.n
+       FROM x JOIN tr USING (ServerName))""",
+            f"""ac AS (SELECT ServerName, max(n) AS n, {corrs} FROM (SELECT *, {lags} FROM d) l GROUP BY ServerName)""",
+            f"""per AS (SELECT ServerName, CASE {' '.join(whens)} ELSE 0 END AS period FROM ac)""",
+            """dp AS (SELECT d.*, per.period, CASE WHEN per.period > 0 THEN d.idx % per.period END AS slot
+        FROM d JOIN per USING (ServerName))""",
+            """seas AS (SELECT ServerName, slot, avg(d) AS seasonal FROM dp WHERE period > 0 GROUP BY ServerName, slot)""",
+            """r AS (SELECT dp.ServerName, dp.ts, dp.v, dp.trend + COALESCE(seas.seasonal, 0.0) AS baseline,
+              dp.v - (dp.trend + COALESCE(seas.seasonal, 0.0)) AS resid
+       FROM dp LEFT JOIN seas ON seas.ServerName = dp.ServerName AND seas.slot = dp.slot)""",
+            """q AS (SELECT ServerName, quantile_cont(resid, 0.1) AS q10, quantile_cont(resid, 0.9) AS q90
+       FROM r GROUP BY ServerName)""",
+            f"""sc AS (
+  SELECT *, CASE WHEN abs(score) > {threshold} THEN CAST(sign(score) AS INTEGER) ELSE 0 END AS anomalies
+  FROM (SELECT r.*, CASE WHEN q90 - q10 <= 0 THEN 0.0
+                         WHEN resid > q90 THEN (resid - q90) / (q90 - q10)
+                         WHEN resid < q10 THEN (resid - q10) / (q90 - q10) ELSE 0.0 END AS score
+        FROM r JOIN q USING (ServerName)) z)"""]
+
+
+def baseline_deviation_sql(top=20, high=2.0, critical=3.0):
+    return with_bronze(*series_ctes()) + f"""
+SELECT ts AS TimeGenerated, 'ML Baseline Deviation' AS AnomalyType,
+  CASE WHEN anomalies > 0 THEN 'Above Normal' ELSE 'Below Normal' END AS AnomalyDirection,
+  CASE WHEN abs(score) > {critical} THEN 'CRITICAL' WHEN abs(score) > {high} THEN 'HIGH' ELSE 'MEDIUM' END AS Severity,
+  ServerName, v AS ActivityCount, round(baseline, 0) AS ExpectedBaseline, round(score, 2) AS DeviationScore
+FROM sc WHERE anomalies <> 0
+ORDER BY abs(round(score, 2)) DESC, ServerName, ts LIMIT {top}"""
+
+
+def baseline_deviation_pct_sql(top=20):
+    return with_bronze(*series_ctes()) + f"""
+SELECT ts AS "Timestamp", ServerName, v AS Activity, round(baseline, 0) AS Baseline,
+  round(CASE WHEN baseline = 0 THEN NULL ELSE abs(v - baseline) * 100 / baseline END, 1) AS DeviationPercent,
+  CASE WHEN anomalies > 0 THEN 'Activity Spike' ELSE 'Activity Drop' END AS Direction,
+  CASE WHEN abs(score) > 3.5 THEN 'CRITICAL' WHEN abs(score) > 2.5 THEN 'HIGH'
+       WHEN abs(score) > 1.5 THEN 'MEDIUM' ELSE 'LOW' END AS Severity,
+  round(score, 2) AS AnomalyScore
+FROM sc WHERE anomalies <> 0
+ORDER BY abs(score) DESC, ServerName, ts LIMIT {top}"""

@@ -27,6 +27,8 @@ def oracle_sql() -> dict[str, str]:
         "error_metrics": O.error_metrics_sql(),
         "user_metrics": O.user_metrics_sql(),
         "privilege_offhours": O.privilege_offhours_sql(),
+        "baseline_deviation": O.baseline_deviation_sql(),
+        "baseline_deviation_pct": O.baseline_deviation_pct_sql(),
         "metrics_latest": O.metrics_latest_sql(),
         "metrics_stats": O.metrics_stats_sql(),
         "metrics_status": O.metrics_status_sql(),

@@ -19,6 +19,7 @@ from auditlens.operators import alerts as A
 from auditlens.operators import dashboards as Q
 from auditlens.operators import detectors as D
 from auditlens.operators import metrics as M
+from auditlens.operators import series as SR
 from auditlens.plans.profile import HUNT
 from auditlens.sources.events_adapter import load_bronze
 
@@ -128,6 +129,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "error_metrics": _on_bronze(M.error_metrics),
         "user_metrics": _on_bronze(M.user_metrics, session_lookback=None),
         "privilege_offhours": _on_metrics(D.privilege_offhours, lookback=None),
+        "baseline_deviation": _on_metrics(SR.baseline_deviation, lookback=None, report=None),
+        "baseline_deviation_pct": _on_metrics(SR.baseline_deviation_pct, lookback=None, report=None),
         "metrics_latest": _on_metrics(Q.metrics_latest),
         "metrics_stats": _on_metrics(Q.metrics_stats, lookback=None),
         "metrics_status": _on_metrics(Q.metrics_status),

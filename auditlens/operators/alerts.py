@@ -200,26 +200,31 @@ ALERT_WINDOWS = {
 }
 
 
+def _group_key(keys: list[str]) -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+
+
 def _cand(df: DataFrame, rule: str, keys: list[str], bucket, metric: Column) -> DataFrame:
     if bucket is not None:
         df = df.withColumn("WindowStart", bin_ts(TS, bucket))
-        keys = keys + ["WindowStart"]
     else:
         df = df.withColumn("WindowStart", F.lit(None).cast(df.schema[TS].dataType))
-        keys = keys + ["WindowStart"]
-    gk = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys if k != "WindowStart"])
-    agg = df.groupBy(*keys).agg(metric.alias("MetricValue"), F.max(TS).alias("TimeGenerated"))
+    agg = df.groupBy(*keys, "WindowStart").agg(metric.alias("MetricValue"), F.max(TS).alias("TimeGenerated"))
     return agg.select(F.lit(rule).alias("RuleName"), F.col(SRV).alias("ServerName"),
-                      gk.alias("GroupKey"), "WindowStart", F.col("MetricValue").cast("double").alias("MetricValue"),
-                      "TimeGenerated")
+                      _group_key(keys).alias("GroupKey"), "WindowStart",
+                      F.col("MetricValue").cast("double").alias("MetricValue"), "TimeGenerated")
 
 
 def _direct_final(df: DataFrame) -> DataFrame:
     return df.withColumn("FinalUser", first_non_empty(extract(P.USER_RE, "message"), default=P.UNKNOWN))
 
 
-def alert_candidates(bronze: DataFrame, *, as_of=None, windows: dict | None = None) -> DataFrame:
-    """The six log-based alert queries as long-form metric rows (no threshold)."""
+def alert_inputs(bronze: DataFrame, *, as_of=None, windows: dict | None = None):
+    """Per alert query: (rule, filtered rows, group keys, bucket, metric).
+
+    ``metric`` is None for a row count or the column whose distinct values
+    are counted. Shared by the batch and the streaming evaluation.
+    """
     w = dict(ALERT_WINDOWS)
     w.update(windows or {})
     if as_of is None and any(lb is not None for lb, _ in w.values()):
@@ -227,15 +232,14 @@ def alert_candidates(bronze: DataFrame, *, as_of=None, windows: dict | None = No
     cat = F.col("category") == CATEGORY
     audit = contains("message", P.AUDIT_MARK)
     client = F.col("backend_type") == P.CLIENT_BACKEND
-    n = F.count(F.lit(1))
-    parts = []
+    out = []
 
     lb, bk = w["Data Exfil"]
     df = since(bronze, as_of, lb).where(cat & audit & has_any("message", P.EXFIL_TERMS) & client)
     df = df.where((extract(P.AUDIT_CLASS_RE, "message") == "READ")
                   | (extract(P.AUDIT_STATEMENT_RE, "message") == "SELECT"))
     df = _direct_final(df).where(F.col("FinalUser") != "azuresu")
-    parts.append(_cand(df, "Data Exfil", [SRV, "backend_type", "processId"], bk, n))
+    out.append(("Data Exfil", df, [SRV, "backend_type", "processId"], bk, None))
 
     lb, bk = w["Destruction"]
     df = since(bronze, as_of, lb).where(cat & audit & has_any("message", P.DESTRUCTIVE_PREFILTER_TERMS))
@@ -243,17 +247,17 @@ def alert_candidates(bronze: DataFrame, *, as_of=None, windows: dict | None = No
     df = df.where(has_any("message", P.DESTRUCTIVE_TERMS)
                   & ((extract(P.AUDIT_CLASS_RE, "message") == "WRITE") | has_any(stmt, P.DESTRUCTIVE_TERMS)))
     df = _direct_final(df).where(~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN) & client)
-    parts.append(_cand(df, "Destruction", [SRV, "backend_type"], bk, n))
+    out.append(("Destruction", df, [SRV, "backend_type"], bk, None))
 
     lb, bk = w["Privilege"]
     df = since(bronze, as_of, lb).where(cat & has_any("message", P.PRIVILEGE_ALERT_TERMS)
                                         & (client | is_empty("backend_type")))
     df = _direct_final(df).where(~F.col("FinalUser").isin(*P.SYSTEM_USERS))
-    parts.append(_cand(df, "Privilege", [SRV], bk, n))
+    out.append(("Privilege", df, [SRV], bk, None))
 
     lb, bk = w["Error Spike"]
     df = since(bronze, as_of, lb).where(cat & D.error_predicate())
-    parts.append(_cand(df, "Error Spike", [SRV, "backend_type"], bk, n))
+    out.append(("Error Spike", df, [SRV, "backend_type"], bk, None))
 
     lb, bk = w["Recon (Schema)"]
     df = since(bronze, as_of, lb).where(cat & audit & client)
@@ -264,13 +268,21 @@ def alert_candidates(bronze: DataFrame, *, as_of=None, windows: dict | None = No
                        .otherwise(schema_of("TableAccessed")))
     df = df.where(is_not_empty("SchemaName") & ~F.col("SchemaName").isin(*P.CATALOG_SCHEMAS, ""))
     df = _direct_final(df).where(F.col("FinalUser") != "azuresu")
-    parts.append(_cand(df, "Recon (Schema)", [SRV, "processId"], bk, F.count_distinct("SchemaName")))
+    out.append(("Recon (Schema)", df, [SRV, "processId"], bk, "SchemaName"))
 
     lb, bk = w["Recon (Deep)"]
     df = since(bronze, as_of, lb).where(cat & audit & client & has_any("message", P.CATALOG_TERMS))
     df = _direct_final(df).where(F.col("FinalUser") != "azuresu")
-    parts.append(_cand(df, "Recon (Deep)", [SRV, "processId"], bk, n))
+    out.append(("Recon (Deep)", df, [SRV, "processId"], bk, None))
+    return out
+
 
+def alert_candidates(bronze: DataFrame, *, as_of=None, windows: dict | None = None) -> DataFrame:
+    """The six log-based alert queries as long-form metric rows (no threshold)."""
+    parts = []
+    for rule, df, keys, bk, distinct in alert_inputs(bronze, as_of=as_of, windows=windows):
+        metric = F.count(F.lit(1)) if distinct is None else F.count_distinct(distinct)
+        parts.append(_cand(df, rule, keys, bk, metric))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -281,7 +293,8 @@ def ml_candidates(series_anomalies: DataFrame) -> DataFrame:
     """Baseline-deviation rows as alert candidates (metric = |score|)."""
     return series_anomalies.select(
         F.lit("ML Anomaly").alias("RuleName"), "ServerName", F.col("ServerName").alias("GroupKey"),
-        F.col("TimeGenerated").alias("WindowStart"), F.abs("DeviationScore").cast("double").alias("MetricValue"),
+        F.col("TimeGenerated").alias("WindowStart"),
+        F.abs(F.col("DeviationScore")).cast("double").alias("MetricValue"),
         "TimeGenerated")
 
 

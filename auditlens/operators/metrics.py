@@ -27,19 +27,21 @@ def _dcount(c, distinct: str):
     return F.approx_count_distinct(c) if distinct == "approx" else F.count_distinct(c)
 
 
-def activity_aggs(distinct: str = "exact"):
+def activity_aggs(distinct: str = "exact", users: bool = True):
     m = "message"
-    return [
+    out = [
         F.count(F.lit(1)).alias("ActivityCount"),
         F.count_if(contains(m, P.AUDIT_MARK)).alias("AuditLogs"),
         F.count_if(F.col("errorLevel").isin(*P.ERROR_LEVELS)).alias("Errors"),
         F.count_if(contains(m, P.CONN_AUTHORIZED)).alias("Connections"),
-        _dcount(F.nullif(extract(P.USER_RE, m), F.lit("")), distinct).alias("UniqueUsers"),
         F.count_if(has_any(m, P.ACTIVITY_SELECT_TERMS)).alias("SelectOps"),
         F.count_if(has_any(m, P.ACTIVITY_WRITE_TERMS)).alias("WriteOps"),
         F.count_if(has_any(m, P.ACTIVITY_DDL_TERMS)).alias("DDLOps"),
         F.count_if(has_any(m, P.ACTIVITY_PRIVILEGE_TERMS)).alias("PrivilegeOps"),
     ]
+    if users:
+        out.insert(4, _dcount(F.nullif(extract(P.USER_RE, m), F.lit("")), distinct).alias("UniqueUsers"))
+    return out
 
 
 def activity_metrics(bronze: DataFrame, *, as_of=None, lookback=None, bucket="5m",

@@ -665,7 +665,7 @@ UNION ALL
 SELECT 'hosts_error_rate_over_10pct', '', count(*) FROM h WHERE {pct2('e', 'n')} > {host_error_rate}"""
 
 
-def alert_candidates_sql(day=DAY):
+def alert_candidates_sql(day=DAY, exfil_bucketed=False):
     b = bucket(day)
     du = S.first_non_empty(S.extract(P.USER_RE, 'message'), default='UNKNOWN')
     cls = S.extract(P.AUDIT_CLASS_RE, 'message')
@@ -683,7 +683,7 @@ GROUP BY {gby}"""
     parts = [
         cand("Data Exfil", f"{CAT} AND {AUDIT} AND {S.has_any('message', P.EXFIL_TERMS)} AND {CLIENT} "
                            f"AND ({cls} = 'READ' OR {stm} = 'SELECT') AND FinalUser <> 'azuresu'",
-             ["LogicalServerName", "backend_type", "processId"], False),
+             ["LogicalServerName", "backend_type", "processId"], exfil_bucketed),
         cand("Destruction", f"{CAT} AND {AUDIT} AND {S.has_any('message', P.DESTRUCTIVE_PREFILTER_TERMS)} "
                             f"AND {S.has_any('message', P.DESTRUCTIVE_TERMS)} AND ({cls} = 'WRITE' OR "
                             f"{S.has_any(f'trim({stm}, chr(32))', P.DESTRUCTIVE_TERMS)}) "
@@ -721,7 +721,9 @@ def rules_values():
 
 
 def alert_rules_sql():
-    return with_bronze(f"c AS ({alert_candidates_sql()})", rules_values()) + """
+    ml = ("SELECT 'ML Anomaly' AS RuleName, ServerName, ServerName AS GroupKey, ts AS WindowStart, "
+          "abs(round(score, 2)) AS MetricValue, ts AS TimeGenerated FROM sc WHERE anomalies <> 0")
+    return with_bronze(*series_ctes(), f"c AS ({alert_candidates_sql()} UNION ALL ({ml}))", rules_values()) + """
 SELECT RuleName, QuerySource, TriggerField, CAST(Threshold AS DOUBLE) AS Threshold, ServerName, GroupKey,
   WindowStart, MetricValue,
   CASE WHEN CriticalAbove IS NOT NULL AND MetricValue > CriticalAbove THEN 'CRITICAL'
@@ -793,3 +795,24 @@ SELECT ts AS "Timestamp", ServerName, v AS Activity, round(baseline, 0) AS Basel
   round(score, 2) AS AnomalyScore
 FROM sc WHERE anomalies <> 0
 ORDER BY abs(score) DESC, ServerName, ts LIMIT {top}"""
+
+
+WATERMARK_SECS = 600
+
+
+def metric_stream_sql():
+    return with_bronze(activity_cte()) + f"""
+SELECT * FROM am
+WHERE "Timestamp" + INTERVAL '300 seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""
+
+
+def alert_stream_sql():
+    return with_bronze(f"c AS ({alert_candidates_sql(exfil_bucketed=True)})", rules_values()) + f"""
+SELECT RuleName, QuerySource, TriggerField, CAST(Threshold AS DOUBLE) AS Threshold, ServerName, GroupKey,
+  WindowStart, MetricValue,
+  CASE WHEN CriticalAbove IS NOT NULL AND MetricValue > CriticalAbove THEN 'CRITICAL'
+       WHEN HighAbove IS NOT NULL AND MetricValue > HighAbove THEN 'HIGH' ELSE BaseSeverity END AS Severity,
+  Action, Frequency, TimeGenerated
+FROM c JOIN rules USING (RuleName)
+WHERE MetricValue > Threshold
+  AND WindowStart + INTERVAL '{DAY} seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""

@@ -22,6 +22,8 @@ def oracle_sql() -> dict[str, str]:
         "anomalies_all": O.anomalies_all_sql(),
         "security_kpis": O.security_kpis_sql(),
         "alert_rules": O.alert_rules_sql(),
+        "metric_stream": O.metric_stream_sql(),
+        "alert_stream": O.alert_stream_sql(),
         "activity_metrics": O.activity_metrics_sql(),
         "activity_backfill": O.activity_metrics_sql(),
         "error_metrics": O.error_metrics_sql(),

@@ -21,7 +21,7 @@ from auditlens.operators import detectors as D
 from auditlens.operators import metrics as M
 from auditlens.operators import series as SR
 from auditlens.plans.profile import HUNT
-from auditlens.sources.events_adapter import load_bronze
+from auditlens.sources.events_adapter import bronze_path, load_bronze
 
 
 def display(df: DataFrame) -> DataFrame:
@@ -115,11 +115,43 @@ def _security_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _alert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = load_bronze(spark, sf_dir)
     cands = A.alert_candidates(bronze, windows=HUNT_ALERT_WINDOWS)
-    return A.alert_rules(cands, A.rules_df(spark))
+    ml = A.ml_candidates(SR.series_anomalies(M.activity_metrics(bronze), lookback=None, report=None))
+    return A.alert_rules(cands.unionByName(ml), A.rules_df(spark))
+
+
+def _run_stream(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """Run a streaming query over everything available, return its output table."""
+    out, ck = shared_dir(spark, name), shared_dir(spark, name + "_ck")
+    q = (df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ck)
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from auditlens.streaming.metric_stream import activity_metrics_stream
+    from auditlens.streaming.sources import bronze_stream
+    s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
+    out = _run_stream(activity_metrics_stream(s, watermark="10 minutes"), spark, "metric_stream")
+    return out.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
+
+
+STREAM_DAY = {r: (None, "1d") for r in A.ALERT_WINDOWS}
+
+
+def _alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from auditlens.streaming.alert_stream import alert_stream
+    from auditlens.streaming.sources import bronze_stream
+    s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
+    a = alert_stream(s, A.rules_df(spark), watermark="10 minutes", windows=STREAM_DAY)
+    out = _run_stream(a, spark, "alert_stream")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("WindowStart", "TimeGenerated")})
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {k: _detector(fn, k) for k, fn in _DETECTORS.items()}
+    out["metric_stream"] = _metric_stream
+    out["alert_stream"] = _alert_stream
     out["anomalies_all"] = _anomalies_all
     out["security_kpis"] = _security_kpis
     out["alert_rules"] = _alert_rules

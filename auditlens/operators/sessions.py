@@ -84,9 +84,9 @@ def session_asof(events: DataFrame, bronze: DataFrame, as_of=None, lookback: str
     top = events.select(F.max(TS)).scalar()
     conn = conn.withColumn("valid_to_cut", F.least(F.col("valid_to"), F.greatest(top, F.col("valid_from"))))
     d = duration(bucket)
-    conn = conn.withColumn("b", F.explode(F.sequence(F.window("valid_from", d).start,
-                                                     F.window("valid_to_cut", d).start,
-                                                     F.expr(f"INTERVAL {d}"))))
+    conn = conn.withColumn("b_from", F.window("valid_from", d).start)
+    conn = conn.withColumn("b_to", F.window("valid_to_cut", d).start)
+    conn = conn.withColumn("b", F.explode(F.sequence("b_from", "b_to", F.expr(f"INTERVAL {d}"))))
     ev = events.withColumn("b", F.window(TS, d).start)
     cond = [ev[k] == conn[k] for k in KEYS] + [ev["b"] == conn["b"],
                                               ev[TS] >= conn["valid_from"], ev[TS] < conn["valid_to"]]

@@ -816,3 +816,48 @@ SELECT RuleName, QuerySource, TriggerField, CAST(Threshold AS DOUBLE) AS Thresho
 FROM c JOIN rules USING (RuleName)
 WHERE MetricValue > Threshold
   AND WindowStart + INTERVAL '{DAY} seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""
+
+
+# ------------------------------------------------------------------ ingest, parse, sessions
+def bronze_sql():
+    return with_bronze() + "SELECT * FROM bronze"
+
+
+def audit_parse_sql():
+    m = "message"
+    return with_bronze() + f"""
+SELECT {TS}, LogicalServerName, processId,
+  {S.extract(P.AUDIT_CLASS_RE, m)} AS AuditClass, {S.extract(P.AUDIT_STATEMENT_RE, m)} AS AuditStatement,
+  {S.extract(P.AUDIT_OBJECT_TYPE_RE, m)} AS ObjectType, {S.extract(P.AUDIT_OBJECT_NAME_RE, m)} AS ObjectName,
+  trim({S.extract(P.QUERY_TEXT_RE, m)}, '"') AS QueryText
+FROM bronze WHERE {AUDIT}"""
+
+
+def conn_parse_sql():
+    return with_bronze() + f"""
+SELECT {TS}, LogicalServerName, processId, {direct_cols()}
+FROM bronze WHERE {S.contains_any('message', (P.CONN_AUTHORIZED, P.CONN_RECEIVED))}"""
+
+
+def session_info_sql():
+    return with_bronze(sess_cte()) + "SELECT * FROM sess"
+
+
+def session_enrich_sql():
+    return with_bronze(sess_cte(), f"""ev AS (SELECT b.*, {direct_cols()} FROM bronze b WHERE {AUDIT})""") + f"""
+SELECT {TS}, LogicalServerName, processId, {final_cols()}
+FROM ev LEFT JOIN sess s USING (processId, LogicalServerName)"""
+
+
+def session_asof_sql():
+    terms = (P.CONN_AUTHORIZED, P.CONN_RECEIVED)
+    return with_bronze(f"""conn AS (
+  SELECT * FROM (SELECT processId, LogicalServerName, {TS} AS valid_from,
+                        {S.extract(P.USER_RE, 'message')} AS AsOfUser,
+                        {S.extract(P.DATABASE_RE, 'message')} AS AsOfDatabase,
+                        {S.extract(P.HOST_RE, 'message')} AS AsOfHost
+                 FROM bronze WHERE {S.contains_any('message', terms)}) c WHERE AsOfUser <> '')""",
+                       f"""ev AS (SELECT {TS}, LogicalServerName, processId FROM bronze WHERE {AUDIT})""") + f"""
+SELECT ev.{TS}, ev.LogicalServerName, ev.processId, c.AsOfUser, c.AsOfDatabase, c.AsOfHost
+FROM ev ASOF LEFT JOIN conn c
+  ON ev.processId = c.processId AND ev.LogicalServerName = c.LogicalServerName AND ev.{TS} >= c.valid_from"""

@@ -5,6 +5,12 @@ from auditlens.plans import oracle as O
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "bronze": O.bronze_sql(),
+        "audit_parse": O.audit_parse_sql(),
+        "conn_parse": O.conn_parse_sql(),
+        "session_info": O.session_info_sql(),
+        "session_enrich": O.session_enrich_sql(),
+        "session_asof": O.session_asof_sql(),
         "exfiltration": O.exfiltration_sql(),
         "destructive_ops": O.destructive_ops_sql(),
         "error_spike": O.error_spike_sql(),

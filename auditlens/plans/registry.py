@@ -148,8 +148,64 @@ def _alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("WindowStart", "TimeGenerated")})
 
 
+def _bronze_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log records exported as JSON (the hub format) read back with the
+    fixed schema, no inference."""
+    from auditlens.sources.bronze import read_bronze_json
+    from auditlens.sources.events_adapter import bronze_from_events, load_events
+    path = shared_dir(spark, "hub_json")
+    (bronze_from_events(load_events(spark, sf_dir)).write.mode("overwrite")
+     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path))
+    out = read_bronze_json(spark, path)
+    return out.withColumn("EventProcessedUtcTime", F.col("EventProcessedUtcTime").cast("timestamp_ntz"))
+
+
+def _audit_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from auditlens.functions.text import contains
+    from auditlens.operators.parse import audit_fields
+    b = load_bronze(spark, sf_dir).where(contains("message", "AUDIT:"))
+    return b.select("EventProcessedUtcTime", "LogicalServerName", "processId",
+                    *[c.alias(n) for n, c in audit_fields().items()])
+
+
+def _conn_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from auditlens.functions.text import contains_any
+    from auditlens.operators.parse import conn_fields
+    from auditlens.operators.sessions import CONN_TERMS_ALL
+    b = load_bronze(spark, sf_dir).where(contains_any("message", CONN_TERMS_ALL))
+    return b.select("EventProcessedUtcTime", "LogicalServerName", "processId",
+                    *[c.alias(n) for n, c in conn_fields().items()])
+
+
+def _session_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from auditlens.operators.sessions import session_info
+    return session_info(load_bronze(spark, sf_dir), lookback=None)
+
+
+def _session_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from auditlens.functions.text import contains
+    from auditlens.operators.parse import conn_parse
+    from auditlens.operators.sessions import session_enrich, session_info
+    b = load_bronze(spark, sf_dir)
+    ev = conn_parse(b.where(contains("message", "AUDIT:")))
+    out = session_enrich(ev, session_info(b, lookback=None))
+    return out.select("EventProcessedUtcTime", "LogicalServerName", "processId",
+                      "FinalUser", "FinalDatabase", "FinalHost")
+
+
+def _session_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from auditlens.functions.text import contains
+    from auditlens.operators.sessions import session_asof
+    b = load_bronze(spark, sf_dir)
+    ev = b.where(contains("message", "AUDIT:")).select("EventProcessedUtcTime", "LogicalServerName", "processId")
+    return session_asof(ev, b)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {k: _detector(fn, k) for k, fn in _DETECTORS.items()}
+    out.update({"bronze": _bronze_json, "audit_parse": _audit_parse, "conn_parse": _conn_parse,
+                "session_info": _session_info, "session_enrich": _session_enrich,
+                "session_asof": _session_asof})
     out["metric_stream"] = _metric_stream
     out["alert_stream"] = _alert_stream
     out["anomalies_all"] = _anomalies_all

@@ -52,6 +52,14 @@ def _clean(c):
     return F.when(c.isNull() | F.isnan(c), F.lit(0.0)).otherwise(c)
 
 
+def _corr(x: str, y: str):
+    """Pearson correlation over rows where both are present; NULL (not an
+    error) when either side has no variance -- a flat series has no season."""
+    both = F.col(y).isNotNull()
+    xs = F.when(both, F.col(x))
+    return F.try_divide(F.covar_pop(xs, F.col(y)), F.stddev_pop(xs) * F.stddev_pop(F.col(y)))
+
+
 def decompose(series: DataFrame, *, threshold=1.5, periods=DEFAULT_PERIODS, min_corr=0.6,
               by="ServerName") -> DataFrame:
     """Adds trend, seasonal, baseline, residual, score and anomalies (+1/0/-1)."""
@@ -66,7 +74,7 @@ def decompose(series: DataFrame, *, threshold=1.5, periods=DEFAULT_PERIODS, min_
 
     w = Window.partitionBy(by).orderBy("idx")
     lagged = d.select(by, "d", "n", *[F.lag("d", p).over(w).alias(f"l{p}") for p in periods])
-    ac = lagged.groupBy(by).agg(F.max("n").alias("n"), *[F.corr("d", f"l{p}").alias(f"c{p}") for p in periods])
+    ac = lagged.groupBy(by).agg(F.max("n").alias("n"), *[_corr("d", f"l{p}").alias(f"c{p}") for p in periods])
     # usable correlation per candidate: needs two whole cycles; NULL/NaN -> 0
     cv = {p: F.when(F.col("n") >= 2 * p, _clean(F.col(f"c{p}"))).otherwise(F.lit(0.0)) for p in periods}
     choice = None

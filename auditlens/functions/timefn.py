@@ -51,10 +51,13 @@ def since(df: DataFrame, as_of, lookback: str | int | None, ts: str = TS) -> Dat
         raise ValueError("a lookback needs as_of (use resolve_as_of)")
     if isinstance(as_of, Column):
         lower = as_of - F.expr(f"INTERVAL {seconds(lookback)} SECONDS")
-    else:
-        lower = F.lit(as_of - dt.timedelta(seconds=seconds(lookback)))
-        lower = lower.cast(df.schema[ts].dataType)
-    return df.where(F.col(ts) >= lower)
+        return df.where(F.col(ts) >= lower)
+    start = as_of - dt.timedelta(seconds=seconds(lookback))
+    out = df.where(F.col(ts) >= F.lit(start).cast(df.schema[ts].dataType))
+    if ts == TS and "event_date" in df.columns:
+        # stored bronze is partitioned by the UTC event date: prune partitions
+        out = out.where(F.col("event_date") >= F.lit(start.date()))
+    return out
 
 
 def resolve_as_of(df: DataFrame, as_of=None, ts: str = TS):

@@ -17,7 +17,7 @@ from auditlens.functions.text import (contains, contains_any, extract, has_any,
                                       label_case, severity, trim_chars)
 from auditlens.functions.timefn import TS, bin_ts, day_boundaries, minute_boundaries, since
 from auditlens.operators.detectors import auth_failure_predicate
-from auditlens.operators.sets import attach_sets, join_set, small_set
+from auditlens.operators.sets import aggregate_with_sets, attach_sets, join_set, small_set
 
 SRV = "LogicalServerName"
 
@@ -64,9 +64,9 @@ def top_tables(bronze, *, as_of=None, lookback="6h", top=15):
                          "ObjectName": extract(P.AUDIT_OBJECT_NAME_RE, "message")})
     df = df.where(is_not_empty("ObjectName"))
     keys = ["ObjectName", SRV]
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("AccessCount"), F.max(TS).alias("LastAccess"))
+    agg = aggregate_with_sets(df, keys, [("AccessCount", "count", None), ("LastAccess", "max", TS)],
+                              [("ObjectTypes", "ObjectType", 5)])
     agg = agg.orderBy(F.desc("AccessCount"), "ObjectName", SRV).limit(top)
-    agg = attach_sets(agg, df, keys, [("ObjectTypes", "ObjectType", 5)])
     return agg.select("ObjectName", join_set("ObjectTypes", ", ").alias("ObjectTypesDisplay"),
                       SRV, "AccessCount", "LastAccess")
 
@@ -261,8 +261,9 @@ def history_depth(metrics, *, as_of=None, lookback="7d"):
 # Q22
 def connection_sample(bronze, *, as_of=None, lookback="1h", n=10):
     """``take 10`` of connection rows; the newest ten, so the sample is stable."""
+    from auditlens.sources.bronze import BRONZE_COLS
     df = since(bronze, as_of, lookback).where(contains("message", P.CONN_AUTHORIZED))
-    return df.orderBy(F.desc(TS), SRV, "processId", "message").limit(n)
+    return df.orderBy(F.desc(TS), SRV, "processId", "message").limit(n).select(*BRONZE_COLS)
 
 
 # Q24

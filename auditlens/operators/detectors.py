@@ -11,8 +11,8 @@ Conventions
 * ``lookback=None`` scans the whole history; ``bucket=None`` (where the
   reference has a bin) groups the whole lookback as one window.
 * ``any()`` is ``max``; ``make_set(x, n)`` is the n smallest distinct
-  non-empty values (``sets.attach_sets``); small-domain sets use
-  ``collect_set``.
+  non-empty values, computed in the same pass as the other aggregates
+  (``sets.aggregate_with_sets``); small-domain sets use ``collect_set``.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from auditlens.functions.timefn import TS, bin_ts, hms, kql_datetime_text, resol
 from auditlens.operators.parse import conn_fields, schema_of
 from auditlens.operators.sessions import (CONN_TERMS_ALL, CONN_TERMS_AUTHORIZED, session_enrich,
                                           session_info)
-from auditlens.operators.sets import attach_sets, join_set, small_set
+from auditlens.operators.sets import aggregate_with_sets, join_set, small_set
 from auditlens.sources.bronze import CATEGORY
 
 SRV = "LogicalServerName"
@@ -79,12 +79,11 @@ def exfiltration(bronze: DataFrame, *, as_of=None, lookback="5m", bucket=None,
     df = session_enrich(df, sessions).where(F.col("FinalUser") != "azuresu")
     df, bkey = _bucketed(df, bucket)
     keys = ["ProcessSession", SRV, "backend_type", "processId", *bkey]
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("SelectCount"), F.min(TS).alias("FirstSeen"), F.max(TS).alias("LastSeen"),
-        F.max("FinalUser").alias("User"), F.max("FinalDatabase").alias("Database"),
-        F.max("FinalHost").alias("SourceHost"))
+    agg = aggregate_with_sets(df, keys, [
+        ("SelectCount", "count", None), ("FirstSeen", "min", TS), ("LastSeen", "max", TS),
+        ("User", "max", "FinalUser"), ("Database", "max", "FinalDatabase"), ("SourceHost", "max", "FinalHost")],
+        [("TablesAccessed", "TableName", 10), ("SampleQueries", "QueryText", 3)])
     agg = agg.where(F.col("SelectCount") > threshold)
-    agg = attach_sets(agg, df, keys, [("TablesAccessed", "TableName", 10), ("SampleQueries", "QueryText", 3)])
     return agg.select(
         F.col("LastSeen").alias("TimeGenerated"),
         F.lit("Potential Data Exfiltration").alias("AnomalyType"),
@@ -121,15 +120,13 @@ def destructive_ops(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="2m
     df = df.where(~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN))
     df, bkey = _bucketed(df, bucket)
     keys = [SRV, "backend_type", *bkey]
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("OperationCount"),
-        small_set("AuditStatement").alias("Operations"),
-        small_set("TableAffected").alias("TablesAffected"),
-        F.min(TS).alias("FirstOccurrence"), F.max(TS).alias("LastOccurrence"),
-        F.max("FinalUser").alias("User"), F.max("FinalDatabase").alias("Database"),
-        F.max("FinalHost").alias("SourceHost"))
+    agg = aggregate_with_sets(df, keys, [
+        ("OperationCount", "count", None), ("Operations", "small_set", "AuditStatement"),
+        ("TablesAffected", "small_set", "TableAffected"),
+        ("FirstOccurrence", "min", TS), ("LastOccurrence", "max", TS),
+        ("User", "max", "FinalUser"), ("Database", "max", "FinalDatabase"), ("SourceHost", "max", "FinalHost")],
+        [("SampleMessages", "QueryText", 3)])
     agg = agg.where((F.col("OperationCount") > threshold) & (F.col("backend_type") == P.CLIENT_BACKEND))
-    agg = attach_sets(agg, df, keys, [("SampleMessages", "QueryText", 3)])
     return agg.select(
         F.col("LastOccurrence").alias("TimeGenerated"),
         F.lit("Mass Destructive Operations").alias("AnomalyType"),
@@ -159,15 +156,12 @@ def error_spike(bronze: DataFrame, *, as_of=None, lookback="15m", bucket="1m",
     df = session_enrich(df, sessions)
     df, bkey = _bucketed(df, bucket)
     keys = [SRV, "backend_type", *bkey]
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("ErrorCount"),
-        small_set("ErrorCategory").alias("ErrorTypes"),
-        small_set("sqlerrcode").alias("ErrorCodes"),
-        F.min(TS).alias("FirstError"), F.max(TS).alias("LastError"),
-        F.max("FinalUser").alias("User"), F.max("FinalDatabase").alias("Database"),
-        F.max("FinalHost").alias("SourceHost"))
+    agg = aggregate_with_sets(df, keys, [
+        ("ErrorCount", "count", None), ("ErrorTypes", "small_set", "ErrorCategory"),
+        ("ErrorCodes", "small_set", "sqlerrcode"), ("FirstError", "min", TS), ("LastError", "max", TS),
+        ("User", "max", "FinalUser"), ("Database", "max", "FinalDatabase"), ("SourceHost", "max", "FinalHost")],
+        [("SampleErrors", "message", 3)])
     agg = agg.where(F.col("ErrorCount") > threshold)
-    agg = attach_sets(agg, df, keys, [("SampleErrors", "message", 3)])
     out = agg.select(
         F.col("LastError").alias("TimeGenerated"),
         F.lit("Critical Error Spike").alias("AnomalyType"),
@@ -202,14 +196,12 @@ def privilege_escalation(bronze: DataFrame, *, as_of=None, lookback="24h", bucke
     df = df.where(~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN))
     df, bkey = _bucketed(df, bucket)
     keys = [SRV, *bkey]
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("PrivilegeOpsCount"),
-        small_set("PrivilegeOp").alias("Operations"),
-        small_set("LogType").alias("LogTypes"),
-        F.min(TS).alias("FirstOp"), F.max(TS).alias("LastOp"),
-        F.max("FinalUser").alias("User"))
+    agg = aggregate_with_sets(df, keys, [
+        ("PrivilegeOpsCount", "count", None), ("Operations", "small_set", "PrivilegeOp"),
+        ("LogTypes", "small_set", "LogType"), ("FirstOp", "min", TS), ("LastOp", "max", TS),
+        ("User", "max", "FinalUser")],
+        [("SampleQueries", "QueryText", 3)])
     agg = agg.where(F.col("PrivilegeOpsCount") > threshold)
-    agg = attach_sets(agg, df, keys, [("SampleQueries", "QueryText", 3)])
     return agg.select(
         F.col("LastOp").alias("TimeGenerated"),
         F.lit("Privilege Escalation").alias("AnomalyType"),
@@ -327,10 +319,10 @@ def brute_force(bronze: DataFrame, *, as_of=None, lookback="24h",
                          "DatabaseName": extract(P.DATABASE_RE, "message")})
     df = df.where(is_not_empty("ClientHost") | is_not_empty("UserName"))
     keys = ["ClientHost"]
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("FailedAttempts"),
-                                F.min(TS).alias("FirstAttempt"), F.max(TS).alias("LastAttempt"))
+    agg = aggregate_with_sets(df, keys, [
+        ("FailedAttempts", "count", None), ("FirstAttempt", "min", TS), ("LastAttempt", "max", TS)],
+        [("Users", "UserName", 10), ("Databases", "DatabaseName", 5)])
     agg = agg.where(F.col("FailedAttempts") > threshold)
-    agg = attach_sets(agg, df, keys, [("Users", "UserName", 10), ("Databases", "DatabaseName", 5)])
     return agg.select(
         F.col("LastAttempt").alias("TimeGenerated"),
         F.lit("Brute Force Authentication").alias("AnomalyType"),
@@ -361,10 +353,10 @@ def brute_force_by_code(bronze: DataFrame, *, as_of=None, lookback="24h",
                          "DatabaseName": extract(P.DATABASE_RE, "message"),
                          "ErrorCode": F.col("sqlerrcode")})
     keys = ["ClientHost", SRV]
-    agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("FailedAttempts"),
-                                F.min(TS).alias("FirstAttempt"), F.max(TS).alias("LastAttempt"))
-    agg = attach_sets(agg, df, keys, [("Users", "UserName", 10), ("Databases", "DatabaseName", 5),
-                                      ("ErrorCodes", "ErrorCode", 5), ("SampleMessages", "message", 2)])
+    agg = aggregate_with_sets(df, keys, [
+        ("FailedAttempts", "count", None), ("FirstAttempt", "min", TS), ("LastAttempt", "max", TS)],
+        [("Users", "UserName", 10), ("Databases", "DatabaseName", 5),
+         ("ErrorCodes", "ErrorCode", 5), ("SampleMessages", "message", 2)])
     return agg.select(
         "ClientHost", F.col(SRV).alias("ServerName"), "FailedAttempts",
         severity("FailedAttempts", high, critical, low=low).alias("Severity"),

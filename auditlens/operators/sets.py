@@ -58,6 +58,88 @@ def attach_sets(agg: DataFrame, df: DataFrame, keys: Sequence[str],
     return out.withColumns({n: F.coalesce(F.col(n), empty) for n, _, _ in specs})
 
 
+def aggregate_with_sets(df: DataFrame, keys: Sequence[str],
+                        aggs: Sequence[tuple[str, str, Column | str | None]],
+                        sets: Sequence[tuple[str, Column | str, int]] = ()) -> DataFrame:
+    """One-pass ``summarize`` with bounded ``make_set(x, n)`` columns.
+
+    ``aggs``: (name, kind, column) with kind in count / min / max / small_set.
+    ``sets``: (name, value, n) -> the n smallest distinct non-empty values.
+
+    Each row is stacked into a "base" item (set id -1, carries the row's
+    metric inputs) plus one item per set value, so the raw rows are scanned
+    and shuffled once:
+      1. group by (keys, set id, value): base items aggregate the metrics,
+         set items become distinct values (map-side combine first);
+      2. ``row_number`` per (keys, set id) ordered by value, kept <= n, with
+         a partial WindowGroupLimit before the exchange, so a hot group
+         sends at most n values per set from each partition;
+      3. group by keys to assemble metrics and sorted sets.
+    """
+    if not sets:
+        out = []
+        for name, kind, c in aggs:
+            out.append(_plain_agg(kind, c).alias(name))
+        return df.groupBy(*keys).agg(*out)
+    base_item = F.struct(F.lit(-1).alias("sid"), F.lit(None).cast("string").alias("val"))
+    items = [base_item] + [F.struct(F.lit(i).alias("sid"),
+                                    (F.col(v) if isinstance(v, str) else v).cast("string").alias("val"))
+                           for i, (_, v, _) in enumerate(sets)]
+    inputs = [(f"__a{j}", (F.col(c) if isinstance(c, str) else c)) for j, (_, kind, c) in enumerate(aggs)
+              if kind != "count"]
+    x = (df.select(*keys, *[c.alias(n) for n, c in inputs], F.explode(F.array(*items)).alias("__it"))
+         .select(*keys, *[n for n, _ in inputs], F.col("__it.sid").alias("sid"), F.col("__it.val").alias("val"))
+         .where((F.col("sid") == -1) | (F.col("val").isNotNull() & (F.col("val") != ""))))
+    is_base = F.col("sid") == -1
+    stage1 = [F.count(F.lit(1)).alias("__c")]
+    for j, (name, kind, c) in enumerate(aggs):
+        if kind == "count":
+            continue
+        a = F.col(f"__a{j}")
+        if kind == "min":
+            stage1.append(F.min(F.when(is_base, a)).alias(f"__a{j}"))
+        elif kind == "max":
+            stage1.append(F.max(F.when(is_base, a)).alias(f"__a{j}"))
+        elif kind == "small_set":
+            stage1.append(F.collect_set(F.when(is_base & (a != ""), a)).alias(f"__a{j}"))
+        else:
+            raise ValueError(kind)
+    g = x.groupBy(*keys, "sid", "val").agg(*stage1)
+    limit = max(n for _, _, n in sets)
+    caps = F.create_map(F.lit(-1), F.lit(1), *[x for i, (_, _, n) in enumerate(sets) for x in (F.lit(i), F.lit(n))])
+    w = Window.partitionBy(*keys, "sid").orderBy("val")
+    g = g.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= limit)
+    g = g.where(F.col("__rn") <= caps[F.col("sid")])
+    final = []
+    for j, (name, kind, c) in enumerate(aggs):
+        if kind == "count":
+            final.append(F.sum(F.when(is_base, F.col("__c"))).cast("long").alias(name))
+            continue
+        a = F.col(f"__a{j}")
+        if kind == "small_set":
+            final.append(F.array_sort(F.max(F.when(is_base, a))).alias(name))
+        elif kind == "min":
+            final.append(F.min(F.when(is_base, a)).alias(name))
+        else:
+            final.append(F.max(F.when(is_base, a)).alias(name))
+    for i, (name, _, _) in enumerate(sets):
+        final.append(F.array_sort(F.collect_list(F.when(F.col("sid") == i, F.col("val")))).alias(name))
+    return g.groupBy(*keys).agg(*final)
+
+
+def _plain_agg(kind: str, c) -> Column:
+    if kind == "count":
+        return F.count(F.lit(1))
+    c = F.col(c) if isinstance(c, str) else c
+    if kind == "min":
+        return F.min(c)
+    if kind == "max":
+        return F.max(c)
+    if kind == "small_set":
+        return small_set(c)
+    raise ValueError(kind)
+
+
 def small_set(c: Column | str) -> Column:
     """``make_set(x)`` over a small domain: sorted distinct non-empty values."""
     c = F.col(c) if isinstance(c, str) else c

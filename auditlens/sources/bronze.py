@@ -31,7 +31,9 @@ def normalize_bronze(df: DataFrame) -> DataFrame:
     """Apply the emptiness rule once: every string column NULL -> ''.
 
     The event time keeps its type (timestamp or timestamp_ntz); streaming
-    callers cast to ``timestamp`` before setting a watermark.
+    callers cast to ``timestamp`` before setting a watermark. A stored
+    table's ``event_date`` partition column is kept so time filters can
+    prune partitions (see ``timefn.since``).
     """
     cols = []
     for f in BRONZE_SCHEMA.fields:
@@ -41,6 +43,8 @@ def normalize_bronze(df: DataFrame) -> DataFrame:
             cols.append(F.col(f.name).cast("long").alias(f.name))
         else:
             cols.append(F.col(f.name))
+    if "event_date" in df.columns:
+        cols.append(F.col("event_date"))
     return df.select(*cols)
 
 
@@ -49,17 +53,21 @@ def with_event_date(df: DataFrame) -> DataFrame:
     return df.withColumn("event_date", F.to_date(F.col(TS)))
 
 
-def write_bronze(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_bronze(df: DataFrame, path: str, mode: str = "append",
+                 max_records_per_file: int = 5_000_000) -> None:
     """Store bronze as Parquet partitioned by event date.
 
-    Time-window queries then prune whole partitions, and within a file
-    the row groups are sorted by server and time so min/max statistics
-    skip the rest.
+    Time-window queries then prune whole partitions. Rows are range-
+    partitioned on (date, server, time): one day -- or one server holding a
+    third of a day -- is spread over many tasks instead of one, and each
+    file covers a narrow server/time range so row-group min/max statistics
+    skip the rest. Files are capped in rows.
     """
     (with_event_date(df)
-     .repartition("event_date")
-     .sortWithinPartitions("LogicalServerName", TS)
-     .write.mode(mode).partitionBy("event_date").parquet(path))
+     .repartitionByRange("event_date", "LogicalServerName", TS)
+     .sortWithinPartitions("event_date", "LogicalServerName", TS)
+     .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy("event_date").parquet(path))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from auditlens.config import shared_dir
 from auditlens.functions.text import is_not_empty
 from auditlens.functions.timefn import bin_ts, resolve_as_of, seconds, since
 
@@ -61,8 +62,18 @@ def _corr(x: str, y: str):
 
 
 def decompose(series: DataFrame, *, threshold=1.5, periods=DEFAULT_PERIODS, min_corr=0.6,
-              by="ServerName") -> DataFrame:
-    """Adds trend, seasonal, baseline, residual, score and anomalies (+1/0/-1)."""
+              by="ServerName", materialize: bool = True) -> DataFrame:
+    """Adds trend, seasonal, baseline, residual, score and anomalies (+1/0/-1).
+
+    The dense series feeds five branches (trend, autocorrelation, seasonal
+    profile, quantiles, scoring). With ``materialize`` it is written once to
+    the session's shared checkpoint folder (a reliable checkpoint: lineage
+    cut, survives executor loss) instead of being recomputed per branch;
+    its size is keys x lookback/step, independent of the raw log volume.
+    """
+    if materialize:
+        shared_dir(series.sparkSession)          # makes sure a checkpoint folder is set
+        series = series.checkpoint(eager=True)
     tr = series.groupBy(by).agg(F.regr_slope("v", "idx").alias("slope"),
                                 F.regr_intercept("v", "idx").alias("icpt"),
                                 F.avg("v").alias("vbar"), F.count(F.lit(1)).alias("n"))

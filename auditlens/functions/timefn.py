@@ -85,3 +85,15 @@ def minute_boundaries(later: str | Column, earlier: str | Column) -> Column:
 def day_boundaries(later: str | Column, earlier: str | Column) -> Column:
     """``datetime_diff('day', later, earlier)``: calendar-day boundaries crossed."""
     return F.datediff(F.to_date(col_(later)), F.to_date(col_(earlier))).cast("long")
+
+
+def above_watermark(cond: Column, ts: str = TS) -> Column:
+    """A streaming row filter the optimizer keeps above ``withWatermark``.
+
+    Catalyst pushes predicates that do not reference the event time below
+    the watermark operator, so the watermark would only follow the rows
+    that pass the filter (a quiet error stream would then hold back its
+    metric windows). Referencing the event time keeps the filter above it:
+    the watermark follows the whole log stream.
+    """
+    return F.when(F.col(ts).isNotNull(), cond).otherwise(F.lit(False))

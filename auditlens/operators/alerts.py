@@ -148,9 +148,13 @@ def security_kpis(anomalies: DataFrame, bronze: DataFrame, *, as_of=None, lookba
                   host_error_rate=10.0) -> DataFrame:
     """Security KPIs (long form Kpi, Dimension, Value): anomalies by type and
     severity, distinct users with anomalies, hosts with error rate above 10 %."""
+    from auditlens.config import shared_dir
     from auditlens.operators.dashboards import pct2
 
-    a = since(anomalies, as_of, lookback, ts="TimeGenerated")
+    # Both KPIs read the anomaly rows: write them once (small, thresholded)
+    # instead of running every detector twice.
+    shared_dir(anomalies.sparkSession)
+    a = since(anomalies, as_of, lookback, ts="TimeGenerated").checkpoint(eager=True)
     by_type = a.groupBy(F.concat_ws(" / ", "AnomalyType", "Severity").alias("Dimension")).agg(
         F.count(F.lit(1)).alias("Value")).select(F.lit("anomalies_by_type_severity").alias("Kpi"),
                                                  "Dimension", "Value")
@@ -219,12 +223,17 @@ def _direct_final(df: DataFrame) -> DataFrame:
     return df.withColumn("FinalUser", first_non_empty(extract(P.USER_RE, "message"), default=P.UNKNOWN))
 
 
-def alert_inputs(bronze: DataFrame, *, as_of=None, windows: dict | None = None):
+def alert_inputs(bronze: DataFrame, *, as_of=None, windows: dict | None = None, wrap=None):
     """Per alert query: (rule, filtered rows, group keys, bucket, metric).
 
     ``metric`` is None for a row count or the column whose distinct values
-    are counted. Shared by the batch and the streaming evaluation.
+    are counted. Shared by the batch and the streaming evaluation; the
+    stream passes ``wrap=above_watermark`` so its filters stay above the
+    watermark.
     """
+    def keep(df: DataFrame, cond: Column) -> DataFrame:
+        return df.where(wrap(cond) if wrap else cond)
+
     w = dict(ALERT_WINDOWS)
     w.update(windows or {})
     if as_of is None and any(lb is not None for lb, _ in w.values()):
@@ -235,44 +244,44 @@ def alert_inputs(bronze: DataFrame, *, as_of=None, windows: dict | None = None):
     out = []
 
     lb, bk = w["Data Exfil"]
-    df = since(bronze, as_of, lb).where(cat & audit & has_any("message", P.EXFIL_TERMS) & client)
-    df = df.where((extract(P.AUDIT_CLASS_RE, "message") == "READ")
+    df = keep(since(bronze, as_of, lb), cat & audit & has_any("message", P.EXFIL_TERMS) & client)
+    df = keep(df, (extract(P.AUDIT_CLASS_RE, "message") == "READ")
                   | (extract(P.AUDIT_STATEMENT_RE, "message") == "SELECT"))
-    df = _direct_final(df).where(F.col("FinalUser") != "azuresu")
+    df = keep(_direct_final(df), F.col("FinalUser") != "azuresu")
     out.append(("Data Exfil", df, [SRV, "backend_type", "processId"], bk, None))
 
     lb, bk = w["Destruction"]
-    df = since(bronze, as_of, lb).where(cat & audit & has_any("message", P.DESTRUCTIVE_PREFILTER_TERMS))
+    df = keep(since(bronze, as_of, lb), cat & audit & has_any("message", P.DESTRUCTIVE_PREFILTER_TERMS))
     stmt = trim_chars(" ", extract(P.AUDIT_STATEMENT_RE, "message"))
-    df = df.where(has_any("message", P.DESTRUCTIVE_TERMS)
+    df = keep(df, has_any("message", P.DESTRUCTIVE_TERMS)
                   & ((extract(P.AUDIT_CLASS_RE, "message") == "WRITE") | has_any(stmt, P.DESTRUCTIVE_TERMS)))
-    df = _direct_final(df).where(~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN) & client)
+    df = keep(_direct_final(df), ~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN) & client)
     out.append(("Destruction", df, [SRV, "backend_type"], bk, None))
 
     lb, bk = w["Privilege"]
-    df = since(bronze, as_of, lb).where(cat & has_any("message", P.PRIVILEGE_ALERT_TERMS)
+    df = keep(since(bronze, as_of, lb), cat & has_any("message", P.PRIVILEGE_ALERT_TERMS)
                                         & (client | is_empty("backend_type")))
-    df = _direct_final(df).where(~F.col("FinalUser").isin(*P.SYSTEM_USERS))
+    df = keep(_direct_final(df), ~F.col("FinalUser").isin(*P.SYSTEM_USERS))
     out.append(("Privilege", df, [SRV], bk, None))
 
     lb, bk = w["Error Spike"]
-    df = since(bronze, as_of, lb).where(cat & D.error_predicate())
+    df = keep(since(bronze, as_of, lb), cat & D.error_predicate())
     out.append(("Error Spike", df, [SRV, "backend_type"], bk, None))
 
     lb, bk = w["Recon (Schema)"]
-    df = since(bronze, as_of, lb).where(cat & audit & client)
+    df = keep(since(bronze, as_of, lb), cat & audit & client)
     df = df.withColumns({"SchemaAccessed": extract(P.AUDIT_SCHEMA_RE, "message"),
                          "TableAccessed": extract(P.AUDIT_OBJECT_TYPE_RE, "message")})
-    df = df.where(is_not_empty("SchemaAccessed") | is_not_empty("TableAccessed"))
+    df = keep(df, is_not_empty("SchemaAccessed") | is_not_empty("TableAccessed"))
     df = df.withColumn("SchemaName", F.when(is_not_empty("SchemaAccessed"), F.col("SchemaAccessed"))
                        .otherwise(schema_of("TableAccessed")))
-    df = df.where(is_not_empty("SchemaName") & ~F.col("SchemaName").isin(*P.CATALOG_SCHEMAS, ""))
-    df = _direct_final(df).where(F.col("FinalUser") != "azuresu")
+    df = keep(df, is_not_empty("SchemaName") & ~F.col("SchemaName").isin(*P.CATALOG_SCHEMAS, ""))
+    df = keep(_direct_final(df), F.col("FinalUser") != "azuresu")
     out.append(("Recon (Schema)", df, [SRV, "processId"], bk, "SchemaName"))
 
     lb, bk = w["Recon (Deep)"]
-    df = since(bronze, as_of, lb).where(cat & audit & client & has_any("message", P.CATALOG_TERMS))
-    df = _direct_final(df).where(F.col("FinalUser") != "azuresu")
+    df = keep(since(bronze, as_of, lb), cat & audit & client & has_any("message", P.CATALOG_TERMS))
+    df = keep(_direct_final(df), F.col("FinalUser") != "azuresu")
     out.append(("Recon (Deep)", df, [SRV, "processId"], bk, None))
     return out
 

@@ -62,7 +62,7 @@ def exfiltration(bronze: DataFrame, *, as_of=None, lookback="5m", bucket=None,
                  threshold=15, high=30, critical=50, session_lookback="24h",
                  sessions: DataFrame | None = None) -> DataFrame:
     """Mass data exfiltration: many reads by one backend session."""
-    as_of = _as_of(bronze, as_of, lookback, session_lookback)
+    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
     df = since(bronze, as_of, lookback).where(
         _is_category(bronze) & contains("message", P.AUDIT_MARK)
         & has_any("message", P.EXFIL_TERMS) & (F.col("backend_type") == P.CLIENT_BACKEND))
@@ -101,7 +101,7 @@ def destructive_ops(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="2m
                     threshold=5, high=10, critical=20, session_lookback="24h",
                     sessions: DataFrame | None = None) -> DataFrame:
     """Mass destructive operations (DELETE/UPDATE/TRUNCATE/DROP bursts)."""
-    as_of = _as_of(bronze, as_of, lookback, session_lookback)
+    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
     df = since(bronze, as_of, lookback).where(
         _is_category(bronze) & contains("message", P.AUDIT_MARK)
         & has_any("message", P.DESTRUCTIVE_PREFILTER_TERMS))
@@ -146,7 +146,7 @@ def error_spike(bronze: DataFrame, *, as_of=None, lookback="15m", bucket="1m",
                 threshold=3, high=8, critical=15, session_lookback="24h",
                 sessions: DataFrame | None = None, ordered: bool = True) -> DataFrame:
     """Critical error spike per server, backend and minute, newest causes first."""
-    as_of = _as_of(bronze, as_of, lookback, session_lookback)
+    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
     df = since(bronze, as_of, lookback).where(_is_category(bronze) & error_predicate())
     df = df.withColumns({
         "ErrorCategory": label_case(P.ERROR_SPIKE_CATEGORIES, P.ERROR_SPIKE_DEFAULT),
@@ -179,7 +179,7 @@ def privilege_escalation(bronze: DataFrame, *, as_of=None, lookback="24h", bucke
                          threshold=0, high=3, critical=5, session_lookback="24h",
                          sessions: DataFrame | None = None) -> DataFrame:
     """Any GRANT/REVOKE/role change by a non-system user, per server and hour."""
-    as_of = _as_of(bronze, as_of, lookback, session_lookback)
+    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
     backend = F.col("backend_type")
     df = since(bronze, as_of, lookback).where(
         _is_category(bronze) & has_any("message", P.PRIVILEGE_TERMS)
@@ -221,7 +221,7 @@ def cross_schema_recon(bronze: DataFrame, *, as_of=None, lookback="15m", bucket=
     ``literal=True`` keeps the reference's captures (schema regex on the
     5th field onward, object type as the table).
     """
-    as_of = _as_of(bronze, as_of, lookback, session_lookback)
+    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
     df = since(bronze, as_of, lookback).where(
         _is_category(bronze) & contains("message", P.AUDIT_MARK)
         & (F.col("backend_type") == P.CLIENT_BACKEND))
@@ -270,7 +270,7 @@ def deep_schema_enum(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="5
                      threshold=10, high=15, critical=30, multi_table=5, session_lookback="24h",
                      sessions: DataFrame | None = None) -> DataFrame:
     """Bursts of system-catalog queries from one backend."""
-    as_of = _as_of(bronze, as_of, lookback, session_lookback)
+    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
     df = since(bronze, as_of, lookback).where(
         _is_category(bronze) & contains("message", P.AUDIT_MARK)
         & (F.col("backend_type") == P.CLIENT_BACKEND) & has_any("message", P.CATALOG_TERMS))

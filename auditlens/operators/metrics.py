@@ -64,10 +64,11 @@ def error_aggs():
             join_set(small_set("ErrorCategory"), ", ").alias("ErrorTypes")]
 
 
-def error_rows(bronze: DataFrame) -> DataFrame:
+def error_rows(bronze: DataFrame, wrap=None) -> DataFrame:
     code = F.col("sqlerrcode")
-    df = bronze.where((F.col("category") == CATEGORY)
-                      & (F.col("errorLevel").isin(*P.ERROR_LEVELS) | ((code != P.OK_CODE) & (code != ""))))
+    cond = ((F.col("category") == CATEGORY)
+            & (F.col("errorLevel").isin(*P.ERROR_LEVELS) | ((code != P.OK_CODE) & (code != ""))))
+    df = bronze.where(wrap(cond) if wrap else cond)
     return df.withColumn("ErrorCategory", label_case(P.ERROR_METRIC_CATEGORIES, P.ERROR_METRIC_DEFAULT))
 
 

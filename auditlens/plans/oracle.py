@@ -861,3 +861,26 @@ def session_asof_sql():
 SELECT ev.{TS}, ev.LogicalServerName, ev.processId, c.AsOfUser, c.AsOfDatabase, c.AsOfHost
 FROM ev ASOF LEFT JOIN conn c
   ON ev.processId = c.processId AND ev.LogicalServerName = c.LogicalServerName AND ev.{TS} >= c.valid_from"""
+
+
+def error_metric_stream_sql():
+    return error_metrics_sql() + f"""
+HAVING {S.bin_ts(TS, 60)} + INTERVAL '60 seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""
+
+
+def user_metric_stream_sql():
+    return with_bronze(*user_metrics_cte()) + f"""
+SELECT * FROM um
+WHERE "Timestamp" + INTERVAL '3600 seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""
+
+
+def quick_all_sql(limit=100):
+    parts = [quick_exfil_sql(), quick_destructive_sql(), quick_errors_sql(), quick_privilege_sql()]
+    u = "\nUNION ALL BY NAME\n".join(f"({p})" for p in parts)
+    return f"SELECT * FROM ({u}) u ORDER BY TimeGenerated DESC, AnomalyType NULLS FIRST, ServerName NULLS FIRST LIMIT {limit}"
+
+
+def auth_error_diagnostics_sql():
+    return with_bronze() + """
+SELECT sqlerrcode, upper(errorLevel) AS errorLevel, count(*) AS count_, max(message) AS sample_msg
+FROM bronze WHERE starts_with(sqlerrcode, '28') GROUP BY sqlerrcode, upper(errorLevel)"""

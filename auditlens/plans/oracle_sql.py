@@ -29,6 +29,10 @@ def oracle_sql() -> dict[str, str]:
         "security_kpis": O.security_kpis_sql(),
         "alert_rules": O.alert_rules_sql(),
         "metric_stream": O.metric_stream_sql(),
+        "error_metric_stream": O.error_metric_stream_sql(),
+        "user_metric_stream": O.user_metric_stream_sql(),
+        "quick_all": O.quick_all_sql(),
+        "auth_error_diagnostics": O.auth_error_diagnostics_sql(),
         "alert_stream": O.alert_stream_sql(),
         "activity_metrics": O.activity_metrics_sql(),
         "activity_backfill": O.activity_metrics_sql(),

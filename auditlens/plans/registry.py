@@ -136,6 +136,32 @@ def _metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
 
 
+def _error_metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from auditlens.streaming.metric_stream import error_metrics_stream
+    from auditlens.streaming.sources import bronze_stream
+    s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
+    out = _run_stream(error_metrics_stream(s, watermark="10 minutes"), spark, "error_metric_stream")
+    return out.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
+
+
+def _user_metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream-static join: the session lookup comes from the stored bronze
+    table, the AUDIT rows from the stream."""
+    from auditlens.operators.sessions import session_info
+    from auditlens.streaming.metric_stream import user_metrics_stream
+    from auditlens.streaming.sources import bronze_stream
+    sessions = session_info(load_bronze(spark, sf_dir), lookback=None, fields=("User",))
+    s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
+    out = _run_stream(user_metrics_stream(s, sessions, watermark="10 minutes"), spark, "user_metric_stream")
+    return out.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
+
+
+def _quick_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = {"exfil": HUNT["quick_exfil"], "destructive": HUNT["quick_destructive"],
+              "errors": HUNT["quick_errors"], "privilege": HUNT["quick_privilege"]}
+    return D.quick_all(load_bronze(spark, sf_dir), **params)
+
+
 STREAM_DAY = {r: (None, "1d") for r in A.ALERT_WINDOWS}
 
 
@@ -207,6 +233,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 "session_info": _session_info, "session_enrich": _session_enrich,
                 "session_asof": _session_asof})
     out["metric_stream"] = _metric_stream
+    out["error_metric_stream"] = _error_metric_stream
+    out["user_metric_stream"] = _user_metric_stream
+    out["quick_all"] = _quick_all
+    out["auth_error_diagnostics"] = _on_bronze(Q.error_code_diagnostics, lookback=None, auth_only=True)
     out["alert_stream"] = _alert_stream
     out["anomalies_all"] = _anomalies_all
     out["security_kpis"] = _security_kpis

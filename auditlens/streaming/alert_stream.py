@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.functions.timefn import TS, duration
+from auditlens.functions.timefn import TS, above_watermark, duration
 from auditlens.operators.alerts import _group_key, alert_inputs, alert_rules
 
 STREAM_WINDOWS = {"Data Exfil": (None, None), "Destruction": (None, "2m"), "Privilege": (None, "5m"),
@@ -24,24 +24,31 @@ STREAM_WINDOWS = {"Data Exfil": (None, None), "Destruction": (None, "2m"), "Priv
 
 def alert_candidates_stream(stream: DataFrame, *, watermark="10 minutes", windows: dict | None = None,
                             exfil_window=("5m", "1m")) -> DataFrame:
+    """All rules in ONE stateful aggregation: each rule's rows are put in
+    long form (rule, server, key, its own event-time window, value) and the
+    union is grouped once, so the state store holds one operator instead of
+    one per rule."""
     w = dict(STREAM_WINDOWS)
     w.update(windows or {})
     src = stream.withWatermark(TS, watermark)
     parts = []
-    for rule, df, keys, bk, distinct in alert_inputs(src, windows=w):
+    for rule, df, keys, bk, distinct in alert_inputs(src, windows=w, wrap=above_watermark):
         if bk is None:
             win = F.window(TS, duration(exfil_window[0]), duration(exfil_window[1]))
         else:
             win = F.window(TS, duration(bk))
-        metric = F.count(F.lit(1)) if distinct is None else F.approx_count_distinct(distinct)
-        agg = df.groupBy(*keys, win.alias("win")).agg(metric.alias("MetricValue"), F.max(TS).alias("TimeGenerated"))
-        parts.append(agg.select(F.lit(rule).alias("RuleName"), F.col("LogicalServerName").alias("ServerName"),
-                                _group_key(keys).alias("GroupKey"), F.col("win.start").alias("WindowStart"),
-                                F.col("MetricValue").cast("double").alias("MetricValue"), "TimeGenerated"))
-    out = parts[0]
+        val = F.lit(None).cast("string") if distinct is None else F.col(distinct).cast("string")
+        parts.append(df.select(F.lit(rule).alias("RuleName"), F.col("LogicalServerName").alias("ServerName"),
+                               _group_key(keys).alias("GroupKey"), win.alias("win"), val.alias("val"), TS))
+    rows = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        rows = rows.unionByName(p)
+    agg = rows.groupBy("RuleName", "ServerName", "GroupKey", "win").agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("val").alias("dn"),
+        F.max(TS).alias("TimeGenerated"))
+    metric = F.when(F.col("RuleName") == "Recon (Schema)", F.col("dn")).otherwise(F.col("n"))
+    return agg.select("RuleName", "ServerName", "GroupKey", F.col("win.start").alias("WindowStart"),
+                      metric.cast("double").alias("MetricValue"), "TimeGenerated")
 
 
 def alert_stream(stream: DataFrame, rules: DataFrame, **kw) -> DataFrame:

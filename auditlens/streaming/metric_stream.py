@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.functions.timefn import TS, duration
+from auditlens.functions.timefn import TS, above_watermark, duration
 from auditlens.operators.metrics import (ACTIVITY_COLS, ERROR_COLS, USER_COLS, activity_aggs, error_aggs,
                                          error_rows, user_aggs)
 from auditlens.operators.sessions import session_info
@@ -38,7 +38,7 @@ def activity_metrics_stream(stream: DataFrame, *, bucket="5m", watermark="10 min
     bucket and no sets kept. ``distinct="approx"`` is one aggregation with
     HyperLogLog.
     """
-    df = stream.withWatermark(TS, watermark).where(F.col("category") == CATEGORY)
+    df = stream.withWatermark(TS, watermark).where(above_watermark(F.col("category") == CATEGORY))
     hod = F.hour(TS).cast("int").alias("HourOfDay")
     dow = (F.dayofweek(TS) - 1).cast("int").alias("DayOfWeek")
     srv = F.col("LogicalServerName").alias("ServerName")
@@ -55,7 +55,7 @@ def activity_metrics_stream(stream: DataFrame, *, bucket="5m", watermark="10 min
 
 
 def error_metrics_stream(stream: DataFrame, *, bucket="1m", watermark="10 minutes") -> DataFrame:
-    df = error_rows(stream.withWatermark(TS, watermark))
+    df = error_rows(stream.withWatermark(TS, watermark), wrap=above_watermark)
     agg = df.groupBy(F.col("LogicalServerName").alias("ServerName"),
                      F.window(TS, duration(bucket)).alias("w")).agg(*error_aggs())
     return agg.withColumn("Timestamp", F.col("w.start")).select(*ERROR_COLS)
@@ -65,8 +65,8 @@ def user_metrics_stream(stream: DataFrame, sessions: DataFrame, *, bucket="1h",
                         watermark="10 minutes") -> DataFrame:
     """Stream-static join with a session lookup table (refreshed by the
     caller, e.g. per trigger from the stored bronze table)."""
-    df = stream.withWatermark(TS, watermark).where((F.col("category") == CATEGORY)
-                                                   & contains("message", P.AUDIT_MARK))
+    df = stream.withWatermark(TS, watermark).where(
+        above_watermark((F.col("category") == CATEGORY) & contains("message", P.AUDIT_MARK)))
     df = df.join(sessions.where(is_not_empty("User")), ["processId", "LogicalServerName"], "inner")
     agg = df.groupBy(F.col("User").alias("UserName"), F.col("LogicalServerName").alias("ServerName"),
                      F.window(TS, duration(bucket)).alias("w")).agg(*user_aggs())

@@ -61,3 +61,20 @@ def test_late_rows_are_dropped(spark):
     dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
                   for op in p.get("stateOperators", []))
     assert dropped >= 1
+
+
+def test_watermark_follows_whole_log_not_just_errors(spark):
+    """Errors stop early but other log lines keep coming: the error-metric
+    windows must still be emitted (the filter stays above the watermark)."""
+    from auditlens.streaming.metric_stream import error_metrics_stream
+    folder = tempfile.mkdtemp(prefix="al-err-")
+    errs = [row(T0 + dt.timedelta(seconds=10 * i), "boom", level="ERROR", code="XX000") for i in range(5)]
+    later = [row(T0 + dt.timedelta(minutes=30 + i), conn("a"), pid=1) for i in range(5)]
+    spark.createDataFrame(errs + later, BRONZE_SCHEMA).coalesce(1).write.json(os.path.join(folder, "in", "f0"))
+    out, ck = os.path.join(folder, "out"), os.path.join(folder, "ck")
+    s = bronze_stream(spark, os.path.join(folder, "in", "*"), fmt="json")
+    q = (error_metrics_stream(s).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    got = spark.read.parquet(out).collect()
+    assert [(r.ErrorRate, r.ErrorTypes) for r in got] == [(5, "Other")]

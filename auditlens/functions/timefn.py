@@ -61,9 +61,19 @@ def since(df: DataFrame, as_of, lookback: str | int | None, ts: str = TS) -> Dat
 
 
 def resolve_as_of(df: DataFrame, as_of=None, ts: str = TS):
-    """``now()`` for replays: the newest event time (one scalar to the driver)."""
+    """``now()`` for replays: the newest event time (one scalar to the driver).
+
+    Live deployments pass ``as_of`` (the wall clock). On a date-partitioned
+    bronze table the newest partition is found from the partition column
+    alone, and only that partition's event times are scanned.
+    """
     if as_of is not None:
         return as_of
+    if ts == TS and "event_date" in df.columns:
+        day = df.agg(F.max("event_date")).first()[0]
+        if day is None:
+            return None
+        return df.where(F.col("event_date") == F.lit(day)).agg(F.max(ts)).first()[0]
     return df.agg(F.max(ts)).first()[0]
 
 

@@ -28,6 +28,7 @@ ERROR_LEVELS = ("ERROR", "FATAL", "PANIC")
 ERROR_LEVELS_NO_PANIC = ("ERROR", "FATAL")
 OK_CODE = "00000"
 SYSTEM_USERS = ("azuresu", "azure_maintenance")
+SUPERUSER = "azuresu"
 UNKNOWN = "UNKNOWN"
 CLIENT_BACKEND = "client backend"
 CATALOG_SCHEMAS = ("pg_catalog", "information_schema")

@@ -79,7 +79,7 @@ def is_empty(c: str | Column) -> Column:
 
 
 def first_non_empty(*cols: str | Column, default: str | None = None) -> Column:
-    """KQL-style ``coalesce`` on strings: the first value that is not empty."""
+    """String ``coalesce`` of the log language: the first value that is not empty."""
     parts = [F.nullif(col_(c), F.lit("")) for c in cols]
     if default is not None:
         parts.append(F.lit(default))

@@ -1,4 +1,4 @@
-"""Time helpers: bins, lookback filters, KQL-style datetime text and diffs."""
+"""Time helpers: bins, lookback filters, datetime text and boundary diffs."""
 
 from __future__ import annotations
 
@@ -77,8 +77,9 @@ def resolve_as_of(df: DataFrame, as_of=None, ts: str = TS):
     return df.agg(F.max(ts)).first()[0]
 
 
-def kql_datetime_text(c: str | Column) -> Column:
-    """Datetime rendered the way ``strcat(datetime)`` renders it."""
+def iso_datetime_text(c: str | Column) -> Column:
+    """Datetime as ISO-8601 text with 7 fraction digits and ``Z`` (the
+    format the reference's ``strcat`` of a datetime produces)."""
     return F.date_format(col_(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSS'Z'")
 
 

@@ -247,7 +247,7 @@ def alert_inputs(bronze: DataFrame, *, as_of=None, windows: dict | None = None,
     df = keep(since(bronze, as_of, lb), cat & audit & has_any("message", P.EXFIL_TERMS) & client)
     df = keep(df, (extract(P.AUDIT_CLASS_RE, "message") == "READ")
                   | (extract(P.AUDIT_STATEMENT_RE, "message") == "SELECT"))
-    df = keep(_direct_final(df), F.col("FinalUser") != "azuresu")
+    df = keep(_direct_final(df), F.col("FinalUser") != P.SUPERUSER)
     out.append(("Data Exfil", df, [SRV, "backend_type", "processId"], bk, None))
 
     lb, bk = w["Destruction"]
@@ -276,12 +276,12 @@ def alert_inputs(bronze: DataFrame, *, as_of=None, windows: dict | None = None,
     df = df.withColumn("SchemaName", F.when(is_not_empty("SchemaAccessed"), F.col("SchemaAccessed"))
                        .otherwise(schema_of("TableAccessed")))
     df = keep(df, is_not_empty("SchemaName") & ~F.col("SchemaName").isin(*P.CATALOG_SCHEMAS, ""))
-    df = keep(_direct_final(df), F.col("FinalUser") != "azuresu")
+    df = keep(_direct_final(df), F.col("FinalUser") != P.SUPERUSER)
     out.append(("Recon (Schema)", df, [SRV, "processId"], bk, "SchemaName"))
 
     lb, bk = w["Recon (Deep)"]
     df = keep(since(bronze, as_of, lb), cat & audit & client & has_any("message", P.CATALOG_TERMS))
-    df = keep(_direct_final(df), F.col("FinalUser") != "azuresu")
+    df = keep(_direct_final(df), F.col("FinalUser") != P.SUPERUSER)
     out.append(("Recon (Deep)", df, [SRV, "processId"], bk, None))
     return out
 

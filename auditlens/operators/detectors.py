@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from auditlens.functions import patterns as P
 from auditlens.functions.text import (contains, contains_any, extract, first_non_empty, has_any,
                                       is_empty, is_not_empty, label_case, severity, trim_chars)
-from auditlens.functions.timefn import TS, bin_ts, hms, kql_datetime_text, resolve_as_of, since
+from auditlens.functions.timefn import TS, bin_ts, hms, iso_datetime_text, resolve_as_of, since
 from auditlens.operators.parse import conn_fields, schema_of
 from auditlens.operators.sessions import (CONN_TERMS_ALL, CONN_TERMS_AUTHORIZED, session_enrich,
                                           session_info)
@@ -40,7 +40,7 @@ def _as_of(bronze: DataFrame, as_of, *lookbacks):
 
 
 def _window_text(first: str, last: str) -> Column:
-    return F.concat(kql_datetime_text(first), F.lit(" to "), kql_datetime_text(last))
+    return F.concat(iso_datetime_text(first), F.lit(" to "), iso_datetime_text(last))
 
 
 def _hms_window(first: str, last: str) -> Column:
@@ -76,7 +76,7 @@ def exfiltration(bronze: DataFrame, *, as_of=None, lookback="5m", bucket=None,
     df = df.where((F.col("AuditOperation") == "READ") | (F.col("AuditStatement") == "SELECT"))
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback)
-    df = session_enrich(df, sessions).where(F.col("FinalUser") != "azuresu")
+    df = session_enrich(df, sessions).where(F.col("FinalUser") != P.SUPERUSER)
     df, bkey = _bucketed(df, bucket)
     keys = ["ProcessSession", SRV, "backend_type", "processId", *bkey]
     agg = aggregate_with_sets(df, keys, [
@@ -183,7 +183,7 @@ def privilege_escalation(bronze: DataFrame, *, as_of=None, lookback="24h", bucke
     backend = F.col("backend_type")
     df = since(bronze, as_of, lookback).where(
         _is_category(bronze) & has_any("message", P.PRIVILEGE_TERMS)
-        & ~contains("message", "azure_maintenance") & ~contains("message", "azuresu")
+        & ~contains("message", P.SYSTEM_USERS[1]) & ~contains("message", P.SUPERUSER)
         & ((backend == P.CLIENT_BACKEND) | is_empty(backend)))
     df = df.withColumns({
         "PrivilegeOp": label_case(P.PRIVILEGE_OPS, P.PRIVILEGE_OPS_DEFAULT),
@@ -241,7 +241,7 @@ def cross_schema_recon(bronze: DataFrame, *, as_of=None, lookback="15m", bucket=
         sessions = session_info(bronze, as_of, session_lookback, terms=CONN_TERMS_AUTHORIZED,
                                 fields=("User",))
     df = session_enrich(df, sessions.select("processId", SRV, "User"), fields=("User",))
-    df = df.where(F.col("FinalUser") != "azuresu")
+    df = df.where(F.col("FinalUser") != P.SUPERUSER)
     df, bkey = _bucketed(df, bucket)
     keys = [SRV, "processId", *bkey]
     agg = df.groupBy(*keys).agg(
@@ -281,7 +281,7 @@ def deep_schema_enum(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="5
         sessions = session_info(bronze, as_of, session_lookback, terms=CONN_TERMS_AUTHORIZED,
                                 fields=("User",))
     df = session_enrich(df, sessions.select("processId", SRV, "User"), fields=("User",))
-    df = df.where(F.col("FinalUser") != "azuresu")
+    df = df.where(F.col("FinalUser") != P.SUPERUSER)
     df, bkey = _bucketed(df, bucket)
     keys = [SRV, "processId", *bkey]
     agg = df.groupBy(*keys).agg(
@@ -450,7 +450,7 @@ def quick_exfil(bronze, *, as_of=None, lookback="5m", bucket=None, threshold=15,
     as_of = _as_of(bronze, as_of, lookback, session_lookback)
     pred = (contains("message", P.AUDIT_MARK) & has_any("message", P.EXFIL_TERMS)
             & (F.col("backend_type") == P.CLIENT_BACKEND))
-    return _quick(bronze, as_of, lookback, session_lookback, pred, ("azuresu",), ["processId"], bucket,
+    return _quick(bronze, as_of, lookback, session_lookback, pred, (P.SUPERUSER,), ["processId"], bucket,
                   "SelectCount", "FirstSeen", "LastSeen", threshold, high, critical, "Data Exfiltration", None)
 
 
@@ -475,7 +475,7 @@ def quick_privilege(bronze, *, as_of=None, lookback="10m", bucket="5m", threshol
                     session_lookback="24h"):
     as_of = _as_of(bronze, as_of, lookback, session_lookback)
     pred = has_any("message", P.ACTIVITY_PRIVILEGE_TERMS)
-    return _quick(bronze, as_of, lookback, session_lookback, pred, ("azuresu",), [], bucket,
+    return _quick(bronze, as_of, lookback, session_lookback, pred, (P.SUPERUSER,), [], bucket,
                   "PrivilegeOpsCount", "FirstOp", "LastOp", threshold, high, critical, "Privilege Escalation", None)
 
 

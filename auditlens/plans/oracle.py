@@ -56,7 +56,7 @@ def arr(expr):
 
 
 def window_text(a, b):
-    return f"({S.kql_datetime_text(a)} || ' to ' || {S.kql_datetime_text(b)})"
+    return f"({S.iso_datetime_text(a)} || ' to ' || {S.iso_datetime_text(b)})"
 
 
 def hms_window(a, b):

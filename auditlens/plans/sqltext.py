@@ -68,7 +68,7 @@ def bin_ts(c: str, secs: int) -> str:
     return f"time_bucket(INTERVAL '{int(secs)} seconds', {c}, TIMESTAMP '1970-01-01 00:00:00')"
 
 
-def kql_datetime_text(c: str) -> str:
+def iso_datetime_text(c: str) -> str:
     return f"(strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') || '0Z')"
 
 

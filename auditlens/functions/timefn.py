@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from auditlens.functions.text import col_
 
 TS = "EventProcessedUtcTime"
+# time column -> date partition column of the stored table it lives in
+DATE_PARTITIONS = {TS: "event_date", "Timestamp": "metric_date"}
 
 _UNITS = {"s": 1, "m": 60, "h": 3600, "d": 86400}
 
@@ -54,9 +56,10 @@ def since(df: DataFrame, as_of, lookback: str | int | None, ts: str = TS) -> Dat
         return df.where(F.col(ts) >= lower)
     start = as_of - dt.timedelta(seconds=seconds(lookback))
     out = df.where(F.col(ts) >= F.lit(start).cast(df.schema[ts].dataType))
-    if ts == TS and "event_date" in df.columns:
-        # stored bronze is partitioned by the UTC event date: prune partitions
-        out = out.where(F.col("event_date") >= F.lit(start.date()))
+    part = DATE_PARTITIONS.get(ts)
+    if part and part in df.columns:
+        # stored tables are partitioned by the UTC date of their time column
+        out = out.where(F.col(part) >= F.lit(start.date()))
     return out
 
 

@@ -102,19 +102,26 @@ def user_metrics(bronze: DataFrame, *, as_of=None, lookback=None, session_lookba
     return agg.select(*USER_COLS)
 
 
-def set_or_append(spark: SparkSession, df: DataFrame, path: str, keys) -> DataFrame:
+def set_or_append(spark: SparkSession, df: DataFrame, path: str, keys, date_from: str | None = "Timestamp"
+                  ) -> DataFrame:
     """``.set-or-append``: create the table, or append only rows whose keys
-    are not in it yet (re-running a backfill is idempotent). Returns the
-    table as stored."""
+    are not in it yet (re-running a backfill is idempotent). The table is
+    partitioned by ``metric_date`` (UTC date of ``date_from``) so lookback
+    filters prune partitions. Returns the table as stored."""
     from pyspark.errors import AnalysisException
 
+    if date_from:
+        df = df.withColumn("metric_date", F.to_date(date_from))
     try:
         existing = spark.read.parquet(path)
         existing.schema  # noqa: B018  (forces the path check)
         new = df.join(existing.select(*keys), list(keys), "left_anti")
     except AnalysisException:
         new = df
-    new.write.mode("append").parquet(path)
+    w = new.write.mode("append")
+    if date_from:
+        w = w.partitionBy("metric_date")
+    w.parquet(path)
     return spark.read.parquet(path)
 
 

@@ -74,7 +74,8 @@ def _on_metrics(fn, **kw):
 
 def _activity_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "activity_metrics")
-    return M.activity_backfill(spark, load_bronze(spark, sf_dir), path, lookback=None)
+    stored = M.activity_backfill(spark, load_bronze(spark, sf_dir), path, lookback=None)
+    return stored.drop("metric_date")
 
 
 _DASHBOARDS = {

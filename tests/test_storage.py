@@ -22,3 +22,35 @@ def test_lookback_prunes_date_partitions_and_pushes_time_filter(spark):
     assert "GreaterThanOrEqual(EventProcessedUtcTime" in plan
     assert "ReadSchema: struct<EventProcessedUtcTime:timestamp,message:string>" in plan
     assert recent.count() == 4   # 3 rows of day 0 + the one exactly 24 h back
+
+
+def test_backfill_is_idempotent_and_date_partitioned(spark, mk):
+    from auditlens.config import shared_dir
+    from auditlens.operators.metrics import activity_backfill
+
+    rows = [row(T0 + dt.timedelta(minutes=7 * i), audit(i, "READ", "SELECT", "TABLE", "a.b", "q")) for i in range(40)]
+    b = mk(rows)
+    path = shared_dir(spark, "test_backfill")
+    first = activity_backfill(spark, b, path, lookback=None).count()
+    again = activity_backfill(spark, b, path, lookback=None)
+    assert again.count() == first and "metric_date" in again.columns
+    recent = since(again, T0 + dt.timedelta(hours=5), "1h", ts="Timestamp")
+    assert "PartitionFilters: [isnotnull(metric_date" in recent._jdf.queryExecution().executedPlan().toString()
+
+
+def test_session_asof_follows_pid_reuse(spark, mk):
+    from conftest import conn
+
+    from auditlens.operators.sessions import session_asof, session_info
+
+    rows = [row(T0, conn("alice"), pid=42),
+            row(T0 + dt.timedelta(minutes=5), audit(1, "READ", "SELECT", "TABLE", "a.b", "q"), pid=42),
+            row(T0 + dt.timedelta(days=2), conn("bob"), pid=42),            # the pid is reused by bob
+            row(T0 + dt.timedelta(days=2, minutes=1), audit(2, "READ", "SELECT", "TABLE", "a.b", "q"), pid=42),
+            row(T0 - dt.timedelta(minutes=1), audit(0, "READ", "SELECT", "TABLE", "a.b", "q"), pid=42)]
+    b = mk(rows)
+    ev = b.where("message LIKE 'AUDIT%'").select("EventProcessedUtcTime", "LogicalServerName", "processId")
+    got = sorted((r.EventProcessedUtcTime, r.AsOfUser) for r in session_asof(ev, b).collect())
+    assert [u for _, u in got] == [None, "alice", "bob"]
+    # the 24 h lookup of the reference picks one user for the pid (max)
+    assert session_info(b, lookback=None).first().User == "bob"

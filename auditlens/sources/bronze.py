@@ -63,17 +63,26 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append",
     file covers a narrow server/time range so row-group min/max statistics
     skip the rest. Files are capped in rows.
     """
-    (with_event_date(df)
+    (with_event_date(normalize_bronze(df))
      .repartitionByRange("event_date", "LogicalServerName", TS)
      .sortWithinPartitions("event_date", "LogicalServerName", TS)
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("event_date").parquet(path))
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Read a stored bronze table (Parquet, optionally date-partitioned)."""
+def read_bronze(spark: SparkSession, path: str, normalized: bool = False) -> DataFrame:
+    """Read a stored bronze table (Parquet, optionally date-partitioned).
+
+    ``normalized=True`` for tables written by :func:`write_bronze`, which
+    stores rows already normalised: columns are then read as they are, so
+    equality filters (category, backend type, codes) reach the Parquet scan
+    as pushed filters instead of being hidden behind ``coalesce``.
+    """
     apply_engine_conf(spark)
-    return normalize_bronze(spark.read.parquet(path))
+    df = spark.read.parquet(path)
+    if normalized:
+        return df.select(*BRONZE_COLS, *(["event_date"] if "event_date" in df.columns else []))
+    return normalize_bronze(df)
 
 
 def read_bronze_json(spark: SparkSession, path: str) -> DataFrame:

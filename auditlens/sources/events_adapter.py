@@ -165,4 +165,4 @@ def bronze_path(spark: SparkSession, sf_dir: str) -> str:
 def load_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze table derived from ``<sf_dir>/events.parquet``."""
     apply_engine_conf(spark)
-    return read_bronze(spark, bronze_path(spark, sf_dir))
+    return read_bronze(spark, bronze_path(spark, sf_dir), normalized=True)

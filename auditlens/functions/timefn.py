@@ -66,10 +66,12 @@ def since(df: DataFrame, as_of, lookback: str | int | None, ts: str = TS) -> Dat
 def resolve_as_of(df: DataFrame, as_of=None, ts: str = TS):
     """``now()`` for replays: the newest event time (one scalar to the driver).
 
-    Live deployments pass ``as_of`` (the wall clock). On a date-partitioned
+    Live deployments pass ``as_of="now"`` (UTC wall clock). On a date-partitioned
     bronze table the newest partition is found from the partition column
     alone, and only that partition's event times are scanned.
     """
+    if isinstance(as_of, str) and as_of == "now":
+        return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)   # UTC wall clock
     if as_of is not None:
         return as_of
     if ts == TS and "event_date" in df.columns:

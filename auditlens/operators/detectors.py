@@ -34,8 +34,8 @@ SRV = "LogicalServerName"
 
 
 def _as_of(bronze: DataFrame, as_of, *lookbacks):
-    if as_of is None and any(lb is not None for lb in lookbacks):
-        return resolve_as_of(bronze)
+    if (as_of is None or as_of == "now") and any(lb is not None for lb in lookbacks):
+        return resolve_as_of(bronze, as_of)
     return as_of
 
 

@@ -54,3 +54,19 @@ def test_session_asof_follows_pid_reuse(spark, mk):
     assert [u for _, u in got] == [None, "alice", "bob"]
     # the 24 h lookup of the reference picks one user for the pid (max)
     assert session_info(b, lookback=None).first().User == "bob"
+
+
+def test_sql_views(spark, mk):
+    from conftest import conn
+
+    from auditlens.plans.views import register_views
+
+    rows = [row(T0 - dt.timedelta(minutes=1), conn("alice"), pid=100)]
+    rows += [row(T0 + dt.timedelta(seconds=i), audit(i, "READ", "SELECT", "TABLE", "a.b", "q"), pid=100)
+             for i in range(20)]
+    register_views(spark, mk(rows))
+    got = spark.sql("SELECT sum(ActivityCount) AS n, sum(SelectOps) AS s FROM activity_metrics").first()
+    assert (got.n, got.s) == (21, 20)
+    an = spark.sql("SELECT AnomalyType, MetricValue FROM anomalies").collect()
+    assert [(r.AnomalyType, r.MetricValue) for r in an] == [("Potential Data Exfiltration", 20)]
+    assert spark.sql("SELECT QueryCount FROM user_metrics").first().QueryCount == 20

@@ -71,14 +71,14 @@ def exfiltration(bronze: DataFrame, *, as_of=None, lookback="5m", bucket=None,
         "AuditStatement": extract(P.AUDIT_STATEMENT_RE, "message"),
         "TableName": extract(P.AUDIT_OBJECT_TYPE_RE, "message"),
         "QueryText": trim_chars('"', extract(P.QUERY_TEXT_RE, "message")),
-        "ProcessSession": F.concat(F.col(SRV), F.lit("-"), F.coalesce(F.col("processId").cast("string"), F.lit(""))),
         **conn_fields()})
     df = df.where((F.col("AuditOperation") == "READ") | (F.col("AuditStatement") == "SELECT"))
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback)
     df = session_enrich(df, sessions).where(F.col("FinalUser") != P.SUPERUSER)
     df, bkey = _bucketed(df, bucket)
-    keys = ["ProcessSession", SRV, "backend_type", "processId", *bkey]
+    # the reference also groups by "server-pid", a function of these keys
+    keys = [SRV, "backend_type", "processId", *bkey]
     agg = aggregate_with_sets(df, keys, [
         ("SelectCount", "count", None), ("FirstSeen", "min", TS), ("LastSeen", "max", TS),
         ("User", "max", "FinalUser"), ("Database", "max", "FinalDatabase"), ("SourceHost", "max", "FinalHost")],

@@ -151,7 +151,10 @@ def _user_metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     from auditlens.operators.sessions import session_info
     from auditlens.streaming.metric_stream import user_metrics_stream
     from auditlens.streaming.sources import bronze_stream
-    sessions = session_info(load_bronze(spark, sf_dir), lookback=None, fields=("User",))
+    # the static side of a stream-static join is re-read every micro-batch:
+    # materialise the (small) lookup once instead of re-aggregating the log
+    shared_dir(spark)
+    sessions = session_info(load_bronze(spark, sf_dir), lookback=None, fields=("User",)).checkpoint(eager=True)
     s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
     out = _run_stream(user_metrics_stream(s, sessions, watermark="10 minutes"), spark, "user_metric_stream")
     return out.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))

@@ -63,8 +63,12 @@ def error_metrics_stream(stream: DataFrame, *, bucket="1m", watermark="10 minute
 
 def user_metrics_stream(stream: DataFrame, sessions: DataFrame, *, bucket="1h",
                         watermark="10 minutes") -> DataFrame:
-    """Stream-static join with a session lookup table (refreshed by the
-    caller, e.g. per trigger from the stored bronze table)."""
+    """Stream-static join with a session lookup table.
+
+    Spark re-evaluates the static side every micro-batch, so ``sessions``
+    should be a stored, small table (e.g. ``sessions_from_table(...)``
+    written or checkpointed once per refresh period), not a live
+    aggregation over the log."""
     df = stream.withWatermark(TS, watermark).where(
         above_watermark((F.col("category") == CATEGORY) & contains("message", P.AUDIT_MARK)))
     df = df.join(sessions.where(is_not_empty("User")), ["processId", "LogicalServerName"], "inner")

@@ -26,7 +26,7 @@ from auditlens.functions.timefn import TS, bin_ts, resolve_as_of, since
 from auditlens.operators import detectors as D
 from auditlens.operators.parse import schema_of
 from auditlens.operators.sessions import CONN_TERMS_AUTHORIZED, session_info
-from auditlens.sources.bronze import CATEGORY
+from auditlens.sources.bronze import CATEGORY, flag
 
 SRV = "LogicalServerName"
 COMMON = ["TimeGenerated", "AnomalyType", "Severity", "ServerName", "User", "Database", "SourceHost",
@@ -239,7 +239,7 @@ def alert_inputs(bronze: DataFrame, *, as_of=None, windows: dict | None = None,
     if as_of is None and any(lb is not None for lb, _ in w.values()):
         as_of = resolve_as_of(bronze)
     cat = F.col("category") == CATEGORY
-    audit = contains("message", P.AUDIT_MARK)
+    audit = flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK)
     client = F.col("backend_type") == P.CLIENT_BACKEND
     out = []
 
@@ -265,7 +265,7 @@ def alert_inputs(bronze: DataFrame, *, as_of=None, windows: dict | None = None,
     out.append(("Privilege", df, [SRV], bk, None))
 
     lb, bk = w["Error Spike"]
-    df = keep(since(bronze, as_of, lb), cat & D.error_predicate())
+    df = keep(since(bronze, as_of, lb), cat & flag(bronze, "is_err") & D.error_predicate())
     out.append(("Error Spike", df, [SRV, "backend_type"], bk, None))
 
     lb, bk = w["Recon (Schema)"]

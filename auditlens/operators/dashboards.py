@@ -17,6 +17,7 @@ from auditlens.functions.text import (contains, contains_any, extract, has_any,
                                       label_case, severity, trim_chars)
 from auditlens.functions.timefn import TS, bin_ts, day_boundaries, minute_boundaries, since
 from auditlens.operators.detectors import auth_failure_predicate
+from auditlens.sources.bronze import flag
 from auditlens.operators.sets import aggregate_with_sets, attach_sets, join_set, small_set
 
 SRV = "LogicalServerName"
@@ -51,7 +52,7 @@ def activity_by_server(bronze, *, as_of=None, lookback="1h", bucket="2m"):
 
 # Q2
 def audit_distribution(bronze, *, as_of=None, lookback="6h", top=10):
-    df = since(bronze, as_of, lookback).where(contains("message", P.AUDIT_MARK))
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK))
     df = df.withColumn("AuditStatement", extract(P.AUDIT_STATEMENT_RE, "message")).where(is_not_empty("AuditStatement"))
     return (df.groupBy("AuditStatement").agg(F.count(F.lit(1)).alias("Count"))
             .orderBy(F.desc("Count"), "AuditStatement").limit(top))
@@ -59,7 +60,7 @@ def audit_distribution(bronze, *, as_of=None, lookback="6h", top=10):
 
 # Q3
 def top_tables(bronze, *, as_of=None, lookback="6h", top=15):
-    df = since(bronze, as_of, lookback).where(contains("message", P.AUDIT_MARK))
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK))
     df = df.withColumns({"ObjectType": extract(P.AUDIT_OBJECT_TYPE_RE, "message"),
                          "ObjectName": extract(P.AUDIT_OBJECT_NAME_RE, "message")})
     df = df.where(is_not_empty("ObjectName"))
@@ -75,21 +76,21 @@ def top_tables(bronze, *, as_of=None, lookback="6h", top=15):
 def audit_timeline(bronze, *, as_of=None, lookback="1h", bucket="2m", include_misc=True):
     table = P.AUDIT_OPERATION_TYPES if include_misc else tuple(
         r for r in P.AUDIT_OPERATION_TYPES if r[2] != "MISC")
-    df = since(bronze, as_of, lookback).where(contains("message", P.AUDIT_MARK))
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK))
     df = df.withColumn("OperationType", label_case(table, P.AUDIT_OPERATION_DEFAULT))
     return df.groupBy("OperationType", bin_ts(TS, bucket).alias(TS)).agg(F.count(F.lit(1)).alias("Count"))
 
 
 # Q5
 def errors_by_category(bronze, *, as_of=None, lookback="24h", bucket="30m"):
-    df = since(bronze, as_of, lookback).where(_err())
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_err") & _err())
     df = df.withColumn("ErrorCategory", label_case(P.ERROR_DASHBOARD_CATEGORIES, P.ERROR_DASHBOARD_DEFAULT))
     return df.groupBy("ErrorCategory", bin_ts(TS, bucket).alias(TS)).agg(F.count(F.lit(1)).alias("Count"))
 
 
 # Q6
 def activity_by_backend(bronze, *, as_of=None, lookback="1h", bucket="5m"):
-    df = since(bronze, as_of, lookback).where(contains("message", P.AUDIT_MARK))
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK))
     return df.groupBy("backend_type", bin_ts(TS, bucket).alias(TS)).agg(
         F.count(F.lit(1)).alias("TotalLogs"), F.count_if(_err2()).alias("Errors"))
 
@@ -129,7 +130,8 @@ def top_hosts(bronze, *, as_of=None, lookback="24h", top=10, high=20, medium=5):
 
 # Q9
 def user_db_heatmap(bronze, *, as_of=None, lookback="24h", min_activity=10, top=50):
-    df = since(bronze, as_of, lookback).where(contains_any("message", (P.AUDIT_MARK, P.CONN_AUTHORIZED)))
+    df = since(bronze, as_of, lookback).where((flag(bronze, "is_audit") | flag(bronze, "is_conn"))
+                                              & contains_any("message", (P.AUDIT_MARK, P.CONN_AUTHORIZED)))
     df = df.withColumns({"UserName": extract(P.USER_RE, "message"),
                          "DatabaseName": extract(P.DATABASE_RE, "message")})
     df = df.where(is_not_empty("UserName") & is_not_empty("DatabaseName"))
@@ -158,7 +160,8 @@ def auth_failures(bronze, *, as_of=None, lookback="24h", top=20):
 
 # Q11
 def top_error_codes(bronze, *, as_of=None, lookback="24h", top=15):
-    df = since(bronze, as_of, lookback).where((F.col("sqlerrcode") != P.OK_CODE) & (F.col("sqlerrcode") != ""))
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_err") & (F.col("sqlerrcode") != P.OK_CODE)
+                                              & (F.col("sqlerrcode") != ""))
     agg = df.groupBy("sqlerrcode", "errorLevel").agg(F.count(F.lit(1)).alias("Count"),
                                                      F.max(TS).alias("LastOccurrence"))
     agg = agg.orderBy(F.desc("Count"), "sqlerrcode", "errorLevel").limit(top)
@@ -225,7 +228,7 @@ def metrics_status(metrics, *, as_of=None, healthy_minutes=10):
 
 # Q18
 def error_code_diagnostics(bronze, *, as_of=None, lookback="24h", auth_only=False):
-    df = since(bronze, as_of, lookback)
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_err"))
     if auth_only:
         df = df.where(F.col("sqlerrcode").startswith("28"))
         lvl = F.upper("errorLevel")
@@ -247,7 +250,7 @@ def privilege_ops_by_user(bronze, *, as_of=None, lookback="24h"):
 
 # Q20
 def errors_per_minute(bronze, *, as_of=None, lookback="10m", bucket="1m", threshold=15):
-    df = since(bronze, as_of, lookback).where(_err())
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_err") & _err())
     return (df.groupBy(bin_ts(TS, bucket).alias(TS)).agg(F.count(F.lit(1)).alias("ErrorCount"))
             .where(F.col("ErrorCount") > threshold))
 
@@ -262,7 +265,7 @@ def history_depth(metrics, *, as_of=None, lookback="7d"):
 def connection_sample(bronze, *, as_of=None, lookback="1h", n=10):
     """``take 10`` of connection rows; the newest ten, so the sample is stable."""
     from auditlens.sources.bronze import BRONZE_COLS
-    df = since(bronze, as_of, lookback).where(contains("message", P.CONN_AUTHORIZED))
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_conn") & contains("message", P.CONN_AUTHORIZED))
     return df.orderBy(F.desc(TS), SRV, "processId", "message").limit(n).select(*BRONZE_COLS)
 
 
@@ -282,7 +285,7 @@ def active_users_today(bronze, *, as_of=None):
     newest event's day)."""
     day = (F.lit(as_of) if as_of is not None else bronze.select(F.max(TS)).scalar())
     df = bronze.where((F.col(TS) >= F.date_trunc("day", day).cast(bronze.schema[TS].dataType))
-                      & contains("message", P.CONN_AUTHORIZED))
+                      & flag(bronze, "is_conn") & contains("message", P.CONN_AUTHORIZED))
     df = df.withColumns({"UserName": extract(P.USER_RE, "message"),
                          "DatabaseName": extract(P.DATABASE_RE, "message")}).where(is_not_empty("UserName"))
     return df.groupBy("UserName").agg(

@@ -28,7 +28,7 @@ from auditlens.operators.parse import conn_fields, schema_of
 from auditlens.operators.sessions import (CONN_TERMS_ALL, CONN_TERMS_AUTHORIZED, session_enrich,
                                           session_info)
 from auditlens.operators.sets import aggregate_with_sets, join_set, small_set
-from auditlens.sources.bronze import CATEGORY
+from auditlens.sources.bronze import CATEGORY, flag
 
 SRV = "LogicalServerName"
 
@@ -64,7 +64,7 @@ def exfiltration(bronze: DataFrame, *, as_of=None, lookback="5m", bucket=None,
     """Mass data exfiltration: many reads by one backend session."""
     as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
     df = since(bronze, as_of, lookback).where(
-        _is_category(bronze) & contains("message", P.AUDIT_MARK)
+        flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
         & has_any("message", P.EXFIL_TERMS) & (F.col("backend_type") == P.CLIENT_BACKEND))
     df = df.withColumns({
         "AuditOperation": extract(P.AUDIT_CLASS_RE, "message"),
@@ -103,7 +103,7 @@ def destructive_ops(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="2m
     """Mass destructive operations (DELETE/UPDATE/TRUNCATE/DROP bursts)."""
     as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
     df = since(bronze, as_of, lookback).where(
-        _is_category(bronze) & contains("message", P.AUDIT_MARK)
+        flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
         & has_any("message", P.DESTRUCTIVE_PREFILTER_TERMS))
     df = df.withColumns({
         "AuditOperation": extract(P.AUDIT_CLASS_RE, "message"),
@@ -147,7 +147,7 @@ def error_spike(bronze: DataFrame, *, as_of=None, lookback="15m", bucket="1m",
                 sessions: DataFrame | None = None, ordered: bool = True) -> DataFrame:
     """Critical error spike per server, backend and minute, newest causes first."""
     as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
-    df = since(bronze, as_of, lookback).where(_is_category(bronze) & error_predicate())
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_err") & _is_category(bronze) & error_predicate())
     df = df.withColumns({
         "ErrorCategory": label_case(P.ERROR_SPIKE_CATEGORIES, P.ERROR_SPIKE_DEFAULT),
         **conn_fields()})
@@ -223,7 +223,7 @@ def cross_schema_recon(bronze: DataFrame, *, as_of=None, lookback="15m", bucket=
     """
     as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
     df = since(bronze, as_of, lookback).where(
-        _is_category(bronze) & contains("message", P.AUDIT_MARK)
+        flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
         & (F.col("backend_type") == P.CLIENT_BACKEND))
     if literal:
         df = df.withColumns({
@@ -272,7 +272,7 @@ def deep_schema_enum(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="5
     """Bursts of system-catalog queries from one backend."""
     as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
     df = since(bronze, as_of, lookback).where(
-        _is_category(bronze) & contains("message", P.AUDIT_MARK)
+        flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
         & (F.col("backend_type") == P.CLIENT_BACKEND) & has_any("message", P.CATALOG_TERMS))
     df = df.withColumn("QueryText", catalog_query_text())
     df = df.withColumns({"SystemTable": label_case(P.SYSTEM_TABLES, P.SYSTEM_TABLES_DEFAULT, msg="QueryText"),
@@ -389,7 +389,7 @@ def error_spike_5m(bronze: DataFrame, *, as_of=None, lookback="2h", bucket="5m",
                    threshold=10, high=25, critical=50) -> DataFrame:
     """ERROR/FATAL/PANIC counts per server and 5 minutes, newest first."""
     as_of = _as_of(bronze, as_of, lookback)
-    df = since(bronze, as_of, lookback).where(F.col("errorLevel").isin(*P.ERROR_LEVELS))
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_err") & F.col("errorLevel").isin(*P.ERROR_LEVELS))
     df = df.withColumn("ErrorCategory", label_case(P.ERROR_5M_CATEGORIES, P.ERROR_5M_DEFAULT))
     df, bkey = _bucketed(df, bucket)
     keys = [*bkey, SRV]
@@ -413,7 +413,7 @@ def exfiltration_by_user(bronze: DataFrame, *, as_of=None, lookback="1h",
     as_of = _as_of(bronze, as_of, lookback, session_lookback)
     sessions = session_info(bronze, as_of, session_lookback, terms=CONN_TERMS_AUTHORIZED)
     df = since(bronze, as_of, lookback).where(
-        contains("message", P.AUDIT_MARK) & has_any("message", P.USER_SELECT_TERMS)
+        flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK) & has_any("message", P.USER_SELECT_TERMS)
         & (F.col("backend_type") == P.CLIENT_BACKEND))
     df = df.join(sessions, ["processId", SRV], "left")
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("User", "Database", "SourceHost")})
@@ -448,7 +448,7 @@ def _quick(bronze, as_of, lookback, session_lookback, pred, exclude, keys_fn, bu
 def quick_exfil(bronze, *, as_of=None, lookback="5m", bucket=None, threshold=15, high=30, critical=50,
                 session_lookback="24h"):
     as_of = _as_of(bronze, as_of, lookback, session_lookback)
-    pred = (contains("message", P.AUDIT_MARK) & has_any("message", P.EXFIL_TERMS)
+    pred = (flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK) & has_any("message", P.EXFIL_TERMS)
             & (F.col("backend_type") == P.CLIENT_BACKEND))
     return _quick(bronze, as_of, lookback, session_lookback, pred, (P.SUPERUSER,), ["processId"], bucket,
                   "SelectCount", "FirstSeen", "LastSeen", threshold, high, critical, "Data Exfiltration", None)
@@ -457,7 +457,7 @@ def quick_exfil(bronze, *, as_of=None, lookback="5m", bucket=None, threshold=15,
 def quick_destructive(bronze, *, as_of=None, lookback="10m", bucket="2m", threshold=5, high=10, critical=20,
                       session_lookback="24h"):
     as_of = _as_of(bronze, as_of, lookback, session_lookback)
-    pred = (contains("message", P.AUDIT_MARK) & has_any("message", P.DESTRUCTIVE_TERMS)
+    pred = (flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK) & has_any("message", P.DESTRUCTIVE_TERMS)
             & (F.col("backend_type") == P.CLIENT_BACKEND))
     return _quick(bronze, as_of, lookback, session_lookback, pred, (), [], bucket,
                   "OperationCount", "FirstOp", "LastOp", threshold, high, critical, "Destructive Operations", None)
@@ -466,7 +466,7 @@ def quick_destructive(bronze, *, as_of=None, lookback="10m", bucket="2m", thresh
 def quick_errors(bronze, *, as_of=None, lookback="15m", bucket="1m", threshold=3, high=8, critical=15,
                  session_lookback="24h"):
     as_of = _as_of(bronze, as_of, lookback, session_lookback)
-    pred = F.col("errorLevel").isin(*P.ERROR_LEVELS)
+    pred = flag(bronze, "is_err") & F.col("errorLevel").isin(*P.ERROR_LEVELS)
     return _quick(bronze, as_of, lookback, session_lookback, pred, (), [], bucket,
                   "ErrorCount", "FirstError", "LastError", threshold, high, critical, "Error Spike", None)
 

@@ -15,7 +15,7 @@ from auditlens.functions.text import contains, extract, has_any, is_not_empty, l
 from auditlens.functions.timefn import TS, bin_ts, since
 from auditlens.operators.sessions import session_info
 from auditlens.operators.sets import join_set, small_set
-from auditlens.sources.bronze import CATEGORY
+from auditlens.sources.bronze import CATEGORY, flag
 
 ACTIVITY_COLS = ["Timestamp", "ServerName", "HourOfDay", "DayOfWeek", "ActivityCount", "AuditLogs",
                  "Errors", "Connections", "UniqueUsers", "SelectOps", "WriteOps", "DDLOps", "PrivilegeOps"]
@@ -66,7 +66,7 @@ def error_aggs():
 
 def error_rows(bronze: DataFrame, wrap=None) -> DataFrame:
     code = F.col("sqlerrcode")
-    cond = ((F.col("category") == CATEGORY)
+    cond = (flag(bronze, "is_err") & (F.col("category") == CATEGORY)
             & (F.col("errorLevel").isin(*P.ERROR_LEVELS) | ((code != P.OK_CODE) & (code != ""))))
     df = bronze.where(wrap(cond) if wrap else cond)
     return df.withColumn("ErrorCategory", label_case(P.ERROR_METRIC_CATEGORIES, P.ERROR_METRIC_DEFAULT))
@@ -94,7 +94,7 @@ def user_metrics(bronze: DataFrame, *, as_of=None, lookback=None, session_lookba
     non-empty test is an inner join."""
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback, fields=("User",))
-    df = since(bronze, as_of, lookback).where((F.col("category") == CATEGORY)
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_audit") & (F.col("category") == CATEGORY)
                                               & contains("message", P.AUDIT_MARK))
     df = df.join(sessions.where(is_not_empty("User")), ["processId", "LogicalServerName"], "inner")
     agg = df.groupBy(F.col("User").alias("UserName"), F.col("LogicalServerName").alias("ServerName"),

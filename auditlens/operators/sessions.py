@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from auditlens.functions import patterns as P
 from auditlens.functions.text import contains_any, extract, first_non_empty, is_not_empty
 from auditlens.functions.timefn import TS, since
+from auditlens.sources.bronze import flag
 
 KEYS = ["processId", "LogicalServerName"]
 CONN_TERMS_ALL = (P.CONN_AUTHORIZED, P.CONN_RECEIVED)
@@ -32,7 +33,7 @@ def session_info(bronze: DataFrame, as_of=None, lookback: str | None = "24h",
 
     ``any()`` is taken as ``max`` (deterministic; prefers a non-empty value).
     """
-    conn = since(bronze, as_of, lookback).where(contains_any("message", terms))
+    conn = since(bronze, as_of, lookback).where(flag(bronze, "is_conn") & contains_any("message", terms))
     conn = conn.select(*KEYS,
                        extract(P.USER_RE, "message").alias("User"),
                        extract(P.DATABASE_RE, "message").alias("Database"),
@@ -71,7 +72,7 @@ def session_asof(events: DataFrame, bronze: DataFrame, as_of=None, lookback: str
     from auditlens.functions.timefn import duration
     from pyspark.sql import Window
 
-    conn = since(bronze, as_of, lookback).where(contains_any("message", CONN_TERMS_ALL))
+    conn = since(bronze, as_of, lookback).where(flag(bronze, "is_conn") & contains_any("message", CONN_TERMS_ALL))
     conn = conn.select(*KEYS, F.col(TS).alias("valid_from"),
                        extract(P.USER_RE, "message").alias("AsOfUser"),
                        extract(P.DATABASE_RE, "message").alias("AsOfDatabase"),

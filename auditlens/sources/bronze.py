@@ -43,8 +43,9 @@ def normalize_bronze(df: DataFrame) -> DataFrame:
             cols.append(F.col(f.name).cast("long").alias(f.name))
         else:
             cols.append(F.col(f.name))
-    if "event_date" in df.columns:
-        cols.append(F.col("event_date"))
+    for c in ("event_date", "is_audit", "is_conn", "is_err"):
+        if c in df.columns:
+            cols.append(F.col(c))
     return df.select(*cols)
 
 
@@ -53,19 +54,48 @@ def with_event_date(df: DataFrame) -> DataFrame:
     return df.withColumn("event_date", F.to_date(F.col(TS)))
 
 
+# Stored line-kind flags. Each is exactly the predicate the queries use, so
+# a query may AND it onto its own filter without changing results; the
+# flag is a plain boolean column that Parquet can skip row groups on.
+FLAGS = ("is_audit", "is_conn", "is_err")
+STORED_EXTRA = ("event_date", *FLAGS)
+
+
+def with_flags(df: DataFrame) -> DataFrame:
+    from auditlens.functions import patterns as P
+    from auditlens.functions.text import contains, contains_any
+
+    code = F.col("sqlerrcode")
+    return df.withColumns({
+        "is_audit": contains("message", P.AUDIT_MARK),
+        "is_conn": contains_any("message", (P.CONN_AUTHORIZED, P.CONN_RECEIVED)),
+        "is_err": F.col("errorLevel").isin(*P.ERROR_LEVELS) | ((code != P.OK_CODE) & (code != "")),
+    })
+
+
+def flag(df: DataFrame, name: str):
+    """The stored flag column if ``df`` has it, else TRUE (no pruning)."""
+    return F.col(name) if name in df.columns else F.lit(True)
+
+
 def write_bronze(df: DataFrame, path: str, mode: str = "append",
                  max_records_per_file: int = 5_000_000) -> None:
     """Store bronze as Parquet partitioned by event date.
 
     Time-window queries then prune whole partitions. Rows are range-
-    partitioned on (date, server, time): one day -- or one server holding a
-    third of a day -- is spread over many tasks instead of one, and each
-    file covers a narrow server/time range so row-group min/max statistics
-    skip the rest. Files are capped in rows.
+    partitioned on (date, line kind, server, time): one day -- or one server
+    holding a third of a day -- is spread over many tasks instead of one;
+    pgaudit, connection and error lines land in separate files, so a
+    session lookup or an error scan skips the other kinds' row groups via
+    the stored flags; and within a kind each file covers a narrow
+    server/time range for min/max skipping. Files are capped in rows.
     """
-    (with_event_date(normalize_bronze(df))
-     .repartitionByRange("event_date", "LogicalServerName", TS)
-     .sortWithinPartitions("event_date", "LogicalServerName", TS)
+    kind = (F.when(F.col("is_audit"), 0).when(F.col("is_conn"), 1).when(F.col("is_err"), 2)
+            .otherwise(3).alias("__kind"))
+    (with_flags(with_event_date(normalize_bronze(df))).withColumn("__kind", kind)
+     .repartitionByRange("event_date", "__kind", "LogicalServerName", TS)
+     .sortWithinPartitions("event_date", "__kind", "LogicalServerName", TS)
+     .drop("__kind")
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("event_date").parquet(path))
 
@@ -80,8 +110,9 @@ def read_bronze(spark: SparkSession, path: str, normalized: bool = False) -> Dat
     """
     apply_engine_conf(spark)
     df = spark.read.parquet(path)
+    extra = [c for c in STORED_EXTRA if c in df.columns]
     if normalized:
-        return df.select(*BRONZE_COLS, *(["event_date"] if "event_date" in df.columns else []))
+        return df.select(*BRONZE_COLS, *extra)
     return normalize_bronze(df)
 
 

@@ -70,3 +70,20 @@ def test_sql_views(spark, mk):
     an = spark.sql("SELECT AnomalyType, MetricValue FROM anomalies").collect()
     assert [(r.AnomalyType, r.MetricValue) for r in an] == [("Potential Data Exfiltration", 20)]
     assert spark.sql("SELECT QueryCount FROM user_metrics").first().QueryCount == 20
+
+
+def test_line_kind_flags_are_stored_and_pushed(spark):
+    from conftest import conn
+
+    from auditlens.operators.detectors import error_spike
+    from auditlens.operators.sessions import session_info
+
+    rows = [row(T0, conn("a"), pid=1), row(T0, audit(1, "READ", "SELECT", "TABLE", "a.b", "q"), pid=1),
+            row(T0, "boom", level="ERROR", code="XX000", pid=1)]
+    path = tempfile.mkdtemp(prefix="al-flags-") + "/bronze"
+    write_bronze(spark.createDataFrame(rows, BRONZE_SCHEMA), path, mode="overwrite")
+    b = read_bronze(spark, path, normalized=True)
+    got = {r.message[:5]: (r.is_audit, r.is_conn, r.is_err) for r in b.collect()}
+    assert got == {"conne": (False, True, False), "AUDIT": (True, False, False), "boom": (False, False, True)}
+    for df, f in ((session_info(b, lookback=None), "is_conn"), (error_spike(b, lookback=None), "is_err")):
+        assert f"EqualTo({f},true)" in df._jdf.queryExecution().executedPlan().toString()

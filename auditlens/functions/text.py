@@ -5,8 +5,8 @@
   edge that is a letter or digit must touch the string edge or a
   character that is neither (``_`` counts as a boundary); an edge that
   is punctuation (``",READ,"``) needs nothing. ``GRANTED`` does not
-  match ``GRANT``. All phrases go into one regular expression so a row
-  is scanned once.
+  match ``GRANT``. All phrases go into one regular expression, guarded
+  by a cheap substring pre-test.
 * Emptiness: NULL and ``''`` are both empty.
 
 Everything here is a Catalyst expression: no Python runs per row.
@@ -64,8 +64,14 @@ def not_contains(c: str | Column, needle: str) -> Column:
 
 
 def has_any(c: str | Column, terms: Sequence[str]) -> Column:
-    """Case-insensitive whole-term match of any phrase (``has_any``)."""
-    return col_(c).rlike(term_regex(terms))
+    """Case-insensitive whole-term match of any phrase (``has_any``).
+
+    A whole-term match implies a plain case-insensitive substring match,
+    so a cheap ``instr(lower(c), term)`` test runs first and the regular
+    expression only sees rows that pass it (codegen short-circuits AND).
+    Same result, far fewer regex evaluations on non-matching rows.
+    """
+    return contains_any(c, terms) & col_(c).rlike(term_regex(terms))
 
 
 def is_not_empty(c: str | Column) -> Column:

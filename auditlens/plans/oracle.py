@@ -172,13 +172,19 @@ SELECT LastOp AS TimeGenerated, 'Privilege Escalation' AS AnomalyType,
 FROM g"""
 
 
-def cross_schema_recon_sql(threshold=4, high=5, critical=8):
+def cross_schema_recon_sql(threshold=4, high=5, critical=8, literal=False):
+    if literal:   # the reference's captures: schema regex from the 5th field on, object type as table
+        schema_src = S.extract(P.AUDIT_SCHEMA_RE, 'message')
+        table_src = S.extract(P.AUDIT_OBJECT_TYPE_RE, 'message')
+    else:
+        schema_src = S.extract(P.SCHEMA_PREFIX_RE, 'TableAccessed')
+        table_src = S.extract(P.AUDIT_OBJECT_NAME_RE, 'message')
     ev = f"""ev AS (
   SELECT * FROM (
     SELECT *, CASE WHEN {S.non_empty('SchemaAccessed')} THEN SchemaAccessed
                    ELSE {S.extract(P.SCHEMA_PREFIX_RE, 'TableAccessed')} END AS SchemaName
-    FROM (SELECT *, {S.extract(P.SCHEMA_PREFIX_RE, 'TableAccessed')} AS SchemaAccessed
-          FROM (SELECT b.*, {S.extract(P.AUDIT_OBJECT_NAME_RE, 'message')} AS TableAccessed,
+    FROM (SELECT *, {schema_src} AS SchemaAccessed
+          FROM (SELECT b.*, {table_src} AS TableAccessed,
                        {S.extract(P.USER_RE, 'message')} AS DirectUser, '' AS DirectDatabase, '' AS DirectHost
                 FROM bronze b WHERE {CAT} AND {AUDIT} AND {CLIENT}) a) c
     WHERE {S.non_empty('SchemaAccessed')} OR {S.non_empty('TableAccessed')}) d
@@ -421,8 +427,9 @@ FROM ev GROUP BY ObjectName, LogicalServerName
 ORDER BY AccessCount DESC, ObjectName, LogicalServerName LIMIT {top}"""
 
 
-def audit_timeline_sql(bucket_secs=120):
-    lab = S.label_case(P.AUDIT_OPERATION_TYPES, P.AUDIT_OPERATION_DEFAULT)
+def audit_timeline_sql(bucket_secs=120, include_misc=True):
+    table = P.AUDIT_OPERATION_TYPES if include_misc else tuple(r for r in P.AUDIT_OPERATION_TYPES if r[2] != "MISC")
+    lab = S.label_case(table, P.AUDIT_OPERATION_DEFAULT)
     return with_bronze() + f"""
 SELECT OperationType, b AS {TS}, count(*) AS "Count"
 FROM (SELECT {lab} AS OperationType, {bucket(bucket_secs)} AS b FROM bronze WHERE {AUDIT}) x

@@ -33,6 +33,8 @@ def oracle_sql() -> dict[str, str]:
         "user_metric_stream": O.user_metric_stream_sql(),
         "quick_all": O.quick_all_sql(),
         "auth_error_diagnostics": O.auth_error_diagnostics_sql(),
+        "audit_timeline_6way": O.audit_timeline_sql(include_misc=False),
+        "cross_schema_recon_literal": O.cross_schema_recon_sql(literal=True),
         "alert_stream": O.alert_stream_sql(),
         "activity_metrics": O.activity_metrics_sql(),
         "activity_backfill": O.activity_metrics_sql(),

@@ -241,6 +241,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["user_metric_stream"] = _user_metric_stream
     out["quick_all"] = _quick_all
     out["auth_error_diagnostics"] = _on_bronze(Q.error_code_diagnostics, lookback=None, auth_only=True)
+    out["audit_timeline_6way"] = _on_bronze(Q.audit_timeline, lookback=None, include_misc=False)
+    out["cross_schema_recon_literal"] = _on_bronze(D.cross_schema_recon, literal=True,
+                                                   **HUNT["cross_schema_recon"])
     out["alert_stream"] = _alert_stream
     out["anomalies_all"] = _anomalies_all
     out["security_kpis"] = _security_kpis

@@ -18,7 +18,7 @@ from auditlens.functions.text import (contains, contains_any, extract, has_any,
 from auditlens.functions.timefn import TS, bin_ts, day_boundaries, minute_boundaries, since
 from auditlens.operators.detectors import auth_failure_predicate
 from auditlens.sources.bronze import flag
-from auditlens.operators.sets import aggregate_with_sets, attach_sets, join_set, small_set
+from auditlens.operators.sets import aggregate_with_sets, join_set, small_set
 
 SRV = "LogicalServerName"
 
@@ -115,12 +115,11 @@ def top_hosts(bronze, *, as_of=None, lookback="24h", top=10, high=20, medium=5):
     df = since(bronze, as_of, lookback).withColumns({"ClientHost": extract(P.HOST_RE, "message"),
                                                      "UserName": extract(P.USER_RE, "message")})
     df = df.where(is_not_empty("ClientHost"))
-    agg = df.groupBy("ClientHost").agg(
-        F.count(F.lit(1)).alias("TotalConnections"),
-        F.count_distinct(_nonempty_or_null(F.col("UserName"))).alias("UniqueUsers"),
-        F.count_if(_err2()).alias("Errors"), F.min(TS).alias("FirstSeen"), F.max(TS).alias("LastSeen"))
+    agg = aggregate_with_sets(df, ["ClientHost"], [
+        ("TotalConnections", "count", None), ("UniqueUsers", "dcount", "UserName"),
+        ("Errors", "count_if", _err2()), ("FirstSeen", "min", TS), ("LastSeen", "max", TS)],
+        [("Users", "UserName", 10)])
     agg = agg.orderBy(F.desc("TotalConnections"), "ClientHost").limit(top)
-    agg = attach_sets(agg, df, ["ClientHost"], [("Users", "UserName", 10)])
     rate = pct2("Errors", "TotalConnections")
     return agg.select("ClientHost", "TotalConnections", "UniqueUsers",
                       join_set("Users", ", ").alias("UsersDisplay"), "Errors", rate.alias("ErrorRate"),

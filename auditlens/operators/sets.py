@@ -63,7 +63,8 @@ def aggregate_with_sets(df: DataFrame, keys: Sequence[str],
                         sets: Sequence[tuple[str, Column | str, int]] = ()) -> DataFrame:
     """One-pass ``summarize`` with bounded ``make_set(x, n)`` columns.
 
-    ``aggs``: (name, kind, column) with kind in count / min / max / small_set.
+    ``aggs``: (name, kind, column) with kind in count / count_if / min / max /
+    small_set / dcount (distinct non-empty values, exact).
     ``sets``: (name, value, n) -> the n smallest distinct non-empty values.
 
     Each row is stacked into a "base" item (set id -1, carries the row's
@@ -75,6 +76,8 @@ def aggregate_with_sets(df: DataFrame, keys: Sequence[str],
          a partial WindowGroupLimit before the exchange, so a hot group
          sends at most n values per set from each partition;
       3. group by keys to assemble metrics and sorted sets.
+    A ``dcount`` column is one more stacked value whose stage-1 groups are
+    counted per key (no cap) in a second, column-pruned branch.
     """
     if not sets:
         out = []
@@ -82,21 +85,26 @@ def aggregate_with_sets(df: DataFrame, keys: Sequence[str],
             out.append(_plain_agg(kind, c).alias(name))
         return df.groupBy(*keys).agg(*out)
     base_item = F.struct(F.lit(-1).alias("sid"), F.lit(None).cast("string").alias("val"))
+    dsid = {j: len(sets) + k for k, j in enumerate(j for j, (_, kind, _) in enumerate(aggs) if kind == "dcount")}
     items = [base_item] + [F.struct(F.lit(i).alias("sid"),
                                     (F.col(v) if isinstance(v, str) else v).cast("string").alias("val"))
                            for i, (_, v, _) in enumerate(sets)]
+    items += [F.struct(F.lit(dsid[j]).alias("sid"), (F.col(c) if isinstance(c, str) else c).cast("string").alias("val"))
+              for j, (_, kind, c) in enumerate(aggs) if kind == "dcount"]
     inputs = [(f"__a{j}", (F.col(c) if isinstance(c, str) else c)) for j, (_, kind, c) in enumerate(aggs)
-              if kind != "count"]
+              if kind not in ("count", "dcount")]
     x = (df.select(*keys, *[c.alias(n) for n, c in inputs], F.explode(F.array(*items)).alias("__it"))
          .select(*keys, *[n for n, _ in inputs], F.col("__it.sid").alias("sid"), F.col("__it.val").alias("val"))
          .where((F.col("sid") == -1) | (F.col("val").isNotNull() & (F.col("val") != ""))))
     is_base = F.col("sid") == -1
     stage1 = [F.count(F.lit(1)).alias("__c")]
     for j, (name, kind, c) in enumerate(aggs):
-        if kind == "count":
+        if kind in ("count", "dcount"):
             continue
         a = F.col(f"__a{j}")
-        if kind == "min":
+        if kind == "count_if":
+            stage1.append(F.count_if(is_base & a).alias(f"__a{j}"))
+        elif kind == "min":
             stage1.append(F.min(F.when(is_base, a)).alias(f"__a{j}"))
         elif kind == "max":
             stage1.append(F.max(F.when(is_base, a)).alias(f"__a{j}"))
@@ -105,6 +113,14 @@ def aggregate_with_sets(df: DataFrame, keys: Sequence[str],
         else:
             raise ValueError(kind)
     g = x.groupBy(*keys, "sid", "val").agg(*stage1)
+    dcounts = None
+    if dsid:
+        # Distinct counts: one (keys, value) group per distinct value, counted
+        # per key. Catalyst prunes this branch's stage 1 to the columns it
+        # needs, so it is planned as its own (narrow) scan and aggregation.
+        dcounts = (g.where(F.col("sid") >= len(sets))
+                   .groupBy(*keys).agg(*[F.count_if(F.col("sid") == sid).alias(f"__d{j}") for j, sid in dsid.items()]))
+        g = g.where(F.col("sid") < len(sets))
     limit = max(n for _, _, n in sets)
     caps = F.create_map(F.lit(-1), F.lit(1), *[x for i, (_, _, n) in enumerate(sets) for x in (F.lit(i), F.lit(n))])
     w = Window.partitionBy(*keys, "sid").orderBy("val")
@@ -115,8 +131,12 @@ def aggregate_with_sets(df: DataFrame, keys: Sequence[str],
         if kind == "count":
             final.append(F.sum(F.when(is_base, F.col("__c"))).cast("long").alias(name))
             continue
+        if kind == "dcount":
+            continue
         a = F.col(f"__a{j}")
-        if kind == "small_set":
+        if kind == "count_if":
+            final.append(F.sum(F.when(is_base, a)).cast("long").alias(name))
+        elif kind == "small_set":
             final.append(F.array_sort(F.max(F.when(is_base, a))).alias(name))
         elif kind == "min":
             final.append(F.min(F.when(is_base, a)).alias(name))
@@ -124,7 +144,15 @@ def aggregate_with_sets(df: DataFrame, keys: Sequence[str],
             final.append(F.max(F.when(is_base, a)).alias(name))
     for i, (name, _, _) in enumerate(sets):
         final.append(F.array_sort(F.collect_list(F.when(F.col("sid") == i, F.col("val")))).alias(name))
-    return g.groupBy(*keys).agg(*final)
+    out = g.groupBy(*keys).agg(*final)
+    if dcounts is not None:
+        d = dcounts.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
+                           *[c for c in dcounts.columns if c.startswith("__d")])
+        out = out.join(d, [out[k].eqNullSafe(d[f"__k_{k}"]) for k in keys], "left")
+        out = out.select(*keys, *[(F.coalesce(F.col(f"__d{j}"), F.lit(0)).cast("long").alias(name)
+                                   if kind == "dcount" else F.col(name)) for j, (name, kind, _) in enumerate(aggs)],
+                         *[n for n, _, _ in sets])
+    return out
 
 
 def _plain_agg(kind: str, c) -> Column:
@@ -137,6 +165,10 @@ def _plain_agg(kind: str, c) -> Column:
         return F.max(c)
     if kind == "small_set":
         return small_set(c)
+    if kind == "count_if":
+        return F.count_if(c)
+    if kind == "dcount":
+        return F.count_distinct(F.when(c != "", c))
     raise ValueError(kind)
 
 

@@ -64,3 +64,12 @@ def test_drop_is_negative(spark):
     dec = decompose(make_series(_metrics(spark, vals), lookback=None))
     got = dec.where("anomalies != 0").select("idx", "anomalies").collect()
     assert [(r.idx, r.anomalies) for r in got] == [(300, -1)]
+
+
+def test_one_pass_aggregation_limits_before_the_shuffle(spark):
+    from auditlens.operators.sets import aggregate_with_sets
+    df = spark.range(1000).select((F.col("id") % 2).cast("string").alias("k"), F.col("id").cast("string").alias("v"))
+    out = aggregate_with_sets(df, ["k"], [("n", "count", None)], [("s", "v", 3)])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert {r.k: (r.n, r.s) for r in out.collect()} == {"0": (500, ["0", "10", "100"]), "1": (500, ["1", "101", "103"])}

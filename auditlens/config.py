@@ -51,6 +51,21 @@ def get_spark(master: str | None = None, app: str = "auditlens",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
@@ -58,14 +73,16 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     names none (local tests) is one made under the system temp folder and
     registered as the session's checkpoint folder.
     """
+    sc = _context(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    if not base and sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="auditlens-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
+        if sc is not None:
+            sc.setCheckpointDir(base)
+            base = sc.getCheckpointDir() or base
+        else:
+            spark.conf.set("spark.checkpoint.dir", base)
     path = os.path.join(base, "auditlens", name or "t", uuid.uuid4().hex)
     return path

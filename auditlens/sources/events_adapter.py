@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 import os
 
-from auditlens.config import apply_engine_conf, shared_dir
+from auditlens.config import app_id, apply_engine_conf, shared_dir
 from auditlens.sources.bronze import CATEGORY, normalize_bronze, read_bronze, write_bronze
 
 SCHEMAS = ("sales", "production", "person", "humanresources",
@@ -153,7 +153,7 @@ def bronze_path(spark: SparkSession, sf_dir: str) -> str:
     """
     src = f"{sf_dir.rstrip('/')}/events.parquet"
     st = os.stat(src) if os.path.exists(src) else None
-    key = (spark.sparkContext.applicationId, src, st.st_mtime if st else None, st.st_size if st else None)
+    key = (app_id(spark), src, st.st_mtime if st else None, st.st_size if st else None)
     path = _STORED.get(key)
     if path is None:
         path = shared_dir(spark, "bronze")

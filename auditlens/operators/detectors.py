@@ -21,12 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions import patterns as P
-from auditlens.functions.text import (contains, contains_any, extract, first_non_empty, has_any,
+from auditlens.functions.text import (contains, extract, first_non_empty, has_any,
                                       is_empty, is_not_empty, label_case, severity, trim_chars)
 from auditlens.functions.timefn import TS, bin_ts, hms, iso_datetime_text, resolve_as_of, since
 from auditlens.operators.parse import conn_fields, schema_of
-from auditlens.operators.sessions import (CONN_TERMS_ALL, CONN_TERMS_AUTHORIZED, session_enrich,
-                                          session_info)
+from auditlens.operators.sessions import CONN_TERMS_AUTHORIZED, session_enrich, session_info
 from auditlens.operators.sets import aggregate_with_sets, join_set, small_set
 from auditlens.sources.bronze import CATEGORY, flag
 

@@ -30,6 +30,7 @@ def oracle_sql() -> dict[str, str]:
         "alert_rules": O.alert_rules_sql(),
         "metric_stream": O.metric_stream_sql(),
         "error_metric_stream": O.error_metric_stream_sql(),
+        "error_spike_stream": O.error_spike_stream_sql(),
         "user_metric_stream": O.user_metric_stream_sql(),
         "quick_all": O.quick_all_sql(),
         "auth_error_diagnostics": O.auth_error_diagnostics_sql(),

@@ -160,6 +160,21 @@ def _user_metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
 
 
+def _error_spike_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 as a stream: stream-static session join, day windows (history-hunt
+    profile), 10-minute watermark."""
+    from auditlens.operators.sessions import session_info
+    from auditlens.streaming.detector_stream import error_spike_stream
+    from auditlens.streaming.sources import bronze_stream
+    shared_dir(spark)
+    sessions = session_info(load_bronze(spark, sf_dir), lookback=None).checkpoint(eager=True)
+    s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
+    out = _run_stream(error_spike_stream(s, sessions, bucket="1d", watermark="10 minutes"), spark,
+                      "error_spike_stream")
+    out = out.withColumn("TimeGenerated", F.col("TimeGenerated").cast("timestamp_ntz"))
+    return display(out)
+
+
 def _quick_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = {"exfil": HUNT["quick_exfil"], "destructive": HUNT["quick_destructive"],
               "errors": HUNT["quick_errors"], "privilege": HUNT["quick_privilege"]}
@@ -238,6 +253,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 "session_asof": _session_asof})
     out["metric_stream"] = _metric_stream
     out["error_metric_stream"] = _error_metric_stream
+    out["error_spike_stream"] = _error_spike_stream
     out["user_metric_stream"] = _user_metric_stream
     out["quick_all"] = _quick_all
     out["auth_error_diagnostics"] = _on_bronze(Q.error_code_diagnostics, lookback=None, auth_only=True)

@@ -78,3 +78,22 @@ def test_watermark_follows_whole_log_not_just_errors(spark):
     q.awaitTermination()
     got = spark.read.parquet(out).collect()
     assert [(r.ErrorRate, r.ErrorTypes) for r in got] == [(5, "Other")]
+
+
+def test_streaming_error_spike_with_session_user(spark, mk):
+    from auditlens.operators.sessions import session_info
+    from auditlens.streaming.detector_stream import error_spike_stream
+    folder = tempfile.mkdtemp(prefix="al-d3-")
+    rows = [row(T0 - dt.timedelta(minutes=5), conn("carol"), pid=7)]
+    rows += [row(T0 + dt.timedelta(seconds=2 * i), f'relation "t{i}" does not exist', level="ERROR", code="42P01",
+                 pid=7) for i in range(23)]
+    rows += [row(T0 + dt.timedelta(minutes=20), conn("dave"), pid=8)]          # advances the watermark
+    spark.createDataFrame(rows, BRONZE_SCHEMA).coalesce(1).write.json(os.path.join(folder, "in", "f0"))
+    sessions = session_info(mk(rows), lookback=None)
+    s = bronze_stream(spark, os.path.join(folder, "in", "*"), fmt="json")
+    out, ck = os.path.join(folder, "out"), os.path.join(folder, "ck")
+    q = (error_spike_stream(s, sessions).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    got = [(r.ErrorCount, r.Severity, r.User, r.ErrorCodes) for r in spark.read.parquet(out).collect()]
+    assert got == [(23, "CRITICAL", "carol", ["42P01"])]

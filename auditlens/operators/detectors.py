@@ -96,27 +96,40 @@ def exfiltration(bronze: DataFrame, *, as_of=None, lookback="5m", bucket=None,
 
 
 # --------------------------------------------------------------------- D2
-def destructive_ops(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="2m",
-                    threshold=5, high=10, critical=20, session_lookback="24h",
-                    sessions: DataFrame | None = None) -> DataFrame:
-    """Mass destructive operations (DELETE/UPDATE/TRUNCATE/DROP bursts)."""
-    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
-    df = since(bronze, as_of, lookback).where(
+def _keeper(wrap):
+    return wrap if wrap is not None else (lambda c: c)
+
+
+def destructive_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                     sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D2's enriched input rows (shared by the batch and streaming detector;
+    a stream passes ``wrap=above_watermark``)."""
+    w = _keeper(wrap)
+    df = since(bronze, as_of, lookback).where(w(
         flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
-        & has_any("message", P.DESTRUCTIVE_PREFILTER_TERMS))
+        & has_any("message", P.DESTRUCTIVE_PREFILTER_TERMS)))
     df = df.withColumns({
         "AuditOperation": extract(P.AUDIT_CLASS_RE, "message"),
         "AuditStatement": trim_chars(" ", extract(P.AUDIT_STATEMENT_RE, "message")),
         "TableAffected": extract(P.AUDIT_OBJECT_TYPE_RE, "message"),
         "QueryText": trim_chars('"', extract(P.QUERY_TEXT_RE, "message")),
         **conn_fields()})
-    df = df.where(has_any("message", P.DESTRUCTIVE_TERMS)
-                  & ((F.col("AuditOperation") == "WRITE")
-                     | has_any("AuditStatement", P.DESTRUCTIVE_TERMS)))
+    df = df.where(w(has_any("message", P.DESTRUCTIVE_TERMS)
+                    & ((F.col("AuditOperation") == "WRITE")
+                       | has_any("AuditStatement", P.DESTRUCTIVE_TERMS))))
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback)
     df = session_enrich(df, sessions)
-    df = df.where(~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN))
+    return df.where(w(~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN)))
+
+
+def destructive_ops(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="2m",
+                    threshold=5, high=10, critical=20, session_lookback="24h",
+                    sessions: DataFrame | None = None) -> DataFrame:
+    """Mass destructive operations (DELETE/UPDATE/TRUNCATE/DROP bursts)."""
+    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
+    df = destructive_rows(bronze, as_of=as_of, lookback=lookback, session_lookback=session_lookback,
+                          sessions=sessions)
     df, bkey = _bucketed(df, bucket)
     keys = [SRV, "backend_type", *bkey]
     agg = aggregate_with_sets(df, keys, [
@@ -141,18 +154,26 @@ def error_predicate() -> Column:
     return F.col("errorLevel").isin(*P.ERROR_LEVELS) | ((code != P.OK_CODE) & (code != ""))
 
 
-def error_spike(bronze: DataFrame, *, as_of=None, lookback="15m", bucket="1m",
-                threshold=3, high=8, critical=15, session_lookback="24h",
-                sessions: DataFrame | None = None, ordered: bool = True) -> DataFrame:
-    """Critical error spike per server, backend and minute, newest causes first."""
-    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
-    df = since(bronze, as_of, lookback).where(flag(bronze, "is_err") & _is_category(bronze) & error_predicate())
+def error_spike_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                     sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D3's enriched input rows (shared by the batch and streaming detector)."""
+    w = _keeper(wrap)
+    df = since(bronze, as_of, lookback).where(w(flag(bronze, "is_err") & _is_category(bronze) & error_predicate()))
     df = df.withColumns({
         "ErrorCategory": label_case(P.ERROR_SPIKE_CATEGORIES, P.ERROR_SPIKE_DEFAULT),
         **conn_fields()})
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback)
-    df = session_enrich(df, sessions)
+    return session_enrich(df, sessions)
+
+
+def error_spike(bronze: DataFrame, *, as_of=None, lookback="15m", bucket="1m",
+                threshold=3, high=8, critical=15, session_lookback="24h",
+                sessions: DataFrame | None = None, ordered: bool = True) -> DataFrame:
+    """Critical error spike per server, backend and minute, newest causes first."""
+    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
+    df = error_spike_rows(bronze, as_of=as_of, lookback=lookback, session_lookback=session_lookback,
+                          sessions=sessions)
     df, bkey = _bucketed(df, bucket)
     keys = [SRV, "backend_type", *bkey]
     agg = aggregate_with_sets(df, keys, [
@@ -174,16 +195,15 @@ def error_spike(bronze: DataFrame, *, as_of=None, lookback="15m", bucket="1m",
 
 
 # --------------------------------------------------------------------- D4
-def privilege_escalation(bronze: DataFrame, *, as_of=None, lookback="24h", bucket="1h",
-                         threshold=0, high=3, critical=5, session_lookback="24h",
-                         sessions: DataFrame | None = None) -> DataFrame:
-    """Any GRANT/REVOKE/role change by a non-system user, per server and hour."""
-    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
+def privilege_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                   sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D4's enriched input rows (shared by the batch and streaming detector)."""
+    w = _keeper(wrap)
     backend = F.col("backend_type")
-    df = since(bronze, as_of, lookback).where(
+    df = since(bronze, as_of, lookback).where(w(
         _is_category(bronze) & has_any("message", P.PRIVILEGE_TERMS)
         & ~contains("message", P.SYSTEM_USERS[1]) & ~contains("message", P.SUPERUSER)
-        & ((backend == P.CLIENT_BACKEND) | is_empty(backend)))
+        & ((backend == P.CLIENT_BACKEND) | is_empty(backend))))
     df = df.withColumns({
         "PrivilegeOp": label_case(P.PRIVILEGE_OPS, P.PRIVILEGE_OPS_DEFAULT),
         "QueryText": F.substring("message", 1, 200),
@@ -192,7 +212,16 @@ def privilege_escalation(bronze: DataFrame, *, as_of=None, lookback="24h", bucke
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback, fields=("User",))
     df = session_enrich(df, sessions.select("processId", SRV, "User"), fields=("User",))
-    df = df.where(~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN))
+    return df.where(w(~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN)))
+
+
+def privilege_escalation(bronze: DataFrame, *, as_of=None, lookback="24h", bucket="1h",
+                         threshold=0, high=3, critical=5, session_lookback="24h",
+                         sessions: DataFrame | None = None) -> DataFrame:
+    """Any GRANT/REVOKE/role change by a non-system user, per server and hour."""
+    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
+    df = privilege_rows(bronze, as_of=as_of, lookback=lookback, session_lookback=session_lookback,
+                        sessions=sessions)
     df, bkey = _bucketed(df, bucket)
     keys = [SRV, *bkey]
     agg = aggregate_with_sets(df, keys, [

@@ -893,22 +893,29 @@ SELECT sqlerrcode, upper(errorLevel) AS errorLevel, count(*) AS count_, max(mess
 FROM bronze WHERE starts_with(sqlerrcode, '28') GROUP BY sqlerrcode, upper(errorLevel)"""
 
 
-def error_spike_stream_sql(bucket_secs=DAY, threshold=3, high=8, critical=15):
-    cat = S.label_case(P.ERROR_SPIKE_CATEGORIES, P.ERROR_SPIKE_DEFAULT)
-    return with_bronze(sess_cte(), f"""ev AS (
-  SELECT b.*, {cat} AS ErrorCategory, {direct_cols()}, {bucket(bucket_secs)} AS Bucket
-  FROM bronze b WHERE {CAT} AND {ERRPRED}),
-j AS (SELECT ev.*, {final_cols()} FROM ev LEFT JOIN sess s USING (processId, LogicalServerName)),
-g AS (
-  SELECT LogicalServerName, backend_type, Bucket, count(*) AS ErrorCount,
-         {S.set_n('ErrorCategory', None)} AS ErrorTypes, {S.set_n('sqlerrcode', None)} AS ErrorCodes,
-         min({TS}) AS FirstError, max({TS}) AS LastError,
-         max(FinalUser) AS "User", max(FinalDatabase) AS "Database", max(FinalHost) AS SourceHost
-  FROM j GROUP BY LogicalServerName, backend_type, Bucket HAVING count(*) > {threshold})""") + f"""
-SELECT LastError AS TimeGenerated, 'Critical Error Spike' AS AnomalyType,
-       {S.severity('ErrorCount', high, critical)} AS Severity, LogicalServerName AS ServerName,
-       "User", "Database", SourceHost, backend_type AS BackendType, ErrorCount,
-       {arr('ErrorTypes')} AS ErrorTypes, {arr('ErrorCodes')} AS ErrorCodes,
-       {window_text('FirstError', 'LastError')} AS TimeWindow
-FROM g
-WHERE Bucket + INTERVAL '{bucket_secs} seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""
+def _closed_by_watermark(sql: str, bucket_col: str = "Bucket", bucket_secs: int = DAY) -> str:
+    return f"""{sql}
+WHERE {bucket_col} + INTERVAL '{bucket_secs} seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""
+
+
+def _drop_last_select_col(sql: str, col_expr: str) -> str:
+    assert col_expr in sql, col_expr
+    return sql.replace(col_expr, "")
+
+
+def error_spike_stream_sql():
+    sql = error_spike_sql()
+    sql = _drop_last_select_col(sql, ", {arr}".format(arr=arr('SampleErrors') + " AS SampleErrors"))
+    return _closed_by_watermark(sql)
+
+
+def destructive_ops_stream_sql():
+    sql = destructive_ops_sql()
+    sql = _drop_last_select_col(sql, ", " + arr('SampleMessages') + " AS SampleMessages")
+    return _closed_by_watermark(sql)
+
+
+def privilege_escalation_stream_sql():
+    sql = privilege_escalation_sql()
+    sql = _drop_last_select_col(sql, ", " + arr('SampleQueries') + " AS SampleQueries")
+    return _closed_by_watermark(sql)

@@ -31,6 +31,8 @@ def oracle_sql() -> dict[str, str]:
         "metric_stream": O.metric_stream_sql(),
         "error_metric_stream": O.error_metric_stream_sql(),
         "error_spike_stream": O.error_spike_stream_sql(),
+        "destructive_ops_stream": O.destructive_ops_stream_sql(),
+        "privilege_escalation_stream": O.privilege_escalation_stream_sql(),
         "user_metric_stream": O.user_metric_stream_sql(),
         "quick_all": O.quick_all_sql(),
         "auth_error_diagnostics": O.auth_error_diagnostics_sql(),

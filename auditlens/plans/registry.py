@@ -160,19 +160,22 @@ def _user_metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
 
 
-def _error_spike_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3 as a stream: stream-static session join, day windows (history-hunt
-    profile), 10-minute watermark."""
-    from auditlens.operators.sessions import session_info
-    from auditlens.streaming.detector_stream import error_spike_stream
-    from auditlens.streaming.sources import bronze_stream
-    shared_dir(spark)
-    sessions = session_info(load_bronze(spark, sf_dir), lookback=None).checkpoint(eager=True)
-    s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
-    out = _run_stream(error_spike_stream(s, sessions, bucket="1d", watermark="10 minutes"), spark,
-                      "error_spike_stream")
-    out = out.withColumn("TimeGenerated", F.col("TimeGenerated").cast("timestamp_ntz"))
-    return display(out)
+def _detector_stream(kind: str):
+    """A streaming detector over the stored bronze (stream-static session
+    join, day windows of the history-hunt profile, 10-minute watermark)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from auditlens.operators.sessions import session_info
+        from auditlens.streaming import detector_stream as DS
+        from auditlens.streaming.sources import bronze_stream
+        fn = {"error_spike_stream": DS.error_spike_stream, "destructive_ops_stream": DS.destructive_ops_stream,
+              "privilege_escalation_stream": DS.privilege_escalation_stream}[kind]
+        shared_dir(spark)
+        sessions = session_info(load_bronze(spark, sf_dir), lookback=None).checkpoint(eager=True)
+        s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
+        out = _run_stream(fn(s, sessions, bucket="1d", watermark="10 minutes"), spark, kind)
+        return display(out.withColumn("TimeGenerated", F.col("TimeGenerated").cast("timestamp_ntz")))
+    run.__name__ = kind
+    return run
 
 
 def _quick_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +256,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 "session_asof": _session_asof})
     out["metric_stream"] = _metric_stream
     out["error_metric_stream"] = _error_metric_stream
-    out["error_spike_stream"] = _error_spike_stream
+    for k in ("error_spike_stream", "destructive_ops_stream", "privilege_escalation_stream"):
+        out[k] = _detector_stream(k)
     out["user_metric_stream"] = _user_metric_stream
     out["quick_all"] = _quick_all
     out["auth_error_diagnostics"] = _on_bronze(Q.error_code_diagnostics, lookback=None, auth_only=True)

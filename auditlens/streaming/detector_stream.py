@@ -1,46 +1,85 @@
-"""Streaming detectors with session enrichment (D3 in Structured Streaming).
-
-The stream of log rows is joined with a stored session lookup (stream-
-static left join: the lookup is a small table written once per refresh
-period, see ``metric_stream.sessions_from_table``), grouped in event-time
-windows with a watermark, and emitted once per finished window in append
-mode. Small-domain sets (categories, codes) are kept; the sample-message
-list of the batch detector is not, because a bounded top-n per window has
-no streaming aggregate with bounded state.
+"""Streaming detectors with session enrichment (D2, D3, D4 in Structured Streaming).
+
+Each detector reuses the batch detector's row preparation (filters, field
+extraction, session join) on the stream -- with its filters kept above the
+watermark -- then aggregates per event-time window and emits each finished
+window once (append mode). The session lookup is a stored, small table
+joined stream-static (see ``metric_stream.sessions_from_table``).
+Small-domain sets (categories, codes, statements, levels) are kept; the
+batch detectors' sample lists are not, because a bounded top-n per window
+has no streaming aggregate with bounded state.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions import patterns as P
-from auditlens.functions.text import label_case, severity
+from auditlens.functions.text import severity
 from auditlens.functions.timefn import TS, above_watermark, duration, iso_datetime_text
-from auditlens.operators.detectors import error_predicate
-from auditlens.operators.parse import conn_fields
-from auditlens.operators.sessions import session_enrich
+from auditlens.operators.detectors import destructive_rows, error_spike_rows, privilege_rows
 from auditlens.operators.sets import small_set
-from auditlens.sources.bronze import CATEGORY, flag
+
+SRV = "LogicalServerName"
+
+
+def _window_text(first: str, last: str) -> Column:
+    return F.concat(iso_datetime_text(first), F.lit(" to "), iso_datetime_text(last))
+
+
+def _users(full: bool = True):
+    out = [F.max("FinalUser").alias("User")]
+    if full:
+        out += [F.max("FinalDatabase").alias("Database"), F.max("FinalHost").alias("SourceHost")]
+    return out
 
 
 def error_spike_stream(stream: DataFrame, sessions: DataFrame, *, bucket="1m", watermark="10 minutes",
                        threshold=3, high=8, critical=15) -> DataFrame:
-    """Critical error spikes per server, backend and window, as a stream."""
-    df = stream.withWatermark(TS, watermark).where(
-        above_watermark(flag(stream, "is_err") & (F.col("category") == CATEGORY) & error_predicate()))
-    df = df.withColumns({"ErrorCategory": label_case(P.ERROR_SPIKE_CATEGORIES, P.ERROR_SPIKE_DEFAULT),
-                         **conn_fields()})
-    df = session_enrich(df, sessions)
-    agg = df.groupBy("LogicalServerName", "backend_type", F.window(TS, duration(bucket)).alias("w")).agg(
+    """D3: critical error spikes per server, backend and window."""
+    df = error_spike_rows(stream.withWatermark(TS, watermark), sessions=sessions, wrap=above_watermark)
+    agg = df.groupBy(SRV, "backend_type", F.window(TS, duration(bucket)).alias("w")).agg(
         F.count(F.lit(1)).alias("ErrorCount"), small_set("ErrorCategory").alias("ErrorTypes"),
         small_set("sqlerrcode").alias("ErrorCodes"), F.min(TS).alias("FirstError"), F.max(TS).alias("LastError"),
-        F.max("FinalUser").alias("User"), F.max("FinalDatabase").alias("Database"),
-        F.max("FinalHost").alias("SourceHost"))
+        *_users())
     agg = agg.where(F.col("ErrorCount") > threshold)
     return agg.select(
         F.col("LastError").alias("TimeGenerated"), F.lit("Critical Error Spike").alias("AnomalyType"),
         severity("ErrorCount", high, critical).alias("Severity"),
-        F.col("LogicalServerName").alias("ServerName"), "User", "Database", "SourceHost",
+        F.col(SRV).alias("ServerName"), "User", "Database", "SourceHost",
         F.col("backend_type").alias("BackendType"), "ErrorCount", "ErrorTypes", "ErrorCodes",
-        F.concat(iso_datetime_text("FirstError"), F.lit(" to "), iso_datetime_text("LastError")).alias("TimeWindow"))
+        _window_text("FirstError", "LastError").alias("TimeWindow"))
+
+
+def destructive_ops_stream(stream: DataFrame, sessions: DataFrame, *, bucket="2m", watermark="10 minutes",
+                           threshold=5, high=10, critical=20) -> DataFrame:
+    """Destructive bursts per server, backend and window."""
+    df = destructive_rows(stream.withWatermark(TS, watermark), sessions=sessions, wrap=above_watermark)
+    agg = df.groupBy(SRV, "backend_type", F.window(TS, duration(bucket)).alias("w")).agg(
+        F.count(F.lit(1)).alias("OperationCount"), small_set("AuditStatement").alias("Operations"),
+        small_set("TableAffected").alias("TablesAffected"), F.min(TS).alias("FirstOccurrence"),
+        F.max(TS).alias("LastOccurrence"), *_users())
+    agg = agg.where((F.col("OperationCount") > threshold) & (F.col("backend_type") == P.CLIENT_BACKEND))
+    return agg.select(
+        F.col("LastOccurrence").alias("TimeGenerated"), F.lit("Mass Destructive Operations").alias("AnomalyType"),
+        severity("OperationCount", high, critical).alias("Severity"),
+        F.col(SRV).alias("ServerName"), "User", "Database", "SourceHost",
+        F.col("backend_type").alias("BackendType"), "OperationCount", "Operations", "TablesAffected",
+        _window_text("FirstOccurrence", "LastOccurrence").alias("TimeWindow"))
+
+
+def privilege_escalation_stream(stream: DataFrame, sessions: DataFrame, *, bucket="1h", watermark="10 minutes",
+                                threshold=0, high=3, critical=5) -> DataFrame:
+    """Role and grant changes per server and window."""
+    df = privilege_rows(stream.withWatermark(TS, watermark), sessions=sessions, wrap=above_watermark)
+    agg = df.groupBy(SRV, F.window(TS, duration(bucket)).alias("w")).agg(
+        F.count(F.lit(1)).alias("PrivilegeOpsCount"), small_set("PrivilegeOp").alias("Operations"),
+        small_set("LogType").alias("LogTypes"), F.min(TS).alias("FirstOp"), F.max(TS).alias("LastOp"),
+        *_users(full=False))
+    agg = agg.where(F.col("PrivilegeOpsCount") > threshold)
+    return agg.select(
+        F.col("LastOp").alias("TimeGenerated"), F.lit("Privilege Escalation").alias("AnomalyType"),
+        severity("PrivilegeOpsCount", high, critical).alias("Severity"),
+        F.col(SRV).alias("ServerName"), "User", "PrivilegeOpsCount", "Operations", "LogTypes",
+        _window_text("FirstOp", "LastOp").alias("TimeWindow"))

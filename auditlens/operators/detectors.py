@@ -57,24 +57,32 @@ def _is_category(df: DataFrame) -> Column:
 
 
 # --------------------------------------------------------------------- D1
-def exfiltration(bronze: DataFrame, *, as_of=None, lookback="5m", bucket=None,
-                 threshold=15, high=30, critical=50, session_lookback="24h",
-                 sessions: DataFrame | None = None) -> DataFrame:
-    """Mass data exfiltration: many reads by one backend session."""
-    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
-    df = since(bronze, as_of, lookback).where(
+def exfiltration_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                      sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D1's enriched input rows (shared by the batch and streaming detector)."""
+    w = wrap if wrap is not None else (lambda c: c)
+    df = since(bronze, as_of, lookback).where(w(
         flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
-        & has_any("message", P.EXFIL_TERMS) & (F.col("backend_type") == P.CLIENT_BACKEND))
+        & has_any("message", P.EXFIL_TERMS) & (F.col("backend_type") == P.CLIENT_BACKEND)))
     df = df.withColumns({
         "AuditOperation": extract(P.AUDIT_CLASS_RE, "message"),
         "AuditStatement": extract(P.AUDIT_STATEMENT_RE, "message"),
         "TableName": extract(P.AUDIT_OBJECT_TYPE_RE, "message"),
         "QueryText": trim_chars('"', extract(P.QUERY_TEXT_RE, "message")),
         **conn_fields()})
-    df = df.where((F.col("AuditOperation") == "READ") | (F.col("AuditStatement") == "SELECT"))
+    df = df.where(w((F.col("AuditOperation") == "READ") | (F.col("AuditStatement") == "SELECT")))
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback)
-    df = session_enrich(df, sessions).where(F.col("FinalUser") != P.SUPERUSER)
+    return session_enrich(df, sessions).where(w(F.col("FinalUser") != P.SUPERUSER))
+
+
+def exfiltration(bronze: DataFrame, *, as_of=None, lookback="5m", bucket=None,
+                 threshold=15, high=30, critical=50, session_lookback="24h",
+                 sessions: DataFrame | None = None) -> DataFrame:
+    """Mass data exfiltration: many reads by one backend session."""
+    as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
+    df = exfiltration_rows(bronze, as_of=as_of, lookback=lookback, session_lookback=session_lookback,
+                           sessions=sessions)
     df, bkey = _bucketed(df, bucket)
     # the reference also groups by "server-pid", a function of these keys
     keys = [SRV, "backend_type", "processId", *bkey]
@@ -250,9 +258,21 @@ def cross_schema_recon(bronze: DataFrame, *, as_of=None, lookback="15m", bucket=
     5th field onward, object type as the table).
     """
     as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
-    df = since(bronze, as_of, lookback).where(
+    df = cross_schema_rows(bronze, as_of=as_of, lookback=lookback, session_lookback=session_lookback,
+                           literal=literal, sessions=sessions)
+    df, bkey = _bucketed(df, bucket)
+    keys = [SRV, "processId", *bkey]
+    agg = df.groupBy(*keys).agg(*cross_schema_aggs())
+    return cross_schema_output(agg, threshold, high, critical)
+
+
+def cross_schema_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                      literal: bool = False, sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D5's enriched input rows (shared by the batch and streaming detector)."""
+    w = wrap if wrap is not None else (lambda c: c)
+    df = since(bronze, as_of, lookback).where(w(
         flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
-        & (F.col("backend_type") == P.CLIENT_BACKEND))
+        & (F.col("backend_type") == P.CLIENT_BACKEND)))
     if literal:
         df = df.withColumns({
             "SchemaAccessed": extract(P.AUDIT_SCHEMA_RE, "message"),
@@ -261,23 +281,28 @@ def cross_schema_recon(bronze: DataFrame, *, as_of=None, lookback="15m", bucket=
         obj = extract(P.AUDIT_OBJECT_NAME_RE, "message")
         df = df.withColumn("TableAccessed", obj).withColumn("SchemaAccessed", schema_of("TableAccessed"))
     df = df.withColumn("DirectUser", extract(P.USER_RE, "message"))
-    df = df.where(is_not_empty("SchemaAccessed") | is_not_empty("TableAccessed"))
+    df = df.where(w(is_not_empty("SchemaAccessed") | is_not_empty("TableAccessed")))
     df = df.withColumn("SchemaName", F.when(is_not_empty("SchemaAccessed"), F.col("SchemaAccessed"))
                        .otherwise(schema_of("TableAccessed")))
-    df = df.where(is_not_empty("SchemaName") & ~F.col("SchemaName").isin(*P.CATALOG_SCHEMAS, ""))
+    df = df.where(w(is_not_empty("SchemaName") & ~F.col("SchemaName").isin(*P.CATALOG_SCHEMAS, "")))
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback, terms=CONN_TERMS_AUTHORIZED,
                                 fields=("User",))
     df = session_enrich(df, sessions.select("processId", SRV, "User"), fields=("User",))
-    df = df.where(F.col("FinalUser") != P.SUPERUSER)
-    df, bkey = _bucketed(df, bucket)
-    keys = [SRV, "processId", *bkey]
-    agg = df.groupBy(*keys).agg(
-        F.count_distinct("SchemaName").alias("SchemasAccessed"),
-        small_set("SchemaName").alias("SchemaList"),
-        F.count_distinct("TableAccessed").alias("TablesAccessed"),
-        F.min(TS).alias("FirstAccess"), F.max(TS).alias("LastAccess"),
-        F.max("FinalUser").alias("User"))
+    return df.where(w(F.col("FinalUser") != P.SUPERUSER))
+
+
+def cross_schema_aggs(streaming: bool = False):
+    """Distinct counts are sizes of the (catalog-bounded) sets in a stream,
+    where exact distinct aggregation is not available; same value."""
+    def dcount(c):
+        return F.size(F.collect_set(c)).cast("long") if streaming else F.count_distinct(c)
+    return [dcount("SchemaName").alias("SchemasAccessed"), small_set("SchemaName").alias("SchemaList"),
+            dcount("TableAccessed").alias("TablesAccessed"),
+            F.min(TS).alias("FirstAccess"), F.max(TS).alias("LastAccess"), F.max("FinalUser").alias("User")]
+
+
+def cross_schema_output(agg: DataFrame, threshold=4, high=5, critical=8) -> DataFrame:
     agg = agg.where(F.col("SchemasAccessed") > threshold)
     return agg.select(
         F.col("LastAccess").alias("TimeGenerated"),
@@ -299,9 +324,21 @@ def deep_schema_enum(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="5
                      sessions: DataFrame | None = None) -> DataFrame:
     """Bursts of system-catalog queries from one backend."""
     as_of = _as_of(bronze, as_of, lookback, session_lookback if sessions is None else None)
-    df = since(bronze, as_of, lookback).where(
+    df = deep_enum_rows(bronze, as_of=as_of, lookback=lookback, session_lookback=session_lookback,
+                        sessions=sessions)
+    df, bkey = _bucketed(df, bucket)
+    keys = [SRV, "processId", *bkey]
+    agg = df.groupBy(*keys).agg(*deep_enum_aggs())
+    return deep_enum_output(agg, threshold, high, critical, multi_table)
+
+
+def deep_enum_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                   sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D6's enriched input rows (shared by the batch and streaming detector)."""
+    w = wrap if wrap is not None else (lambda c: c)
+    df = since(bronze, as_of, lookback).where(w(
         flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
-        & (F.col("backend_type") == P.CLIENT_BACKEND) & has_any("message", P.CATALOG_TERMS))
+        & (F.col("backend_type") == P.CLIENT_BACKEND) & has_any("message", P.CATALOG_TERMS)))
     df = df.withColumn("QueryText", catalog_query_text())
     df = df.withColumns({"SystemTable": label_case(P.SYSTEM_TABLES, P.SYSTEM_TABLES_DEFAULT, msg="QueryText"),
                          "DirectUser": extract(P.USER_RE, "message")})
@@ -309,15 +346,18 @@ def deep_schema_enum(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="5
         sessions = session_info(bronze, as_of, session_lookback, terms=CONN_TERMS_AUTHORIZED,
                                 fields=("User",))
     df = session_enrich(df, sessions.select("processId", SRV, "User"), fields=("User",))
-    df = df.where(F.col("FinalUser") != P.SUPERUSER)
-    df, bkey = _bucketed(df, bucket)
-    keys = [SRV, "processId", *bkey]
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("SystemTableQueries"),
-        small_set("SystemTable").alias("TablesScanned"),
-        F.count_distinct("SystemTable").alias("UniqueSystemTables"),
-        F.min(TS).alias("FirstQuery"), F.max(TS).alias("LastQuery"),
-        F.max("FinalUser").alias("User"))
+    return df.where(w(F.col("FinalUser") != P.SUPERUSER))
+
+
+def deep_enum_aggs(streaming: bool = False):
+    unique = (F.size(F.collect_set("SystemTable")).cast("long") if streaming
+              else F.count_distinct("SystemTable"))   # 12 possible labels either way
+    return [F.count(F.lit(1)).alias("SystemTableQueries"), small_set("SystemTable").alias("TablesScanned"),
+            unique.alias("UniqueSystemTables"), F.min(TS).alias("FirstQuery"), F.max(TS).alias("LastQuery"),
+            F.max("FinalUser").alias("User")]
+
+
+def deep_enum_output(agg: DataFrame, threshold=10, high=15, critical=30, multi_table=5) -> DataFrame:
     agg = agg.where(F.col("SystemTableQueries") > threshold)
     return agg.select(
         F.col("LastQuery").alias("TimeGenerated"),

@@ -96,7 +96,9 @@ def _enriched(ev_cte: str, where_final: str = "", auth_only=False, direct=True):
     return parts
 
 
-def exfiltration_sql(threshold=15, high=30, critical=50):
+def exfiltration_sql(threshold=15, high=30, critical=50, bucket_secs=None):
+    bsel = f", {bucket(bucket_secs)} AS Bucket" if bucket_secs else ""
+    bgrp = ", Bucket" if bucket_secs else ""
     ev = f"""ev AS (
   SELECT * FROM (
     SELECT b.*, {S.extract(P.AUDIT_CLASS_RE, 'message')} AS AuditOperation,
@@ -104,15 +106,15 @@ def exfiltration_sql(threshold=15, high=30, critical=50):
       {S.extract(P.AUDIT_OBJECT_TYPE_RE, 'message')} AS TableName,
       trim({S.extract(P.QUERY_TEXT_RE, 'message')}, '"') AS QueryText,
       LogicalServerName || '-' || COALESCE(CAST(processId AS VARCHAR), '') AS ProcessSession,
-      {direct_cols()}
+      {direct_cols()}{bsel}
     FROM bronze b WHERE {CAT} AND {AUDIT} AND {S.has_any('message', P.EXFIL_TERMS)} AND {CLIENT}) x
   WHERE AuditOperation = 'READ' OR AuditStatement = 'SELECT')"""
     g = f"""g AS (
-  SELECT ProcessSession, LogicalServerName, backend_type, processId, count(*) AS SelectCount,
+  SELECT ProcessSession, LogicalServerName, backend_type, processId{bgrp}, count(*) AS SelectCount,
     min({TS}) AS FirstSeen, max({TS}) AS LastSeen, {S.set_n('TableName', 10)} AS TablesAccessed,
     {S.set_n('QueryText', 3)} AS SampleQueries, max(FinalUser) AS "User", max(FinalDatabase) AS "Database",
     max(FinalHost) AS SourceHost
-  FROM j GROUP BY ProcessSession, LogicalServerName, backend_type, processId HAVING count(*) > {threshold})"""
+  FROM j GROUP BY ProcessSession, LogicalServerName, backend_type, processId{bgrp} HAVING count(*) > {threshold})"""
     return with_bronze(*_enriched(ev, "FinalUser <> 'azuresu'"), g) + f"""
 SELECT LastSeen AS TimeGenerated, 'Potential Data Exfiltration' AS AnomalyType,
   {S.severity('SelectCount', high, critical)} AS Severity, LogicalServerName AS ServerName,
@@ -172,7 +174,9 @@ SELECT LastOp AS TimeGenerated, 'Privilege Escalation' AS AnomalyType,
 FROM g"""
 
 
-def cross_schema_recon_sql(threshold=4, high=5, critical=8, literal=False):
+def cross_schema_recon_sql(threshold=4, high=5, critical=8, literal=False, bucket_secs=None):
+    bsel = f", {bucket(bucket_secs)} AS Bucket" if bucket_secs else ""
+    bgrp = ", Bucket" if bucket_secs else ""
     if literal:   # the reference's captures: schema regex from the 5th field on, object type as table
         schema_src = S.extract(P.AUDIT_SCHEMA_RE, 'message')
         table_src = S.extract(P.AUDIT_OBJECT_TYPE_RE, 'message')
@@ -185,15 +189,15 @@ def cross_schema_recon_sql(threshold=4, high=5, critical=8, literal=False):
                    ELSE {S.extract(P.SCHEMA_PREFIX_RE, 'TableAccessed')} END AS SchemaName
     FROM (SELECT *, {schema_src} AS SchemaAccessed
           FROM (SELECT b.*, {table_src} AS TableAccessed,
-                       {S.extract(P.USER_RE, 'message')} AS DirectUser, '' AS DirectDatabase, '' AS DirectHost
+                       {S.extract(P.USER_RE, 'message')} AS DirectUser, '' AS DirectDatabase, '' AS DirectHost{bsel}
                 FROM bronze b WHERE {CAT} AND {AUDIT} AND {CLIENT}) a) c
     WHERE {S.non_empty('SchemaAccessed')} OR {S.non_empty('TableAccessed')}) d
   WHERE {S.non_empty('SchemaName')} AND SchemaName NOT IN ('pg_catalog', 'information_schema', ''))"""
     g = f"""g AS (
-  SELECT LogicalServerName, processId, count(DISTINCT SchemaName) AS SchemasAccessed,
+  SELECT LogicalServerName, processId{bgrp}, count(DISTINCT SchemaName) AS SchemasAccessed,
     {S.set_n('SchemaName', None)} AS SchemaList, count(DISTINCT TableAccessed) AS TablesAccessed,
     min({TS}) AS FirstAccess, max({TS}) AS LastAccess, max(FinalUser) AS "User"
-  FROM j GROUP BY LogicalServerName, processId HAVING count(DISTINCT SchemaName) > {threshold})"""
+  FROM j GROUP BY LogicalServerName, processId{bgrp} HAVING count(DISTINCT SchemaName) > {threshold})"""
     return with_bronze(*_enriched(ev, "FinalUser <> 'azuresu'", auth_only=True), g) + f"""
 SELECT LastAccess AS TimeGenerated, 'Cross-Schema Reconnaissance' AS AnomalyType,
   {S.severity('SchemasAccessed', high, critical)} AS Severity, LogicalServerName AS ServerName, "User",
@@ -202,19 +206,21 @@ SELECT LastAccess AS TimeGenerated, 'Cross-Schema Reconnaissance' AS AnomalyType
 FROM g"""
 
 
-def deep_schema_enum_sql(threshold=10, high=15, critical=30, multi=5):
+def deep_schema_enum_sql(threshold=10, high=15, critical=30, multi=5, bucket_secs=None):
+    bsel = f", {bucket(bucket_secs)} AS Bucket" if bucket_secs else ""
+    bgrp = ", Bucket" if bucket_secs else ""
     qt = S.first_non_empty(f"trim({S.extract(P.QUERY_TEXT_RE, 'message')}, '\"')",
                            S.extract(P.STATEMENT_TEXT_RE, 'message'), 'message')
     ev = f"""ev AS (
   SELECT *, {S.label_case(P.SYSTEM_TABLES, P.SYSTEM_TABLES_DEFAULT, msg='QueryText')} AS SystemTable
   FROM (SELECT b.*, {qt} AS QueryText, {S.extract(P.USER_RE, 'message')} AS DirectUser,
-               '' AS DirectDatabase, '' AS DirectHost
+               '' AS DirectDatabase, '' AS DirectHost{bsel}
         FROM bronze b WHERE {CAT} AND {AUDIT} AND {CLIENT} AND {S.has_any('message', P.CATALOG_TERMS)}) a)"""
     g = f"""g AS (
-  SELECT LogicalServerName, processId, count(*) AS SystemTableQueries,
+  SELECT LogicalServerName, processId{bgrp}, count(*) AS SystemTableQueries,
     {S.set_n('SystemTable', None)} AS TablesScanned, count(DISTINCT SystemTable) AS UniqueSystemTables,
     min({TS}) AS FirstQuery, max({TS}) AS LastQuery, max(FinalUser) AS "User"
-  FROM j GROUP BY LogicalServerName, processId HAVING count(*) > {threshold})"""
+  FROM j GROUP BY LogicalServerName, processId{bgrp} HAVING count(*) > {threshold})"""
     return with_bronze(*_enriched(ev, "FinalUser <> 'azuresu'", auth_only=True), g) + f"""
 SELECT LastQuery AS TimeGenerated, 'Deep Schema Enumeration' AS AnomalyType,
   {S.severity('SystemTableQueries', high, critical)} AS Severity,
@@ -919,3 +925,19 @@ def privilege_escalation_stream_sql():
     sql = privilege_escalation_sql()
     sql = _drop_last_select_col(sql, ", " + arr('SampleQueries') + " AS SampleQueries")
     return _closed_by_watermark(sql)
+
+
+def exfiltration_stream_sql():
+    sql = exfiltration_sql(bucket_secs=DAY)
+    sql = _drop_last_select_col(sql, """,
+  COALESCE(array_to_string(TablesAccessed, ', '), '') AS TablesAccessed,
+  COALESCE(array_to_string(SampleQueries, ' ||| '), '') AS SampleQueries""")
+    return _closed_by_watermark(sql)
+
+
+def cross_schema_recon_stream_sql():
+    return _closed_by_watermark(cross_schema_recon_sql(bucket_secs=DAY))
+
+
+def deep_schema_enum_stream_sql():
+    return _closed_by_watermark(deep_schema_enum_sql(bucket_secs=DAY))

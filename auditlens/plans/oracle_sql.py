@@ -33,6 +33,9 @@ def oracle_sql() -> dict[str, str]:
         "error_spike_stream": O.error_spike_stream_sql(),
         "destructive_ops_stream": O.destructive_ops_stream_sql(),
         "privilege_escalation_stream": O.privilege_escalation_stream_sql(),
+        "exfiltration_stream": O.exfiltration_stream_sql(),
+        "cross_schema_recon_stream": O.cross_schema_recon_stream_sql(),
+        "deep_schema_enum_stream": O.deep_schema_enum_stream_sql(),
         "user_metric_stream": O.user_metric_stream_sql(),
         "quick_all": O.quick_all_sql(),
         "auth_error_diagnostics": O.auth_error_diagnostics_sql(),

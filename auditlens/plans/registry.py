@@ -168,11 +168,18 @@ def _detector_stream(kind: str):
         from auditlens.streaming import detector_stream as DS
         from auditlens.streaming.sources import bronze_stream
         fn = {"error_spike_stream": DS.error_spike_stream, "destructive_ops_stream": DS.destructive_ops_stream,
-              "privilege_escalation_stream": DS.privilege_escalation_stream}[kind]
+              "privilege_escalation_stream": DS.privilege_escalation_stream,
+              "cross_schema_recon_stream": DS.cross_schema_recon_stream,
+              "deep_schema_enum_stream": DS.deep_schema_enum_stream,
+              "exfiltration_stream": DS.exfiltration_stream}[kind]
         shared_dir(spark)
-        sessions = session_info(load_bronze(spark, sf_dir), lookback=None).checkpoint(eager=True)
+        auth = kind in ("cross_schema_recon_stream", "deep_schema_enum_stream")
+        from auditlens.operators.sessions import CONN_TERMS_ALL, CONN_TERMS_AUTHORIZED
+        sessions = session_info(load_bronze(spark, sf_dir), lookback=None,
+                                terms=CONN_TERMS_AUTHORIZED if auth else CONN_TERMS_ALL).checkpoint(eager=True)
         s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
-        out = _run_stream(fn(s, sessions, bucket="1d", watermark="10 minutes"), spark, kind)
+        win = {"window": ("1d", None)} if kind == "exfiltration_stream" else {"bucket": "1d"}
+        out = _run_stream(fn(s, sessions, watermark="10 minutes", **win), spark, kind)
         return display(out.withColumn("TimeGenerated", F.col("TimeGenerated").cast("timestamp_ntz")))
     run.__name__ = kind
     return run
@@ -256,7 +263,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 "session_asof": _session_asof})
     out["metric_stream"] = _metric_stream
     out["error_metric_stream"] = _error_metric_stream
-    for k in ("error_spike_stream", "destructive_ops_stream", "privilege_escalation_stream"):
+    for k in ("error_spike_stream", "destructive_ops_stream", "privilege_escalation_stream",
+              "cross_schema_recon_stream", "deep_schema_enum_stream", "exfiltration_stream"):
         out[k] = _detector_stream(k)
     out["user_metric_stream"] = _user_metric_stream
     out["quick_all"] = _quick_all

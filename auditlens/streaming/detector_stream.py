@@ -1,4 +1,4 @@
-"""Streaming detectors with session enrichment (D2, D3, D4 in Structured Streaming).
+"""Streaming detectors with session enrichment (D1-D6 in Structured Streaming).
 
 Each detector reuses the batch detector's row preparation (filters, field
 extraction, session join) on the stream -- with its filters kept above the
@@ -83,3 +83,45 @@ def privilege_escalation_stream(stream: DataFrame, sessions: DataFrame, *, bucke
         severity("PrivilegeOpsCount", high, critical).alias("Severity"),
         F.col(SRV).alias("ServerName"), "User", "PrivilegeOpsCount", "Operations", "LogTypes",
         _window_text("FirstOp", "LastOp").alias("TimeWindow"))
+
+
+def exfiltration_stream(stream: DataFrame, sessions: DataFrame, *, window=("5m", "1m"), watermark="10 minutes",
+                        threshold=15, high=30, critical=50) -> DataFrame:
+    """Reads per backend session over a sliding window ("last 5 minutes,
+    re-evaluated every minute"); ``window=(size, None)`` is tumbling."""
+    from auditlens.functions.timefn import hms
+    from auditlens.operators.detectors import exfiltration_rows
+    df = exfiltration_rows(stream.withWatermark(TS, watermark), sessions=sessions, wrap=above_watermark)
+    size, slide = window
+    win = F.window(TS, duration(size), duration(slide)) if slide else F.window(TS, duration(size))
+    agg = df.groupBy(SRV, "backend_type", "processId", win.alias("w")).agg(
+        F.count(F.lit(1)).alias("SelectCount"), F.min(TS).alias("FirstSeen"), F.max(TS).alias("LastSeen"),
+        *_users())
+    agg = agg.where(F.col("SelectCount") > threshold)
+    return agg.select(
+        F.col("LastSeen").alias("TimeGenerated"), F.lit("Potential Data Exfiltration").alias("AnomalyType"),
+        severity("SelectCount", high, critical).alias("Severity"),
+        F.col(SRV).alias("ServerName"), "User", "Database", "SourceHost",
+        F.col("backend_type").alias("BackendType"), F.col("processId").alias("ProcessID"), "SelectCount",
+        F.concat(hms("FirstSeen"), F.lit(" - "), hms("LastSeen")).alias("TimeWindow"))
+
+
+def cross_schema_recon_stream(stream: DataFrame, sessions: DataFrame, *, bucket="10m", watermark="10 minutes",
+                              threshold=4, high=5, critical=8, literal=False) -> DataFrame:
+    """D5, exact: distinct counts are sizes of catalog-bounded sets."""
+    from auditlens.operators.detectors import cross_schema_aggs, cross_schema_output, cross_schema_rows
+    df = cross_schema_rows(stream.withWatermark(TS, watermark), sessions=sessions, literal=literal,
+                           wrap=above_watermark)
+    agg = df.groupBy(SRV, "processId", F.window(TS, duration(bucket)).alias("w")).agg(
+        *cross_schema_aggs(streaming=True))
+    return cross_schema_output(agg, threshold, high, critical)
+
+
+def deep_schema_enum_stream(stream: DataFrame, sessions: DataFrame, *, bucket="5m", watermark="10 minutes",
+                            threshold=10, high=15, critical=30, multi_table=5) -> DataFrame:
+    """D6, exact (the set of system-table labels has 12 members)."""
+    from auditlens.operators.detectors import deep_enum_aggs, deep_enum_output, deep_enum_rows
+    df = deep_enum_rows(stream.withWatermark(TS, watermark), sessions=sessions, wrap=above_watermark)
+    agg = df.groupBy(SRV, "processId", F.window(TS, duration(bucket)).alias("w")).agg(
+        *deep_enum_aggs(streaming=True))
+    return deep_enum_output(agg, threshold, high, critical, multi_table)

@@ -97,3 +97,43 @@ def test_streaming_error_spike_with_session_user(spark, mk):
     q.awaitTermination()
     got = [(r.ErrorCount, r.Severity, r.User, r.ErrorCodes) for r in spark.read.parquet(out).collect()]
     assert got == [(23, "CRITICAL", "carol", ["42P01"])]
+
+
+def _run_detector_stream(spark, folder, df_stream):
+    out, ck = os.path.join(folder, "out"), os.path.join(folder, "ck")
+    q = (df_stream.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return spark.read.parquet(out).collect()
+
+
+def test_streaming_exfiltration_sliding_window(spark, mk):
+    from auditlens.operators.sessions import session_info
+    from auditlens.streaming.detector_stream import exfiltration_stream
+    folder = tempfile.mkdtemp(prefix="al-d1-")
+    rows = [row(T0 - dt.timedelta(minutes=5), conn("alice"), pid=5)]
+    rows += [row(T0 + dt.timedelta(seconds=1.5 * i), audit(i, "READ", "SELECT", "TABLE", "a.b", "q"), pid=5)
+             for i in range(20)]
+    rows += [row(T0 + dt.timedelta(minutes=30), conn("zed"), pid=6)]          # advances the watermark
+    spark.createDataFrame(rows, BRONZE_SCHEMA).coalesce(1).write.json(os.path.join(folder, "in", "f0"))
+    s = bronze_stream(spark, os.path.join(folder, "in", "*"), fmt="json")
+    got = _run_detector_stream(spark, folder, exfiltration_stream(s, session_info(mk(rows), lookback=None)))
+    # 20 reads within 30 s fall into the 5 overlapping 5-minute windows that cover them
+    assert sorted((r.SelectCount, r.Severity, r.User) for r in got) == [(20, "MEDIUM", "alice")] * 5
+
+
+def test_streaming_deep_schema_enum(spark, mk):
+    from auditlens.operators.sessions import CONN_TERMS_AUTHORIZED, session_info
+    from auditlens.streaming.detector_stream import deep_schema_enum_stream
+    folder = tempfile.mkdtemp(prefix="al-d6-")
+    cats = ["pg_catalog.pg_tables", "pg_catalog.pg_class", "pg_catalog.pg_attribute", "pg_catalog.pg_proc",
+            "pg_catalog.pg_type", "information_schema.tables", "information_schema.columns"]
+    rows = [row(T0 - dt.timedelta(minutes=5), conn("eve"), pid=9)]
+    rows += [row(T0 + dt.timedelta(seconds=10 * i), audit(i, "READ", "SELECT", "", "", f"SELECT * FROM {cats[i % 7]}"),
+                 pid=9) for i in range(20)]
+    rows += [row(T0 + dt.timedelta(minutes=30), conn("zed"), pid=6)]
+    spark.createDataFrame(rows, BRONZE_SCHEMA).coalesce(1).write.json(os.path.join(folder, "in", "f0"))
+    s = bronze_stream(spark, os.path.join(folder, "in", "*"), fmt="json")
+    sessions = session_info(mk(rows), lookback=None, terms=CONN_TERMS_AUTHORIZED, fields=("User",))
+    got = _run_detector_stream(spark, folder, deep_schema_enum_stream(s, sessions))
+    assert [(r.SystemTableQueries, r.UniqueSystemTables, r.Severity, r.User) for r in got] == [(20, 7, "HIGH", "eve")]

@@ -377,15 +377,21 @@ def auth_failure_predicate() -> Column:
             | (F.col("sqlerrcode") == "28P01"))
 
 
+def brute_force_rows(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
+    """D7's input rows (shared by the batch and streaming detector)."""
+    w = wrap if wrap is not None else (lambda c: c)
+    df = since(bronze, as_of, lookback).where(w(_is_category(bronze) & auth_failure_predicate()))
+    df = df.withColumns({"UserName": extract(P.USER_RE, "message"),
+                         "ClientHost": extract(P.HOST_RE, "message"),
+                         "DatabaseName": extract(P.DATABASE_RE, "message")})
+    return df.where(w(is_not_empty("ClientHost") | is_not_empty("UserName")))
+
+
 def brute_force(bronze: DataFrame, *, as_of=None, lookback="24h",
                 threshold=5, high=10, critical=20) -> DataFrame:
     """Repeated authentication failures from one client host."""
     as_of = _as_of(bronze, as_of, lookback)
-    df = since(bronze, as_of, lookback).where(_is_category(bronze) & auth_failure_predicate())
-    df = df.withColumns({"UserName": extract(P.USER_RE, "message"),
-                         "ClientHost": extract(P.HOST_RE, "message"),
-                         "DatabaseName": extract(P.DATABASE_RE, "message")})
-    df = df.where(is_not_empty("ClientHost") | is_not_empty("UserName"))
+    df = brute_force_rows(bronze, as_of=as_of, lookback=lookback)
     keys = ["ClientHost"]
     agg = aggregate_with_sets(df, keys, [
         ("FailedAttempts", "count", None), ("FirstAttempt", "min", TS), ("LastAttempt", "max", TS)],

@@ -234,16 +234,18 @@ AUTH_FAIL = (f"({S.contains('message', 'authentication failed')} OR "
              f"{S.contains('message', 'password authentication failed')} OR sqlerrcode = '28P01')")
 
 
-def brute_force_sql(threshold=5, high=10, critical=20):
+def brute_force_sql(threshold=5, high=10, critical=20, bucket_secs=None):
+    bsel = f", {bucket(bucket_secs)} AS Bucket" if bucket_secs else ""
+    bgrp = ", Bucket" if bucket_secs else ""
     return with_bronze(f"""ev AS (
   SELECT * FROM (SELECT b.*, {S.extract(P.USER_RE, 'message')} AS UserName,
                         {S.extract(P.HOST_RE, 'message')} AS ClientHost,
-                        {S.extract(P.DATABASE_RE, 'message')} AS DatabaseName
+                        {S.extract(P.DATABASE_RE, 'message')} AS DatabaseName{bsel}
                  FROM bronze b WHERE {CAT} AND {AUTH_FAIL}) x
   WHERE {S.non_empty('ClientHost')} OR {S.non_empty('UserName')})""", f"""g AS (
-  SELECT ClientHost, count(*) AS FailedAttempts, min({TS}) AS FirstAttempt, max({TS}) AS LastAttempt,
+  SELECT ClientHost{bgrp}, count(*) AS FailedAttempts, min({TS}) AS FirstAttempt, max({TS}) AS LastAttempt,
     {S.set_n('UserName', 10)} AS Users, {S.set_n('DatabaseName', 5)} AS Databases
-  FROM ev GROUP BY ClientHost HAVING count(*) > {threshold})""") + f"""
+  FROM ev GROUP BY ClientHost{bgrp} HAVING count(*) > {threshold})""") + f"""
 SELECT LastAttempt AS TimeGenerated, 'Brute Force Authentication' AS AnomalyType,
   {S.severity('FailedAttempts', high, critical)} AS Severity, 'Multiple' AS ServerName,
   ClientHost AS SourceHost, FailedAttempts, {arr('Users')} AS Users, {arr('Databases')} AS Databases,
@@ -941,3 +943,9 @@ def cross_schema_recon_stream_sql():
 
 def deep_schema_enum_stream_sql():
     return _closed_by_watermark(deep_schema_enum_sql(bucket_secs=DAY))
+
+
+def brute_force_stream_sql():
+    sql = brute_force_sql(bucket_secs=DAY)
+    sql = _drop_last_select_col(sql, " " + arr('Users') + " AS Users, " + arr('Databases') + " AS Databases,")
+    return _closed_by_watermark(sql)

@@ -36,6 +36,7 @@ def oracle_sql() -> dict[str, str]:
         "exfiltration_stream": O.exfiltration_stream_sql(),
         "cross_schema_recon_stream": O.cross_schema_recon_stream_sql(),
         "deep_schema_enum_stream": O.deep_schema_enum_stream_sql(),
+        "brute_force_stream": O.brute_force_stream_sql(),
         "user_metric_stream": O.user_metric_stream_sql(),
         "quick_all": O.quick_all_sql(),
         "auth_error_diagnostics": O.auth_error_diagnostics_sql(),

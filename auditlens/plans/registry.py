@@ -171,7 +171,8 @@ def _detector_stream(kind: str):
               "privilege_escalation_stream": DS.privilege_escalation_stream,
               "cross_schema_recon_stream": DS.cross_schema_recon_stream,
               "deep_schema_enum_stream": DS.deep_schema_enum_stream,
-              "exfiltration_stream": DS.exfiltration_stream}[kind]
+              "exfiltration_stream": DS.exfiltration_stream,
+              "brute_force_stream": lambda st, _sessions, **kw: DS.brute_force_stream(st, **kw)}[kind]
         shared_dir(spark)
         auth = kind in ("cross_schema_recon_stream", "deep_schema_enum_stream")
         from auditlens.operators.sessions import CONN_TERMS_ALL, CONN_TERMS_AUTHORIZED
@@ -264,7 +265,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["metric_stream"] = _metric_stream
     out["error_metric_stream"] = _error_metric_stream
     for k in ("error_spike_stream", "destructive_ops_stream", "privilege_escalation_stream",
-              "cross_schema_recon_stream", "deep_schema_enum_stream", "exfiltration_stream"):
+              "cross_schema_recon_stream", "deep_schema_enum_stream", "exfiltration_stream",
+              "brute_force_stream"):
         out[k] = _detector_stream(k)
     out["user_metric_stream"] = _user_metric_stream
     out["quick_all"] = _quick_all

@@ -1,4 +1,4 @@
-"""Streaming detectors with session enrichment (D1-D6 in Structured Streaming).
+"""Streaming detectors (D1-D7 in Structured Streaming; D1-D6 session-enriched).
 
 Each detector reuses the batch detector's row preparation (filters, field
 extraction, session join) on the stream -- with its filters kept above the
@@ -125,3 +125,22 @@ def deep_schema_enum_stream(stream: DataFrame, sessions: DataFrame, *, bucket="5
     agg = df.groupBy(SRV, "processId", F.window(TS, duration(bucket)).alias("w")).agg(
         *deep_enum_aggs(streaming=True))
     return deep_enum_output(agg, threshold, high, critical, multi_table)
+
+
+def brute_force_stream(stream: DataFrame, *, bucket="1h", watermark="10 minutes",
+                       threshold=5, high=10, critical=20) -> DataFrame:
+    """Failed authentications per client host and window. The per-host
+    user/database lists are left out: an attack can spray any number of
+    user names, so they would be unbounded state."""
+    from auditlens.functions.timefn import hms
+    from auditlens.operators.detectors import brute_force_rows
+    df = brute_force_rows(stream.withWatermark(TS, watermark), wrap=above_watermark)
+    agg = df.groupBy("ClientHost", F.window(TS, duration(bucket)).alias("w")).agg(
+        F.count(F.lit(1)).alias("FailedAttempts"), F.min(TS).alias("FirstAttempt"),
+        F.max(TS).alias("LastAttempt"))
+    agg = agg.where(F.col("FailedAttempts") > threshold)
+    return agg.select(
+        F.col("LastAttempt").alias("TimeGenerated"), F.lit("Brute Force Authentication").alias("AnomalyType"),
+        severity("FailedAttempts", high, critical).alias("Severity"), F.lit("Multiple").alias("ServerName"),
+        F.col("ClientHost").alias("SourceHost"), "FailedAttempts",
+        F.concat(hms("FirstAttempt"), F.lit(" - "), hms("LastAttempt")).alias("TimeWindow"))

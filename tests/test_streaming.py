@@ -137,3 +137,15 @@ def test_streaming_deep_schema_enum(spark, mk):
     sessions = session_info(mk(rows), lookback=None, terms=CONN_TERMS_AUTHORIZED, fields=("User",))
     got = _run_detector_stream(spark, folder, deep_schema_enum_stream(s, sessions))
     assert [(r.SystemTableQueries, r.UniqueSystemTables, r.Severity, r.User) for r in got] == [(20, 7, "HIGH", "eve")]
+
+
+def test_streaming_brute_force(spark):
+    from auditlens.streaming.detector_stream import brute_force_stream
+    folder = tempfile.mkdtemp(prefix="al-d7-")
+    rows = [row(T0 + dt.timedelta(seconds=3 * i), 'password authentication failed for user "bob" host=10.0.0.9',
+                level="FATAL", code="28P01", pid=100 + i, backend="") for i in range(20)]
+    rows += [row(T0 + dt.timedelta(hours=2), conn("zed"), pid=6)]            # advances the watermark
+    spark.createDataFrame(rows, BRONZE_SCHEMA).coalesce(1).write.json(os.path.join(folder, "in", "f0"))
+    s = bronze_stream(spark, os.path.join(folder, "in", "*"), fmt="json")
+    got = _run_detector_stream(spark, folder, brute_force_stream(s))
+    assert [(r.SourceHost, r.FailedAttempts, r.Severity) for r in got] == [("10.0.0.9", 20, "HIGH")]

@@ -19,9 +19,36 @@ ENGINE_CONF = {
 }
 
 
-def apply_engine_conf(spark: SparkSession) -> SparkSession:
-    """Set the runtime settings above on an existing session (idempotent)."""
-    for k, v in ENGINE_CONF.items():
+# Settings for a large cluster (~100 TB of logs, ~1000 executors); all are
+# runtime SQL settings, applied with ``apply_engine_conf(spark, cluster=True)``.
+CLUSTER_CONF = {
+    # ~256 MB scan splits: 100 TB -> ~400k scan tasks, each well inside memory
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    # AQE sizes shuffle partitions from measured bytes; start high, coalesce down
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # session lookups are broadcast only when their measured size is below this
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # a backend or host holding a third of the rows is split by AQE
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    # streaming state (windows x servers x users) off-heap, incremental checkpoints
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def apply_engine_conf(spark: SparkSession, cluster: bool = False) -> SparkSession:
+    """Set the runtime settings above on an existing session (idempotent).
+
+    ``cluster=True`` adds :data:`CLUSTER_CONF` (set it before the first
+    streaming query of a checkpoint: the state store provider and the
+    shuffle partition count are fixed per checkpoint).
+    """
+    conf = dict(ENGINE_CONF, **(CLUSTER_CONF if cluster else {}))
+    for k, v in conf.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     return spark

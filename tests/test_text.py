@@ -58,3 +58,33 @@ def test_regexp_extract_unmatched_is_empty_null_is_null(spark):
     df = spark.createDataFrame([("no user here",), (None,)], "m string")
     out = [r.u for r in df.select(F.regexp_extract("m", r"user=([^\s,]+)", 1).alias("u")).collect()]
     assert out == ["", None]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+WORDS = ["GRANT", "granted", "SELECT", "select1", ",READ,", "ALTER ROLE", "pg_catalog", "x", " ", ",", "_", "(", "."]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.lists(st.sampled_from(WORDS), max_size=8).map("".join), min_size=1, max_size=40))
+def test_has_any_pretest_never_changes_the_result(spark, texts):
+    terms = ("GRANT", "SELECT", ",READ,", "ALTER ROLE", "pg_catalog")
+    df = spark.createDataFrame([(t,) for t in texts], "m string")
+    got = [(r.a, r.b) for r in df.select(has_any("m", terms).alias("a"),
+                                         F.col("m").rlike(term_regex(terms)).alias("b")).collect()]
+    assert all(a == b for a, b in got)
+
+
+def test_cluster_profile_applies(spark):
+    from auditlens.config import CLUSTER_CONF, ENGINE_CONF, apply_engine_conf
+    saved = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        apply_engine_conf(spark, cluster=True)
+        assert all(spark.conf.get(k) == v for k, v in {**ENGINE_CONF, **CLUSTER_CONF}.items())
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

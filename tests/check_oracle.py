@@ -15,6 +15,21 @@ import __spark_entry__ as E  # noqa: E402
 from auditlens import get_spark  # noqa: E402
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN",
+                 "date": "DATE"}
+
+
+def spark_types(df):
+    return {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+            for f in df.schema.fields}
+
+
+def duck_types(con, sql):
+    rel = con.sql(sql)
+    return {n: str(t) for n, t in zip(rel.columns, rel.types)}
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:]
@@ -35,10 +50,11 @@ def main():
             print(f"{k:28s} ORACLE ERROR {ex}")
             bad += 1
             continue
-        ok = a == b
+        types_ok = spark_types(df) == duck_types(con, sql[k])
+        ok = a == b and types_ok
         bad += not ok
         print(f"{k:28s} rows={a[0]:6d}/{b[0]:6d} cols={'ok' if a[1] == b[1] else 'DIFF'} "
-              f"hash={'ok' if a[2] == b[2] else 'DIFF'} {time.time()-t:.1f}s")
+              f"types={'ok' if types_ok else 'DIFF'} hash={'ok' if a[2] == b[2] else 'DIFF'} {time.time()-t:.1f}s")
         if a[1] != b[1]:
             print("   spark:", a[1], "\n   duck: ", b[1])
         elif not ok:

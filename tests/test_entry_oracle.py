@@ -27,5 +27,7 @@ def con():
 
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, key):
+    from check_oracle import duck_types, spark_types
     df = E.queries()[key](spark, SF)
     assert spark_digest(df) == duck_digest(con, E.oracle_sql()[key])
+    assert spark_types(df) == duck_types(con, E.oracle_sql()[key])

@@ -88,3 +88,17 @@ def test_cluster_profile_applies(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_datetime_text_same_on_both_engines(spark):
+    import datetime as dt
+
+    from auditlens.functions.timefn import hms, iso_datetime_text
+    from auditlens.plans import sqltext as S
+    ts = [dt.datetime(2024, 1, 1, 0, 0, 7, 179575), dt.datetime(2024, 12, 31, 23, 59, 59, 0)]
+    df = spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz")
+    got = [(r.a, r.b) for r in df.select(iso_datetime_text("t").alias("a"), hms("t").alias("b")).collect()]
+    con = duckdb.connect()
+    want = [tuple(con.execute(f"SELECT {S.iso_datetime_text('?::TIMESTAMP')}, {S.hms('?::TIMESTAMP')}",
+                              [t, t]).fetchall()[0]) for t in ts]
+    assert got == want == [("2024-01-01T00:00:07.1795750Z", "00:00:07"), ("2024-12-31T23:59:59.0000000Z", "23:59:59")]

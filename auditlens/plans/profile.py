@@ -7,6 +7,12 @@ and, for the detectors, widen only the window: the thresholds stay the
 reference's. Dashboard tiles keep the reference's bins. The true windows
 and thresholds are the functions' defaults and are covered by the pytest
 scenarios.
+
+The registered streaming queries replay the stored log through Structured
+Streaming with the same thresholds, one-day windows (a stream needs
+event-time windows; D1's sliding 5-minute window is the library default)
+and a 10-minute watermark, so they equal the batch results for every
+window the watermark has closed.
 """
 
 HUNT = {

@@ -15,11 +15,12 @@
 5. *Components* of the confirmed links (alternating large and small stars, a
    written table per round).
 6. *What stars can miss.* A bucket whose nodes lie in two or more components is
-   looked at again: pairs across its components, in small buckets directly; in
-   a bucket over ``small`` nodes the nodes are regrouped by their rarest
-   shingles (prefix filter: sets that reach the threshold share one of the
-   first ``n - ceil(percent * n / 100) + 1`` shingles in order of frequency),
-   which is exact and leaves common passages out. Nothing is capped.
+   looked at again, across its components. Shingles that only one of these
+   nodes has are taken out; a node left with too few links with nothing (texts
+   that share a passage and no more go here). The rest are compared by a bound
+   that loses no link: two sets share at most the sum, over hash classes, of
+   the smaller count. Pairs within the bound go through 3 and 4. A large bucket
+   is compared in pairs of blocks, spread over tasks. Nothing is capped.
 
 A pair of exactly the threshold similarity is missed by all bands with
 probability ``(1 - 0.85 ** 5) ** 25``, under one in two million.
@@ -41,12 +42,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from auditlens.llm.common import WordHasher, byte_views, materialise, mix64, random_words, shingles
 
 K, B, ROWS, BANDS = 128, 8, 5, 25
 SHINGLE, PERCENT, SIGMAS = 5, 85, 6
+#: Hash classes of the histograms, and nodes in a block of a large bucket.
+CLASSES, BLOCK = 128, 512
 
 
 class Signer:
@@ -175,42 +177,105 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
             .select("a", "b", "ia", "ib").mapInArrow(_confirm_batches, "a long, b long"))
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """Pairs of nodes of one bucket (key) that lie in different components."""
-    x, y = rows.alias("x"), rows.alias("y")
-    return (x.join(y, F.expr("x.key = y.key AND x.node > y.node AND x.comp <> y.comp"))
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        items = [np.frombuffer(x.tobytes(), np.int64) for x in byte_views(batch.column(1))]
+        if items:
+            nodes = np.repeat(batch.column(0).to_numpy(), [len(x) for x in items])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(items))], ["node", "token"])
+
 
+def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Histograms of the shingles that some other node has too, over CLASSES
+    hash classes; nodes too much of which is theirs alone go."""
+    for batch in batches:
+        node, size, histogram = [], [], []
+        for i, items, alone in zip(batch.column(0).to_pylist(), byte_views(batch.column(1)), batch.column(2).to_pylist()):
+            items = np.frombuffer(items.tobytes(), np.uint64)
+            rest = np.setdiff1d(items, np.array(alone or [], np.int64).view(np.uint64), assume_unique=True)
+            if 100 * len(rest) >= PERCENT * len(items):
+                node.append(i)
+                size.append(len(items))
+                counts = np.bincount((rest % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES)
+                histogram.append(counts.astype(np.uint32).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(histogram, pa.binary())],
+            ["node", "size", "histogram"])
+
+
+def _compare(left: int, right: int, block: np.ndarray, node: np.ndarray, comp: np.ndarray, size: np.ndarray,
+             histogram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs across components that could reach the threshold: two sets share at
+    most the sum of the smaller class counts."""
+    a, b = [], []
+    other = np.flatnonzero(block == right)
+    for x in np.flatnonzero(block == left):
+        y = other[comp[other] != comp[x]]
+        if left == right:
+            y = y[y > x]
+        both = np.minimum(histogram[y], histogram[x]).sum(axis=1, dtype=np.int64)
+        y = y[100 * both >= PERCENT * (size[y] + size[x] - both)]
+        a.append(np.maximum(node[y], node[x]))
+        b.append(np.minimum(node[y], node[x]))
+    return np.concatenate(a or [node[:0]]), np.concatenate(b or [node[:0]])
+
+
+def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, left, right): each such run is a pair of blocks."""
+    held: pa.Table | None = None
+
+    def runs(table: pa.Table, last: bool):
+        unit = np.stack([table.column(i).to_numpy() for i in range(3)])
+        edge = np.flatnonzero((unit[:, 1:] != unit[:, :-1]).any(axis=0)) + 1
+        ends = [*edge, table.num_rows] if last else list(edge)
+        columns = [table.column(i).to_numpy() for i in range(1, 7)]
+        packed = table.column(7).combine_chunks()
+        histogram = np.stack(list(byte_views(packed))).view(np.uint32) if table.num_rows else None
+        a, b = [], []
+        for begin, end in zip([0, *ends], ends):
+            left, right, block, node, comp, size = (c[begin:end] for c in columns)
+            x, y = _compare(left[0], right[0], block, node, comp, size, histogram[begin:end])
+            a.append(x)
+            b.append(y)
+        pairs = pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(c) if c else [], pa.int64()) for c in (a, b)], ["a", "b"])
+        return pairs, table.slice(ends[-1] if ends else 0)
 
-def _tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for node, comp, items in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                     byte_views(batch.column(2))):
-            items = np.frombuffer(items.tobytes(), np.int64)
-            n = len(items)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, node)), pa.array(np.full(n, comp)), pa.array(np.full(n, n)), pa.array(items)],
-                ["node", "comp", "n", "key"])
-
-
-def _rarest(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(key, node, comp) for the prefix of each node's shingles, rarest first."""
-    tokens = (nodes.join(sets, "node").select("node", "comp", "items")
-              .mapInArrow(_tokens_of, "node long, comp long, n long, key long"))
-    tokens = materialise(tokens, "rare-shingles")
-    often = tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df"))
-    order = W.partitionBy("node").orderBy("df", "key")
-    prefix = F.expr(f"n - CAST(ceil({PERCENT} * n / 100) AS LONG) + 1")
-    return (tokens.join(often.where("df > 1"), "key").withColumn("alone", F.col("n") - F.count(F.lit(1)).over(
-        W.partitionBy("node"))).withColumn("at", F.row_number().over(order) + F.col("alone"))
-        .where(F.col("at") <= prefix).select("key", "node", "comp"))
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", small: int = 256) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
-
-    small: the size up to which a bucket's components are compared directly.
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+        pairs, held = runs(held, False)
+        yield pairs
+    if held is not None and held.num_rows:
+        yield runs(held, True)[0]
+
+
+def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of one bucket that lie in different components and
+    may reach the threshold.
+
+    Shingles that no other node here has cannot be shared, so they are taken
+    out first; a node that has too many links with nothing. A bucket of many
+    nodes is compared in pairs of blocks, each a unit of work of its own.
     """
+    items = sets.join(mixed.select("node").distinct(), "node")
+    tokens = items.mapInArrow(_token_batches, "node long, token long")
+    alone = (tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+             .groupBy("node").agg(F.collect_list("token").alias("alone")))
+    profiles = materialise(items.join(alone, "node", "left").select("node", "items", "alone").mapInArrow(
+        _profile_batches, "node long, size long, histogram binary"), "profiles")
+    rows = mixed.join(profiles, "node").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    rows = rows.withColumn("with", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    units = rows.select("key", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"),
+                        "block", "node", "comp", "size", "histogram")
+    parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (units.repartition(parts, "key", "left", "right").sortWithinPartitions("key", "left", "right")
+            .mapInArrow(_unit_batches, "a long, b long"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = materialise(texts.mapInArrow(_sign_batches, SIGNED), "signatures")
     classes = signed.where("cls IS NOT NULL AND doc_id IS NOT NULL").groupBy("cls").agg(
@@ -229,15 +294,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     placed = shared.select("key", "node").distinct().join(comps, "node", "left").select(
         "key", "node", F.coalesce("comp", "node").alias("comp"))
-    mixed = (placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo < hi").select("key", "n"))
-    mixed = materialise(placed.join(mixed, "key"), "mixed-buckets")
-    rows = mixed.where(F.col("n") <= small).select("key", "node", "comp")
-    pairs = _across(rows)
-    large = mixed.where(F.col("n") > small).select("node", "comp").distinct()
-    if not large.isEmpty():
-        pairs = pairs.unionByName(_across(_rarest(large, sets)))
-    pairs = pairs.distinct().join(stars, ["a", "b"], "left_anti")
+    several = (placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"),
+                                         F.max("comp").alias("hi")).where("lo < hi").select("key", "n"))
+    mixed = materialise(placed.join(several, "key"), "mixed-buckets")
+    pairs = _across(mixed, sets).distinct().join(stars, ["a", "b"], "left_anti")
     more = materialise(_confirm(pairs, nodes, sets), "more-links")
     if not more.isEmpty():
         comps = components(more.unionByName(comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))))
@@ -250,8 +310,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      F.coalesce(F.col("doc_id") == found, F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group; columns as they were."""
-    found = near_duplicates(docs, id_col, text_col, **options)
+    found = near_duplicates(docs, id_col, text_col)
     gone = materialise(found.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct(), "near-gone")
     return docs.join(gone, id_col, "left_anti")

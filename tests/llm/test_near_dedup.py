@@ -40,8 +40,8 @@ def brute(rows):
     return Counter((i, len(s), None if i is None else root(i), i is None or root(i) == i) for i, s in sets)
 
 
-def got(docs, **o):
-    return Counter(map(tuple, near_duplicates(docs, **o).collect()))
+def got(docs):
+    return Counter(map(tuple, near_duplicates(docs).collect()))
 
 
 def test_brute_force(edge, clashing):
@@ -67,12 +67,13 @@ def chain(n, rng):
     return rows
 
 
-def test_chains_and_passages_in_small_and_large_buckets(spark):
+def test_chains_and_passages_in_small_and_large_buckets(spark, monkeypatch):
     rows = chain(120, random.Random(3))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = brute(rows)
     assert got(docs) == want
-    assert got(docs, small=2) == want  # every mixed bucket goes by rarest shingles
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)  # every mixed bucket goes by pairs of blocks
+    assert got(docs) == want
 
 
 def test_estimate():

@@ -5,9 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from auditlens.llm import exact_dedup, mixing, near_dedup, packing, quality
+from auditlens.llm import (
+    chat,
+    exact_dedup,
+    langid,
+    licenses,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    url_filter,
+    warc,
+)
 from auditlens.llm.common import read_table
 
 
@@ -19,10 +29,22 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read_table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -31,6 +53,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents")).drop("host", "text_key")
 
 
+def op9_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(read_table(spark, sf_dir, "conversations"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -39,8 +69,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_mix_sources, op2_best_fit_packing, op4_minhash_near_dedup,
-        op7_exact_dedup, op8_quality_rules, pipeline)}
+        op1_mix_sources, op2_best_fit_packing, op3_license_scan, op4_minhash_near_dedup, op5_warc_chunks,
+        op6_language_id, op7_exact_dedup, op8_quality_rules, op9_chat_perspectives, op10_url_filter, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

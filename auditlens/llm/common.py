@@ -35,6 +35,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a table of keys is broadcast (some 30 MB in memory).
+BROADCAST_KEYS = 500_000
+
+
+def checked(keys: DataFrame, rows: int = BROADCAST_KEYS) -> DataFrame:
+    """A written table of a few narrow key columns, marked for broadcast if its
+    size, counted now, is at most ``rows``; else left to the join strategy of
+    the session, which shuffles."""
+    return F.broadcast(keys) if keys.count() <= rows else keys
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import fresh, materialise, normalised
+from auditlens.llm.common import checked, fresh, materialise, normalised
 
 KEY = ["sha", "n_bytes", "check"]
 
@@ -88,10 +88,10 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     identifier, or have none, need their text's digest to tell them apart.
     """
     found = materialise(exact_duplicates(docs, id_col, text_col, **options), "exact-found")
-    gone = found.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct()
+    gone = materialise(found.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct(), "exact-gone")
     unclear = materialise(found.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select("doc_id"),
                           "exact-unclear")
-    clear = docs.join(gone, id_col, "left_anti")
+    clear = docs.join(checked(gone), id_col, "left_anti")
     if unclear.isEmpty():
         return clear
     match = F.col(f"d.{id_col}").eqNullSafe(F.col("u.doc_id"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from auditlens.llm.common import fresh, materialise, word_count
+from auditlens.llm.common import checked, fresh, materialise, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
@@ -60,7 +60,7 @@ def sized(docs: DataFrame, id_col="doc_id", source_col="source", text_col="text"
                        F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("skey"),
                        word_count(F.col(text_col)).alias("size"),
                        _shuffled(id_col, text_col, seed).alias("order"))
-    bucket = F.shiftrightunsigned("order", 64 - (BUCKETS - 1).bit_length()).cast("int")
+    bucket = F.shiftright("order", 64 - (BUCKETS - 1).bit_length()).cast("int")
     return materialise(rows.withColumn("bucket", bucket), "sized")
 
 
@@ -184,19 +184,25 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES, id_col="
     return some.select(columns).unionByName(none.select(columns))
 
 
-def mixed_documents(docs: DataFrame, id_col="doc_id", text_col="text", seed: int = 0, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col="doc_id", source_col="source", text_col="text", seed: int = 0,
+                    **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its words were
     taken, to the nearest whole number; columns as they were.
 
-    Rows that repeat both identifier and text share their takings evenly.
+    A source's blocks are taken in turn from the first, so all its documents
+    are taken n or n + 1 times, the more often ones first; one row per source
+    (n and the last hash of those) says it all, and the texts are not shuffled.
     """
-    found = mix(docs, id_col=id_col, text_col=text_col, seed=seed, **options)
-    times = (found.where("size > 0").groupBy("order")
-             .agg((F.sum("taken") / F.sum("size")).alias("passes"))
-             .withColumn("times", F.floor(F.col("passes") + 0.5).cast("int")).where("times > 0"))
-    times = materialise(times.select("order", "times"), "mix-times")
-    order, copies = fresh(docs, "order"), fresh(docs, "times")
-    out = docs.withColumn(order, _shuffled(id_col, text_col, seed)).join(
-        times.select(F.col("order").alias(order), F.col("times").alias(copies)), order)
-    again = fresh(out, "again")
-    return out.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
+    found = mix(docs, id_col=id_col, source_col=source_col, text_col=text_col, seed=seed, **options)
+    times = (found.where("size > 0").withColumn("times", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int"))
+             .groupBy("source", "times").agg(F.max("order").alias("last")))
+    times = times.groupBy("source").agg(
+        F.min("times").alias("least"), F.max("times").alias("most"), F.max_by("last", "times").alias("last"))
+    times = checked(materialise(times, "mix-times"))
+    order, again = fresh(docs, "order"), fresh(docs, "again")
+    out = docs.withColumn(order, _shuffled(id_col, text_col, seed)).alias("d").join(
+        times.alias("t"), F.col(f"d.{source_col}").cast("string").eqNullSafe(F.col("t.source")))
+    copies = F.when(F.col(f"d.{order}") <= F.col("t.last"), F.col("t.most")).otherwise(F.col("t.least"))
+    copies = F.when(word_count(F.col(f"d.{text_col}")) > 0, copies).otherwise(0)
+    every = F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array())
+    return out.select("d.*", F.explode(every).alias(again)).select(*docs.columns)

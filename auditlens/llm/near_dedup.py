@@ -43,7 +43,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import WordHasher, byte_views, materialise, mix64, random_words, shingles
+from auditlens.llm.common import (
+    WordHasher,
+    byte_views,
+    checked,
+    materialise,
+    mix64,
+    random_words,
+    shingles,
+)
 
 K, B, ROWS, BANDS = 128, 8, 5, 25
 SHINGLE, PERCENT, SIGMAS = 5, 85, 6
@@ -285,7 +293,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = nodes.select("node", F.explode("bands").alias("key"))
     leads = bands.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("top")).where("lead < top")
     shared = materialise(bands.join(leads.select("key", "lead"), "key"), "shared-bands")
-    wanted = shared.select("node").distinct()
+    wanted = checked(materialise(shared.select("node").distinct(), "wanted"))
     sets = materialise(texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi")
                        .where("text IS NOT NULL").mapInArrow(_set_batches, "node long, items binary"), "shingle-sets")
     stars = shared.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
@@ -314,4 +322,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one document of each group; columns as they were."""
     found = near_duplicates(docs, id_col, text_col)
     gone = materialise(found.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct(), "near-gone")
-    return docs.join(gone, id_col, "left_anti")
+    return docs.join(checked(gone), id_col, "left_anti")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import WordHasher, byte_views, fresh, materialise, windows
+from auditlens.llm.common import WordHasher, byte_views, checked, fresh, materialise, windows
 
 SYMBOLS = b"#*$%&|<>"
 BLANK = b"\x20\t\n\x0b\x0c\r"
@@ -146,4 +146,4 @@ def drop_low_quality(docs: DataFrame, host_col="source", text_col="text", **opti
     match = (F.col(f"d.{host_col}").cast("string").eqNullSafe(F.col("g.host"))
              & (F.col(f"d.{key}") == F.col("g.text_key")))
     return (docs.withColumn(key, text_key(F.col(text_col))).alias("d")
-            .join(gone.alias("g"), match, "left_anti").select(*docs.columns))
+            .join(checked(gone).alias("g"), match, "left_anti").select(*docs.columns))

@@ -69,8 +69,11 @@ def test_mixed_documents(clashing):
     out = mixing.mixed_documents(clashing)
     assert out.columns == clashing.columns
     times = Counter(r.doc_id for r in out.select("doc_id").collect())
-    assert all(abs(times[i] - n) <= 2 for i, n in found.items())
-    assert abs(sum(times.values()) - sum(found.values())) < 20
+    # a document in two places of the stream, or cut by its source's last block, may differ
+    off = [i for i, n in found.items() if abs(times[i] - n) > 0.5]
+    assert len(off) <= 3 and all(abs(times[i] - found[i]) <= 1.5 for i in off)
+    assert None not in found or times[None] > 0
+    assert times[200] == times[201] == times[202] == 0
 
 
 def test_empty_tables(empty):

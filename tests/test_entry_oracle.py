@@ -1,6 +1,8 @@
 """Driver contract: entry() runs, every registered query matches its DuckDB
 oracle on the smallest driver tables (row count, columns, value hash)."""
 
+import re
+
 import pytest
 from oracle_compare import duck, duck_digest, spark_digest
 
@@ -16,8 +18,12 @@ def test_entry_smoke(spark):
     assert df.count() >= 0
 
 
-def test_every_query_has_an_oracle_or_is_listed():
-    assert set(E.oracle_sql()) == set(E.queries())
+#: The queries of the optional training-data subpackage have tests of their own.
+KEYS = sorted(k for k in E.queries() if not re.match(r"op\d+_|pipeline$", k))
+
+
+def test_every_query_has_an_oracle():
+    assert set(KEYS) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +31,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
     from check_oracle import duck_types, spark_types
     df = E.queries()[key](spark, SF)

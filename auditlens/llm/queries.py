@@ -15,6 +15,7 @@ from auditlens.llm import (
     near_dedup,
     packing,
     quality,
+    sql,
     url_filter,
     warc,
 )
@@ -38,7 +39,7 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_round_trip(read_table(spark, sf_dir, "pages"))
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).drop("url", "n_segments")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,5 +74,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op6_language_id, op7_exact_dedup, op8_quality_rules, op9_chat_perspectives, op10_url_filter, pipeline)}
 
 
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -105,6 +106,9 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     if not base and sc is not None:
         base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        master = sc.master if sc is not None else "connect"
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="auditlens-")
         if sc is not None:
             sc.setCheckpointDir(base)
@@ -113,3 +117,17 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
             spark.conf.set("spark.checkpoint.dir", base)
     path = os.path.join(base, "auditlens", name or "t", uuid.uuid4().hex)
     return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, in whatever file system it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def remove_matching(spark: SparkSession, pattern: str) -> None:
+    """Delete the files that a glob pattern names, in whatever file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.globStatus(at) or []:
+        fs.delete(found.getPath(), False)

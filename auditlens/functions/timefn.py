@@ -41,20 +41,25 @@ def bin_ts(ts: str | Column, span: str | int) -> Column:
     return F.window(col_(ts), duration(span)).start
 
 
-def since(df: DataFrame, as_of, lookback: str | int | None, ts: str = TS) -> DataFrame:
-    """``where ts >= ago(lookback)`` relative to ``as_of``.
+def since(df: DataFrame, as_of, lookback: str | int | None, ts: str = TS, align: str | int | None = None) -> DataFrame:
+    """``where ts >= ago(lookback)`` relative to ``as_of`` (see :func:`resolve_as_of`).
 
-    ``lookback=None`` keeps the whole history. ``as_of`` is a Python
-    datetime (pushed down into the scan as a literal), or a Column.
+    ``lookback=None`` keeps the whole history. A resolved ``as_of`` is a Python
+    datetime, pushed down into the scan as a literal; a Column stays one.
+    ``align`` moves the start down to a whole bin, so that no bin is cut.
     """
     if lookback is None:
         return df
-    if as_of is None:
-        raise ValueError("a lookback needs as_of (use resolve_as_of)")
+    as_of = resolve_as_of(df, as_of, ts)
+    if as_of is None:               # no event time at all
+        return df.where(F.col(ts).isNotNull())
     if isinstance(as_of, Column):
         lower = as_of - F.expr(f"INTERVAL {seconds(lookback)} SECONDS")
-        return df.where(F.col(ts) >= lower)
+        return df.where(F.col(ts) >= (bin_ts(lower, align) if align else lower))
     start = as_of - dt.timedelta(seconds=seconds(lookback))
+    if align:
+        epoch = dt.datetime(1970, 1, 1, tzinfo=start.tzinfo)
+        start -= (start - epoch) % dt.timedelta(seconds=seconds(align))
     out = df.where(F.col(ts) >= F.lit(start).cast(df.schema[ts].dataType))
     part = DATE_PARTITIONS.get(ts)
     if part and part in df.columns:
@@ -64,21 +69,28 @@ def since(df: DataFrame, as_of, lookback: str | int | None, ts: str = TS) -> Dat
 
 
 def resolve_as_of(df: DataFrame, as_of=None, ts: str = TS):
-    """``now()`` for replays: the newest event time (one scalar to the driver).
+    """"Now" as a datetime (or the Column given).
 
-    Live deployments pass ``as_of="now"`` (UTC wall clock). On a date-partitioned
-    bronze table the newest partition is found from the partition column
-    alone, and only that partition's event times are scanned.
+    ``"now"`` is the UTC wall clock (live), a datetime pins it, and None
+    replays: the newest event time, one scalar to the driver. On a table
+    partitioned by date the newest partition is found from the partition
+    column alone, and only that partition's times are scanned. A stream has
+    no newest event, so it needs one of the others.
     """
-    if isinstance(as_of, str) and as_of == "now":
+    if isinstance(as_of, str):
+        if as_of != "now":
+            raise ValueError(f"as_of is a datetime, a Column, 'now' or None, not {as_of!r}")
         return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)   # UTC wall clock
     if as_of is not None:
         return as_of
-    if ts == TS and "event_date" in df.columns:
-        day = df.agg(F.max("event_date")).first()[0]
+    if df.isStreaming:
+        raise ValueError("a lookback over a stream needs as_of")
+    part = DATE_PARTITIONS.get(ts)
+    if part and part in df.columns:
+        day = df.agg(F.max(part)).first()[0]
         if day is None:
             return None
-        return df.where(F.col("event_date") == F.lit(day)).agg(F.max(ts)).first()[0]
+        df = df.where(F.col(part) == F.lit(day))
     return df.agg(F.max(ts)).first()[0]
 
 

@@ -112,8 +112,8 @@ def anomalies_union(bronze: DataFrame, *, as_of=None, params: dict | None = None
     so Catalyst plans each aggregation once (ReusedExchange).
     """
     params = params or {}
-    if as_of is None and _needs_as_of(params, kinds):
-        as_of = resolve_as_of(bronze)
+    if _needs_as_of(params, kinds):
+        as_of = resolve_as_of(bronze, as_of)
     sl = {k: params.get(k, {}).get("session_lookback", "24h") for k in kinds}
     s_all = session_info(bronze, as_of, sl.get("exfiltration", "24h"))
     s_auth = session_info(bronze, as_of, sl.get("cross_schema_recon", "24h"), terms=CONN_TERMS_AUTHORIZED,
@@ -145,15 +145,18 @@ def anomalies_all(bronze: DataFrame, *, as_of=None, params: dict | None = None,
 
 
 def security_kpis(anomalies: DataFrame, bronze: DataFrame, *, as_of=None, lookback="24h",
-                  host_error_rate=10.0) -> DataFrame:
+                  host_error_rate=10.0, auth_threshold=10) -> DataFrame:
     """Security KPIs (long form Kpi, Dimension, Value): anomalies by type and
-    severity, distinct users with anomalies, hosts with error rate above 10 %."""
+    severity, distinct users with anomalies, hosts with error rate above 10 %,
+    and users with more than ``auth_threshold`` authentication failures."""
     from auditlens.config import shared_dir
     from auditlens.operators.dashboards import pct2
 
     # Both KPIs read the anomaly rows: write them once (small, thresholded)
     # instead of running every detector twice.
     shared_dir(anomalies.sparkSession)
+    if lookback is not None:        # the log's newest event, not the feed's
+        as_of = resolve_as_of(bronze, as_of)
     a = since(anomalies, as_of, lookback, ts="TimeGenerated").checkpoint(eager=True)
     by_type = a.groupBy(F.concat_ws(" / ", "AnomalyType", "Severity").alias("Dimension")).agg(
         F.count(F.lit(1)).alias("Value")).select(F.lit("anomalies_by_type_severity").alias("Kpi"),
@@ -168,7 +171,11 @@ def security_kpis(anomalies: DataFrame, bronze: DataFrame, *, as_of=None, lookba
              .where(pct2("e", "n") > host_error_rate)
              .agg(F.count(F.lit(1)).alias("Value"))
              .select(F.lit("hosts_error_rate_over_10pct").alias("Kpi"), F.lit("").alias("Dimension"), "Value"))
-    return by_type.unionByName(users).unionByName(hosts)
+    failed = since(bronze, as_of, lookback).where(D.auth_failure_predicate())
+    failed = (failed.groupBy(extract(P.USER_RE, "message").alias("u")).agg(F.count(F.lit(1)).alias("n"))
+              .where(F.col("n") > auth_threshold).agg(F.count(F.lit(1)).alias("Value"))
+              .select(F.lit("users_auth_failures_over_10").alias("Kpi"), F.lit("").alias("Dimension"), "Value"))
+    return by_type.unionByName(users).unionByName(hosts).unionByName(failed)
 
 
 # ---------------------------------------------------------------- alert rules
@@ -236,8 +243,8 @@ def alert_inputs(bronze: DataFrame, *, as_of=None, windows: dict | None = None,
 
     w = dict(ALERT_WINDOWS)
     w.update(windows or {})
-    if as_of is None and any(lb is not None for lb, _ in w.values()):
-        as_of = resolve_as_of(bronze)
+    if any(lb is not None for lb, _ in w.values()):
+        as_of = resolve_as_of(bronze, as_of)
     cat = F.col("category") == CATEGORY
     audit = flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK)
     client = F.col("backend_type") == P.CLIENT_BACKEND
@@ -309,9 +316,9 @@ def ml_candidates(series_anomalies: DataFrame) -> DataFrame:
 
 def alert_rules(candidates: DataFrame, rules: DataFrame) -> DataFrame:
     """Apply the rule table: fire where MetricValue > Threshold; grade by the
-    rule's HIGH/CRITICAL tiers; attach the action. The rule table has a
-    fixed handful of rows, so it is broadcast."""
-    j = candidates.join(F.broadcast(rules), "RuleName")
+    rule's HIGH/CRITICAL tiers; attach the action. The rule table is the
+    caller's, so its join is left to the measured size."""
+    j = candidates.join(rules, "RuleName")
     j = j.where(F.col("MetricValue") > F.col("Threshold"))
     sev = (F.when(F.col("CriticalAbove").isNotNull() & (F.col("MetricValue") > F.col("CriticalAbove")), "CRITICAL")
            .when(F.col("HighAbove").isNotNull() & (F.col("MetricValue") > F.col("HighAbove")), "HIGH")

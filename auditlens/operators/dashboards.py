@@ -9,13 +9,15 @@ never a full sort.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from auditlens.functions import patterns as P
 from auditlens.functions.text import (contains, contains_any, extract, has_any, is_not_empty,
                                       label_case, severity, trim_chars)
-from auditlens.functions.timefn import TS, bin_ts, day_boundaries, minute_boundaries, since
+from auditlens.functions.timefn import TS, bin_ts, day_boundaries, minute_boundaries, resolve_as_of, since
 from auditlens.operators.detectors import auth_failure_predicate
 from auditlens.sources.bronze import flag
 from auditlens.operators.sets import aggregate_with_sets, join_set, small_set
@@ -188,7 +190,7 @@ def data_freshness(bronze, *, as_of=None, fresh_minutes=5):
     """``as_of=None``: now = newest event (replay), so latency is 0."""
     agg = bronze.agg(F.max(TS).alias("LastEvent"), F.min(TS).alias("FirstEvent"),
                      F.count(F.lit(1)).alias("TotalEvents"))
-    now = F.col("LastEvent") if as_of is None else F.lit(as_of)
+    now = F.col("LastEvent") if as_of is None else F.lit(resolve_as_of(bronze, as_of))
     lat = minute_boundaries(now, "LastEvent")
     return agg.select("LastEvent", "FirstEvent", "TotalEvents",
                       day_boundaries("LastEvent", "FirstEvent").alias("TimeRange"),
@@ -218,7 +220,8 @@ def metrics_status(metrics, *, as_of=None, healthy_minutes=10):
     agg = metrics.groupBy("ServerName").agg(
         F.max("Timestamp").alias("LastUpdate"), F.count(F.lit(1)).alias("TotalRecords"),
         F.avg("ActivityCount").alias("AvgActivity"), F.max("Errors").alias("MaxErrors"))
-    now = F.lit(as_of) if as_of is not None else metrics.select(F.max("Timestamp")).scalar()
+    now = F.lit(resolve_as_of(metrics, as_of, "Timestamp")) if as_of is not None else metrics.select(
+        F.max("Timestamp")).scalar()
     delay = minute_boundaries(now, "LastUpdate")
     return agg.select("ServerName",
                       F.when(delay < healthy_minutes, "Healthy").otherwise("Delayed").alias("Status"),
@@ -282,9 +285,11 @@ def hourly_profile(metrics):
 def active_users_today(bronze, *, as_of=None):
     """Users connected since the start of ``as_of``'s day (default: the
     newest event's day)."""
-    day = (F.lit(as_of) if as_of is not None else bronze.select(F.max(TS)).scalar())
-    df = bronze.where((F.col(TS) >= F.date_trunc("day", day).cast(bronze.schema[TS].dataType))
-                      & flag(bronze, "is_conn") & contains("message", P.CONN_AUTHORIZED))
+    day = resolve_as_of(bronze, as_of)
+    day = day.replace(hour=0, minute=0, second=0, microsecond=0) if isinstance(day, dt.datetime) else day
+    df = since(bronze, day, 0) if isinstance(day, dt.datetime) else bronze.where(
+        F.col(TS) >= F.date_trunc("day", F.lit(day)).cast(bronze.schema[TS].dataType))
+    df = df.where(flag(bronze, "is_conn") & contains("message", P.CONN_AUTHORIZED))
     df = df.withColumns({"UserName": extract(P.USER_RE, "message"),
                          "DatabaseName": extract(P.DATABASE_RE, "message")}).where(is_not_empty("UserName"))
     return df.groupBy("UserName").agg(

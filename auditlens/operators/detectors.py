@@ -33,9 +33,8 @@ SRV = "LogicalServerName"
 
 
 def _as_of(bronze: DataFrame, as_of, *lookbacks):
-    if (as_of is None or as_of == "now") and any(lb is not None for lb in lookbacks):
-        return resolve_as_of(bronze, as_of)
-    return as_of
+    """Resolved once for all lookbacks of a detector."""
+    return resolve_as_of(bronze, as_of) if any(lb is not None for lb in lookbacks) else as_of
 
 
 def _window_text(first: str, last: str) -> Column:
@@ -441,17 +440,16 @@ def brute_force_by_code(bronze: DataFrame, *, as_of=None, lookback="24h",
 
 
 # --------------------------------------------------------------------- D9
-def privilege_offhours(metrics: DataFrame, *, as_of=None, lookback="7d") -> DataFrame:
-    """Privilege changes in the activity metrics, graded by hour and weekday."""
-    if lookback is not None and as_of is None:
-        as_of = resolve_as_of(metrics, ts="Timestamp")
-    df = since(metrics, as_of, lookback, ts="Timestamp").where(F.col("PrivilegeOps") > 0)
+def privilege_offhours(metrics: DataFrame, *, as_of=None, lookback="7d", ops="PrivilegeOps") -> DataFrame:
+    """Privilege changes in the activity metrics, graded by hour and weekday;
+    ``ops="DDLOps"`` grades schema changes the same way."""
+    df = since(metrics, as_of, lookback, ts="Timestamp").where(F.col(ops) > 0)
     h, d = F.col("HourOfDay"), F.col("DayOfWeek")
     midnight = (h < 6) | (h > 22)
     off = (h < 9) | (h > 17)
     weekend = d.isin(0, 6)
     return df.select(
-        "Timestamp", "ServerName", "PrivilegeOps", "HourOfDay", "DayOfWeek",
+        "Timestamp", "ServerName", ops, "HourOfDay", "DayOfWeek",
         F.when(midnight, "Midnight").when(off, "Off-Hours").otherwise("Business Hours").alias("TimeContext"),
         F.when(weekend, "Weekend").otherwise("Weekday").alias("DayContext"),
         F.when(midnight & weekend, "CRITICAL").when(off, "HIGH").otherwise("MEDIUM").alias("Severity"),

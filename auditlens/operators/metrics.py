@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auditlens.config import path_exists, shared_dir
 from auditlens.functions import patterns as P
 from auditlens.functions.text import contains, extract, has_any, is_not_empty, label_case
 from auditlens.functions.timefn import TS, bin_ts, since
@@ -102,31 +103,48 @@ def user_metrics(bronze: DataFrame, *, as_of=None, lookback=None, session_lookba
     return agg.select(*USER_COLS)
 
 
-def set_or_append(spark: SparkSession, df: DataFrame, path: str, keys, date_from: str | None = "Timestamp"
-                  ) -> DataFrame:
-    """``.set-or-append``: create the table, or append only rows whose keys
-    are not in it yet (re-running a backfill is idempotent). The table is
-    partitioned by ``metric_date`` (UTC date of ``date_from``) so lookback
-    filters prune partitions. Returns the table as stored."""
-    from pyspark.errors import AnalysisException
-
-    if date_from:
-        df = df.withColumn("metric_date", F.to_date(date_from))
-    try:
-        existing = spark.read.parquet(path)
-        existing.schema  # noqa: B018  (forces the path check)
-        new = df.join(existing.select(*keys), list(keys), "left_anti")
-    except AnalysisException:
-        new = df
-    w = new.write.mode("append")
-    if date_from:
-        w = w.partitionBy("metric_date")
-    w.parquet(path)
+def set_or_append(spark: SparkSession, df: DataFrame, path: str, keys, date_from: str = "Timestamp") -> DataFrame:
+    """``.set-or-append``: create the table, or bring it up to date.
+
+    The table is partitioned by ``metric_date`` (UTC date of ``date_from``), so
+    lookback filters prune partitions. Rows of ``df`` replace stored rows of
+    the same keys, so a bucket that was half full when it was first written
+    is corrected; only the dates that ``df`` touches are read and rewritten,
+    and re-running a backfill changes nothing. Returns the table as stored.
+    """
+    df = df.withColumn("metric_date", F.to_date(date_from))
+    if path_exists(spark, path):
+        staged = shared_dir(spark, "set-or-append")
+        df.write.partitionBy("metric_date").parquet(staged)
+        new = spark.read.schema(df.schema).parquet(staged)
+        old = spark.read.parquet(path).join(new.select("metric_date").distinct(), "metric_date", "left_semi")
+        kept = old.join(new.select(*keys), list(keys), "left_anti")
+        merged = shared_dir(spark, "set-or-append")
+        new.unionByName(kept.select(*new.columns)).write.partitionBy("metric_date").parquet(merged)
+        df = spark.read.schema(df.schema).parquet(merged)
+    (df.repartitionByRange("metric_date", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("metric_date").parquet(path))
     return spark.read.parquet(path)
 
 
-def activity_backfill(spark: SparkSession, bronze: DataFrame, path: str, *, as_of=None,
-                      lookback="30d") -> DataFrame:
-    """Initial history load of the activity table (same transform as I6)."""
-    return set_or_append(spark, activity_metrics(bronze, as_of=as_of, lookback=lookback),
-                         path, ["ServerName", "Timestamp", "HourOfDay", "DayOfWeek"])
+def activity_backfill(spark: SparkSession, bronze: DataFrame, path: str, *, as_of=None, lookback="30d",
+                      bucket="5m") -> DataFrame:
+    """Initial history load of the activity table (same transform as I6), from
+    the start of a whole bucket on."""
+    rows = activity_metrics(since(bronze, as_of, lookback, align=bucket), bucket=bucket)
+    return set_or_append(spark, rows, path, ["ServerName", "Timestamp", "HourOfDay", "DayOfWeek"])
+
+
+def error_backfill(spark: SparkSession, bronze: DataFrame, path: str, *, as_of=None, lookback="30d",
+                   bucket="1m") -> DataFrame:
+    """Initial history load of the error table (same transform as I8)."""
+    rows = error_metrics(since(bronze, as_of, lookback, align=bucket), bucket=bucket)
+    return set_or_append(spark, rows, path, ["ServerName", "Timestamp"])
+
+
+def user_backfill(spark: SparkSession, bronze: DataFrame, path: str, *, as_of=None, lookback="30d",
+                  bucket="1h") -> DataFrame:
+    """Initial history load of the user table (same transform as I9)."""
+    log = since(bronze, as_of, lookback, align=bucket)
+    rows = user_metrics(log, session_lookback=None, bucket=bucket)
+    return set_or_append(spark, rows, path, ["UserName", "ServerName", "Timestamp"])

@@ -36,8 +36,6 @@ DEFAULT_PERIODS = (12, 288, 2016)
 def make_series(metrics: DataFrame, *, as_of=None, lookback="7d", step="5m", value="ActivityCount",
                 by="ServerName", ts="Timestamp") -> DataFrame:
     """(by, ts, idx, v): ``make-series sum(value) default=0 on ts step s by key``."""
-    if lookback is not None and as_of is None:
-        as_of = resolve_as_of(metrics, ts=ts)
     df = since(metrics, as_of, lookback, ts=ts).where(is_not_empty(by))
     s = df.groupBy(by, bin_ts(ts, step).alias(ts)).agg(F.sum(value).cast("long").alias("v"))
     lo = s.select(F.min(ts)).scalar()
@@ -119,8 +117,8 @@ def decompose(series: DataFrame, *, threshold=1.5, periods=DEFAULT_PERIODS, min_
 def series_anomalies(metrics: DataFrame, *, as_of=None, lookback="7d", report="1h", step="5m",
                      threshold=1.5, ts="Timestamp") -> DataFrame:
     """Flagged points of the activity series inside the report window."""
-    if (lookback is not None or report is not None) and as_of is None:
-        as_of = resolve_as_of(metrics, ts=ts)
+    if lookback is not None or report is not None:
+        as_of = resolve_as_of(metrics, as_of, ts)
     s = make_series(metrics, as_of=as_of, lookback=lookback, step=step, ts=ts)
     dec = decompose(s, threshold=threshold)
     dec = dec.where(F.col("anomalies") != 0)

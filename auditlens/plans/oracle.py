@@ -291,16 +291,16 @@ def activity_cte(bucket_secs=300):
   GROUP BY LogicalServerName, {bucket(bucket_secs)}, CAST(hour({TS}) AS INTEGER), CAST(dayofweek({TS}) AS INTEGER))"""
 
 
-def privilege_offhours_sql():
-    return with_bronze(activity_cte()) + """
-SELECT "Timestamp", ServerName, PrivilegeOps, HourOfDay, DayOfWeek,
+def privilege_offhours_sql(ops="PrivilegeOps"):
+    return with_bronze(activity_cte()) + f"""
+SELECT "Timestamp", ServerName, {ops}, HourOfDay, DayOfWeek,
   CASE WHEN HourOfDay < 6 OR HourOfDay > 22 THEN 'Midnight'
        WHEN HourOfDay < 9 OR HourOfDay > 17 THEN 'Off-Hours' ELSE 'Business Hours' END AS TimeContext,
   CASE WHEN DayOfWeek IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS DayContext,
   CASE WHEN (HourOfDay < 6 OR HourOfDay > 22) AND DayOfWeek IN (0, 6) THEN 'CRITICAL'
        WHEN HourOfDay < 9 OR HourOfDay > 17 THEN 'HIGH' ELSE 'MEDIUM' END AS Severity,
   ActivityCount
-FROM am WHERE PrivilegeOps > 0"""
+FROM am WHERE {ops} > 0"""
 
 
 def error_spike_5m_sql(bucket_secs=DAY, threshold=10, high=25, critical=50):
@@ -677,7 +677,10 @@ FROM a GROUP BY concat_ws(' / ', AnomalyType, Severity)
 UNION ALL
 SELECT 'users_with_anomalies', '', count(DISTINCT "User") FROM a WHERE "User" <> '' AND "User" <> 'UNKNOWN'
 UNION ALL
-SELECT 'hosts_error_rate_over_10pct', '', count(*) FROM h WHERE {pct2('e', 'n')} > {host_error_rate}"""
+SELECT 'hosts_error_rate_over_10pct', '', count(*) FROM h WHERE {pct2('e', 'n')} > {host_error_rate}
+UNION ALL
+SELECT 'users_auth_failures_over_10', '', count(*) FROM (
+  SELECT {S.extract(P.USER_RE, 'message')} AS u FROM bronze WHERE {AUTH_FAIL} GROUP BY 1 HAVING count(*) > 10) f"""
 
 
 def alert_candidates_sql(day=DAY, exfil_bucketed=False):

@@ -4,6 +4,13 @@ from auditlens.plans import oracle as O
 
 
 def oracle_sql() -> dict[str, str]:
+    from auditlens.plans import windowed
+
+    whole = _whole()
+    return whole | windowed.oracle_sql(whole)
+
+
+def _whole() -> dict[str, str]:
     return {
         "bronze": O.bronze_sql(),
         "audit_parse": O.audit_parse_sql(),
@@ -43,6 +50,11 @@ def oracle_sql() -> dict[str, str]:
         "audit_timeline_6way": O.audit_timeline_sql(include_misc=False),
         "cross_schema_recon_literal": O.cross_schema_recon_sql(literal=True),
         "alert_stream": O.alert_stream_sql(),
+        "ingest_stream": O.bronze_sql(),
+        "backfill_resumed": O.activity_metrics_sql(),
+        "error_backfill": O.error_metrics_sql(),
+        "user_backfill": O.user_metrics_sql(),
+        "ddl_offhours": O.privilege_offhours_sql("DDLOps"),
         "activity_metrics": O.activity_metrics_sql(),
         "activity_backfill": O.activity_metrics_sql(),
         "error_metrics": O.error_metrics_sql(),

@@ -216,6 +216,36 @@ def _bronze_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("EventProcessedUtcTime", F.col("EventProcessedUtcTime").cast("timestamp_ntz"))
 
 
+def _ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that holds history (batch) and stream together: the older
+    part of the log is written at once, the rest lands as a stream of JSON."""
+    from auditlens.sources.bronze import BRONZE_COLS, read_bronze, write_bronze
+    from auditlens.sources.events_adapter import bronze_from_events, load_events
+    from auditlens.streaming.sources import bronze_stream, write_bronze_stream
+    log = bronze_from_events(load_events(spark, sf_dir))
+    new = F.col("EventProcessedUtcTime") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    path, hub, ck = (shared_dir(spark, n) for n in ("live_log", "live_hub", "live_ck"))
+    write_bronze(log.where(~new), path)
+    log.where(new).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(hub)
+    stream = bronze_stream(spark, hub, max_files_per_trigger=2)
+    write_bronze_stream(stream, path, ck, trigger={"availableNow": True}).awaitTermination()
+    return read_bronze(spark, path, normalized=True).select(*BRONZE_COLS)
+
+
+def _backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I7 run twice: the first time the log ends inside a bucket."""
+    path, log = shared_dir(spark, "activity_metrics"), load_bronze(spark, sf_dir)
+    early = F.col("EventProcessedUtcTime") < F.lit("2024-01-15 10:02:00").cast("timestamp_ntz")
+    M.activity_backfill(spark, log.where(early), path, lookback=None)
+    return M.activity_backfill(spark, log, path, lookback=None).drop("metric_date")
+
+
+def _backfill(fn, name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(spark, load_bronze(spark, sf_dir), shared_dir(spark, name), lookback=None).drop("metric_date")
+    return run
+
+
 def _audit_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     from auditlens.functions.text import contains
     from auditlens.operators.parse import audit_fields
@@ -275,6 +305,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["cross_schema_recon_literal"] = _on_bronze(D.cross_schema_recon, literal=True,
                                                    **HUNT["cross_schema_recon"])
     out["alert_stream"] = _alert_stream
+    out["ingest_stream"] = _ingest_stream
+    out["backfill_resumed"] = _backfill_resumed
+    out["error_backfill"] = _backfill(M.error_backfill, "error_metrics")
+    out["user_backfill"] = _backfill(M.user_backfill, "user_metrics")
+    out["ddl_offhours"] = _on_metrics(D.privilege_offhours, lookback=None, ops="DDLOps")
     out["anomalies_all"] = _anomalies_all
     out["security_kpis"] = _security_kpis
     out["alert_rules"] = _alert_rules
@@ -296,4 +331,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     })
     for k, (fn, kw) in _DASHBOARDS.items():
         out[k] = _on_bronze(fn, lookback=None, **kw)
-    return out
+    from auditlens.plans import windowed
+    return out | windowed.queries()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from auditlens.config import apply_engine_conf
+from auditlens.config import apply_engine_conf, path_exists, remove_matching
 
 TS = "EventProcessedUtcTime"
 
@@ -74,12 +74,16 @@ def with_flags(df: DataFrame) -> DataFrame:
 
 
 def flag(df: DataFrame, name: str):
-    """The stored flag column if ``df`` has it, else TRUE (no pruning)."""
-    return F.col(name) if name in df.columns else F.lit(True)
+    """The stored flag column if ``df`` has it, else TRUE (no pruning).
+
+    Rows of another writer carry no flag; a NULL flag prunes nothing. Both
+    halves reach the Parquet scan (``= true`` or ``IS NULL``).
+    """
+    return F.col(name) | F.col(name).isNull() if name in df.columns else F.lit(True)
 
 
 def write_bronze(df: DataFrame, path: str, mode: str = "append",
-                 max_records_per_file: int = 5_000_000) -> None:
+                 max_records_per_file: int = 5_000_000, batch: str | None = None) -> None:
     """Store bronze as Parquet partitioned by event date.
 
     Time-window queries then prune whole partitions. Rows are range-
@@ -89,7 +93,16 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append",
     session lookup or an error scan skips the other kinds' row groups via
     the stored flags; and within a kind each file covers a narrow
     server/time range for min/max skipping. Files are capped in rows.
+
+    ``batch`` names the files of one append; an earlier, interrupted attempt
+    of the same batch is removed first, so a retried append adds no row twice.
     """
+    spark = df.sparkSession
+    if path_exists(spark, path) and mode == "append":
+        stored = spark.read.parquet(path).schema[TS].dataType
+        df = df.withColumn(TS, F.col(TS).cast(stored))
+    if batch:
+        remove_matching(spark, f"{path}/event_date=*/{batch}-*")
     kind = (F.when(F.col("is_audit"), 0).when(F.col("is_conn"), 1).when(F.col("is_err"), 2)
             .otherwise(3).alias("__kind"))
     (with_flags(with_event_date(normalize_bronze(df))).withColumn("__kind", kind)
@@ -97,6 +110,7 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append",
      .sortWithinPartitions("event_date", "__kind", "LogicalServerName", TS)
      .drop("__kind")
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+     .option("mapreduce.output.basename", batch or "part")
      .partitionBy("event_date").parquet(path))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from auditlens.functions.timefn import TS, above_watermark, duration
 from auditlens.operators.metrics import (ACTIVITY_COLS, ERROR_COLS, USER_COLS, activity_aggs, error_aggs,
-                                         error_rows, user_aggs)
+                                         error_rows, set_or_append, user_aggs)
 from auditlens.operators.sessions import session_info
 from auditlens.functions import patterns as P
 from auditlens.functions.text import contains, extract, is_not_empty
@@ -77,12 +77,19 @@ def user_metrics_stream(stream: DataFrame, sessions: DataFrame, *, bucket="1h",
     return agg.withColumn("Timestamp", F.col("w.start")).select(*USER_COLS)
 
 
-def start_metric_stream(metrics: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None):
-    """Append finished buckets to a Parquet metric table (exactly-once)."""
-    w = (metrics.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint))
+def start_metric_stream(metrics: DataFrame, path: str, checkpoint: str, *, keys=("ServerName", "Timestamp"),
+                        output_mode: str = "append", trigger: dict | None = None):
+    """Keep a metric table up to date: each micro-batch replaces the rows of its
+    keys (``set_or_append``), so backfill and stream share one table and a
+    repeated micro-batch changes nothing. ``output_mode="update"`` (error and
+    user metrics) also stores buckets that are still open."""
+    def upsert(batch: DataFrame, _: int) -> None:
+        if not batch.isEmpty():
+            set_or_append(batch.sparkSession, batch, path, keys)
+
+    w = metrics.writeStream.foreachBatch(upsert).outputMode(output_mode).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": "1 minute"}))
-    return w.start(path)
+    return w.start()
 
 
 def sessions_from_table(bronze_table: DataFrame, as_of=None, lookback="24h") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.config import apply_engine_conf
-from auditlens.sources.bronze import BRONZE_SCHEMA, TS, normalize_bronze
+from auditlens.sources.bronze import BRONZE_SCHEMA, TS, normalize_bronze, write_bronze
 
 
 def _with_event_time(df: DataFrame) -> DataFrame:
@@ -42,10 +42,18 @@ def bronze_from_kafka(spark: SparkSession, servers: str, topic: str) -> DataFram
     return _with_event_time(rec)
 
 
-def write_bronze_stream(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
-    """Land the stream as a date-partitioned Parquet bronze table
-    (exactly-once through the file sink's commit log)."""
-    w = (stream.withColumn("event_date", F.to_date(TS)).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint).partitionBy("event_date").outputMode("append"))
+def write_bronze_stream(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                        name: str = "stream"):
+    """Land the stream in a bronze table, by the batch writer.
+
+    Every micro-batch goes through :func:`write_bronze`, so history and stream
+    share one table with flags, clustering and date partitions, and no sink
+    log hides the files of either. A micro-batch that is run again replaces
+    its own files (``name`` tells streams into one table apart).
+    """
+    def land(batch: DataFrame, epoch: int) -> None:
+        write_bronze(batch, path, batch=f"{name}-{epoch:012d}")
+
+    w = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
-    return w.start(path)
+    return w.start()

@@ -33,7 +33,7 @@ from auditlens.llm.common import mix64, random_words
 #: n-gram length -> (hash classes, weight)
 SPECTRUM = {1: (1024, 0.2), 2: (4096, 0.3), 3: (8192, 0.5)}
 WIDTH = sum(size for size, _ in SPECTRUM.values())
-PER_LANG, MAX_ROWS, LANDMARKS, RIDGE = 256, 2048, 192, 1e-3
+PER_LANG, MAX_ROWS, LANDMARKS, RIDGE = 512, 2048, 256, 1e-3
 #: Characters walked at once, and texts in one matrix.
 SEGMENT, ROWS = 1 << 20, 256
 LETTER = re.compile(r"[^\W\d_]")
@@ -97,12 +97,15 @@ def train(labelled: DataFrame) -> dict | None:
     """A model from (lang, text, order) rows, order being a hash: the sample is
     the first PER_LANG texts of each language, and the first MAX_ROWS of these.
 
-    The order is ranked without the texts; only the sample's are fetched.
+    The order is ranked without the texts, in 64 parts of a language and then
+    among the parts' first; only the sample's texts are fetched.
     """
     once = labelled.groupBy("lang", "order").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("order"))
-    first = (once.withColumn("place", rank).where(F.col("place") <= PER_LANG).orderBy("place", "lang")
-             .limit(MAX_ROWS).select("lang", "order"))
+    by_part = W.partitionBy("lang", F.shiftright("order", 58)).orderBy("order")
+    some = once.withColumn("place", F.row_number().over(by_part)).where(F.col("place") <= PER_LANG)
+    by_lang = W.partitionBy("lang").orderBy("order")
+    first = (some.withColumn("place", F.row_number().over(by_lang)).where(F.col("place") <= PER_LANG)
+             .orderBy("place", "lang").limit(MAX_ROWS).select("lang", "order"))
     sample = (labelled.join(F.broadcast(first), ["lang", "order"]).dropDuplicates(["lang", "order"])
               .orderBy("order", "lang").select("lang", "text"))
     rows = sample.mapInArrow(_presence_batches, "lang string, bits binary").collect()

@@ -80,6 +80,14 @@ def random_words(seed: int, n: int) -> np.ndarray:
     return mix64(np.arange(n, dtype=np.uint64) + np.uint64((seed * 0x632BE59BD9B4E019) & MASK))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``: bounds what a task holds of
+    its results."""
+    for batch in batches:
+        for begin in range(0, max(batch.num_rows, 1), rows):
+            yield batch.slice(begin, rows)
+
+
 def byte_views(column: pa.Array) -> Iterator[np.ndarray | None]:
     """The UTF-8 bytes of each row as views of the Arrow buffer; None for null."""
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

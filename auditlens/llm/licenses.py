@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import byte_views
+from auditlens.llm.common import byte_views, slices
 
 # The base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -179,7 +179,7 @@ def _scanner(base: dict[str, str], notices: dict[str, str]):
         phrases = automaton(base, notices)
         kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.int64(), pa.string()]
         names = [c.split(" ")[0] for c in SCHEMA.split(", ")]
-        for batch in batches:
+        for batch in slices(batches):
             rows = [scan(b"" if t is None else t.tobytes(), phrases, base, notices)
                     for t in byte_views(batch.column(1))]
             columns = list(zip(*rows)) if rows else [[]] * len(kinds)

@@ -51,6 +51,7 @@ from auditlens.llm.common import (
     mix64,
     random_words,
     shingles,
+    slices,
 )
 
 K, B, ROWS, BANDS = 128, 8, 5, 25
@@ -105,7 +106,7 @@ SIGNED = "doc_id long, cls binary, n_shingles long, sig binary, bands array<long
 
 def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher, signer = WordHasher(lower=True), Signer()
-    for batch in batches:
+    for batch in slices(batches):
         cls, count, sig, bands = [], [], [], []
         for text in byte_views(batch.column(1)):
             words = hasher(text) if text is not None else np.empty(0, np.uint64)
@@ -128,7 +129,7 @@ def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = WordHasher(lower=True)
-    for batch in batches:
+    for batch in slices(batches):
         sets = [shingles(hasher(t), SHINGLE).tobytes() for t in byte_views(batch.column(1))]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "items"])
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlens.llm.common import WordHasher, byte_views, checked, fresh, materialise, windows
+from auditlens.llm.common import WordHasher, byte_views, checked, fresh, materialise, slices, windows
 
 SYMBOLS = b"#*$%&|<>"
 BLANK = b"\x20\t\n\x0b\x0c\r"
@@ -77,7 +77,7 @@ def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     code[list(BLANK)] = 1
     code[list(SYMBOLS)] = 2
     code[0x80:0xC0] = 3
-    for batch in batches:
+    for batch in slices(batches):
         measures, lines = [], []
         for text in byte_views(batch.column(3)):
             text = np.empty(0, np.uint8) if text is None else text

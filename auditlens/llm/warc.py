@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditlens.config import shared_dir
-from auditlens.llm.common import byte_views
+from auditlens.llm.common import byte_views, slices
 
 CHUNK_BYTES, MIN_REVISIT = 1 << 16, 1000
 #: Bytes of segments a task hands over at once.
@@ -100,7 +100,7 @@ def _header(fields: list[tuple[str, object]]) -> bytes:
 def _writer(chunk_bytes: int, date: str):
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count, out, held = TaskContext.get().partitionId(), 0, [], 0
-        for batch in batches:
+        for batch in slices(batches, 64):
             rows = zip(*(batch.column(i).to_pylist() for i in range(5)), byte_views(batch.column(5)))
             for page, url, n_bytes, digest, refers_to, payload in rows:
                 record = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page}:{digest}:{part}:{count}')}>"
@@ -147,7 +147,7 @@ def _read_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     names = [c.split(" ")[0] for c in RECORDS.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
     so_far, n_bytes, record = hashlib.sha1(), 0, None
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for view in byte_views(batch.column(0)):
             raw = view.tobytes()

@@ -29,20 +29,28 @@ from auditlens.config import shared_dir
 from auditlens.functions.text import is_not_empty
 from auditlens.functions.timefn import bin_ts, resolve_as_of, seconds, since
 
-# Candidate periods in steps of 5 minutes: hour, day, week.
-DEFAULT_PERIODS = (12, 288, 2016)
+# Candidate seasons, as time spans: they mean the same whatever the step is.
+DEFAULT_PERIODS = ("1h", "1d", "7d")
+
+
+def period_steps(periods, step) -> tuple[int, ...]:
+    """Spans -> whole numbers of steps; a span under two steps is no season."""
+    n = (seconds(p) // seconds(step) for p in periods)
+    return tuple(x for x in n if x >= 2)
 
 
 def make_series(metrics: DataFrame, *, as_of=None, lookback="7d", step="5m", value="ActivityCount",
                 by="ServerName", ts="Timestamp") -> DataFrame:
-    """(by, ts, idx, v): ``make-series sum(value) default=0 on ts step s by key``."""
+    """(by, ts, idx, v): ``make-series sum(value) default=0 on ts step s by key``.
+
+    Every key has its own grid, from its first to its last bucket: a server
+    that joined late gets no leading zeros that would bend its trend.
+    """
     df = since(metrics, as_of, lookback, ts=ts).where(is_not_empty(by))
     s = df.groupBy(by, bin_ts(ts, step).alias(ts)).agg(F.sum(value).cast("long").alias("v"))
-    lo = s.select(F.min(ts)).scalar()
-    hi = s.select(F.max(ts)).scalar()
     step_iv = F.expr(f"INTERVAL {seconds(step)} SECONDS")
-    grid = (s.select(by).distinct()
-            .select(by, F.posexplode(F.sequence(lo, hi, step_iv)).alias("idx", ts)))
+    ends = s.groupBy(by).agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+    grid = ends.select(by, F.posexplode(F.sequence("lo", "hi", step_iv)).alias("idx", ts))
     return (grid.join(s, [by, ts], "left")
             .select(by, ts, F.col("idx").cast("long").alias("idx"), F.coalesce("v", F.lit(0)).alias("v")))
 
@@ -59,8 +67,8 @@ def _corr(x: str, y: str):
     return F.try_divide(F.covar_pop(xs, F.col(y)), F.stddev_pop(xs) * F.stddev_pop(F.col(y)))
 
 
-def decompose(series: DataFrame, *, threshold=1.5, periods=DEFAULT_PERIODS, min_corr=0.6,
-              by="ServerName", materialize: bool = True) -> DataFrame:
+def decompose(series: DataFrame, *, threshold=1.5, periods=DEFAULT_PERIODS, step="5m", min_corr=0.6,
+              min_cycles=2, by="ServerName", materialize: bool = True) -> DataFrame:
     """Adds trend, seasonal, baseline, residual, score and anomalies (+1/0/-1).
 
     The dense series feeds five branches (trend, autocorrelation, seasonal
@@ -68,7 +76,11 @@ def decompose(series: DataFrame, *, threshold=1.5, periods=DEFAULT_PERIODS, min_
     the session's shared checkpoint folder (a reliable checkpoint: lineage
     cut, survives executor loss) instead of being recomputed per branch;
     its size is keys x lookback/step, independent of the raw log volume.
+
+    A season is a candidate for series of at least ``min_cycles`` of it, so
+    the weekly one needs a lookback of two weeks.
     """
+    periods = period_steps(periods, step)
     if materialize:
         shared_dir(series.sparkSession)          # makes sure a checkpoint folder is set
         series = series.checkpoint(eager=True)
@@ -84,8 +96,8 @@ def decompose(series: DataFrame, *, threshold=1.5, periods=DEFAULT_PERIODS, min_
     w = Window.partitionBy(by).orderBy("idx")
     lagged = d.select(by, "d", "n", *[F.lag("d", p).over(w).alias(f"l{p}") for p in periods])
     ac = lagged.groupBy(by).agg(F.max("n").alias("n"), *[_corr("d", f"l{p}").alias(f"c{p}") for p in periods])
-    # usable correlation per candidate: needs two whole cycles; NULL/NaN -> 0
-    cv = {p: F.when(F.col("n") >= 2 * p, _clean(F.col(f"c{p}"))).otherwise(F.lit(0.0)) for p in periods}
+    # usable correlation per candidate: needs whole cycles; NULL/NaN -> 0
+    cv = {p: F.when(F.col("n") >= min_cycles * p, _clean(F.col(f"c{p}"))).otherwise(F.lit(0.0)) for p in periods}
     choice = None
     for i, p in enumerate(periods):
         best = F.lit(True)
@@ -120,7 +132,7 @@ def series_anomalies(metrics: DataFrame, *, as_of=None, lookback="7d", report="1
     if lookback is not None or report is not None:
         as_of = resolve_as_of(metrics, as_of, ts)
     s = make_series(metrics, as_of=as_of, lookback=lookback, step=step, ts=ts)
-    dec = decompose(s, threshold=threshold)
+    dec = decompose(s, threshold=threshold, step=step)
     dec = dec.where(F.col("anomalies") != 0)
     dec = since(dec, as_of, report, ts=ts)
     return dec.select(F.col(ts).alias("TimeGenerated"), "ServerName", "v", "baseline", "score", "anomalies",

@@ -764,11 +764,11 @@ def series_ctes(step=300, periods=(12, 288, 2016), min_corr=0.6, threshold=1.5):
     return [activity_cte(), f"""s AS (
   SELECT ServerName, {S.bin_ts('"Timestamp"', step)} AS ts, CAST(sum(ActivityCount) AS BIGINT) AS v
   FROM am WHERE {S.non_empty('ServerName')} GROUP BY ServerName, {S.bin_ts('"Timestamp"', step)})""",
-            """bnd AS (SELECT min(ts) AS t0, max(ts) AS t1 FROM s)""",
+            """bnd AS (SELECT ServerName, min(ts) AS t0, max(ts) AS t1 FROM s GROUP BY ServerName)""",
             f"""grid AS (
   SELECT ServerName, ts, CAST(round((epoch(ts) - epoch(t0)) / {step}) AS BIGINT) AS idx
   FROM (SELECT ServerName, unnest(generate_series(t0, t1, INTERVAL '{step} seconds')) AS ts, t0
-        FROM (SELECT DISTINCT ServerName FROM s) k, bnd) g)""",
+        FROM bnd) g)""",
             """x AS (SELECT g.ServerName, g.ts, g.idx, COALESCE(s.v, 0) AS v FROM grid g LEFT JOIN s USING (ServerName, ts))""",
             """tr AS (
   SELECT ServerName, COALESCE(regr_slope(v, idx), 0.0) AS slope, COALESCE(regr_intercept(v, idx), avg(v)) AS icpt,

@@ -73,3 +73,21 @@ def test_one_pass_aggregation_limits_before_the_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert {r.k: (r.n, r.s) for r in out.collect()} == {"0": (500, ["0", "10", "100"]), "1": (500, ["1", "101", "103"])}
+
+
+def test_a_late_server_has_its_own_grid(spark):
+    import datetime as dt
+    t0 = dt.datetime(2026, 1, 5)
+    rows = [(t0 + dt.timedelta(minutes=5 * i), "old", 10) for i in range(100)]
+    rows += [(t0 + dt.timedelta(minutes=5 * i), "late", 10) for i in range(90, 95)]
+    m = spark.createDataFrame(rows, "Timestamp timestamp, ServerName string, ActivityCount long")
+    s = make_series(m, lookback=None)
+    assert {r.ServerName: r["count"] for r in s.groupBy("ServerName").count().collect()} == {"old": 100, "late": 5}
+    late = s.where("ServerName = 'late'").selectExpr("min(idx) AS i", "min(v) AS v").first()
+    assert (late.i, late.v) == (0, 10)
+
+
+def test_seasons_are_time_spans():
+    from auditlens.operators.series import DEFAULT_PERIODS, period_steps
+    assert period_steps(DEFAULT_PERIODS, "5m") == (12, 288, 2016)
+    assert period_steps(DEFAULT_PERIODS, "1h") == (24, 168)

@@ -4,18 +4,20 @@ The reference re-runs its alert queries every 2-5 minutes. Here the same
 filtered inputs (``alerts.alert_inputs``) feed windowed aggregations with
 a watermark; the exfiltration rule, which has no bin in the reference
 ("last 5 minutes, re-evaluated"), uses a sliding window of 5 minutes
-every minute. Finished windows are joined with the broadcast rule table,
-thresholded, de-duplicated per (rule, key, window) within the watermark
-so an alert fires once, and appended to an alert table whose rows carry
-the action to route.
+every minute. Finished windows are joined with the rule table and
+thresholded. One burst passes the threshold in several sliding windows; the
+sink stores every one of them and marks with ``Fires`` the first of each burst,
+so an alert is routed once. Distinct schemas are counted by HyperLogLog here
+(the batch rule counts exactly).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditlens.functions.timefn import TS, above_watermark, duration
+from auditlens.config import path_exists
+from auditlens.functions.timefn import TS, above_watermark, duration, seconds
 from auditlens.operators.alerts import _group_key, alert_inputs, alert_rules
 
 STREAM_WINDOWS = {"Data Exfil": (None, None), "Destruction": (None, "2m"), "Privilege": (None, "5m"),
@@ -56,12 +58,34 @@ def alert_stream(stream: DataFrame, rules: DataFrame, **kw) -> DataFrame:
     return alert_rules(alert_candidates_stream(stream, **kw), rules)
 
 
-def start_alert_sink(alerts: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None):
-    """Append fired alerts to a Parquet table; each micro-batch is written
-    under its batch id with overwrite, so a replayed batch replaces its own
+def mark_bursts(alerts: DataFrame, stored: DataFrame | None, quiet: str = "10 minutes") -> DataFrame:
+    """Adds ``Fires``: no alert of the same rule, server and key began in the
+    ``quiet`` span before, neither among ``alerts`` nor in ``stored``."""
+    keys = ["RuleName", "ServerName", "GroupKey"]
+    begin = F.coalesce("WindowStart", "TimeGenerated")
+    span = F.expr(f"INTERVAL {seconds(quiet)} SECONDS")
+    before = F.lag(begin).over(Window.partitionBy(*keys).orderBy(begin, "TimeGenerated"))
+    if stored is None:
+        last = before
+    else:
+        old = stored.groupBy(*keys).agg(F.max(begin).alias("last_begin"))
+        alerts = alerts.join(old, keys, "left")
+        last = F.coalesce(before, F.col("last_begin"))
+    return alerts.withColumn("Fires", last.isNull() | (begin > last + span)).drop("last_begin")
+
+
+def start_alert_sink(alerts: DataFrame, path: str, checkpoint: str, *, quiet: str = "10 minutes",
+                     trigger: dict | None = None):
+    """Append alerts to a Parquet table, the first of each burst marked
+    ``Fires``. Each micro-batch is written under its batch id with overwrite,
+    and looks at earlier batches only, so a replayed batch replaces its own
     output instead of duplicating it."""
     def write(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        stored = None
+        if path_exists(spark, path):
+            stored = spark.read.parquet(path).where(F.col("batch") < batch_id)
+        mark_bursts(batch, stored, quiet).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     w = alerts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     w = w.trigger(**(trigger or {"processingTime": "2 minutes"}))

@@ -147,3 +147,18 @@ def test_no_machine_local_folder_on_a_cluster(monkeypatch):
     Context.master = "local-cluster[2,1,1024]"
     with pytest.raises(RuntimeError):
         config.shared_dir(Session())
+
+
+def test_a_burst_fires_once(spark, mk, tmp_path):
+    from auditlens.streaming.alert_stream import alert_stream, start_alert_sink
+    from auditlens.streaming.sources import bronze_stream
+    path, hub, ck = (str(tmp_path / n) for n in ("alerts", "hub", "ck"))
+    reads = [row(T0 + dt.timedelta(seconds=i), audit(i, "READ", "SELECT"), pid=1) for i in range(20)]
+    again = [row(T0 + dt.timedelta(hours=2, seconds=i), audit(i, "READ", "SELECT"), pid=1) for i in range(20)]
+    for part in (reads, again, [row(T0 + dt.timedelta(hours=5), "x")]):
+        mk(part).coalesce(1).write.mode("append").json(hub)
+        stream = alert_stream(bronze_stream(spark, hub), A.rules_df(spark))
+        start_alert_sink(stream, path, ck, trigger={"availableNow": True}).awaitTermination()
+    stored = spark.read.parquet(path).where("RuleName = 'Data Exfil'")
+    assert stored.count() == 10 and stored.where("Fires").count() == 2
+    assert stored.where("Fires").select("WindowStart").distinct().count() == 2

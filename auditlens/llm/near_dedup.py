@@ -57,7 +57,7 @@ from auditlens.llm.common import (
 K, B, ROWS, BANDS = 128, 8, 5, 25
 SHINGLE, PERCENT, SIGMAS = 5, 85, 6
 #: Hash classes of the histograms, and nodes in a block of a large bucket.
-CLASSES, BLOCK = 128, 512
+CLASSES, BLOCK = 128, 256
 
 
 class Signer:

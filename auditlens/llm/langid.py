@@ -19,11 +19,11 @@ are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -36,7 +36,7 @@ WIDTH = sum(size for size, _ in SPECTRUM.values())
 PER_LANG, MAX_ROWS, LANDMARKS, RIDGE = 512, 2048, 256, 1e-3
 #: Characters walked at once, and texts in one matrix.
 SEGMENT, ROWS = 1 << 20, 256
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def presence(text: str) -> np.ndarray:

@@ -41,12 +41,12 @@ def test_held_out_labels_and_other_columns_are_not_used(spark):
 
 def test_defined_cases(spark, empty):
     _, docs = corpus(spark)
-    odd = [(9001, None, "en"), (9002, "", "en"), (9003, "123 ... 4", "en"), (None, "the and thering", None),
+    odd = [(9001, None, "en"), (9002, "", "en"), (9003, "123 ... 4", "en"), (9005, "x² ½"[1:], "en"), (None, "the and thering", None),
            (9004, "le les eau " * 200000, None), (9004, "le les eau", None), (9004, "le les eau", None)]
     got = langid.identify(docs.unionByName(spark.createDataFrame(odd, docs.schema))).collect()
     of = [r for r in got if r.doc_id is None or r.doc_id > 9000]
     assert len(of) == len(odd)
-    assert all((r.lang_pred, r.score) == ("und", 0.0) for r in of if r.doc_id in (9001, 9002, 9003))
+    assert all((r.lang_pred, r.score) == ("und", 0.0) for r in of if r.doc_id in (9001, 9002, 9003, 9005))
     assert {r.lang_pred for r in of if r.doc_id == 9004} == {"fr"}
     assert [(r.lang_pred, r.held_out) for r in of if r.doc_id is None] == [("en", False)]
     assert langid.identify(empty).count() == 0

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
 
@@ -10,8 +9,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-T0 = dt.datetime(2026, 1, 5, 10, 0, 0)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -21,19 +18,6 @@ def spark():
     s.stop()
 
 
-def row(ts, message, level="LOG", code="00000", pid=100, backend="client backend", server="srv1",
-        category="PostgreSQLLogs"):
-    return (ts, message, level, code, pid, backend, server, category)
-
-
-def audit(seq, cls, stmt, obj_type="", obj="", query="select 1"):
-    return f"AUDIT: SESSION,{seq},1,{cls},{stmt},{obj_type},{obj},{query},<not logged>"
-
-
-def conn(user="alice", db="shop", host="10.0.0.7"):
-    return f"connection authorized: user={user} database={db} host={host} application_name=psql"
-
-
 @pytest.fixture(scope="session")
 def mk(spark):
     """Build a bronze DataFrame from literal rows."""

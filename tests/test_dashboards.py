@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import T0, audit, conn, row
+from log_rows import T0, audit, conn, row
 
 from auditlens.operators import dashboards as Q
 from auditlens.operators.metrics import activity_metrics

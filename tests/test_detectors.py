@@ -4,7 +4,7 @@ and around their thresholds, with the reference's default windows."""
 import datetime as dt
 
 import pytest
-from conftest import T0, audit, conn, row
+from log_rows import T0, audit, conn, row
 
 from auditlens.operators import alerts as A
 from auditlens.operators import detectors as D

@@ -3,7 +3,7 @@
 import datetime as dt
 import tempfile
 
-from conftest import T0, audit, row
+from log_rows import T0, audit, row
 
 from auditlens.functions.timefn import since
 from auditlens.sources.bronze import BRONZE_SCHEMA, read_bronze, write_bronze
@@ -39,7 +39,7 @@ def test_backfill_is_idempotent_and_date_partitioned(spark, mk):
 
 
 def test_session_asof_follows_pid_reuse(spark, mk):
-    from conftest import conn
+    from log_rows import conn
 
     from auditlens.operators.sessions import session_asof, session_info
 
@@ -57,7 +57,7 @@ def test_session_asof_follows_pid_reuse(spark, mk):
 
 
 def test_sql_views(spark, mk):
-    from conftest import conn
+    from log_rows import conn
 
     from auditlens.plans.views import register_views
 
@@ -73,7 +73,7 @@ def test_sql_views(spark, mk):
 
 
 def test_line_kind_flags_are_stored_and_pushed(spark):
-    from conftest import conn
+    from log_rows import conn
 
     from auditlens.operators.detectors import error_spike
     from auditlens.operators.sessions import session_info
@@ -87,3 +87,38 @@ def test_line_kind_flags_are_stored_and_pushed(spark):
     assert got == {"conne": (False, True, False), "AUDIT": (True, False, False), "boom": (False, False, True)}
     for df, f in ((session_info(b, lookback=None), "is_conn"), (error_spike(b, lookback=None), "is_err")):
         assert f"EqualTo({f},true)" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_backend_is_split_by_the_skew_join(spark, tmp_path):
+    """A backend with a third of the rows: the session join shows a skew split."""
+    from pyspark.sql import functions as F
+
+    from auditlens.operators.sessions import KEYS, session_enrich
+
+    n = 60_000
+    pid = F.when(F.col("id") % 3 == 0, 7).otherwise(100 + F.col("id") % 400)
+    ev = spark.range(n).select(pid.cast("long").alias("processId"), F.lit("srv1").alias("LogicalServerName"),
+                               F.sha2(F.col("id").cast("string"), 512).alias("message"),
+                               *[F.lit("").alias(c) for c in ("DirectUser", "DirectDatabase", "DirectHost")])
+    ev.write.parquet(str(tmp_path / "ev"))
+    ev = spark.read.parquet(str(tmp_path / "ev"))
+    sessions = ev.groupBy(*KEYS).agg(F.max(F.lit("u")).alias("User"), F.max(F.lit("d")).alias("Database"),
+                                     F.max(F.lit("h")).alias("SourceHost"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = session_enrich(ev, sessions).select("message", "FinalUser")
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == n and {r.FinalUser for r in rows} == {"u"}
+    assert "SortMergeJoin(skew=true)" in plan

@@ -5,7 +5,7 @@ import datetime as dt
 import os
 import tempfile
 
-from conftest import T0, audit, conn, row
+from log_rows import T0, audit, conn, row
 from pyspark.sql import functions as F
 
 from auditlens.operators.metrics import activity_metrics

@@ -7,7 +7,7 @@ import datetime as dt
 import inspect
 
 import pytest
-from conftest import T0, audit, conn, row
+from log_rows import T0, audit, conn, row
 from pyspark.sql import functions as F
 
 from auditlens.functions import timefn

@@ -25,7 +25,7 @@ from auditlens.functions.text import (contains, extract, first_non_empty, has_an
                                       is_empty, is_not_empty, label_case, severity, trim_chars)
 from auditlens.functions.timefn import TS, bin_ts, hms, iso_datetime_text, resolve_as_of, since
 from auditlens.operators.parse import conn_fields, schema_of
-from auditlens.operators.sessions import CONN_TERMS_AUTHORIZED, session_enrich, session_info
+from auditlens.operators.sessions import CONN_TERMS_AUTHORIZED, join_sessions, session_enrich, session_info
 from auditlens.operators.sets import aggregate_with_sets, join_set, small_set
 from auditlens.sources.bronze import CATEGORY, flag
 
@@ -487,7 +487,7 @@ def exfiltration_by_user(bronze: DataFrame, *, as_of=None, lookback="1h",
     df = since(bronze, as_of, lookback).where(
         flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK) & has_any("message", P.USER_SELECT_TERMS)
         & (F.col("backend_type") == P.CLIENT_BACKEND))
-    df = df.join(sessions, ["processId", SRV], "left")
+    df = join_sessions(df, sessions, "left")
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("User", "Database", "SourceHost")})
     agg = df.groupBy("User", "Database", "SourceHost", "processId").agg(
         F.count(F.lit(1)).alias("SelectCount"), F.max(TS).alias("LastQuery"),

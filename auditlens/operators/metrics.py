@@ -14,7 +14,7 @@ from auditlens.config import path_exists, shared_dir
 from auditlens.functions import patterns as P
 from auditlens.functions.text import contains, extract, has_any, is_not_empty, label_case
 from auditlens.functions.timefn import TS, bin_ts, since
-from auditlens.operators.sessions import session_info
+from auditlens.operators.sessions import join_sessions, session_info
 from auditlens.operators.sets import join_set, small_set
 from auditlens.sources.bronze import CATEGORY, flag
 
@@ -97,7 +97,7 @@ def user_metrics(bronze: DataFrame, *, as_of=None, lookback=None, session_lookba
         sessions = session_info(bronze, as_of, session_lookback, fields=("User",))
     df = since(bronze, as_of, lookback).where(flag(bronze, "is_audit") & (F.col("category") == CATEGORY)
                                               & contains("message", P.AUDIT_MARK))
-    df = df.join(sessions.where(is_not_empty("User")), ["processId", "LogicalServerName"], "inner")
+    df = join_sessions(df, sessions.where(is_not_empty("User")), "inner")
     agg = df.groupBy(F.col("User").alias("UserName"), F.col("LogicalServerName").alias("ServerName"),
                      bin_ts(TS, bucket).alias("Timestamp")).agg(*user_aggs())
     return agg.select(*USER_COLS)

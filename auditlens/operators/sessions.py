@@ -7,14 +7,16 @@ backend (processId on a server) does. ``session_info`` keeps one row per
 Join strategy is left to Catalyst/AQE: the lookup is an aggregate whose
 size is measured at runtime, so it is broadcast only when the measured
 size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and
-otherwise sort-merge joined. The lookup is already hash-partitioned on
-the join keys by its own aggregation, so only the event side moves; a
-backend holding a large share of the events is split by AQE's skew join.
+otherwise sort-merge joined. The join key is one text per backend
+(``backend_key``), not the lookup's group keys: so the small lookup gets an
+exchange of its own, and AQE's skew join can split a backend that holds a
+large share of the events. (With the group keys the lookup would keep its
+aggregation's partitioning, and AQE splits only where both sides are shuffled.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions import patterns as P
@@ -42,6 +44,18 @@ def session_info(bronze: DataFrame, as_of=None, lookback: str | None = "24h",
     return conn.groupBy(*KEYS).agg(*[F.max(f).alias(f) for f in fields])
 
 
+def backend_key() -> Column:
+    """Server and process in one text; null, so without a match, if either is."""
+    return F.concat("LogicalServerName", F.lit("\x1f"), F.col("processId").cast("string"))
+
+
+def join_sessions(events: DataFrame, sessions: DataFrame, how: str) -> DataFrame:
+    """``events`` with the session columns of their backend."""
+    key = "__backend"
+    found = sessions.withColumn(key, backend_key()).drop(*KEYS)
+    return events.withColumn(key, backend_key()).join(found, key, how).drop(key)
+
+
 def session_enrich(events: DataFrame, sessions: DataFrame,
                    fields=("User", "Database", "SourceHost")) -> DataFrame:
     """Left-join the lookup; Final<X> = direct value, else session, else UNKNOWN.
@@ -49,7 +63,7 @@ def session_enrich(events: DataFrame, sessions: DataFrame,
     ``events`` must carry the Direct<X> columns for the requested fields
     (see ``conn_parse``).
     """
-    out = events.join(sessions, KEYS, "left")
+    out = join_sessions(events, sessions, "left")
     final = {"User": ("FinalUser", "DirectUser"),
              "Database": ("FinalDatabase", "DirectDatabase"),
              "SourceHost": ("FinalHost", "DirectHost")}

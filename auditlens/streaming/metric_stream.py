@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from auditlens.functions.timefn import TS, above_watermark, duration
 from auditlens.operators.metrics import (ACTIVITY_COLS, ERROR_COLS, USER_COLS, activity_aggs, error_aggs,
                                          error_rows, set_or_append, user_aggs)
-from auditlens.operators.sessions import session_info
+from auditlens.operators.sessions import join_sessions, session_info
 from auditlens.functions import patterns as P
 from auditlens.functions.text import contains, extract, is_not_empty
 from auditlens.sources.bronze import CATEGORY
@@ -71,7 +71,7 @@ def user_metrics_stream(stream: DataFrame, sessions: DataFrame, *, bucket="1h",
     aggregation over the log."""
     df = stream.withWatermark(TS, watermark).where(
         above_watermark((F.col("category") == CATEGORY) & contains("message", P.AUDIT_MARK)))
-    df = df.join(sessions.where(is_not_empty("User")), ["processId", "LogicalServerName"], "inner")
+    df = join_sessions(df, sessions.where(is_not_empty("User")), "inner")
     agg = df.groupBy(F.col("User").alias("UserName"), F.col("LogicalServerName").alias("ServerName"),
                      F.window(TS, duration(bucket)).alias("w")).agg(*user_aggs())
     return agg.withColumn("Timestamp", F.col("w.start")).select(*USER_COLS)

@@ -22,8 +22,10 @@
    the smaller count. Pairs within the bound go through 3 and 4. A large bucket
    is compared in pairs of blocks, spread over tasks. Nothing is capped.
 
-A pair of exactly the threshold similarity is missed by all bands with
-probability ``(1 - 0.85 ** 5) ** 25``, under one in two million.
+The threshold is the argument ``percent``: 85 in the query op4, 80 in the
+pipeline's stage. A pair of exactly the threshold similarity is missed by all
+bands with probability ``(1 - 0.85 ** 5) ** 25``, under one in two million, at 85
+and ``(1 - 0.8 ** 5) ** 25``, about one in 20,000, at 80.
 
 Defined cases: null, empty and blank texts have no shingle and are linked with
 nothing; a text of fewer than five words has one shingle, the whole sequence; a
@@ -37,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -134,21 +137,21 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "items"])
 
 
-def _alike_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    at_least = PERCENT / 100 - SIGMAS * math.sqrt(PERCENT / 100 * (1 - PERCENT / 100) / K)
+def _alike_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    at_least = percent / 100 - SIGMAS * math.sqrt(percent / 100 * (1 - percent / 100) / K)
     for batch in batches:
         if batch.num_rows:
             a, b = (np.stack(list(byte_views(batch.column(i)))) for i in (2, 3))
             yield batch.filter(pa.array(corrected(equal_lanes(a, b)) >= at_least)).select([0, 1])
 
 
-def _confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         linked = []
         for a, b in zip(byte_views(batch.column(2)), byte_views(batch.column(3))):
             a, b = (np.frombuffer(x.tobytes(), np.uint64) for x in (a, b))
             both = len(np.intersect1d(a, b, assume_unique=True))
-            linked.append(100 * both >= PERCENT * (len(a) + len(b) - both))
+            linked.append(100 * both >= percent * (len(a) + len(b) - both))
         yield batch.filter(pa.array(linked, pa.bool_())).select([0, 1])
 
 
@@ -175,15 +178,15 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         before = now
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that pass the signature filter and the full sets."""
     sig = nodes.select("node", "sig")
     likely = (pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
               .join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
-              .select("a", "b", "sa", "sb").mapInArrow(_alike_batches, "a long, b long"))
+              .select("a", "b", "sa", "sb").mapInArrow(partial(_alike_batches, percent=percent), "a long, b long"))
     return (likely.join(sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b")
             .join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a")
-            .select("a", "b", "ia", "ib").mapInArrow(_confirm_batches, "a long, b long"))
+            .select("a", "b", "ia", "ib").mapInArrow(partial(_confirm_batches, percent=percent), "a long, b long"))
 
 
 def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +197,7 @@ def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(items))], ["node", "token"])
 
 
-def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _profile_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Histograms of the shingles that some other node has too, over CLASSES
     hash classes; nodes too much of which is theirs alone go."""
     for batch in batches:
@@ -202,7 +205,7 @@ def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for i, items, alone in zip(batch.column(0).to_pylist(), byte_views(batch.column(1)), batch.column(2).to_pylist()):
             items = np.frombuffer(items.tobytes(), np.uint64)
             rest = np.setdiff1d(items, np.array(alone or [], np.int64).view(np.uint64), assume_unique=True)
-            if 100 * len(rest) >= PERCENT * len(items):
+            if 100 * len(rest) >= percent * len(items):
                 node.append(i)
                 size.append(len(items))
                 counts = np.bincount((rest % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES)
@@ -213,7 +216,7 @@ def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _compare(left: int, right: int, block: np.ndarray, node: np.ndarray, comp: np.ndarray, size: np.ndarray,
-             histogram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+             histogram: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs across components that could reach the threshold: two sets share at
     most the sum of the smaller class counts."""
     a, b = [], []
@@ -223,13 +226,13 @@ def _compare(left: int, right: int, block: np.ndarray, node: np.ndarray, comp: n
         if left == right:
             y = y[y > x]
         both = np.minimum(histogram[y], histogram[x]).sum(axis=1, dtype=np.int64)
-        y = y[100 * both >= PERCENT * (size[y] + size[x] - both)]
+        y = y[100 * both >= percent * (size[y] + size[x] - both)]
         a.append(np.maximum(node[y], node[x]))
         b.append(np.minimum(node[y], node[x]))
     return np.concatenate(a or [node[:0]]), np.concatenate(b or [node[:0]])
 
 
-def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _unit_batches(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, left, right): each such run is a pair of blocks."""
     held: pa.Table | None = None
 
@@ -243,7 +246,7 @@ def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         a, b = [], []
         for begin, end in zip([0, *ends], ends):
             left, right, block, node, comp, size = (c[begin:end] for c in columns)
-            x, y = _compare(left[0], right[0], block, node, comp, size, histogram[begin:end])
+            x, y = _compare(left[0], right[0], block, node, comp, size, histogram[begin:end], percent)
             a.append(x)
             b.append(y)
         pairs = pa.RecordBatch.from_arrays(
@@ -259,7 +262,7 @@ def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield runs(held, True)[0]
 
 
-def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+def _across(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes of one bucket that lie in different components and
     may reach the threshold.
 
@@ -272,7 +275,7 @@ def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     alone = (tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
              .groupBy("node").agg(F.collect_list("token").alias("alone")))
     profiles = materialise(items.join(alone, "node", "left").select("node", "items", "alone").mapInArrow(
-        _profile_batches, "node long, size long, histogram binary"), "profiles")
+        partial(_profile_batches, percent=percent), "node long, size long, histogram binary"), "profiles")
     rows = mixed.join(profiles, "node").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("with", F.explode(F.expr("sequence(0L, blocks - 1)")))
@@ -280,11 +283,13 @@ def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
                         "block", "node", "comp", "size", "histogram")
     parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (units.repartition(parts, "key", "left", "right").sortWithinPartitions("key", "left", "right")
-            .mapInArrow(_unit_batches, "a long, b long"))
+            .mapInArrow(partial(_unit_batches, percent=percent), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    percent: int = PERCENT) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept. Texts of
+    at least ``percent`` similarity are linked."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = materialise(texts.mapInArrow(_sign_batches, SIGNED), "signatures")
     classes = signed.where("cls IS NOT NULL AND doc_id IS NOT NULL").groupBy("cls").agg(
@@ -298,7 +303,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = materialise(texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi")
                        .where("text IS NOT NULL").mapInArrow(_set_batches, "node long, items binary"), "shingle-sets")
     stars = shared.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
-    links = materialise(_confirm(stars, nodes, sets), "star-links")
+    links = materialise(_confirm(stars, nodes, sets, percent), "star-links")
     comps = components(links)
 
     placed = shared.select("key", "node").distinct().join(comps, "node", "left").select(
@@ -306,8 +311,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = (placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"),
                                          F.max("comp").alias("hi")).where("lo < hi").select("key", "n"))
     mixed = materialise(placed.join(several, "key"), "mixed-buckets")
-    pairs = _across(mixed, sets).distinct().join(stars, ["a", "b"], "left_anti")
-    more = materialise(_confirm(pairs, nodes, sets), "more-links")
+    pairs = _across(mixed, sets, percent).distinct().join(stars, ["a", "b"], "left_anti")
+    more = materialise(_confirm(pairs, nodes, sets, percent), "more-links")
     if not more.isEmpty():
         comps = components(more.unionByName(comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))))
 
@@ -319,8 +324,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      F.coalesce(F.col("doc_id") == found, F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group; columns as they were."""
-    found = near_duplicates(docs, id_col, text_col)
+    found = near_duplicates(docs, id_col, text_col, percent)
     gone = materialise(found.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct(), "near-gone")
     return docs.join(checked(gone), id_col, "left_anti")

@@ -16,6 +16,9 @@ from auditlens.llm.near_dedup import drop_near_duplicates
 from auditlens.llm.packing import pack
 from auditlens.llm.quality import drop_low_quality
 
+#: Similarity from which the stage of near duplicates links two texts; op4 has its own.
+NEAR_PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
@@ -28,8 +31,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return drop_near_duplicates(docs)
+    """One document of each group of near duplicates stays; links from NEAR_PERCENT on."""
+    return drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 
+import corpus_pipeline
 from auditlens.llm import near_dedup
 from auditlens.llm.near_dedup import corrected, drop_near_duplicates, equal_lanes, near_duplicates
 
@@ -90,6 +91,22 @@ def test_estimate():
     assert equal_lanes(x, x)[0] == near_dedup.K
 
 
+def test_pipeline_links_from_80_percent(spark):
+    """Pairs of 200 shingles of which the second text shares m: similarity m / (400 - m)."""
+    rows = []
+    for pair, m in enumerate((176, 178, 180, 183, 185, 190)):  # 0.786, 0.802, 0.818, 0.843, 0.860, 0.905
+        words = [f"p{pair}x{k}" for k in range(204)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(words[200 - m:] + [f"n{pair}x{k}" for k in range(200 - m)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    alike = [len(a & b) / len(a | b) for a, b in zip(*(map(shingle_set, (t for _, t in rows[k::2])) for k in (0, 1)))]
+    assert [x >= 0.8 for x in alike] == [False, True, True, True, True, True]
+    assert [x >= 0.85 for x in alike] == [False, False, False, False, True, True]
+    stays = lambda df: {r.doc_id for r in df.collect()}
+    every = set(range(12))
+    assert stays(dict(corpus_pipeline.STAGES)["MinHash near-dedup"](spark, docs, "")) == every - {3, 5, 7, 9, 11}
+    assert stays(drop_near_duplicates(docs)) == every - {9, 11}
+
+
 def test_empty_table(empty):
     assert near_duplicates(empty).count() == 0
     assert drop_near_duplicates(empty).count() == 0

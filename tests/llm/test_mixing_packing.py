@@ -155,3 +155,46 @@ def test_a_row_repeated_without_end(spark):
     assert got.count() == 3000
     assert got.groupBy("bin_id").count().where("count > 1").isEmpty()
     assert got.select("bin_id").distinct().count() == 3000
+
+
+def test_best_fit_with_several_places():
+    import random
+
+    def slow(items, places, capacity):
+        left, held, bins = [], [], []
+        for size, s, c in items:
+            fit = [(r, b) for b, r in enumerate(left) if r >= size and held[b]["c", c] == 0
+                   and (s < 0 or held[b]["s", s] < places[s])]
+            b = min(fit)[1] if fit else len(left)
+            if not fit:
+                left.append(capacity)
+                held.append(Counter())
+            left[b] -= size
+            held[b]["s", s] += 1
+            held[b]["c", c] += c >= 0
+            bins.append(b)
+        return bins
+    rng = random.Random(4)
+    for _ in range(30):
+        places = [rng.randrange(1, 5) for _ in range(5)]
+        items = [(rng.randrange(1, 30), rng.choice([-1, 0, 0, 0, 1, 2, 3, 4]), rng.choice([-1, -1, -1, 0, 1])) for _ in range(250)]
+        items += [(7, 0, -1)] * 60
+        items.sort(reverse=True)
+        assert packing.best_fit(*(list(c) for c in zip(*items)), 100, places)[0] == slow(items, places, 100)
+
+
+@pytest.mark.parametrize("sources", [["hot", None] * 10 + [f"s{k}" for k in range(40)], [f"s{k}" for k in range(9)],
+                                     ["hot"] * 8 + [f"s{k}" for k in range(52)]])
+def test_a_hot_source_is_spread(spark, sources):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(20 + i * 7 % 61)), sources[i % len(sources)]) for i in range(1800)]
+    of, size = {i: s for i, _, s in rows}, {i: len(t.split()) for i, t, _ in rows}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = packing.pack(docs, capacity=400).collect()
+    needed = -(-sum(size.values()) // 400)
+    pieces = Counter(of.values())
+    held = defaultdict(Counter)
+    for r in got:
+        held[r.bin_id][of[r.doc_id]] += 1
+    for inside in held.values():
+        assert all(n <= -(-pieces[s] // needed) for s, n in inside.items())
+    assert len(held) <= 1.2 * needed

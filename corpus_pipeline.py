@@ -21,7 +21,7 @@ NEAR_PERCENT = 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go."""
+    """Rejected documents go; frequent lines leave the texts of the others."""
     return drop_low_quality(docs)
 
 

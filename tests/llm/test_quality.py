@@ -3,7 +3,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
-from auditlens.llm.quality import drop_low_quality, quality_rules
+from auditlens.llm.quality import clean_texts, drop_low_quality, quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -75,3 +75,23 @@ def test_copies_do_not_make_lines_frequent(spark):
 def test_empty_table(empty):
     assert quality_rules(empty).count() == 0
     assert drop_low_quality(empty).count() == 0
+
+
+def test_frequent_lines_leave_the_texts(spark):
+    docs = boilerplate(spark)
+    own = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    odd = [(100, "Shared  FOOTER line\tof the host\n\n kept  as it is \nshared footer line of the hosts", "en", "a", 7),
+           (101, None, "en", "a", None), (102, "", "en", None, 0), (103, "no footer here", "en", "a", 14)]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    got = {r.doc_id: r for r in clean_texts(docs, min_docs=5, max_share=0.1).collect()}
+    for i, t, s in own:
+        want = t.replace("shared footer line of the host\n", "")
+        assert (got[i].text, got[i].source, got[i].n_chars) == (want, s, len(want))
+    want = "\n kept  as it is \nshared footer line of the hosts"
+    assert (got[100].text, got[100].n_chars) == (want, len(want))
+    assert [(got[i].text, got[i].n_chars) for i in (101, 102, 103)] == [(None, None), ("", 0), ("no footer here", 14)]
+    rules = {r.doc_id: r for r in quality_rules(docs, min_docs=5, max_share=0.1).collect()}
+    for i, t, _ in own:
+        assert rules[i].n_removed_words == len(WORD.findall(t)) - len(WORD.findall(got[i].text))
+    kept = {r.doc_id: r.text for r in drop_low_quality(docs, min_docs=5, max_share=0.1).collect()}
+    assert kept == {i: got[i].text for i, r in rules.items() if r.kept} and kept

@@ -37,6 +37,56 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN largest END AS refers_to FROM g
 """
 
+_FIELDS = "doc_id source lang n_chars".split()
+
+
+def _leaf(text: str) -> str:
+    parts = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in _FIELDS]
+    return f"sha256({' || '.join(parts)} || coalesce(strlen({text}) || ':' || {text}, '-'))"
+
+
+# CRC-32 of the decimal identifier, bit by bit
+_BYTE = "CASE WHEN i % 8 = 0 THEN xor(c, ascii(id[i // 8 + 1])) ELSE c END"
+_CRC = (f"xor(list_reduce(range(8 * strlen(id)), lambda c, i: xor(({_BYTE}) >> 1, "
+        f"3988292384 * (({_BYTE}) & 1)), 4294967295::BIGINT), 4294967295::BIGINT)")
+_LOWERED = f"translate(text, '{_UPPER}', '{_LOWER}')"
+
+
+def _levels(name: str, leaves: str) -> str:
+    """Tables of a tree: <name> (g, lvl, idx, n, h), <name>_kin (g, lvl, idx, lft, rgt)."""
+    return f"""
+{name} AS (SELECT g, 0 AS lvl, idx, n, h FROM {leaves}
+  UNION ALL SELECT g, lvl + 1, idx // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY idx))
+  FROM {name} WHERE n > 1 GROUP BY g, lvl, idx // 8, n),
+{name}_kin AS MATERIALIZED (SELECT g, lvl, idx,
+  coalesce(string_agg(h, '' ORDER BY idx) OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+  coalesce(string_agg(h, '' ORDER BY idx) OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+  FROM {name} WHERE n > 1 WINDOW run AS (PARTITION BY g, lvl, idx // 8 ORDER BY idx))"""
+
+
+MERKLE = f"""
+WITH RECURSIVE
+leaves AS MATERIALIZED (SELECT doc_id, g, leaf AS h, claimed,
+    row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n
+  FROM (SELECT doc_id, coalesce(':' || lang, '-') AS g, {_leaf("text")} AS leaf,
+    CASE WHEN crc32 % 3 = 0 THEN {_leaf(_LOWERED)} ELSE {_leaf("text")} END AS claimed
+    FROM (SELECT *, {_CRC} AS crc32 FROM (SELECT *, doc_id::VARCHAR AS id FROM documents)))),
+{_levels("docs", "leaves")},
+subs AS MATERIALIZED (SELECT '' AS g, g AS own, h, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n
+  FROM docs WHERE n = 1),
+{_levels("tops", "subs")},
+walk AS (SELECT doc_id, g, 0 AS tree, 0 AS lvl, idx, h AS leaf, claimed AS acc, '' AS kin FROM leaves
+  UNION ALL SELECT doc_id, w.g, w.tree, w.lvl + 1, w.idx // 8, leaf, sha256(lft || acc || rgt), kin || lft || rgt
+    FROM walk AS w JOIN docs_kin AS k ON w.tree = 0 AND k.g = w.g AND k.lvl = w.lvl AND k.idx = w.idx),
+upper AS (SELECT w.doc_id, w.g, d.h AS subroot, 0 AS lvl, s.idx, leaf, acc, kin
+    FROM walk AS w JOIN docs AS d ON d.n = 1 AND d.g = w.g AND d.lvl = w.lvl JOIN subs AS s ON s.own = w.g
+  UNION ALL SELECT doc_id, u.g, subroot, u.lvl + 1, u.idx // 8, leaf, sha256(lft || acc || rgt), kin || lft || rgt
+    FROM upper AS u JOIN tops_kin AS k ON k.lvl = u.lvl AND k.idx = u.idx)
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(kin) AS proof_sha256, acc AS folded_root, acc = t.h AS verified
+FROM upper AS u JOIN tops AS t ON t.n = 1 AND t.lvl = u.lvl
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_minhash_near_dedup": NEAR, "op5_warc_chunks": WARC, "op7_exact_dedup": EXACT}
+    return {"op4_minhash_near_dedup": NEAR, "op5_warc_chunks": WARC, "op7_exact_dedup": EXACT,
+            "op12_merkle_manifest": MERKLE}

@@ -13,6 +13,7 @@ from auditlens.llm import (
     licenses,
     merkle,
     mixing,
+    multi_index,
     near_dedup,
     packing,
     quality,
@@ -63,6 +64,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages"))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     proofs = merkle.verify(merkle.manifest(read_table(spark, sf_dir, "documents")))
     return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
@@ -78,7 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mix_sources, op2_best_fit_packing, op3_license_scan, op4_minhash_near_dedup, op5_warc_chunks,
         op6_language_id, op7_exact_dedup, op8_quality_rules, op9_chat_perspectives, op10_url_filter,
-        op12_merkle_manifest, pipeline)}
+        op11_embedding_near_dedup, op12_merkle_manifest, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

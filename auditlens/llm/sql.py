@@ -37,6 +37,22 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN largest END AS refers_to FROM g
 """
 
+NEAR_VECTORS = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
+  ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a),
+reach AS (SELECT vec_id AS node, vec_id AS other FROM embeddings
+  UNION SELECT reach.node, link.b FROM reach JOIN link ON link.a = reach.other),
+c AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings AS e JOIN c ON c.node = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
 _FIELDS = "doc_id source lang n_chars".split()
 
 
@@ -89,4 +105,4 @@ FROM upper AS u JOIN tops AS t ON t.n = 1 AND t.lvl = u.lvl
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_minhash_near_dedup": NEAR, "op5_warc_chunks": WARC, "op7_exact_dedup": EXACT,
-            "op12_merkle_manifest": MERKLE}
+            "op11_embedding_near_dedup": NEAR_VECTORS, "op12_merkle_manifest": MERKLE}

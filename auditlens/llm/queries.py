@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from auditlens.llm import (
     chat,
     exact_dedup,
+    hard_negatives,
     langid,
     licenses,
     merkle,
@@ -73,6 +75,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +91,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mix_sources, op2_best_fit_packing, op3_license_scan, op4_minhash_near_dedup, op5_warc_chunks,
         op6_language_id, op7_exact_dedup, op8_quality_rules, op9_chat_perspectives, op10_url_filter,
-        op11_embedding_near_dedup, op12_merkle_manifest, pipeline)}
+        op11_embedding_near_dedup, op12_merkle_manifest, op13_hard_negatives,
+        pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

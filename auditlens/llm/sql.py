@@ -53,6 +53,25 @@ SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_i
 FROM embeddings AS e JOIN c ON c.node = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 """
 
+HARD_NEGATIVES = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    list_sum(list_transform(range(1, least(len(a.e), len(b.e)) + 1), lambda i: a.e[i] * b.e[i]))::BIGINT AS score
+  FROM v AS a JOIN v AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 _FIELDS = "doc_id source lang n_chars".split()
 
 
@@ -105,4 +124,5 @@ FROM upper AS u JOIN tops AS t ON t.n = 1 AND t.lvl = u.lvl
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_minhash_near_dedup": NEAR, "op5_warc_chunks": WARC, "op7_exact_dedup": EXACT,
-            "op11_embedding_near_dedup": NEAR_VECTORS, "op12_merkle_manifest": MERKLE}
+            "op11_embedding_near_dedup": NEAR_VECTORS, "op12_merkle_manifest": MERKLE,
+            "op13_hard_negatives": HARD_NEGATIVES}

@@ -125,6 +125,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def committed_batches(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the folders ``path``/batch=N whose write has been committed."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*/_SUCCESS")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+
 def remove_matching(spark: SparkSession, pattern: str) -> None:
     """Delete the files that a glob pattern names, in whatever file system."""
     at = spark._jvm.org.apache.hadoop.fs.Path(pattern)

@@ -314,9 +314,9 @@ def ml_candidates(series_anomalies: DataFrame) -> DataFrame:
         "TimeGenerated")
 
 
-def alert_rules(candidates: DataFrame, rules: DataFrame) -> DataFrame:
+def alert_rules(candidates: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Apply the rule table: fire where MetricValue > Threshold; grade by the
-    rule's HIGH/CRITICAL tiers; attach the action. The rule table is the
+    rule's HIGH/CRITICAL tiers; attach the action. Candidates' columns in ``keep`` stay. The rule table is the
     caller's, so its join is left to the measured size."""
     j = candidates.join(rules, "RuleName")
     j = j.where(F.col("MetricValue") > F.col("Threshold"))
@@ -324,4 +324,5 @@ def alert_rules(candidates: DataFrame, rules: DataFrame) -> DataFrame:
            .when(F.col("HighAbove").isNotNull() & (F.col("MetricValue") > F.col("HighAbove")), "HIGH")
            .otherwise(F.col("BaseSeverity")))
     return j.select("RuleName", "QuerySource", "TriggerField", "Threshold", "ServerName", "GroupKey",
-                    "WindowStart", "MetricValue", sev.alias("Severity"), "Action", "Frequency", "TimeGenerated")
+                    "WindowStart", "MetricValue", sev.alias("Severity"), "Action", "Frequency", "TimeGenerated",
+                    *keep)

@@ -56,10 +56,9 @@ def _is_category(df: DataFrame) -> Column:
 
 
 # --------------------------------------------------------------------- D1
-def exfiltration_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
-                      sessions: DataFrame | None = None, wrap=None) -> DataFrame:
-    """D1's enriched input rows (shared by the batch and streaming detector)."""
-    w = wrap if wrap is not None else (lambda c: c)
+def exfiltration_lines(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
+    """D1's log lines, before their session is known."""
+    w = _keeper(wrap)
     df = since(bronze, as_of, lookback).where(w(
         flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
         & has_any("message", P.EXFIL_TERMS) & (F.col("backend_type") == P.CLIENT_BACKEND)))
@@ -69,10 +68,24 @@ def exfiltration_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_l
         "TableName": extract(P.AUDIT_OBJECT_TYPE_RE, "message"),
         "QueryText": trim_chars('"', extract(P.QUERY_TEXT_RE, "message")),
         **conn_fields()})
-    df = df.where(w((F.col("AuditOperation") == "READ") | (F.col("AuditStatement") == "SELECT")))
+    return df.where(w((F.col("AuditOperation") == "READ") | (F.col("AuditStatement") == "SELECT")))
+
+
+def not_superuser() -> Column:
+    return F.col("FinalUser") != P.SUPERUSER
+
+
+def known_user() -> Column:
+    return ~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN)
+
+
+def exfiltration_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                      sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D1's enriched input rows (shared by the batch and streaming detector)."""
+    df = exfiltration_lines(bronze, as_of=as_of, lookback=lookback, wrap=wrap)
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback)
-    return session_enrich(df, sessions).where(w(F.col("FinalUser") != P.SUPERUSER))
+    return session_enrich(df, sessions).where(_keeper(wrap)(not_superuser()))
 
 
 def exfiltration(bronze: DataFrame, *, as_of=None, lookback="5m", bucket=None,
@@ -89,6 +102,10 @@ def exfiltration(bronze: DataFrame, *, as_of=None, lookback="5m", bucket=None,
         ("SelectCount", "count", None), ("FirstSeen", "min", TS), ("LastSeen", "max", TS),
         ("User", "max", "FinalUser"), ("Database", "max", "FinalDatabase"), ("SourceHost", "max", "FinalHost")],
         [("TablesAccessed", "TableName", 10), ("SampleQueries", "QueryText", 3)])
+    return exfiltration_output(agg, threshold, high, critical)
+
+
+def exfiltration_output(agg: DataFrame, threshold=15, high=30, critical=50) -> DataFrame:
     agg = agg.where(F.col("SelectCount") > threshold)
     return agg.select(
         F.col("LastSeen").alias("TimeGenerated"),
@@ -107,10 +124,8 @@ def _keeper(wrap):
     return wrap if wrap is not None else (lambda c: c)
 
 
-def destructive_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
-                     sessions: DataFrame | None = None, wrap=None) -> DataFrame:
-    """D2's enriched input rows (shared by the batch and streaming detector;
-    a stream passes ``wrap=above_watermark``)."""
+def destructive_lines(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
+    """D2's log lines, before their session is known."""
     w = _keeper(wrap)
     df = since(bronze, as_of, lookback).where(w(
         flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
@@ -121,13 +136,19 @@ def destructive_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lo
         "TableAffected": extract(P.AUDIT_OBJECT_TYPE_RE, "message"),
         "QueryText": trim_chars('"', extract(P.QUERY_TEXT_RE, "message")),
         **conn_fields()})
-    df = df.where(w(has_any("message", P.DESTRUCTIVE_TERMS)
-                    & ((F.col("AuditOperation") == "WRITE")
-                       | has_any("AuditStatement", P.DESTRUCTIVE_TERMS))))
+    return df.where(w(has_any("message", P.DESTRUCTIVE_TERMS)
+                      & ((F.col("AuditOperation") == "WRITE")
+                         | has_any("AuditStatement", P.DESTRUCTIVE_TERMS))))
+
+
+def destructive_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                     sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D2's enriched input rows (shared by the batch and streaming detector;
+    a stream passes ``wrap=above_watermark``)."""
+    df = destructive_lines(bronze, as_of=as_of, lookback=lookback, wrap=wrap)
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback)
-    df = session_enrich(df, sessions)
-    return df.where(w(~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN)))
+    return session_enrich(df, sessions).where(_keeper(wrap)(known_user()))
 
 
 def destructive_ops(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="2m",
@@ -145,6 +166,10 @@ def destructive_ops(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="2m
         ("FirstOccurrence", "min", TS), ("LastOccurrence", "max", TS),
         ("User", "max", "FinalUser"), ("Database", "max", "FinalDatabase"), ("SourceHost", "max", "FinalHost")],
         [("SampleMessages", "QueryText", 3)])
+    return destructive_output(agg, threshold, high, critical)
+
+
+def destructive_output(agg: DataFrame, threshold=5, high=10, critical=20) -> DataFrame:
     agg = agg.where((F.col("OperationCount") > threshold) & (F.col("backend_type") == P.CLIENT_BACKEND))
     return agg.select(
         F.col("LastOccurrence").alias("TimeGenerated"),
@@ -161,14 +186,19 @@ def error_predicate() -> Column:
     return F.col("errorLevel").isin(*P.ERROR_LEVELS) | ((code != P.OK_CODE) & (code != ""))
 
 
-def error_spike_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
-                     sessions: DataFrame | None = None, wrap=None) -> DataFrame:
-    """D3's enriched input rows (shared by the batch and streaming detector)."""
+def error_spike_lines(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
+    """D3's log lines, before their session is known."""
     w = _keeper(wrap)
     df = since(bronze, as_of, lookback).where(w(flag(bronze, "is_err") & _is_category(bronze) & error_predicate()))
-    df = df.withColumns({
+    return df.withColumns({
         "ErrorCategory": label_case(P.ERROR_SPIKE_CATEGORIES, P.ERROR_SPIKE_DEFAULT),
         **conn_fields()})
+
+
+def error_spike_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                     sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D3's enriched input rows (shared by the batch and streaming detector)."""
+    df = error_spike_lines(bronze, as_of=as_of, lookback=lookback, wrap=wrap)
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback)
     return session_enrich(df, sessions)
@@ -188,38 +218,47 @@ def error_spike(bronze: DataFrame, *, as_of=None, lookback="15m", bucket="1m",
         ("ErrorCodes", "small_set", "sqlerrcode"), ("FirstError", "min", TS), ("LastError", "max", TS),
         ("User", "max", "FinalUser"), ("Database", "max", "FinalDatabase"), ("SourceHost", "max", "FinalHost")],
         [("SampleErrors", "message", 3)])
+    out = error_spike_output(agg, threshold, high, critical)
+    if ordered:
+        out = out.orderBy(F.desc("ErrorCount"), F.desc("TimeGenerated"), "ServerName", "BackendType")
+    return out
+
+
+def error_spike_output(agg: DataFrame, threshold=3, high=8, critical=15) -> DataFrame:
     agg = agg.where(F.col("ErrorCount") > threshold)
-    out = agg.select(
+    return agg.select(
         F.col("LastError").alias("TimeGenerated"),
         F.lit("Critical Error Spike").alias("AnomalyType"),
         severity("ErrorCount", high, critical).alias("Severity"),
         F.col(SRV).alias("ServerName"), "User", "Database", "SourceHost",
         F.col("backend_type").alias("BackendType"), "ErrorCount", "ErrorTypes", "ErrorCodes",
         _window_text("FirstError", "LastError").alias("TimeWindow"), "SampleErrors")
-    if ordered:
-        out = out.orderBy(F.desc("ErrorCount"), F.desc("TimeGenerated"), "ServerName", "BackendType")
-    return out
 
 
 # --------------------------------------------------------------------- D4
-def privilege_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
-                   sessions: DataFrame | None = None, wrap=None) -> DataFrame:
-    """D4's enriched input rows (shared by the batch and streaming detector)."""
+def privilege_lines(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
+    """D4's log lines, before their session is known."""
     w = _keeper(wrap)
     backend = F.col("backend_type")
     df = since(bronze, as_of, lookback).where(w(
         _is_category(bronze) & has_any("message", P.PRIVILEGE_TERMS)
         & ~contains("message", P.SYSTEM_USERS[1]) & ~contains("message", P.SUPERUSER)
         & ((backend == P.CLIENT_BACKEND) | is_empty(backend))))
-    df = df.withColumns({
+    return df.withColumns({
         "PrivilegeOp": label_case(P.PRIVILEGE_OPS, P.PRIVILEGE_OPS_DEFAULT),
         "QueryText": F.substring("message", 1, 200),
         "DirectUser": extract(P.USER_RE, "message"),
         "LogType": F.col("errorLevel")})
+
+
+def privilege_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                   sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D4's enriched input rows (shared by the batch and streaming detector)."""
+    df = privilege_lines(bronze, as_of=as_of, lookback=lookback, wrap=wrap)
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback, fields=("User",))
     df = session_enrich(df, sessions.select("processId", SRV, "User"), fields=("User",))
-    return df.where(w(~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN)))
+    return df.where(_keeper(wrap)(known_user()))
 
 
 def privilege_escalation(bronze: DataFrame, *, as_of=None, lookback="24h", bucket="1h",
@@ -236,6 +275,10 @@ def privilege_escalation(bronze: DataFrame, *, as_of=None, lookback="24h", bucke
         ("LogTypes", "small_set", "LogType"), ("FirstOp", "min", TS), ("LastOp", "max", TS),
         ("User", "max", "FinalUser")],
         [("SampleQueries", "QueryText", 3)])
+    return privilege_output(agg, threshold, high, critical)
+
+
+def privilege_output(agg: DataFrame, threshold=0, high=3, critical=5) -> DataFrame:
     agg = agg.where(F.col("PrivilegeOpsCount") > threshold)
     return agg.select(
         F.col("LastOp").alias("TimeGenerated"),
@@ -265,10 +308,10 @@ def cross_schema_recon(bronze: DataFrame, *, as_of=None, lookback="15m", bucket=
     return cross_schema_output(agg, threshold, high, critical)
 
 
-def cross_schema_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
-                      literal: bool = False, sessions: DataFrame | None = None, wrap=None) -> DataFrame:
-    """D5's enriched input rows (shared by the batch and streaming detector)."""
-    w = wrap if wrap is not None else (lambda c: c)
+def cross_schema_lines(bronze: DataFrame, *, as_of=None, lookback=None, literal: bool = False,
+                       wrap=None) -> DataFrame:
+    """D5's log lines, before their session is known."""
+    w = _keeper(wrap)
     df = since(bronze, as_of, lookback).where(w(
         flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
         & (F.col("backend_type") == P.CLIENT_BACKEND)))
@@ -283,12 +326,18 @@ def cross_schema_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_l
     df = df.where(w(is_not_empty("SchemaAccessed") | is_not_empty("TableAccessed")))
     df = df.withColumn("SchemaName", F.when(is_not_empty("SchemaAccessed"), F.col("SchemaAccessed"))
                        .otherwise(schema_of("TableAccessed")))
-    df = df.where(w(is_not_empty("SchemaName") & ~F.col("SchemaName").isin(*P.CATALOG_SCHEMAS, "")))
+    return df.where(w(is_not_empty("SchemaName") & ~F.col("SchemaName").isin(*P.CATALOG_SCHEMAS, "")))
+
+
+def cross_schema_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                      literal: bool = False, sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D5's enriched input rows (shared by the batch and streaming detector)."""
+    df = cross_schema_lines(bronze, as_of=as_of, lookback=lookback, literal=literal, wrap=wrap)
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback, terms=CONN_TERMS_AUTHORIZED,
                                 fields=("User",))
     df = session_enrich(df, sessions.select("processId", SRV, "User"), fields=("User",))
-    return df.where(w(F.col("FinalUser") != P.SUPERUSER))
+    return df.where(_keeper(wrap)(not_superuser()))
 
 
 def cross_schema_aggs(streaming: bool = False):
@@ -331,21 +380,26 @@ def deep_schema_enum(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="5
     return deep_enum_output(agg, threshold, high, critical, multi_table)
 
 
-def deep_enum_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
-                   sessions: DataFrame | None = None, wrap=None) -> DataFrame:
-    """D6's enriched input rows (shared by the batch and streaming detector)."""
-    w = wrap if wrap is not None else (lambda c: c)
+def deep_enum_lines(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
+    """D6's log lines, before their session is known."""
+    w = _keeper(wrap)
     df = since(bronze, as_of, lookback).where(w(
         flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
         & (F.col("backend_type") == P.CLIENT_BACKEND) & has_any("message", P.CATALOG_TERMS)))
     df = df.withColumn("QueryText", catalog_query_text())
-    df = df.withColumns({"SystemTable": label_case(P.SYSTEM_TABLES, P.SYSTEM_TABLES_DEFAULT, msg="QueryText"),
-                         "DirectUser": extract(P.USER_RE, "message")})
+    return df.withColumns({"SystemTable": label_case(P.SYSTEM_TABLES, P.SYSTEM_TABLES_DEFAULT, msg="QueryText"),
+                           "DirectUser": extract(P.USER_RE, "message")})
+
+
+def deep_enum_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
+                   sessions: DataFrame | None = None, wrap=None) -> DataFrame:
+    """D6's enriched input rows (shared by the batch and streaming detector)."""
+    df = deep_enum_lines(bronze, as_of=as_of, lookback=lookback, wrap=wrap)
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback, terms=CONN_TERMS_AUTHORIZED,
                                 fields=("User",))
     df = session_enrich(df, sessions.select("processId", SRV, "User"), fields=("User",))
-    return df.where(w(F.col("FinalUser") != P.SUPERUSER))
+    return df.where(_keeper(wrap)(not_superuser()))
 
 
 def deep_enum_aggs(streaming: bool = False):
@@ -395,6 +449,10 @@ def brute_force(bronze: DataFrame, *, as_of=None, lookback="24h",
     agg = aggregate_with_sets(df, keys, [
         ("FailedAttempts", "count", None), ("FirstAttempt", "min", TS), ("LastAttempt", "max", TS)],
         [("Users", "UserName", 10), ("Databases", "DatabaseName", 5)])
+    return brute_force_output(agg, threshold, high, critical)
+
+
+def brute_force_output(agg: DataFrame, threshold=5, high=10, critical=20) -> DataFrame:
     agg = agg.where(F.col("FailedAttempts") > threshold)
     return agg.select(
         F.col("LastAttempt").alias("TimeGenerated"),

@@ -1,8 +1,8 @@
 """Time-series baseline and anomaly scoring (D8, D8b), all native Spark.
 
 ``make_series``   dense per-key series on a fixed step, zeros where no
-                  metric row exists (one grid for all keys, from the
-                  overall first to last bucket).
+                  metric row exists (each key from its own first to its
+                  own last bucket).
 ``decompose``     per key: linear trend (``regr_slope``/``regr_intercept``
                   on the position), seasonality chosen by the lag
                   autocorrelation of the detrended series at candidate
@@ -14,6 +14,10 @@
                   else 0; a point is an anomaly (+1/-1) when |score| exceeds
                   the threshold.
 
+``fit_baseline`` stores what ``decompose`` has learned, one row per key (trend,
+period, seasonal means by slot, fences); ``score_baseline`` scores new points
+with it, in a batch or a stream, by the same formulas.
+
 Every step is a groupBy or a window keyed by the series key; a key's
 series is bounded by lookback / step points (2,016 for 7 days of 5-minute
 buckets), never by the raw data volume, because the input is the
@@ -22,7 +26,7 @@ pre-aggregated metric table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlens.config import shared_dir
@@ -67,9 +71,55 @@ def _corr(x: str, y: str):
     return F.try_divide(F.covar_pop(xs, F.col(y)), F.stddev_pop(xs) * F.stddev_pop(F.col(y)))
 
 
+def _score(resid: str, q10: str, q90: str) -> Column:
+    """How far a residual lies outside its fences, in units of their distance."""
+    r, lo, hi = F.col(resid), F.col(q10), F.col(q90)
+    return (F.when(hi - lo <= 0, F.lit(0.0)).when(r > hi, (r - hi) / (hi - lo))
+            .when(r < lo, (r - lo) / (hi - lo)).otherwise(F.lit(0.0)))
+
+
+def _flagged(df: DataFrame, threshold: float) -> DataFrame:
+    df = df.withColumn("score", _score("resid", "q10", "q90"))
+    return df.withColumn("anomalies", F.when(F.abs("score") > threshold, F.signum("score")).otherwise(F.lit(0.0))
+                         .cast("int"))
+
+
 def decompose(series: DataFrame, *, threshold=1.5, periods=DEFAULT_PERIODS, step="5m", min_corr=0.6,
               min_cycles=2, by="ServerName", materialize: bool = True) -> DataFrame:
-    """Adds trend, seasonal, baseline, residual, score and anomalies (+1/0/-1).
+    """Adds trend, seasonal, baseline, residual, score and anomalies (+1/0/-1)."""
+    r = _fitted(series, periods, step, min_corr, min_cycles, by, materialize)
+    return _flagged(r, threshold).drop("slope", "icpt", "n", "d", "slot", "q10", "q90")
+
+
+def fit_baseline(metrics: DataFrame, *, as_of=None, lookback="7d", step="5m", periods=DEFAULT_PERIODS, min_corr=0.6,
+                 min_cycles=2, by="ServerName", ts="Timestamp") -> DataFrame:
+    """The baseline model of every key: origin (time of position 0), slope, icpt, period in
+    steps (0: no season), slots (mean of the detrended value by slot), q10 and q90 (fences of
+    the residual), n (points fitted). A small table, to be stored and fitted again as often as wanted."""
+    series = make_series(metrics, as_of=as_of, lookback=lookback, step=step, by=by, ts=ts)
+    r = _fitted(series, periods, step, min_corr, min_cycles, by, True)
+    slots = F.array_sort(F.collect_set(F.when(F.col("period") > 0, F.struct("slot", "seasonal"))))
+    same = [F.max(c).alias(c) for c in ("slope", "icpt", "period", "q10", "q90", "n")]   # constant within a key
+    return r.groupBy(by).agg(F.min(ts).alias("origin"), *same,
+                             F.transform(slots, lambda s: s["seasonal"]).alias("slots"))
+
+
+def score_baseline(points: DataFrame, model: DataFrame, *, threshold=1.5, step="5m", by="ServerName",
+                   ts="Timestamp", value="v") -> DataFrame:
+    """``points`` (by, ts, value) of the keys the model knows, with baseline, resid, score and
+    anomalies. Points need not be those of the fit: the trend goes on, the season repeats."""
+    m = model.withColumn("origin", F.col("origin").cast(points.schema[ts].dataType))
+    x = points.join(m, by)
+    idx = F.floor(F.timestamp_diff("SECOND", F.col("origin"), F.col(ts)) / seconds(step))
+    slot = F.when(F.col("period") > 0, F.pmod(idx, F.col("period"))).cast("int")
+    seasonal = F.coalesce(F.get("slots", slot), F.lit(0.0))
+    x = x.withColumn("baseline", F.col("icpt") + F.col("slope") * idx + seasonal)
+    x = x.withColumn("resid", F.col(value) - F.col("baseline"))
+    return _flagged(x, threshold).select(*points.columns, "baseline", "resid", "score", "anomalies")
+
+
+def _fitted(series: DataFrame, periods, step, min_corr, min_cycles, by: str, materialize: bool) -> DataFrame:
+    """``series`` with what is fitted per key beside every point.
 
     The dense series feeds five branches (trend, autocorrelation, seasonal
     profile, quantiles, scoring). With ``materialize`` it is written once to
@@ -114,16 +164,7 @@ def decompose(series: DataFrame, *, threshold=1.5, periods=DEFAULT_PERIODS, step
          .withColumn("baseline", F.col("trend") + F.col("seasonal"))
          .withColumn("resid", F.col("v") - F.col("baseline")))
     q = r.groupBy(by).agg(F.percentile("resid", 0.1).alias("q10"), F.percentile("resid", 0.9).alias("q90"))
-    r = r.join(q, by)
-    iqr = F.col("q90") - F.col("q10")
-    score = (F.when(iqr <= 0, F.lit(0.0))
-             .when(F.col("resid") > F.col("q90"), (F.col("resid") - F.col("q90")) / iqr)
-             .when(F.col("resid") < F.col("q10"), (F.col("resid") - F.col("q10")) / iqr)
-             .otherwise(F.lit(0.0)))
-    r = r.withColumn("score", score)
-    r = r.withColumn("anomalies", F.when(F.abs("score") > threshold, F.signum("score")).otherwise(F.lit(0.0))
-                     .cast("int"))
-    return r.drop("slope", "icpt", "n", "d", "slot", "q10", "q90")
+    return r.join(q, by)
 
 
 def series_anomalies(metrics: DataFrame, *, as_of=None, lookback="7d", report="1h", step="5m",

@@ -181,3 +181,40 @@ def small_set(c: Column | str) -> Column:
 def join_set(c: Column | str, sep: str = ", ") -> Column:
     """``strcat_array(set, sep)``."""
     return F.array_join(F.col(c) if isinstance(c, str) else c, sep)
+
+
+#: A cap no set of a small domain reaches.
+_WHOLE = 2**31 - 1
+
+
+def merge_partials(parts: DataFrame, keys: Sequence[str], *, sums: Sequence[str] = (), mins: Sequence[str] = (),
+                   maxs: Sequence[str] = (), sets: Sequence[tuple[str, int | None]] = ()) -> DataFrame:
+    """One row per key from partial rows that hold sums, extremes and bounded sets.
+
+    A bounded set merges exactly: the n smallest of a union are among the n smallest
+    of its parts. ``sets``: (array column, n or None for all of a small domain). Set
+    values are stacked next to the partial rows and ranked per key and set, so that
+    no key's sets are gathered before they are cut to n.
+    """
+    def stacked(sid: int, values: Column) -> Column:
+        return F.transform(values, lambda v: F.struct(F.lit(sid).alias("sid"), v.alias("val")))
+
+    items = [stacked(-1, F.array(F.lit(None).cast("string")))]
+    items += [stacked(i, F.coalesce(F.col(name), F.array().cast("array<string>"))) for i, (name, _) in enumerate(sets)]
+    plain = [*sums, *mins, *maxs]
+    x = parts.select(*keys, *plain, F.explode(F.concat(*items)).alias("__it")).select(
+        *keys, *plain, "__it.sid", "__it.val")
+    base = F.col("sid") == -1
+    g = x.groupBy(*keys, "sid", "val").agg(
+        *[F.sum(F.when(base, F.col(c))).alias(c) for c in sums],
+        *[F.min(F.when(base, F.col(c))).alias(c) for c in mins],
+        *[F.max(F.when(base, F.col(c))).alias(c) for c in maxs])
+    if sets:
+        caps = F.create_map(F.lit(-1), F.lit(1), *[F.lit(v) for i, (_, n) in enumerate(sets) for v in (i, n or _WHOLE)])
+        w = Window.partitionBy(*keys, "sid").orderBy("val")
+        g = g.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= caps[F.col("sid")])
+    return g.groupBy(*keys).agg(
+        *[F.max(F.when(base, F.col(c))).cast("long").alias(c) for c in sums],
+        *[F.max(F.when(base, F.col(c))).alias(c) for c in [*mins, *maxs]],
+        *[F.array_sort(F.collect_list(F.when(F.col("sid") == i, F.col("val")))).alias(name)
+          for i, (name, _) in enumerate(sets)])

@@ -96,6 +96,22 @@ def _enriched(ev_cte: str, where_final: str = "", auth_only=False, direct=True):
     return parts
 
 
+def _enriched_live(ev_cte: str, where_final: str):
+    """As ``_enriched``, each line with the newest connection of its backend in the 24 hours before."""
+    terms = (P.CONN_AUTHORIZED, P.CONN_RECEIVED)
+    return [ev_cte, f"""conn AS (
+  SELECT * FROM (SELECT processId, LogicalServerName, {TS} AS t, {S.extract(P.USER_RE, 'message')} AS u,
+                        {S.extract(P.DATABASE_RE, 'message')} AS d, {S.extract(P.HOST_RE, 'message')} AS h
+                 FROM bronze WHERE {S.contains_any('message', terms)}) c WHERE u <> '')""",
+            "lines AS MATERIALIZED (SELECT row_number() OVER () AS line, * FROM ev)",
+            f"""near AS (SELECT line, max(struct_pack(t := t, u := u, d := d, h := h)) AS c FROM lines AS l JOIN conn
+  ON l.processId = conn.processId AND l.LogicalServerName = conn.LogicalServerName
+    AND t <= {TS} AND t >= {TS} - INTERVAL '24 hours' GROUP BY line)""",
+            'sess AS (SELECT line, c.u AS "User", c.d AS "Database", c.h AS SourceHost FROM near)',
+            f"""j AS (SELECT * FROM (SELECT l.*, {final_cols()} FROM lines AS l LEFT JOIN sess s USING (line)) x
+  {('WHERE ' + where_final) if where_final else ''})"""]
+
+
 def exfiltration_sql(threshold=15, high=30, critical=50, bucket_secs=None):
     bsel = f", {bucket(bucket_secs)} AS Bucket" if bucket_secs else ""
     bgrp = ", Bucket" if bucket_secs else ""
@@ -125,7 +141,7 @@ SELECT LastSeen AS TimeGenerated, 'Potential Data Exfiltration' AS AnomalyType,
 FROM g"""
 
 
-def destructive_ops_sql(bucket_secs=DAY, threshold=5, high=10, critical=20):
+def destructive_ops_sql(bucket_secs=DAY, threshold=5, high=10, critical=20, enriched=_enriched):
     ev = f"""ev AS (
   SELECT * FROM (
     SELECT b.*, {S.extract(P.AUDIT_CLASS_RE, 'message')} AS AuditOperation,
@@ -143,7 +159,7 @@ def destructive_ops_sql(bucket_secs=DAY, threshold=5, high=10, critical=20):
     max(FinalUser) AS "User", max(FinalDatabase) AS "Database", max(FinalHost) AS SourceHost
   FROM j GROUP BY LogicalServerName, backend_type, Bucket
   HAVING count(*) > {threshold} AND backend_type = 'client backend')"""
-    return with_bronze(*_enriched(ev, "FinalUser NOT IN ('azuresu', 'azure_maintenance', 'UNKNOWN')"), g) + f"""
+    return with_bronze(*enriched(ev, "FinalUser NOT IN ('azuresu', 'azure_maintenance', 'UNKNOWN')"), g) + f"""
 SELECT LastOccurrence AS TimeGenerated, 'Mass Destructive Operations' AS AnomalyType,
   {S.severity('OperationCount', high, critical)} AS Severity, LogicalServerName AS ServerName,
   "User", "Database", SourceHost, backend_type AS BackendType, OperationCount,
@@ -152,7 +168,7 @@ SELECT LastOccurrence AS TimeGenerated, 'Mass Destructive Operations' AS Anomaly
 FROM g"""
 
 
-def privilege_escalation_sql(bucket_secs=DAY, threshold=0, high=3, critical=5):
+def privilege_escalation_sql(bucket_secs=DAY, threshold=0, high=3, critical=5, enriched=_enriched):
     ev = f"""ev AS (
   SELECT b.*, {S.label_case(P.PRIVILEGE_OPS, P.PRIVILEGE_OPS_DEFAULT)} AS PrivilegeOp,
     substring(message, 1, 200) AS QueryText, {direct_cols()}, errorLevel AS LogType,
@@ -166,7 +182,7 @@ def privilege_escalation_sql(bucket_secs=DAY, threshold=0, high=3, critical=5):
     min({TS}) AS FirstOp, max({TS}) AS LastOp, {S.set_n('QueryText', 3)} AS SampleQueries,
     max(FinalUser) AS "User"
   FROM j GROUP BY LogicalServerName, Bucket HAVING count(*) > {threshold})"""
-    return with_bronze(*_enriched(ev, "FinalUser NOT IN ('azuresu', 'azure_maintenance', 'UNKNOWN')"), g) + f"""
+    return with_bronze(*enriched(ev, "FinalUser NOT IN ('azuresu', 'azure_maintenance', 'UNKNOWN')"), g) + f"""
 SELECT LastOp AS TimeGenerated, 'Privilege Escalation' AS AnomalyType,
   {S.severity('PrivilegeOpsCount', high, critical)} AS Severity, LogicalServerName AS ServerName, "User",
   PrivilegeOpsCount, {arr('Operations')} AS Operations, {arr('LogTypes')} AS LogTypes,
@@ -728,20 +744,22 @@ GROUP BY LogicalServerName, processId, WindowStart""")
     return "\nUNION ALL\n".join(f"({p})" for p in parts)
 
 
-def rules_values():
+def rules_values(table=None):
     from auditlens.operators.alerts import RULES
 
     def lit(v):
         return "NULL" if v is None else (S.q(v) if isinstance(v, str) else f"CAST({v} AS DOUBLE)")
-    rows = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in RULES)
+    rows = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in table or RULES)
     return (f"rules(RuleName, QuerySource, TriggerField, Threshold, HighAbove, CriticalAbove, BaseSeverity, "
             f"Action, Frequency) AS (VALUES {rows})")
 
 
+ML_CANDIDATES = ("SELECT 'ML Anomaly' AS RuleName, ServerName, ServerName AS GroupKey, ts AS WindowStart, "
+                 "abs(round(score, 2)) AS MetricValue, ts AS TimeGenerated FROM sc WHERE anomalies <> 0")
+
+
 def alert_rules_sql():
-    ml = ("SELECT 'ML Anomaly' AS RuleName, ServerName, ServerName AS GroupKey, ts AS WindowStart, "
-          "abs(round(score, 2)) AS MetricValue, ts AS TimeGenerated FROM sc WHERE anomalies <> 0")
-    return with_bronze(*series_ctes(), f"c AS ({alert_candidates_sql()} UNION ALL ({ml}))", rules_values()) + """
+    return with_bronze(*series_ctes(), f"c AS ({alert_candidates_sql()} UNION ALL ({ML_CANDIDATES}))", rules_values()) + """
 SELECT RuleName, QuerySource, TriggerField, CAST(Threshold AS DOUBLE) AS Threshold, ServerName, GroupKey,
   WindowStart, MetricValue,
   CASE WHEN CriticalAbove IS NOT NULL AND MetricValue > CriticalAbove THEN 'CRITICAL'
@@ -815,25 +833,43 @@ FROM sc WHERE anomalies <> 0
 ORDER BY abs(score) DESC, ServerName, ts LIMIT {top}"""
 
 
-WATERMARK_SECS = 600
-
-
-def metric_stream_sql():
-    return with_bronze(activity_cte()) + f"""
-SELECT * FROM am
-WHERE "Timestamp" + INTERVAL '300 seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""
+def baseline_model_sql():
+    return with_bronze(*series_ctes()) + """
+SELECT ServerName, t0 AS origin, CAST(period AS INTEGER) AS period, n, round(slope, 9) + 0.0 AS slope, round(icpt, 9) + 0.0 AS icpt,
+  round(q10, 9) + 0.0 AS q10, round(q90, 9) + 0.0 AS q90,
+  (SELECT count(*) FROM seas WHERE seas.ServerName = tr.ServerName) AS n_slots
+FROM tr JOIN bnd USING (ServerName) JOIN per USING (ServerName) JOIN q USING (ServerName)"""
 
 
-def alert_stream_sql():
-    return with_bronze(f"c AS ({alert_candidates_sql(exfil_bucketed=True)})", rules_values()) + f"""
+def alert_stream_sql(ml=False):
+    candidates = alert_candidates_sql(exfil_bucketed=True) + (f" UNION ALL ({ML_CANDIDATES})" if ml else "")
+    from auditlens.plans.profile import HUNT_RULES
+    return with_bronze(*(series_ctes() if ml else []), f"c AS ({candidates})", rules_values(HUNT_RULES)) + """
 SELECT RuleName, QuerySource, TriggerField, CAST(Threshold AS DOUBLE) AS Threshold, ServerName, GroupKey,
   WindowStart, MetricValue,
   CASE WHEN CriticalAbove IS NOT NULL AND MetricValue > CriticalAbove THEN 'CRITICAL'
        WHEN HighAbove IS NOT NULL AND MetricValue > HighAbove THEN 'HIGH' ELSE BaseSeverity END AS Severity,
   Action, Frequency, TimeGenerated
 FROM c JOIN rules USING (RuleName)
-WHERE MetricValue > Threshold
-  AND WindowStart + INTERVAL '{DAY} seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""
+WHERE MetricValue > Threshold"""
+
+
+def alert_once_stream_sql(quiet=7 * DAY):
+    return f"""SELECT DISTINCT RuleName, QuerySource, Action, Frequency, ServerName, GroupKey,
+  {S.bin_ts('WindowStart', quiet)} AS Burst FROM ({alert_stream_sql()}) a"""
+
+
+def alert_burst_stream_sql(quiet=2 * DAY):
+    """Gaps and islands: a window's time is the last microsecond of its day."""
+    return f"""
+WITH a AS (SELECT *, WindowStart + INTERVAL '{DAY} seconds' - INTERVAL '1 microsecond' AS moment FROM ({alert_stream_sql()}) x),
+b AS (SELECT *, CASE WHEN moment > lag(moment) OVER w + INTERVAL '{quiet} seconds' OR lag(moment) OVER w IS NULL THEN 1 ELSE 0 END AS fresh
+  FROM a WINDOW w AS (PARTITION BY RuleName, ServerName, GroupKey ORDER BY moment)),
+c AS (SELECT *, sum(fresh) OVER (PARTITION BY RuleName, ServerName, GroupKey ORDER BY moment) AS island FROM b)
+SELECT RuleName, QuerySource, Action, Frequency, ServerName, GroupKey, min(WindowStart) AS BurstStart,
+  max(WindowStart) + INTERVAL '{DAY} seconds' AS BurstEnd, count(*) AS Windows, max(MetricValue) AS PeakValue,
+  arg_max(Severity, MetricValue) AS Severity, max(TimeGenerated) AS TimeGenerated
+FROM c GROUP BY RuleName, QuerySource, Action, Frequency, ServerName, GroupKey, island"""
 
 
 # ------------------------------------------------------------------ ingest, parse, sessions
@@ -881,17 +917,6 @@ FROM ev ASOF LEFT JOIN conn c
   ON ev.processId = c.processId AND ev.LogicalServerName = c.LogicalServerName AND ev.{TS} >= c.valid_from"""
 
 
-def error_metric_stream_sql():
-    return error_metrics_sql() + f"""
-HAVING {S.bin_ts(TS, 60)} + INTERVAL '60 seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""
-
-
-def user_metric_stream_sql():
-    return with_bronze(*user_metrics_cte()) + f"""
-SELECT * FROM um
-WHERE "Timestamp" + INTERVAL '3600 seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""
-
-
 def quick_all_sql(limit=100):
     parts = [quick_exfil_sql(), quick_destructive_sql(), quick_errors_sql(), quick_privilege_sql()]
     u = "\nUNION ALL BY NAME\n".join(f"({p})" for p in parts)
@@ -904,51 +929,20 @@ SELECT sqlerrcode, upper(errorLevel) AS errorLevel, count(*) AS count_, max(mess
 FROM bronze WHERE starts_with(sqlerrcode, '28') GROUP BY sqlerrcode, upper(errorLevel)"""
 
 
-def _closed_by_watermark(sql: str, bucket_col: str = "Bucket", bucket_secs: int = DAY) -> str:
-    return f"""{sql}
-WHERE {bucket_col} + INTERVAL '{bucket_secs} seconds' <= (SELECT max({TS}) FROM bronze) - INTERVAL '{WATERMARK_SECS} seconds'"""
-
-
-def _drop_last_select_col(sql: str, col_expr: str) -> str:
-    assert col_expr in sql, col_expr
-    return sql.replace(col_expr, "")
-
-
-def error_spike_stream_sql():
-    sql = error_spike_sql()
-    sql = _drop_last_select_col(sql, ", {arr}".format(arr=arr('SampleErrors') + " AS SampleErrors"))
-    return _closed_by_watermark(sql)
-
-
-def destructive_ops_stream_sql():
-    sql = destructive_ops_sql()
-    sql = _drop_last_select_col(sql, ", " + arr('SampleMessages') + " AS SampleMessages")
-    return _closed_by_watermark(sql)
-
-
-def privilege_escalation_stream_sql():
-    sql = privilege_escalation_sql()
-    sql = _drop_last_select_col(sql, ", " + arr('SampleQueries') + " AS SampleQueries")
-    return _closed_by_watermark(sql)
-
-
-def exfiltration_stream_sql():
-    sql = exfiltration_sql(bucket_secs=DAY)
-    sql = _drop_last_select_col(sql, """,
-  COALESCE(array_to_string(TablesAccessed, ', '), '') AS TablesAccessed,
-  COALESCE(array_to_string(SampleQueries, ' ||| '), '') AS SampleQueries""")
-    return _closed_by_watermark(sql)
-
-
-def cross_schema_recon_stream_sql():
-    return _closed_by_watermark(cross_schema_recon_sql(bucket_secs=DAY))
+def destructive_ops_live_sql():
+    """The live detectors have no samples."""
+    columns = ["TimeGenerated", "AnomalyType", "Severity", "ServerName", '"User"', '"Database"', "SourceHost", "BackendType",
+               "OperationCount", "Operations", "TablesAffected", "TimeWindow"]
+    return f"SELECT {', '.join(columns)} FROM ({destructive_ops_sql(enriched=_enriched_live)}) x"
 
 
-def deep_schema_enum_stream_sql():
-    return _closed_by_watermark(deep_schema_enum_sql(bucket_secs=DAY))
+def privilege_escalation_live_sql():
+    columns = ["TimeGenerated", "AnomalyType", "Severity", "ServerName", '"User"', "PrivilegeOpsCount", "Operations",
+               "LogTypes", "TimeWindow"]
+    return f"SELECT {', '.join(columns)} FROM ({privilege_escalation_sql(enriched=_enriched_live)}) x"
 
 
-def brute_force_stream_sql():
-    sql = brute_force_sql(bucket_secs=DAY)
-    sql = _drop_last_select_col(sql, " " + arr('Users') + " AS Users, " + arr('Databases') + " AS Databases,")
-    return _closed_by_watermark(sql)
+def session_enrich_stream_sql():
+    ev = f"ev AS (SELECT b.*, {direct_cols()} FROM bronze b WHERE {AUDIT})"
+    return with_bronze(*_enriched_live(ev, "")) + f"""
+SELECT {TS}, LogicalServerName, processId, FinalUser, FinalDatabase, FinalHost FROM j"""

@@ -35,21 +35,27 @@ def _whole() -> dict[str, str]:
         "anomalies_all": O.anomalies_all_sql(),
         "security_kpis": O.security_kpis_sql(),
         "alert_rules": O.alert_rules_sql(),
-        "metric_stream": O.metric_stream_sql(),
-        "error_metric_stream": O.error_metric_stream_sql(),
-        "error_spike_stream": O.error_spike_stream_sql(),
-        "destructive_ops_stream": O.destructive_ops_stream_sql(),
-        "privilege_escalation_stream": O.privilege_escalation_stream_sql(),
-        "exfiltration_stream": O.exfiltration_stream_sql(),
-        "cross_schema_recon_stream": O.cross_schema_recon_stream_sql(),
-        "deep_schema_enum_stream": O.deep_schema_enum_stream_sql(),
-        "brute_force_stream": O.brute_force_stream_sql(),
-        "user_metric_stream": O.user_metric_stream_sql(),
+        "metric_stream": O.activity_metrics_sql(),
+        "error_metric_stream": O.error_metrics_sql(),
+        "error_spike_stream": O.error_spike_sql(),
+        "destructive_ops_stream": O.destructive_ops_sql(),
+        "privilege_escalation_stream": O.privilege_escalation_sql(),
+        "exfiltration_stream": O.exfiltration_sql(),
+        "cross_schema_recon_stream": O.cross_schema_recon_sql(),
+        "deep_schema_enum_stream": O.deep_schema_enum_sql(),
+        "brute_force_stream": O.brute_force_sql(),
+        "user_metric_stream": O.user_metrics_sql(),
+        "destructive_ops_live": O.destructive_ops_live_sql(),
+        "privilege_escalation_live": O.privilege_escalation_live_sql(),
+        "session_enrich_stream": O.session_enrich_stream_sql(),
         "quick_all": O.quick_all_sql(),
         "auth_error_diagnostics": O.auth_error_diagnostics_sql(),
         "audit_timeline_6way": O.audit_timeline_sql(include_misc=False),
         "cross_schema_recon_literal": O.cross_schema_recon_sql(literal=True),
-        "alert_stream": O.alert_stream_sql(),
+        "alert_stream": O.alert_stream_sql(ml=True),
+        "baseline_model": O.baseline_model_sql(),
+        "alert_once_stream": O.alert_once_stream_sql(),
+        "alert_burst_stream": O.alert_burst_stream_sql(),
         "ingest_stream": O.bronze_sql(),
         "backfill_resumed": O.activity_metrics_sql(),
         "error_backfill": O.error_metrics_sql(),

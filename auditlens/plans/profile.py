@@ -9,12 +9,14 @@ and thresholds are the functions' defaults and are covered by the pytest
 scenarios.
 
 The registered streaming queries replay the stored log through Structured
-Streaming with the same thresholds, one-day windows (a stream needs
-event-time windows; D1's sliding 5-minute window is the library default)
-and a 10-minute watermark, so they equal the batch results for every
-window the watermark has closed.
+Streaming with the same thresholds and a 10-minute watermark. The log lands in two
+steps, between which every query is stopped and resumed from its checkpoint; a
+heartbeat after its end closes the last windows. The detectors' state is
+read in the windows of the batch queries; alert rules use one-day windows.
 """
 
+from auditlens.operators.alerts import RULES
+
 HUNT = {
     "exfiltration": dict(lookback=None, session_lookback=None, bucket=None),
     "destructive_ops": dict(lookback=None, session_lookback=None, bucket="1d"),
@@ -33,3 +35,7 @@ HUNT = {
 }
 
 DAY = 86400
+
+#: The rule table of ``alert_stream``: scores of these tables stay below the ML rule's 3.0, so
+#: there it fires from the detection threshold on.
+HUNT_RULES = [(*r[:3], 1.5, *r[4:]) if r[0] == "ML Anomaly" else r for r in RULES]

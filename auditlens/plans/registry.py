@@ -8,6 +8,7 @@ text (the reference's ``strcat_array``) so results compare as plain values.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.config import shared_dir
+from auditlens.functions.timefn import TS
 from auditlens.operators import alerts as A
 from auditlens.operators import dashboards as Q
 from auditlens.operators import detectors as D
 from auditlens.operators import metrics as M
 from auditlens.operators import series as SR
-from auditlens.plans.profile import HUNT
-from auditlens.sources.events_adapter import bronze_path, load_bronze
+from auditlens.plans.profile import HUNT, HUNT_RULES
+from auditlens.sources.events_adapter import load_bronze
 
 
 def display(df: DataFrame) -> DataFrame:
@@ -120,29 +122,58 @@ def _alert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.alert_rules(cands.unionByName(ml), A.rules_df(spark))
 
 
-def _run_stream(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+def _run_stream(df: DataFrame, spark: SparkSession, name: str, out: str | None = None, ck: str | None = None) -> DataFrame:
     """Run a streaming query over everything available, return its output table."""
-    out, ck = shared_dir(spark, name), shared_dir(spark, name + "_ck")
+    out, ck = out or shared_dir(spark, name), ck or shared_dir(spark, name + "_ck")
     q = (df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ck)
          .trigger(availableNow=True).start(out))
     q.awaitTermination()
     return spark.read.parquet(out)
 
 
+#: Where the log is cut into what a replay lands first and later, and how far
+#: past its end the closing heartbeat lies.
+REPLAY_CUT, REPLAY_REST = "2024-01-15 10:02:00", dt.timedelta(days=8)
+
+
+def _landings(spark: SparkSession, sf_dir: str, name: str):
+    """A landing folder, filled in two steps: the older part of the log, then the rest and
+    a heartbeat that closes the last windows. Yields the folder after each step."""
+    from auditlens.sources.bronze import BRONZE_COLS
+    from auditlens.streaming.sources import write_heartbeat
+    hub, log = shared_dir(spark, name + "_hub"), load_bronze(spark, sf_dir).select(*BRONZE_COLS)
+    older = F.col(TS) < F.lit(REPLAY_CUT).cast("timestamp_ntz")
+    log.where(older).write.parquet(hub)
+    yield hub
+    log.where(~older).write.mode("append").parquet(hub)
+    newest = log.agg(F.max(TS)).first()[0]
+    if newest is not None:
+        write_heartbeat(spark, hub, newest + REPLAY_REST, fmt="parquet")
+    yield hub
+
+
+def _replay(spark: SparkSession, sf_dir: str, name: str, query) -> DataFrame:
+    """The output of an append-mode ``query(stream)`` over the log, landed in two steps: the
+    query is stopped in between and goes on from its checkpoint."""
+    from auditlens.streaming.sources import bronze_stream
+    out, ck = shared_dir(spark, name), shared_dir(spark, name + "_ck")
+    for hub in _landings(spark, sf_dir, name):
+        result = _run_stream(query(bronze_stream(spark, hub, fmt="parquet")), spark, name, out, ck)
+    return result
+
+
+def _ntz(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
 def _metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     from auditlens.streaming.metric_stream import activity_metrics_stream
-    from auditlens.streaming.sources import bronze_stream
-    s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
-    out = _run_stream(activity_metrics_stream(s, watermark="10 minutes"), spark, "metric_stream")
-    return out.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
+    return _ntz(_replay(spark, sf_dir, "metric_stream", activity_metrics_stream), "Timestamp")
 
 
 def _error_metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     from auditlens.streaming.metric_stream import error_metrics_stream
-    from auditlens.streaming.sources import bronze_stream
-    s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
-    out = _run_stream(error_metrics_stream(s, watermark="10 minutes"), spark, "error_metric_stream")
-    return out.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
+    return _ntz(_replay(spark, sf_dir, "error_metric_stream", error_metrics_stream), "Timestamp")
 
 
 def _user_metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,42 +181,57 @@ def _user_metric_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, the AUDIT rows from the stream."""
     from auditlens.operators.sessions import session_info
     from auditlens.streaming.metric_stream import user_metrics_stream
-    from auditlens.streaming.sources import bronze_stream
     # the static side of a stream-static join is re-read every micro-batch:
     # materialise the (small) lookup once instead of re-aggregating the log
     shared_dir(spark)
     sessions = session_info(load_bronze(spark, sf_dir), lookback=None, fields=("User",)).checkpoint(eager=True)
-    s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
-    out = _run_stream(user_metrics_stream(s, sessions, watermark="10 minutes"), spark, "user_metric_stream")
-    return out.withColumn("Timestamp", F.col("Timestamp").cast("timestamp_ntz"))
+    return _ntz(_replay(spark, sf_dir, "user_metric_stream", lambda s: user_metrics_stream(s, sessions)), "Timestamp")
 
 
-def _detector_stream(kind: str):
-    """A streaming detector over the stored bronze (stream-static session
-    join, day windows of the history-hunt profile, 10-minute watermark)."""
+def _detector_state(kind: str):
+    """A detector kept up to date by a stream: the older part of the log, then the rest, as
+    micro-batches into its mergeable state; windows of the history-hunt profile (a day, or the
+    whole history), sessions of any time, all columns, open windows included."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from auditlens.operators.sessions import session_info
-        from auditlens.streaming import detector_stream as DS
+        from auditlens.streaming.detector_state import detector_table, start_detector_state
         from auditlens.streaming.sources import bronze_stream
-        fn = {"error_spike_stream": DS.error_spike_stream, "destructive_ops_stream": DS.destructive_ops_stream,
-              "privilege_escalation_stream": DS.privilege_escalation_stream,
-              "cross_schema_recon_stream": DS.cross_schema_recon_stream,
-              "deep_schema_enum_stream": DS.deep_schema_enum_stream,
-              "exfiltration_stream": DS.exfiltration_stream,
-              "brute_force_stream": lambda st, _sessions, **kw: DS.brute_force_stream(st, **kw)}[kind]
-        shared_dir(spark)
-        auth = kind in ("cross_schema_recon_stream", "deep_schema_enum_stream")
-        from auditlens.operators.sessions import CONN_TERMS_ALL, CONN_TERMS_AUTHORIZED
-        sessions = session_info(load_bronze(spark, sf_dir), lookback=None,
-                                terms=CONN_TERMS_AUTHORIZED if auth else CONN_TERMS_ALL).checkpoint(eager=True)
-        s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
-        win = {"window": ("1d", None)} if kind == "exfiltration_stream" else {"bucket": "1d"}
-        out = _run_stream(fn(s, sessions, watermark="10 minutes", **win), spark, kind)
-        return display(out.withColumn("TimeGenerated", F.col("TimeGenerated").cast("timestamp_ntz")))
-    run.__name__ = kind
+        state, ck = shared_dir(spark, kind + "_state"), shared_dir(spark, kind + "_ck")
+        for hub in _landings(spark, sf_dir, kind):
+            start_detector_state(bronze_stream(spark, hub, fmt="parquet"), state, ck, (kind,), buckets={kind: "1d"},
+                                 fold_every=None, trigger={"availableNow": True}).awaitTermination()
+        windowed = HUNT[kind].get("bucket") is not None
+        return display(_ntz(detector_table(spark, state, kind, session_lookback=None, windowed=windowed), "TimeGenerated"))
+    run.__name__ = kind + "_stream"
+    return run
+
+
+def _session_stream(kind: str):
+    """D2 and D4 over lines that find their session in the stream itself: the newest
+    connection of the 24 hours before, by a stream-stream join."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from auditlens.streaming import detector_stream as DS
+        fn = {"destructive_ops": DS.destructive_ops_live, "privilege_escalation": DS.privilege_escalation_live}[kind]
+        out = _replay(spark, sf_dir, kind + "_live", lambda s: fn(s, bucket="1d"))
+        return display(_ntz(out, "TimeGenerated"))
+    run.__name__ = kind + "_live"
     return run
 
 
+def _session_enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I5 in a stream: every AUDIT line with the newest connection of the 24 hours before."""
+    from auditlens.functions.text import contains
+    from auditlens.functions.timefn import above_watermark
+    from auditlens.operators.parse import conn_parse
+    from auditlens.streaming.session_stream import connection_stream, session_enrich_stream
+
+    def lines(stream: DataFrame) -> DataFrame:
+        audit = stream.withWatermark(TS, "10 minutes").where(above_watermark(contains("message", "AUDIT:")))
+        out = session_enrich_stream(conn_parse(audit), connection_stream(stream))
+        return out.select(TS, "LogicalServerName", "processId", "FinalUser", "FinalDatabase", "FinalHost")
+
+    return _ntz(_replay(spark, sf_dir, "session_enrich_stream", lines), TS)
+
+
 def _quick_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = {"exfil": HUNT["quick_exfil"], "destructive": HUNT["quick_destructive"],
               "errors": HUNT["quick_errors"], "privilege": HUNT["quick_privilege"]}
@@ -196,12 +242,39 @@ STREAM_DAY = {r: (None, "1d") for r in A.ALERT_WINDOWS}
 
 
 def _alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from auditlens.streaming.alert_stream import alert_stream
+    """The log rules as one stream, the ML rule as another against a stored model."""
+    from auditlens.streaming import alert_stream as AS
     from auditlens.streaming.sources import bronze_stream
-    s = bronze_stream(spark, bronze_path(spark, sf_dir), fmt="parquet")
-    a = alert_stream(s, A.rules_df(spark), watermark="10 minutes", windows=STREAM_DAY)
-    out = _run_stream(a, spark, "alert_stream")
-    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("WindowStart", "TimeGenerated")})
+    model, ml, ml_ck, out, ck = (shared_dir(spark, n) for n in (
+        "baseline_model", "ml_alerts", "ml_ck", "alert_stream", "alert_stream_ck"))
+    SR.fit_baseline(M.activity_metrics(load_bronze(spark, sf_dir)), lookback=None).write.parquet(model)
+    rules = A.rules_df(spark, HUNT_RULES)
+    for hub in _landings(spark, sf_dir, "alert_stream"):
+        stream = bronze_stream(spark, hub, fmt="parquet")
+        AS.start_ml_alerts(stream, model, rules, ml, ml_ck, trigger={"availableNow": True}).awaitTermination()
+        log = _run_stream(AS.alert_stream(stream, rules, windows=STREAM_DAY), spark, "alert_stream", out, ck)
+    return _ntz(log.unionByName(AS.read_ml_alerts(spark, ml)), "WindowStart", "TimeGenerated")
+
+
+def _baseline_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8's stored model, one row per server."""
+    model = SR.fit_baseline(M.activity_metrics(load_bronze(spark, sf_dir)), lookback=None)
+    rounded = [(F.round(c, 9) + F.lit(0.0)).alias(c) for c in ("slope", "icpt", "q10", "q90")]   # no -0.0
+    return model.select("ServerName", "origin", "period", "n", *rounded, F.size("slots").cast("long").alias("n_slots"))
+
+
+def _alert_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per rule, key and burst, as soon as its first window fires."""
+    from auditlens.streaming.alert_stream import alert_once_stream
+    return _ntz(_replay(spark, sf_dir, "alert_once", lambda s: alert_once_stream(
+        s, A.rules_df(spark), quiet="7d", windows=STREAM_DAY)), "Burst")
+
+
+def _alert_burst_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every burst as one row, with its span and peak, when it is over."""
+    from auditlens.streaming.alert_stream import alert_burst_stream
+    return _ntz(_replay(spark, sf_dir, "alert_burst", lambda s: alert_burst_stream(
+        s, A.rules_df(spark), quiet="2d", windows=STREAM_DAY)), "BurstStart", "BurstEnd", "TimeGenerated")
 
 
 def _bronze_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,10 +367,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 "session_asof": _session_asof})
     out["metric_stream"] = _metric_stream
     out["error_metric_stream"] = _error_metric_stream
-    for k in ("error_spike_stream", "destructive_ops_stream", "privilege_escalation_stream",
-              "cross_schema_recon_stream", "deep_schema_enum_stream", "exfiltration_stream",
-              "brute_force_stream"):
-        out[k] = _detector_stream(k)
+    for k in ("exfiltration", "destructive_ops", "error_spike", "privilege_escalation", "cross_schema_recon",
+              "deep_schema_enum", "brute_force"):
+        out[k + "_stream"] = _detector_state(k)
+    for k in ("destructive_ops", "privilege_escalation"):
+        out[k + "_live"] = _session_stream(k)
+    out["session_enrich_stream"] = _session_enrich_stream
     out["user_metric_stream"] = _user_metric_stream
     out["quick_all"] = _quick_all
     out["auth_error_diagnostics"] = _on_bronze(Q.error_code_diagnostics, lookback=None, auth_only=True)
@@ -305,6 +380,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["cross_schema_recon_literal"] = _on_bronze(D.cross_schema_recon, literal=True,
                                                    **HUNT["cross_schema_recon"])
     out["alert_stream"] = _alert_stream
+    out["baseline_model"] = _baseline_model
+    out["alert_once_stream"] = _alert_once_stream
+    out["alert_burst_stream"] = _alert_burst_stream
     out["ingest_stream"] = _ingest_stream
     out["backfill_resumed"] = _backfill_resumed
     out["error_backfill"] = _backfill(M.error_backfill, "error_metrics")

@@ -56,7 +56,11 @@ def destructive_ops_stream(stream: DataFrame, sessions: DataFrame, *, bucket="2m
                            threshold=5, high=10, critical=20) -> DataFrame:
     """Destructive bursts per server, backend and window."""
     df = destructive_rows(stream.withWatermark(TS, watermark), sessions=sessions, wrap=above_watermark)
-    agg = df.groupBy(SRV, "backend_type", F.window(TS, duration(bucket)).alias("w")).agg(
+    return _destructive(df, F.window(TS, duration(bucket)), threshold, high, critical)
+
+
+def _destructive(df: DataFrame, window: Column, threshold, high, critical) -> DataFrame:
+    agg = df.groupBy(SRV, "backend_type", window.alias("w")).agg(
         F.count(F.lit(1)).alias("OperationCount"), small_set("AuditStatement").alias("Operations"),
         small_set("TableAffected").alias("TablesAffected"), F.min(TS).alias("FirstOccurrence"),
         F.max(TS).alias("LastOccurrence"), *_users())
@@ -73,7 +77,11 @@ def privilege_escalation_stream(stream: DataFrame, sessions: DataFrame, *, bucke
                                 threshold=0, high=3, critical=5) -> DataFrame:
     """Role and grant changes per server and window."""
     df = privilege_rows(stream.withWatermark(TS, watermark), sessions=sessions, wrap=above_watermark)
-    agg = df.groupBy(SRV, F.window(TS, duration(bucket)).alias("w")).agg(
+    return _privilege(df, F.window(TS, duration(bucket)), threshold, high, critical)
+
+
+def _privilege(df: DataFrame, window: Column, threshold, high, critical) -> DataFrame:
+    agg = df.groupBy(SRV, window.alias("w")).agg(
         F.count(F.lit(1)).alias("PrivilegeOpsCount"), small_set("PrivilegeOp").alias("Operations"),
         small_set("LogType").alias("LogTypes"), F.min(TS).alias("FirstOp"), F.max(TS).alias("LastOp"),
         *_users(full=False))
@@ -144,3 +152,29 @@ def brute_force_stream(stream: DataFrame, *, bucket="1h", watermark="10 minutes"
         severity("FailedAttempts", high, critical).alias("Severity"), F.lit("Multiple").alias("ServerName"),
         F.col("ClientHost").alias("SourceHost"), "FailedAttempts",
         F.concat(hms("FirstAttempt"), F.lit(" - "), hms("LastAttempt")).alias("TimeWindow"))
+
+
+def _live_lines(lines: DataFrame, stream: DataFrame, watermark: str, session_lookback: str, fields) -> DataFrame:
+    from auditlens.streaming.session_stream import connection_stream, session_enrich_stream
+    connections = connection_stream(stream, watermark=watermark, fields=fields)
+    return session_enrich_stream(lines, connections, lookback=session_lookback, fields=fields)
+
+
+def destructive_ops_live(stream: DataFrame, *, bucket="2m", watermark="10 minutes", session_lookback="24h",
+                         threshold=5, high=10, critical=20) -> DataFrame:
+    """D2 with sessions from the stream itself (stream-stream join)."""
+    from auditlens.operators.detectors import destructive_lines, known_user
+    from auditlens.streaming.session_stream import window_of
+    lines = destructive_lines(stream.withWatermark(TS, watermark), wrap=above_watermark)
+    df = _live_lines(lines, stream, watermark, session_lookback, ("User", "Database", "SourceHost")).where(known_user())
+    return _destructive(df, window_of(bucket), threshold, high, critical)
+
+
+def privilege_escalation_live(stream: DataFrame, *, bucket="1h", watermark="10 minutes", session_lookback="24h",
+                              threshold=0, high=3, critical=5) -> DataFrame:
+    """D4 with sessions from the stream itself (stream-stream join)."""
+    from auditlens.operators.detectors import known_user, privilege_lines
+    from auditlens.streaming.session_stream import window_of
+    lines = privilege_lines(stream.withWatermark(TS, watermark), wrap=above_watermark)
+    df = _live_lines(lines, stream, watermark, session_lookback, ("User",)).where(known_user())
+    return _privilege(df, window_of(bucket), threshold, high, critical)

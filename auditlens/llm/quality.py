@@ -2,10 +2,11 @@
 
 Every text is cut into lines; a line is normalised to its lower-cased words,
 one space apart, and hashed. For each host (the ``source`` column) the
-*distinct texts* that hold a line are counted, so a page copied a thousand
-times does not make its own lines frequent. A line held by more than
-``max(min_docs, max_share * the host's distinct texts)`` texts is boilerplate
-and is removed: the cleaned text is the other lines, as they were and in their
+*distinct texts* that hold a line are counted: a document counts once however
+often it is copied, else every copy of a page, the one to be kept too, would be
+rejected for its own lines. A line is boilerplate from ``min_docs`` texts on if it stands in
+more than ``max_share`` of the host's or in more than ``max_docs``, whichever comes first: the
+share decides on hosts of any size, the count ends it on hosts of millions. It is removed: the cleaned text is the other lines, as they were and in their
 order. A document is rejected when less than ``min_left`` of its words remain in
 the cleaned text, or when a base rule fails.
 
@@ -47,6 +48,9 @@ from auditlens.llm.common import (
 SYMBOLS = b"#*$%&|<>"
 BLANK = b"\x20\t\n\x0b\x0c\r"
 
+#: When a line is frequent: texts it takes at least, share of the host's texts, count on any host.
+MIN_DOCS, MAX_SHARE, MAX_DOCS = 3, 0.1, 10_000
+
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SCHEMA = ("id long, host string, text_key binary, " + ", ".join(f"{m} long" for m in MEASURES)
           + ", lines array<struct<line: long, words: long>>")
@@ -121,21 +125,21 @@ def line_profile(docs: DataFrame, id_col="doc_id", host_col="source", text_col="
     return materialise(rows.mapInArrow(_measure_batches, SCHEMA), "line-profile")
 
 
-def frequent_lines(profile: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+def frequent_lines(profile: DataFrame, min_docs: int, max_share: float, max_docs: int) -> DataFrame:
     """(host, line) held by more distinct texts of the host than the limit."""
     texts = profile.select("host", "text_key", F.explode("lines.line").alias("line"))
     counts = (texts.groupBy("host", "line", "text_key").agg(F.lit(1).alias("one"))
-              .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_docs))
+              .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs))
     sizes = (profile.select("host", "text_key").groupBy("host", "text_key").agg(F.lit(1).alias("one"))
              .groupBy("host").agg(F.count(F.lit(1)).alias("host_texts")))
     return (counts.alias("c").join(sizes.alias("s"), F.expr("c.host <=> s.host"))
-            .where(F.col("n") > max_share * F.col("host_texts")).select("c.host", "c.line", "n"))
+            .where((F.col("n") > max_share * F.col("host_texts")) | (F.col("n") > max_docs)).select("c.host", "c.line", "n"))
 
 
-def frequent_of_texts(profile: DataFrame, min_docs: int, max_share: float) -> DataFrame:
+def frequent_of_texts(profile: DataFrame, min_docs: int, max_share: float, max_docs: int) -> DataFrame:
     """(host, text_key, gone): the frequent lines of each distinct text that
     has any, written."""
-    frequent = materialise(frequent_lines(profile, min_docs, max_share), "frequent-lines")
+    frequent = materialise(frequent_lines(profile, min_docs, max_share, max_docs), "frequent-lines")
     # per distinct (host, text): copies have the same lines
     texts = profile.groupBy("host", "text_key").agg(F.first("lines.line").alias("lines"))
     on_lines = texts.select("host", "text_key", F.explode("lines").alias("line"))
@@ -174,11 +178,11 @@ def _cleaned(docs: DataFrame, gone: DataFrame, host_col: str, text_col: str, how
     return rows.withColumn(clean, _without(text, lines)).drop(lines), key, clean
 
 
-def _rules(docs: DataFrame, min_docs: int = 20, max_share: float = 0.05, min_left: float = 0.2, min_words: int = 50,
-           max_repeat: int = 50, id_col="doc_id", host_col="source", text_col="text") -> tuple[DataFrame, DataFrame]:
+def _rules(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_docs: int = MAX_DOCS,
+           min_left: float = 0.2, min_words: int = 50, max_repeat: int = 50, id_col="doc_id", host_col="source", text_col="text") -> tuple[DataFrame, DataFrame]:
     """The rows of ``quality_rules`` and the table of ``frequent_of_texts``."""
     profile = line_profile(docs, id_col, host_col, text_col)
-    gone = frequent_of_texts(profile, min_docs, max_share)
+    gone = frequent_of_texts(profile, min_docs, max_share, max_docs)
     texts = docs.select(F.col(host_col).cast("string").alias("host"), F.col(text_col).alias("text"))
     cleaned, key, clean = _cleaned(texts, gone, "host", "text", "inner")
     left = cleaned.select("host", key, word_count(F.col(clean)).alias("left")).groupBy("host", key).agg(
@@ -206,11 +210,11 @@ def _put(rows: DataFrame, columns: list[str], clean: str, text_col: str, chars_c
     return rows.select(*(changed[c].cast(rows.schema[c].dataType).alias(c) if c in changed else c for c in columns))
 
 
-def clean_texts(docs: DataFrame, min_docs: int = 20, max_share: float = 0.05, id_col="doc_id", host_col="source",
-                text_col="text", chars_col="n_chars") -> DataFrame:
+def clean_texts(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_docs: int = MAX_DOCS,
+                id_col="doc_id", host_col="source", text_col="text", chars_col="n_chars") -> DataFrame:
     """``docs`` with every text without its frequent lines; ``chars_col``, if
     there, is the new length of the texts that changed."""
-    gone = frequent_of_texts(line_profile(docs, id_col, host_col, text_col), min_docs, max_share)
+    gone = frequent_of_texts(line_profile(docs, id_col, host_col, text_col), min_docs, max_share, max_docs)
     rows, _, clean = _cleaned(docs, gone, host_col, text_col, "left")
     return _put(rows, docs.columns, clean, text_col, chars_col)
 

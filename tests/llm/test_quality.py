@@ -21,7 +21,7 @@ def base(text):
     return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(again))
 
 
-def brute(rows, min_docs, max_share, min_left):
+def brute(rows, min_docs, max_share, min_left, max_docs=10_000):
     lines, texts = defaultdict(set), defaultdict(set)
     cut = lambda t: [" ".join(WORD.findall(x)) for x in (t or "").split("\n") if WORD.search(x)]
     low = lambda x: x.encode().lower()
@@ -32,8 +32,8 @@ def brute(rows, min_docs, max_share, min_left):
     out = Counter()
     for i, t, s in rows:
         m = base(t)
-        gone = sum(len(x.split(" ")) for x in cut(t)
-                   if len(lines[s, low(x)]) > max(min_docs, max_share * len(texts[s])))
+        frequent = lambda n: n >= min_docs and n > min(max_docs, max_share * len(texts[s]))  # noqa: B023, E731
+        gone = sum(len(x.split(" ")) for x in cut(t) if frequent(len(lines[s, low(x)])))
         failed = m[0] < 50 or 100 * m[4] > 50 * m[0]
         out[(i, *m, failed, not failed and m[0] - gone >= min_left * m[0], gone)] += 1
     return out
@@ -52,13 +52,26 @@ def run(docs, **o):
 def test_brute_force(spark, edge, clashing):
     rows = [(r.doc_id, r.text, r.source) for r in edge.collect()]
     for docs in (edge, clashing.drop("host")):
-        assert run(docs) == brute(rows, 20, 0.05, 0.2)
+        assert run(docs) == brute(rows, 3, 0.1, 0.2)
     docs = boilerplate(spark)
     got = run(docs, min_docs=5, max_share=0.1)
     assert got == brute([(r.doc_id, r.text, r.source) for r in docs.collect()], 5, 0.1, 0.2)
     assert 0 < sum(k[-1] > 0 for k in got)
 
 
+def test_no_host_is_too_small_or_too_large(spark):
+    """A banner leaves the texts of a host of 3, 10 or 20, and of a hot host where its share is small."""
+    own = lambda h, i: " ".join(f"{h}{i}w{k}" for k in range(60))
+    rows = [(0, f"a banner of {h}\n" + own(h, i), h) for h, n in (("a", 3), ("b", 10), ("c", 20)) for i in range(n)]
+    rows += [(0, ("rare in the hot host\n" if i < 40 else "") + own("hot", i), "hot") for i in range(1000)]
+    rows += [(0, "held by two only\n" + own("two", i), "two") for i in range(2)]
+    docs = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate(rows)], "doc_id long, text string, source string")
+    for options in ({}, {"max_docs": 30}):
+        assert run(docs, **options) == brute([(i, *r[1:]) for i, r in enumerate(rows)], 3, 0.1, 0.2, **options)
+    removed = {h: n for h, n in quality_rules(docs, max_docs=30).groupBy("host").agg({"n_removed_words": "sum"}).collect()}
+    assert removed == {"a": 12, "b": 40, "c": 80, "hot": 200, "two": 0}
+
+
 def test_documents_that_stay(spark, clashing):
     kept = drop_low_quality(clashing)
     assert kept.columns == clashing.columns

@@ -15,14 +15,15 @@
    lower target ``recall``, it ends where a difference of random direction
    would pass with that probability. A pair in different cells is met from the side
    of the lower one.
-4. *Verification.* Cells are compared in pairs of blocks of at most ``BLOCK`` classes,
-   each one a unit of work of its own: one matrix product, exact cosines. A unit
-   gives each class its number of links and the smallest node it is connected
-   with inside the unit, never the pairs.
+4. *Verification.* A cell of up to ``BLOCK`` entries is one unit of work; those of a
+   larger one are pairs of a block of its own classes and a block of its own or of the
+   visiting ones (visitors are not compared with each other). A unit is one matrix
+   product of exact cosines. It gives each class its number of links and the smallest
+   node it is connected with inside the unit, never the pairs.
 5. *Components* of those connections.
 
-A cell of ``n`` classes is compared in ``(n / BLOCK) ** 2 / 2`` units over as many
-tasks as there are; the work within one very large group of different vectors that are
+A cell with ``n`` classes of its own is compared in ``(n / BLOCK) ** 2 / 2`` units and more
+for its visitors, over as many tasks as there are; the work within one very large group of different vectors that are
 all alike thus stays quadratic (each of its links is counted), its output does not.
 
 Defined cases: a vector that is null, empty, zero, or holds null or non-finite
@@ -49,7 +50,7 @@ from auditlens.llm.common import checked, materialise, slices
 from auditlens.llm.graph import components, least_reachable
 
 THRESHOLD = 0.98
-SAMPLE, CELL, CODES, BLOCK = 8192, 256, 512, 512
+SAMPLE, CELL, CODES, BLOCK = 8192, 1024, 512, 1024
 #: k-means rounds, and codes whose hyperplanes bound a distance.
 ROUNDS, NEAREST = 8, 8
 
@@ -174,7 +175,7 @@ def visits(x: np.ndarray, books: tuple[np.ndarray, np.ndarray], reach: float) ->
 
 
 ENTRY = "grp string, cell int, resident boolean, key binary, node long, weight long, vec binary"
-COUNT = "grp string, cell int, n long"
+COUNT = "grp string, cell int, own long, n long"
 
 
 def reach_of(threshold: float, recall: float, length: int) -> float:
@@ -208,9 +209,11 @@ def _entry_batches(batches: Iterator[pa.RecordBatch], books: dict, threshold: fl
         row, cell = np.concatenate(rows), np.concatenate(cells).astype(np.int32)
         taken = batch.take(pa.array(row))
         if counts:
-            table = pa.table({"grp": taken.column(0), "cell": cell, "n": np.ones(len(row), np.int64)})
-            table = table.group_by(["grp", "cell"]).aggregate([("n", "sum")]).select(["grp", "cell", "n_sum"])
-            yield from table.rename_columns(["grp", "cell", "n"]).combine_chunks().to_batches()
+            table = pa.table({"grp": taken.column(0), "cell": cell, "own": np.concatenate(resident).astype(np.int64),
+                              "n": np.ones(len(row), np.int64)})
+            table = table.group_by(["grp", "cell"]).aggregate([("own", "sum"), ("n", "sum")])
+            table = table.select(["grp", "cell", "own_sum", "n_sum"]).rename_columns(["grp", "cell", "own", "n"])
+            yield from table.combine_chunks().to_batches()
         else:
             yield pa.RecordBatch.from_arrays(
                 [taken.column(0), pa.array(cell), pa.array(np.concatenate(resident)), *taken.columns[1:]],
@@ -221,18 +224,21 @@ LINKED = "key binary, node long, n long, low long"
 
 
 def _compare(unit: pa.Table, threshold: float) -> pa.Table:
-    """The linked classes of one pair of blocks of a cell: how many rows each is
-    linked with here, and the smallest node it is connected with."""
+    """The linked classes of one unit: how many rows each is linked with here, and
+    the smallest node it is connected with."""
     length = int(unit["grp"][0].as_py().split(":", 1)[0])
-    left, right = unit["left"][0].as_py(), unit["right"][0].as_py()
+    left, right, visit = (unit[c][0].as_py() for c in ("left", "right", "visit"))
     node, weight, block = (unit[c].to_numpy() for c in ("node", "weight", "block"))
     resident = unit["resident"].to_numpy(zero_copy_only=False)
     packed = unit["vec"].combine_chunks().to_pylist()
     x = unit_rows(np.stack([np.frombuffer(v, f"<f{len(v) // length}") for v in packed]))
-    a, b = np.flatnonzero(block == left), np.flatnonzero(block == right)
+    if visit:
+        a, b = np.flatnonzero(resident), np.flatnonzero(~resident)
+    else:
+        a, b = np.flatnonzero(block == left), np.flatnonzero(block == right)
     alike = x[a] @ x[b].T >= threshold
     alike &= resident[a][:, None] | resident[b][None, :]
-    if left == right:
+    if left == right and not visit:
         alike = np.triu(alike, 1)
     i, j = np.nonzero(alike)
     i, j = a[i], b[j]
@@ -252,19 +258,28 @@ def class_links(classes: DataFrame, threshold: float = THRESHOLD, recall: float
     args = {"books": codebooks(classes), "threshold": threshold, "recall": recall}
     listed = classes.select("grp", "key", "node", "weight", "vec")
     counts = listed.mapInArrow(partial(_entry_batches, counts=True, **args), COUNT)
-    large = counts.groupBy("grp", "cell").agg(F.sum("n").alias("n")).where(F.col("n") > block)
-    large = materialise(large.select("grp", "cell", F.ceil(F.col("n") / block).alias("blocks")), "large-cells")
+    large = counts.groupBy("grp", "cell").agg(F.sum("own").alias("own"), F.sum("n").alias("n")).where(F.col("n") > block)
+    large = materialise(large.select("grp", "cell", F.ceil(F.col("own") / block).alias("own_blocks"),
+                                     F.ceil((F.col("n") - F.col("own")) / block).alias("visit_blocks")), "large-cells")
     entries = listed.mapInArrow(partial(_entry_batches, counts=False, **args), ENTRY)
-    rows = entries.join(checked(large), ["grp", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
-    rows = rows.withColumn("with", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    units = rows.select("grp", "cell", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"),
-                        "block", "resident", "key", "node", "weight", "vec")
+    rows = entries.join(checked(large), ["grp", "cell"], "left").withColumn(
+        "blocks", F.when(F.col("resident"), F.col("own_blocks")).otherwise(F.col("visit_blocks")))
+    rows = rows.withColumn("block", F.coalesce(F.pmod(F.xxhash64("key"), F.col("blocks")), F.lit(0)))
+    # a class meets all blocks of the cell's own classes, one of the cell's own also those of visitors
+    meets = F.expr("coalesce(CASE WHEN resident THEN own_blocks + visit_blocks ELSE own_blocks END, 1)")
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), meets - 1)))
+    visit = F.col("own_blocks").isNotNull() & (~F.col("resident") | (F.col("with") >= F.col("own_blocks")))
+    rows = rows.withColumn("visit", visit)
+    units = rows.selectExpr(
+        "grp", "cell", "visit",
+        "CASE WHEN NOT visit THEN least(block, with) WHEN resident THEN block ELSE with END AS left",
+        "CASE WHEN NOT visit THEN greatest(block, with) WHEN resident THEN with - own_blocks ELSE block END AS right",
+        "block", "resident", "key", "node", "weight", "vec")
 
     def compare(unit: pa.Table) -> pa.Table:
         return _compare(unit, threshold)
 
-    return units.groupBy("grp", "cell", "left", "right").applyInArrow(compare, LINKED)
+    return units.groupBy("grp", "cell", "visit", "left", "right").applyInArrow(compare, LINKED)
 
 
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", label_col: str = "label", vector_col: str = "embedding",

@@ -101,10 +101,10 @@ def test_blocks_do_not_change_links(spark, vectors, monkeypatch):
     classes = read.groupBy("key").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"),
                                       F.first("grp").alias("grp"), F.first("vec").alias("vec")).cache()
     sums = []
-    for block in (8, 512):
+    for block in (8, 50, 5000):
         links = M.class_links(classes, block=block)
         sums.append({r.key: r.n for r in links.groupBy("key").agg(F.sum("n").alias("n")).collect()})
-    assert sums[0] == sums[1]
+    assert sums[0] == sums[1] == sums[2] and len(sums[0]) > 200
 
 
 def test_the_walk_reaches_every_link():

@@ -7,6 +7,7 @@ exact distinct counts to HyperLogLog, which streaming needs.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,6 +104,16 @@ def user_metrics(bronze: DataFrame, *, as_of=None, lookback=None, session_lookba
     return agg.select(*USER_COLS)
 
 
+def _read_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A stored table; one without any file yet has the columns given."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.read.schema(schema).parquet(path)
+
+
 def set_or_append(spark: SparkSession, df: DataFrame, path: str, keys, date_from: str = "Timestamp") -> DataFrame:
     """``.set-or-append``: create the table, or bring it up to date.
 
@@ -110,21 +121,22 @@ def set_or_append(spark: SparkSession, df: DataFrame, path: str, keys, date_from
     lookback filters prune partitions. Rows of ``df`` replace stored rows of
     the same keys, so a bucket that was half full when it was first written
     is corrected; only the dates that ``df`` touches are read and rewritten,
-    and re-running a backfill changes nothing. Returns the table as stored.
+    and re-running a backfill changes nothing. An empty ``df`` leaves, or makes, a
+    table of its columns. Returns the table as stored.
     """
     df = df.withColumn("metric_date", F.to_date(date_from))
     if path_exists(spark, path):
         staged = shared_dir(spark, "set-or-append")
         df.write.partitionBy("metric_date").parquet(staged)
         new = spark.read.schema(df.schema).parquet(staged)
-        old = spark.read.parquet(path).join(new.select("metric_date").distinct(), "metric_date", "left_semi")
+        old = _read_table(spark, path, df.schema).join(new.select("metric_date").distinct(), "metric_date", "left_semi")
         kept = old.join(new.select(*keys), list(keys), "left_anti")
         merged = shared_dir(spark, "set-or-append")
         new.unionByName(kept.select(*new.columns)).write.partitionBy("metric_date").parquet(merged)
         df = spark.read.schema(df.schema).parquet(merged)
     (df.repartitionByRange("metric_date", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("metric_date").parquet(path))
-    return spark.read.parquet(path)
+    return _read_table(spark, path, df.schema)
 
 
 def activity_backfill(spark: SparkSession, bronze: DataFrame, path: str, *, as_of=None, lookback="30d",
@@ -142,7 +154,7 @@ def error_backfill(spark: SparkSession, bronze: DataFrame, path: str, *, as_of=N
     return set_or_append(spark, rows, path, ["ServerName", "Timestamp"])
 
 
-def user_backfill(spark: SparkSession, bronze: DataFrame, path: str, *, as_of=None, lookback="30d",
+def user_backfill(spark: SparkSession, bronze: DataFrame, path: str, *, as_of=None, lookback="7d",
                   bucket="1h") -> DataFrame:
     """Initial history load of the user table (same transform as I9)."""
     log = since(bronze, as_of, lookback, align=bucket)

@@ -9,8 +9,8 @@ progress as ``numRowsDroppedByWatermark``). State lives in the state
 store and is checkpointed, so a lost executor replays from the
 checkpoint instead of losing buckets.
 
-Distinct users use HyperLogLog (``approx_count_distinct``): an exact
-distinct count is not supported on a stream.
+Distinct users are counted exactly by chaining two windowed aggregations;
+``distinct="approx"`` uses HyperLogLog in one.
 """
 
 from __future__ import annotations

@@ -122,3 +122,14 @@ def test_a_hot_backend_is_split_by_the_skew_join(spark, tmp_path):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert len(rows) == n and {r.FinalUser for r in rows} == {"u"}
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_backfill_of_nothing_makes_an_empty_table(spark, mk, tmp_path):
+    """A quiet period first, then lines, then another quiet one."""
+    from log_rows import T0, conn, row
+    from auditlens.operators.metrics import activity_backfill
+    path = str(tmp_path / "activity")
+    empty = activity_backfill(spark, mk([]), path, lookback=None)
+    assert empty.count() == 0 and "ActivityCount" in empty.columns
+    assert activity_backfill(spark, mk([row(T0, conn())]), path, lookback=None).count() == 1
+    assert activity_backfill(spark, mk([]), path, lookback=None).count() == 1

@@ -21,7 +21,7 @@ def shingle_set(text):
     return frozenset(tuple(words[i:i + n]) for i in range(len(words) - n + 1))
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """{(doc_id, n, component, kept): rows}; identifiers are documents."""
     sets = [(i, shingle_set(t)) for i, t in rows]
     parent = {i: i for i, _ in sets if i is not None}
@@ -35,7 +35,7 @@ def brute(rows):
             if i is None or j is None or not a or not b:
                 continue
             both = len(a & b)
-            if 100 * both >= 85 * (len(a) + len(b) - both):
+            if 100 * both >= percent * (len(a) + len(b) - both):
                 x, y = sorted((root(i), root(j)))
                 parent[y] = x
     return Counter((i, len(s), None if i is None else root(i), i is None or root(i) == i) for i, s in sets)

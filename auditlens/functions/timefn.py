@@ -68,6 +68,17 @@ def since(df: DataFrame, as_of, lookback: str | int | None, ts: str = TS, align:
     return out
 
 
+def within(df: DataFrame, as_of, lookback: str | int | None, ts: str = TS) -> Column:
+    """The row test of :func:`since` as a Column, for several lookbacks over one scan; ``as_of`` is resolved."""
+    if lookback is None:
+        return F.lit(True)
+    if as_of is None:
+        return F.col(ts).isNotNull()
+    if isinstance(as_of, Column):
+        return F.col(ts) >= as_of - F.expr(f"INTERVAL {seconds(lookback)} SECONDS")
+    return F.col(ts) >= F.lit(as_of - dt.timedelta(seconds=seconds(lookback))).cast(df.schema[ts].dataType)
+
+
 def resolve_as_of(df: DataFrame, as_of=None, ts: str = TS):
     """"Now" as a datetime (or the Column given).
 

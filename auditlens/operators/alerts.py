@@ -1,15 +1,11 @@
 """Unified anomaly feed (D12) and alert rules.
 
-``anomalies_all`` puts the seven log detectors into one common schema so
-they can be unioned: (TimeGenerated, AnomalyType, Severity, ServerName,
-User, Database, SourceHost, MetricName, MetricValue, Details). The
-detectors' differently typed columns (a string list in one, a count or an
-array in another) go into ``Details`` as text.
+``anomalies_all`` shows the newest rows of the one-scan feed (``operators/feed.py``).
 
 ``alert_rules`` evaluates the alert rule table against long-form
 "candidate" rows: each alert query yields (RuleName, ServerName, GroupKey,
-WindowStart, MetricValue, TimeGenerated) and a broadcast join with the
-rule table (a fixed handful of rows, so its size is bounded) applies each
+WindowStart, MetricValue, TimeGenerated) and a join with the
+rule table (its strategy by measured size) applies each
 rule's threshold, severity tiers and action. Actions are emitted as rows.
 """
 
@@ -20,127 +16,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.functions import patterns as P
-from auditlens.functions.text import (contains, extract, first_non_empty, has_any, is_empty,
-                                      is_not_empty, trim_chars)
-from auditlens.functions.timefn import TS, bin_ts, resolve_as_of, since
-from auditlens.operators import detectors as D
+from auditlens.functions.text import extract, first_non_empty, has_any, is_empty, is_not_empty, trim_chars
+from auditlens.functions.timefn import TS, resolve_as_of, since
+from auditlens.operators.feed import COMMON, UNION_KINDS, anomalies_union, by_tag, details_text, tag_lines  # noqa: F401
 from auditlens.operators.parse import schema_of
-from auditlens.operators.sessions import CONN_TERMS_AUTHORIZED, session_info
-from auditlens.sources.bronze import CATEGORY, flag
+from auditlens.sources.bronze import CATEGORY
+from auditlens.sources.parsed import stored
 
 SRV = "LogicalServerName"
-COMMON = ["TimeGenerated", "AnomalyType", "Severity", "ServerName", "User", "Database", "SourceHost",
-          "MetricName", "MetricValue", "Details"]
-
-
-def _details(*pairs: tuple[str, Column | str]) -> Column:
-    parts = []
-    for k, v in pairs:
-        v = F.col(v) if isinstance(v, str) else v
-        parts.append(F.concat(F.lit(k + "="), F.coalesce(v.cast("string"), F.lit(""))))
-    return F.concat_ws("; ", *parts)
-
-
-def _arr(c: str) -> Column:
-    return F.array_join(F.col(c), ", ")
-
-
-def to_common(df: DataFrame, kind: str) -> DataFrame:
-    """Project one detector's output onto the common anomaly schema."""
-    none = F.lit(None).cast("string")
-    if kind == "exfiltration":
-        metric, details = "SelectCount", _details(("ProcessID", "ProcessID"), ("BackendType", "BackendType"),
-                                                  ("TimeWindow", "TimeWindow"), ("TablesAccessed", "TablesAccessed"),
-                                                  ("SampleQueries", "SampleQueries"))
-        u, d, h = F.col("User"), F.col("Database"), F.col("SourceHost")
-    elif kind == "destructive_ops":
-        metric, details = "OperationCount", _details(("BackendType", "BackendType"), ("Operations", _arr("Operations")),
-                                                     ("TablesAffected", _arr("TablesAffected")),
-                                                     ("TimeWindow", "TimeWindow"),
-                                                     ("SampleMessages", _arr("SampleMessages")))
-        u, d, h = F.col("User"), F.col("Database"), F.col("SourceHost")
-    elif kind == "error_spike":
-        metric, details = "ErrorCount", _details(("BackendType", "BackendType"), ("ErrorTypes", _arr("ErrorTypes")),
-                                                 ("ErrorCodes", _arr("ErrorCodes")), ("TimeWindow", "TimeWindow"),
-                                                 ("SampleErrors", _arr("SampleErrors")))
-        u, d, h = F.col("User"), F.col("Database"), F.col("SourceHost")
-    elif kind == "privilege_escalation":
-        metric, details = "PrivilegeOpsCount", _details(("Operations", _arr("Operations")),
-                                                        ("LogTypes", _arr("LogTypes")), ("TimeWindow", "TimeWindow"),
-                                                        ("SampleQueries", _arr("SampleQueries")))
-        u, d, h = F.col("User"), none, none
-    elif kind == "cross_schema_recon":
-        metric, details = "SchemasAccessed", _details(("SchemaList", "SchemaList"),
-                                                      ("TablesAccessed", "TablesAccessed"), ("TimeWindow", "TimeWindow"))
-        u, d, h = F.col("User"), none, none
-    elif kind == "deep_schema_enum":
-        metric, details = "SystemTableQueries", _details(("RiskLevel", "RiskLevel"),
-                                                         ("UniqueSystemTables", "UniqueSystemTables"),
-                                                         ("TablesScanned", "TablesScanned"), ("TimeWindow", "TimeWindow"))
-        u, d, h = F.col("User"), none, none
-    elif kind == "brute_force":
-        metric, details = "FailedAttempts", _details(("Users", "Users"), ("Databases", "Databases"),
-                                                     ("TimeWindow", "TimeWindow"))
-        u, d, h = none, none, F.col("SourceHost")
-    else:
-        raise ValueError(kind)
-    return df.select("TimeGenerated", "AnomalyType", "Severity", "ServerName",
-                     u.alias("User"), d.alias("Database"), h.alias("SourceHost"),
-                     F.lit(metric).alias("MetricName"), F.col(metric).cast("long").alias("MetricValue"),
-                     details.alias("Details"))
-
-
-def _needs_as_of(params: dict, kinds) -> bool:
-    for k in kinds:
-        p = params.get(k, {})
-        if p.get("lookback", "default") is not None:
-            return True
-        if k != "brute_force" and p.get("session_lookback", "default") is not None:
-            return True
-    return False
-
-
-UNION_KINDS = ("exfiltration", "destructive_ops", "error_spike", "privilege_escalation",
-               "cross_schema_recon", "deep_schema_enum", "brute_force")
-
-
-def anomalies_union(bronze: DataFrame, *, as_of=None, params: dict | None = None,
-                    kinds=UNION_KINDS) -> DataFrame:
-    """All detector rows in the common schema (no ordering, no limit).
-
-    The two session lookups are built once and shared by the detectors,
-    so Catalyst plans each aggregation once (ReusedExchange).
-    """
-    params = params or {}
-    if _needs_as_of(params, kinds):
-        as_of = resolve_as_of(bronze, as_of)
-    sl = {k: params.get(k, {}).get("session_lookback", "24h") for k in kinds}
-    s_all = session_info(bronze, as_of, sl.get("exfiltration", "24h"))
-    s_auth = session_info(bronze, as_of, sl.get("cross_schema_recon", "24h"), terms=CONN_TERMS_AUTHORIZED,
-                          fields=("User",))
-    shared = {"exfiltration": s_all, "destructive_ops": s_all, "error_spike": s_all,
-              "privilege_escalation": s_all.select("processId", SRV, "User"),
-              "cross_schema_recon": s_auth, "deep_schema_enum": s_auth}
-    fns = {"exfiltration": D.exfiltration, "destructive_ops": D.destructive_ops, "error_spike": D.error_spike,
-           "privilege_escalation": D.privilege_escalation, "cross_schema_recon": D.cross_schema_recon,
-           "deep_schema_enum": D.deep_schema_enum, "brute_force": D.brute_force}
-    out = None
-    for k in kinds:
-        kw = dict(params.get(k, {}))
-        kw.pop("session_lookback", None)
-        if k in shared:
-            kw["sessions"] = shared[k]
-        if k == "error_spike":
-            kw["ordered"] = False
-        df = fns[k](bronze, as_of=as_of, **kw)
-        part = to_common(df, k)
-        out = part if out is None else out.unionByName(part)
-    return out
 
 
 def anomalies_all(bronze: DataFrame, *, as_of=None, params: dict | None = None, limit: int = 100) -> DataFrame:
-    """The main anomaly dashboard: union of the detectors, newest ``limit``."""
-    u = anomalies_union(bronze, as_of=as_of, params=params)
+    """The main anomaly dashboard: union of the detectors, newest ``limit``; ``Details`` as text."""
+    u = anomalies_union(bronze, as_of=as_of, params=params).withColumn("Details", details_text()).select(*COMMON)
     return u.orderBy(F.desc("TimeGenerated"), *[c for c in COMMON if c != "TimeGenerated"]).limit(limit)
 
 
@@ -157,22 +45,23 @@ def security_kpis(anomalies: DataFrame, bronze: DataFrame, *, as_of=None, lookba
     shared_dir(anomalies.sparkSession)
     if lookback is not None:        # the log's newest event, not the feed's
         as_of = resolve_as_of(bronze, as_of)
-    a = since(anomalies, as_of, lookback, ts="TimeGenerated").checkpoint(eager=True)
+    a = since(anomalies, as_of, lookback, ts="TimeGenerated").select(
+        "TimeGenerated", "AnomalyType", "Severity", "User").checkpoint(eager=True)
     by_type = a.groupBy(F.concat_ws(" / ", "AnomalyType", "Severity").alias("Dimension")).agg(
         F.count(F.lit(1)).alias("Value")).select(F.lit("anomalies_by_type_severity").alias("Kpi"),
                                                  "Dimension", "Value")
     users = a.where(is_not_empty("User") & (F.col("User") != P.UNKNOWN)).agg(
         F.count_distinct("User").alias("Value")).select(
         F.lit("users_with_anomalies").alias("Kpi"), F.lit("").alias("Dimension"), "Value")
-    b = since(bronze, as_of, lookback).withColumn("ClientHost", extract(P.HOST_RE, "message"))
+    b = since(bronze, as_of, lookback).withColumn("ClientHost", stored(bronze, "p_host"))
     hosts = (b.where(is_not_empty("ClientHost")).groupBy("ClientHost")
              .agg(F.count(F.lit(1)).alias("n"),
                   F.count_if(F.col("errorLevel").isin(*P.ERROR_LEVELS_NO_PANIC)).alias("e"))
              .where(pct2("e", "n") > host_error_rate)
              .agg(F.count(F.lit(1)).alias("Value"))
              .select(F.lit("hosts_error_rate_over_10pct").alias("Kpi"), F.lit("").alias("Dimension"), "Value"))
-    failed = since(bronze, as_of, lookback).where(D.auth_failure_predicate())
-    failed = (failed.groupBy(extract(P.USER_RE, "message").alias("u")).agg(F.count(F.lit(1)).alias("n"))
+    failed = since(bronze, as_of, lookback).where(stored(bronze, "is_auth_failure"))
+    failed = (failed.groupBy(stored(bronze, "p_user").alias("u")).agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") > auth_threshold).agg(F.count(F.lit(1)).alias("Value"))
               .select(F.lit("users_auth_failures_over_10").alias("Kpi"), F.lit("").alias("Dimension"), "Value"))
     return by_type.unionByName(users).unionByName(hosts).unionByName(failed)
@@ -215,94 +104,74 @@ def _group_key(keys: list[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
 
 
-def _cand(df: DataFrame, rule: str, keys: list[str], bucket, metric: Column) -> DataFrame:
-    if bucket is not None:
-        df = df.withColumn("WindowStart", bin_ts(TS, bucket))
-    else:
-        df = df.withColumn("WindowStart", F.lit(None).cast(df.schema[TS].dataType))
-    agg = df.groupBy(*keys, "WindowStart").agg(metric.alias("MetricValue"), F.max(TS).alias("TimeGenerated"))
-    return agg.select(F.lit(rule).alias("RuleName"), F.col(SRV).alias("ServerName"),
-                      _group_key(keys).alias("GroupKey"), "WindowStart",
-                      F.col("MetricValue").cast("double").alias("MetricValue"), "TimeGenerated")
-
-
-def _direct_final(df: DataFrame) -> DataFrame:
-    return df.withColumn("FinalUser", first_non_empty(extract(P.USER_RE, "message"), default=P.UNKNOWN))
+def alert_matches(df: DataFrame) -> list[tuple[str, Column, list[str], str | None]]:
+    """Per alert query: (rule, whether a line counts, group keys, column whose distinct values
+    are counted or None for a row count)."""
+    cat, audit = F.col("category") == CATEGORY, stored(df, "is_audit")
+    client = F.col("backend_type") == P.CLIENT_BACKEND
+    user = first_non_empty(stored(df, "p_user"), default=P.UNKNOWN)
+    statement = trim_chars(" ", stored(df, "p_statement"))
+    return [
+        ("Data Exfil", cat & audit & stored(df, "t_exfil") & client
+         & ((stored(df, "p_class") == "READ") | (stored(df, "p_statement") == "SELECT")) & (user != P.SUPERUSER),
+         [SRV, "backend_type", "processId"], None),
+        ("Destruction", cat & audit & stored(df, "t_destructive_pre") & stored(df, "t_destructive")
+         & ((stored(df, "p_class") == "WRITE") | has_any(statement, P.DESTRUCTIVE_TERMS))
+         & ~user.isin(*P.SYSTEM_USERS, P.UNKNOWN) & client, [SRV, "backend_type"], None),
+        ("Privilege", cat & stored(df, "t_privilege_alert") & (client | is_empty("backend_type"))
+         & ~user.isin(*P.SYSTEM_USERS), [SRV], None),
+        ("Error Spike", cat & stored(df, "is_err"), [SRV, "backend_type"], None),
+        ("Recon (Schema)", cat & audit & client & (user != P.SUPERUSER)
+         & ~alert_schema(df).isin(*P.CATALOG_SCHEMAS, ""), [SRV, "processId"], "SchemaName"),
+        ("Recon (Deep)", cat & audit & client & stored(df, "t_catalog") & (user != P.SUPERUSER),
+         [SRV, "processId"], None),
+    ]
+
+
+def alert_schema(df: DataFrame) -> Column:
+    """The alert rule's schema: the reference's literal capture, else the prefix of the object type."""
+    literal = extract(P.AUDIT_SCHEMA_RE, "message")
+    return F.when(is_not_empty(literal), literal).otherwise(schema_of(stored(df, "p_object_type")))
+
+
+def _alert_windows(bronze: DataFrame, as_of, windows: dict | None):
+    w = ALERT_WINDOWS | (windows or {})
+    if any(lb is not None for lb, _ in w.values()):
+        as_of = resolve_as_of(bronze, as_of)
+    return w, as_of
 
 
 def alert_inputs(bronze: DataFrame, *, as_of=None, windows: dict | None = None, wrap=None):
-    """Per alert query: (rule, filtered rows, group keys, bucket, metric).
-
-    ``metric`` is None for a row count or the column whose distinct values
-    are counted. Shared by the batch and the streaming evaluation; the
-    stream passes ``wrap=above_watermark`` so its filters stay above the
-    watermark.
-    """
-    def keep(df: DataFrame, cond: Column) -> DataFrame:
-        return df.where(wrap(cond) if wrap else cond)
-
-    w = dict(ALERT_WINDOWS)
-    w.update(windows or {})
-    if any(lb is not None for lb, _ in w.values()):
-        as_of = resolve_as_of(bronze, as_of)
-    cat = F.col("category") == CATEGORY
-    audit = flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK)
-    client = F.col("backend_type") == P.CLIENT_BACKEND
+    """Per alert query: (rule, filtered rows, group keys, bucket, distinct), for streams, which
+    pass ``wrap=above_watermark`` so that the filters stay above the watermark."""
+    w, as_of = _alert_windows(bronze, as_of, windows)
     out = []
-
-    lb, bk = w["Data Exfil"]
-    df = keep(since(bronze, as_of, lb), cat & audit & has_any("message", P.EXFIL_TERMS) & client)
-    df = keep(df, (extract(P.AUDIT_CLASS_RE, "message") == "READ")
-                  | (extract(P.AUDIT_STATEMENT_RE, "message") == "SELECT"))
-    df = keep(_direct_final(df), F.col("FinalUser") != P.SUPERUSER)
-    out.append(("Data Exfil", df, [SRV, "backend_type", "processId"], bk, None))
-
-    lb, bk = w["Destruction"]
-    df = keep(since(bronze, as_of, lb), cat & audit & has_any("message", P.DESTRUCTIVE_PREFILTER_TERMS))
-    stmt = trim_chars(" ", extract(P.AUDIT_STATEMENT_RE, "message"))
-    df = keep(df, has_any("message", P.DESTRUCTIVE_TERMS)
-                  & ((extract(P.AUDIT_CLASS_RE, "message") == "WRITE") | has_any(stmt, P.DESTRUCTIVE_TERMS)))
-    df = keep(_direct_final(df), ~F.col("FinalUser").isin(*P.SYSTEM_USERS, P.UNKNOWN) & client)
-    out.append(("Destruction", df, [SRV, "backend_type"], bk, None))
-
-    lb, bk = w["Privilege"]
-    df = keep(since(bronze, as_of, lb), cat & has_any("message", P.PRIVILEGE_ALERT_TERMS)
-                                        & (client | is_empty("backend_type")))
-    df = keep(_direct_final(df), ~F.col("FinalUser").isin(*P.SYSTEM_USERS))
-    out.append(("Privilege", df, [SRV], bk, None))
-
-    lb, bk = w["Error Spike"]
-    df = keep(since(bronze, as_of, lb), cat & flag(bronze, "is_err") & D.error_predicate())
-    out.append(("Error Spike", df, [SRV, "backend_type"], bk, None))
-
-    lb, bk = w["Recon (Schema)"]
-    df = keep(since(bronze, as_of, lb), cat & audit & client)
-    df = df.withColumns({"SchemaAccessed": extract(P.AUDIT_SCHEMA_RE, "message"),
-                         "TableAccessed": extract(P.AUDIT_OBJECT_TYPE_RE, "message")})
-    df = keep(df, is_not_empty("SchemaAccessed") | is_not_empty("TableAccessed"))
-    df = df.withColumn("SchemaName", F.when(is_not_empty("SchemaAccessed"), F.col("SchemaAccessed"))
-                       .otherwise(schema_of("TableAccessed")))
-    df = keep(df, is_not_empty("SchemaName") & ~F.col("SchemaName").isin(*P.CATALOG_SCHEMAS, ""))
-    df = keep(_direct_final(df), F.col("FinalUser") != P.SUPERUSER)
-    out.append(("Recon (Schema)", df, [SRV, "processId"], bk, "SchemaName"))
-
-    lb, bk = w["Recon (Deep)"]
-    df = keep(since(bronze, as_of, lb), cat & audit & client & has_any("message", P.CATALOG_TERMS))
-    df = keep(_direct_final(df), F.col("FinalUser") != P.SUPERUSER)
-    out.append(("Recon (Deep)", df, [SRV, "processId"], bk, None))
+    for rule, cond, keys, distinct in alert_matches(bronze):
+        df = since(bronze, as_of, w[rule][0]).where(wrap(cond) if wrap else cond)
+        if distinct:
+            df = df.withColumn(distinct, alert_schema(bronze))
+        out.append((rule, df, keys, w[rule][1], distinct))
     return out
 
 
 def alert_candidates(bronze: DataFrame, *, as_of=None, windows: dict | None = None) -> DataFrame:
-    """The six log-based alert queries as long-form metric rows (no threshold)."""
-    parts = []
-    for rule, df, keys, bk, distinct in alert_inputs(bronze, as_of=as_of, windows=windows):
-        metric = F.count(F.lit(1)) if distinct is None else F.count_distinct(distinct)
-        parts.append(_cand(df, rule, keys, bk, metric))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The six log-based alert queries as long-form metric rows (no threshold).
+
+    One scan and one aggregation: every line is tagged with the rules it counts for, and the
+    tagged lines are grouped by rule, key and window.
+    """
+    w, as_of = _alert_windows(bronze, as_of, windows)
+    matches = {rule: (cond, keys, distinct) for rule, cond, keys, distinct in alert_matches(bronze)}
+    df = tag_lines(bronze, {r: m[0] for r, m in matches.items()}, as_of, w, "RuleName")
+    df = df.withColumns({
+        "GroupKey": by_tag("RuleName", {r: _group_key(m[1]) for r, m in matches.items()}),
+        "distinct": by_tag("RuleName", {r: alert_schema(bronze) for r, m in matches.items() if m[2]})})
+    agg = df.groupBy("RuleName", F.col(SRV).alias("ServerName"), "GroupKey", F.col("Bucket").alias("WindowStart")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("distinct").alias("d"), F.max(TS).alias("TimeGenerated"))
+    counts_values = F.col("RuleName").isin(*[r for r, m in matches.items() if m[2]])
+    return agg.select("RuleName", "ServerName", "GroupKey", "WindowStart",
+                      F.when(counts_values, F.col("d")).otherwise(F.col("n")).cast("double").alias("MetricValue"),
+                      "TimeGenerated")
 
 
 def ml_candidates(series_anomalies: DataFrame) -> DataFrame:

@@ -15,12 +15,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from auditlens.functions import patterns as P
-from auditlens.functions.text import (contains, contains_any, extract, has_any, is_not_empty,
-                                      label_case, severity, trim_chars)
+from auditlens.functions.text import is_not_empty, label_case, severity, trim_chars
 from auditlens.functions.timefn import TS, bin_ts, day_boundaries, minute_boundaries, resolve_as_of, since
-from auditlens.operators.detectors import auth_failure_predicate
-from auditlens.sources.bronze import flag
 from auditlens.operators.sets import aggregate_with_sets, join_set, small_set
+from auditlens.sources.parsed import flag, stored
 
 SRV = "LogicalServerName"
 
@@ -49,22 +47,22 @@ def activity_by_server(bronze, *, as_of=None, lookback="1h", bucket="2m"):
     return df.groupBy(SRV, bin_ts(TS, bucket).alias(TS)).agg(
         F.count(F.lit(1)).alias("TotalEvents"), F.count_if(_err()).alias("Errors"),
         F.count_if(F.col("errorLevel") == "WARNING").alias("Warnings"),
-        F.count_if(contains("message", P.AUDIT_MARK)).alias("AuditLogs"))
+        F.count_if(stored(bronze, "is_audit")).alias("AuditLogs"))
 
 
 # Q2
 def audit_distribution(bronze, *, as_of=None, lookback="6h", top=10):
-    df = since(bronze, as_of, lookback).where(flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK))
-    df = df.withColumn("AuditStatement", extract(P.AUDIT_STATEMENT_RE, "message")).where(is_not_empty("AuditStatement"))
+    df = since(bronze, as_of, lookback).where(stored(bronze, "is_audit"))
+    df = df.withColumn("AuditStatement", stored(bronze, "p_statement")).where(is_not_empty("AuditStatement"))
     return (df.groupBy("AuditStatement").agg(F.count(F.lit(1)).alias("Count"))
             .orderBy(F.desc("Count"), "AuditStatement").limit(top))
 
 
 # Q3
 def top_tables(bronze, *, as_of=None, lookback="6h", top=15):
-    df = since(bronze, as_of, lookback).where(flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK))
-    df = df.withColumns({"ObjectType": extract(P.AUDIT_OBJECT_TYPE_RE, "message"),
-                         "ObjectName": extract(P.AUDIT_OBJECT_NAME_RE, "message")})
+    df = since(bronze, as_of, lookback).where(stored(bronze, "is_audit"))
+    df = df.withColumns({"ObjectType": stored(bronze, "p_object_type"),
+                         "ObjectName": stored(bronze, "p_object")})
     df = df.where(is_not_empty("ObjectName"))
     keys = ["ObjectName", SRV]
     agg = aggregate_with_sets(df, keys, [("AccessCount", "count", None), ("LastAccess", "max", TS)],
@@ -78,7 +76,7 @@ def top_tables(bronze, *, as_of=None, lookback="6h", top=15):
 def audit_timeline(bronze, *, as_of=None, lookback="1h", bucket="2m", include_misc=True):
     table = P.AUDIT_OPERATION_TYPES if include_misc else tuple(
         r for r in P.AUDIT_OPERATION_TYPES if r[2] != "MISC")
-    df = since(bronze, as_of, lookback).where(flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK))
+    df = since(bronze, as_of, lookback).where(stored(bronze, "is_audit"))
     df = df.withColumn("OperationType", label_case(table, P.AUDIT_OPERATION_DEFAULT))
     return df.groupBy("OperationType", bin_ts(TS, bucket).alias(TS)).agg(F.count(F.lit(1)).alias("Count"))
 
@@ -92,20 +90,20 @@ def errors_by_category(bronze, *, as_of=None, lookback="24h", bucket="30m"):
 
 # Q6
 def activity_by_backend(bronze, *, as_of=None, lookback="1h", bucket="5m"):
-    df = since(bronze, as_of, lookback).where(flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK))
+    df = since(bronze, as_of, lookback).where(stored(bronze, "is_audit"))
     return df.groupBy("backend_type", bin_ts(TS, bucket).alias(TS)).agg(
         F.count(F.lit(1)).alias("TotalLogs"), F.count_if(_err2()).alias("Errors"))
 
 
 # Q7
 def top_users(bronze, *, as_of=None, lookback="24h", top=10):
-    df = since(bronze, as_of, lookback).withColumn("UserName", trim_chars('"', extract(P.USER_RE, "message")))
+    df = since(bronze, as_of, lookback).withColumn("UserName", trim_chars('"', stored(bronze, "p_user")))
     df = df.where(is_not_empty("UserName"))
-    db = _nonempty_or_null(trim_chars('"', extract(P.DATABASE_RE, "message")))
+    db = _nonempty_or_null(trim_chars('"', stored(bronze, "p_database")))
     agg = df.groupBy("UserName").agg(
         F.count(F.lit(1)).alias("TotalActivity"),
-        F.count_if(contains("message", P.AUDIT_MARK)).alias("AuditLogs"),
-        F.count_if(contains("message", P.CONN_AUTHORIZED)).alias("Connections"),
+        F.count_if(stored(bronze, "is_audit")).alias("AuditLogs"),
+        F.count_if(stored(bronze, "is_conn_auth")).alias("Connections"),
         F.count_if(_err2()).alias("Errors"), F.count_distinct(db).alias("Databases"),
         F.max(TS).alias("LastActivity"))
     return agg.orderBy(F.desc("TotalActivity"), "UserName").limit(top).select(
@@ -114,8 +112,8 @@ def top_users(bronze, *, as_of=None, lookback="24h", top=10):
 
 # Q8
 def top_hosts(bronze, *, as_of=None, lookback="24h", top=10, high=20, medium=5):
-    df = since(bronze, as_of, lookback).withColumns({"ClientHost": extract(P.HOST_RE, "message"),
-                                                     "UserName": extract(P.USER_RE, "message")})
+    df = since(bronze, as_of, lookback).withColumns({"ClientHost": stored(bronze, "p_host"),
+                                                     "UserName": stored(bronze, "p_user")})
     df = df.where(is_not_empty("ClientHost"))
     agg = aggregate_with_sets(df, ["ClientHost"], [
         ("TotalConnections", "count", None), ("UniqueUsers", "dcount", "UserName"),
@@ -131,14 +129,13 @@ def top_hosts(bronze, *, as_of=None, lookback="24h", top=10, high=20, medium=5):
 
 # Q9
 def user_db_heatmap(bronze, *, as_of=None, lookback="24h", min_activity=10, top=50):
-    df = since(bronze, as_of, lookback).where((flag(bronze, "is_audit") | flag(bronze, "is_conn"))
-                                              & contains_any("message", (P.AUDIT_MARK, P.CONN_AUTHORIZED)))
-    df = df.withColumns({"UserName": extract(P.USER_RE, "message"),
-                         "DatabaseName": extract(P.DATABASE_RE, "message")})
+    df = since(bronze, as_of, lookback).where(stored(bronze, "is_audit") | stored(bronze, "is_conn_auth"))
+    df = df.withColumns({"UserName": stored(bronze, "p_user"),
+                         "DatabaseName": stored(bronze, "p_database")})
     df = df.where(is_not_empty("UserName") & is_not_empty("DatabaseName"))
     agg = df.groupBy("UserName", "DatabaseName").agg(
         F.count(F.lit(1)).alias("ActivityCount"),
-        F.count_if(contains("message", P.AUDIT_MARK)).alias("AuditLogs"), F.max(TS).alias("LastActivity"))
+        F.count_if(stored(bronze, "is_audit")).alias("AuditLogs"), F.max(TS).alias("LastActivity"))
     return (agg.where(F.col("ActivityCount") > min_activity)
             .orderBy(F.desc("ActivityCount"), "UserName", "DatabaseName").limit(top)
             .select("UserName", "DatabaseName", "ActivityCount", "AuditLogs", "LastActivity"))
@@ -146,10 +143,10 @@ def user_db_heatmap(bronze, *, as_of=None, lookback="24h", min_activity=10, top=
 
 # Q10
 def auth_failures(bronze, *, as_of=None, lookback="24h", top=20):
-    df = since(bronze, as_of, lookback).where(auth_failure_predicate())
-    df = df.withColumns({"UserName": extract(P.USER_RE, "message"),
-                         "ClientHost": extract(P.HOST_RE, "message"),
-                         "DatabaseName": extract(P.DATABASE_RE, "message")})
+    df = since(bronze, as_of, lookback).where(stored(bronze, "is_auth_failure"))
+    df = df.withColumns({"UserName": stored(bronze, "p_user"),
+                         "ClientHost": stored(bronze, "p_host"),
+                         "DatabaseName": stored(bronze, "p_database")})
     agg = df.groupBy("UserName", "ClientHost").agg(
         F.count(F.lit(1)).alias("FailedAttempts"), F.min(TS).alias("FirstAttempt"),
         F.max(TS).alias("LastAttempt"), small_set("DatabaseName").alias("Databases"))
@@ -203,7 +200,7 @@ def audit_coverage(bronze, *, as_of=None, lookback="1h"):
     df = since(bronze, as_of, lookback)
     agg = df.groupBy(SRV).agg(
         F.count(F.lit(1)).alias("TotalLogs"),
-        F.count_if(contains("message", P.AUDIT_MARK)).alias("AuditLogs"),
+        F.count_if(stored(bronze, "is_audit")).alias("AuditLogs"),
         F.count_if(_err()).alias("ErrorLogs"), F.count_if(F.col("errorLevel") == "WARNING").alias("WarningLogs"))
     return agg.withColumns({"AuditCoverage": pct2("AuditLogs", "TotalLogs"),
                             "ErrorRate": pct2("ErrorLogs", "TotalLogs")})
@@ -244,8 +241,8 @@ def error_code_diagnostics(bronze, *, as_of=None, lookback="24h", auth_only=Fals
 
 # Q19
 def privilege_ops_by_user(bronze, *, as_of=None, lookback="24h"):
-    df = since(bronze, as_of, lookback).where(has_any("message", P.ACTIVITY_PRIVILEGE_TERMS))
-    df = df.withColumn("UserName", extract(P.USER_RE, "message"))
+    df = since(bronze, as_of, lookback).where(stored(bronze, "t_privilege_activity"))
+    df = df.withColumn("UserName", stored(bronze, "p_user"))
     return (df.groupBy("UserName", SRV).agg(F.count(F.lit(1)).alias("Operations"))
             .where(F.col("Operations") > 0))
 
@@ -267,7 +264,7 @@ def history_depth(metrics, *, as_of=None, lookback="7d"):
 def connection_sample(bronze, *, as_of=None, lookback="1h", n=10):
     """``take 10`` of connection rows; the newest ten, so the sample is stable."""
     from auditlens.sources.bronze import BRONZE_COLS
-    df = since(bronze, as_of, lookback).where(flag(bronze, "is_conn") & contains("message", P.CONN_AUTHORIZED))
+    df = since(bronze, as_of, lookback).where(flag(bronze, "is_conn") & stored(bronze, "is_conn_auth"))
     return df.orderBy(F.desc(TS), SRV, "processId", "message").limit(n).select(*BRONZE_COLS)
 
 
@@ -289,9 +286,9 @@ def active_users_today(bronze, *, as_of=None):
     day = day.replace(hour=0, minute=0, second=0, microsecond=0) if isinstance(day, dt.datetime) else day
     df = since(bronze, day, 0) if isinstance(day, dt.datetime) else bronze.where(
         F.col(TS) >= F.date_trunc("day", F.lit(day)).cast(bronze.schema[TS].dataType))
-    df = df.where(flag(bronze, "is_conn") & contains("message", P.CONN_AUTHORIZED))
-    df = df.withColumns({"UserName": extract(P.USER_RE, "message"),
-                         "DatabaseName": extract(P.DATABASE_RE, "message")}).where(is_not_empty("UserName"))
+    df = df.where(flag(bronze, "is_conn") & stored(bronze, "is_conn_auth"))
+    df = df.withColumns({"UserName": stored(bronze, "p_user"),
+                         "DatabaseName": stored(bronze, "p_database")}).where(is_not_empty("UserName"))
     return df.groupBy("UserName").agg(
         F.count(F.lit(1)).alias("Connections"), F.count_distinct(_nonempty_or_null(F.col("DatabaseName"))).alias("Databases"),
         F.min(TS).alias("FirstConnection"), F.max(TS).alias("LastConnection"))
@@ -302,8 +299,8 @@ def current_activity(bronze, *, as_of=None, lookback="1h"):
     df = since(bronze, as_of, lookback)
     return df.groupBy(SRV).agg(
         F.count(F.lit(1)).alias("TotalEvents"),
-        F.count_if(contains("message", P.AUDIT_MARK)).alias("AuditLogs"),
-        F.count_if(contains("message", P.CONN_AUTHORIZED)).alias("Connections"),
+        F.count_if(stored(bronze, "is_audit")).alias("AuditLogs"),
+        F.count_if(stored(bronze, "is_conn_auth")).alias("Connections"),
         F.count_if(_err()).alias("Errors"),
-        F.count_distinct(_nonempty_or_null(extract(P.USER_RE, "message"))).alias("Users"),
+        F.count_distinct(_nonempty_or_null(stored(bronze, "p_user"))).alias("Users"),
         F.max(TS).alias("LastEvent"))

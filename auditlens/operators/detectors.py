@@ -24,10 +24,11 @@ from auditlens.functions import patterns as P
 from auditlens.functions.text import (contains, extract, first_non_empty, has_any,
                                       is_empty, is_not_empty, label_case, severity, trim_chars)
 from auditlens.functions.timefn import TS, bin_ts, hms, iso_datetime_text, resolve_as_of, since
-from auditlens.operators.parse import conn_fields, schema_of
+from auditlens.operators.parse import conn_fields, query_text, schema_of
 from auditlens.operators.sessions import CONN_TERMS_AUTHORIZED, join_sessions, session_enrich, session_info
 from auditlens.operators.sets import aggregate_with_sets, join_set, small_set
-from auditlens.sources.bronze import CATEGORY, flag
+from auditlens.sources.bronze import CATEGORY
+from auditlens.sources.parsed import flag, stored
 
 SRV = "LogicalServerName"
 
@@ -55,20 +56,26 @@ def _is_category(df: DataFrame) -> Column:
     return F.col("category") == CATEGORY
 
 
+def _client() -> Column:
+    return F.col("backend_type") == P.CLIENT_BACKEND
+
+
 # --------------------------------------------------------------------- D1
+def exfiltration_match(df: DataFrame) -> Column:
+    """Whether a log line counts for D1, its session left aside."""
+    return (stored(df, "is_audit") & _is_category(df) & stored(df, "t_exfil") & _client()
+            & ((stored(df, "p_class") == "READ") | (stored(df, "p_statement") == "SELECT")))
+
+
 def exfiltration_lines(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
     """D1's log lines, before their session is known."""
-    w = _keeper(wrap)
-    df = since(bronze, as_of, lookback).where(w(
-        flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
-        & has_any("message", P.EXFIL_TERMS) & (F.col("backend_type") == P.CLIENT_BACKEND)))
-    df = df.withColumns({
-        "AuditOperation": extract(P.AUDIT_CLASS_RE, "message"),
-        "AuditStatement": extract(P.AUDIT_STATEMENT_RE, "message"),
-        "TableName": extract(P.AUDIT_OBJECT_TYPE_RE, "message"),
-        "QueryText": trim_chars('"', extract(P.QUERY_TEXT_RE, "message")),
-        **conn_fields()})
-    return df.where(w((F.col("AuditOperation") == "READ") | (F.col("AuditStatement") == "SELECT")))
+    df = since(bronze, as_of, lookback).where(_keeper(wrap)(exfiltration_match(bronze)))
+    return df.withColumns({
+        "AuditOperation": stored(bronze, "p_class"),
+        "AuditStatement": stored(bronze, "p_statement"),
+        "TableName": stored(bronze, "p_object_type"),
+        "QueryText": query_text(),
+        **conn_fields(df=bronze)})
 
 
 def not_superuser() -> Column:
@@ -124,21 +131,22 @@ def _keeper(wrap):
     return wrap if wrap is not None else (lambda c: c)
 
 
+def destructive_match(df: DataFrame) -> Column:
+    """Whether a log line counts for D2, its session left aside."""
+    statement = trim_chars(" ", stored(df, "p_statement"))
+    return (stored(df, "is_audit") & _is_category(df) & stored(df, "t_destructive_pre") & stored(df, "t_destructive")
+            & ((stored(df, "p_class") == "WRITE") | has_any(statement, P.DESTRUCTIVE_TERMS)))
+
+
 def destructive_lines(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
     """D2's log lines, before their session is known."""
-    w = _keeper(wrap)
-    df = since(bronze, as_of, lookback).where(w(
-        flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
-        & has_any("message", P.DESTRUCTIVE_PREFILTER_TERMS)))
-    df = df.withColumns({
-        "AuditOperation": extract(P.AUDIT_CLASS_RE, "message"),
-        "AuditStatement": trim_chars(" ", extract(P.AUDIT_STATEMENT_RE, "message")),
-        "TableAffected": extract(P.AUDIT_OBJECT_TYPE_RE, "message"),
-        "QueryText": trim_chars('"', extract(P.QUERY_TEXT_RE, "message")),
-        **conn_fields()})
-    return df.where(w(has_any("message", P.DESTRUCTIVE_TERMS)
-                      & ((F.col("AuditOperation") == "WRITE")
-                         | has_any("AuditStatement", P.DESTRUCTIVE_TERMS))))
+    df = since(bronze, as_of, lookback).where(_keeper(wrap)(destructive_match(bronze)))
+    return df.withColumns({
+        "AuditOperation": stored(bronze, "p_class"),
+        "AuditStatement": trim_chars(" ", stored(bronze, "p_statement")),
+        "TableAffected": stored(bronze, "p_object_type"),
+        "QueryText": query_text(),
+        **conn_fields(df=bronze)})
 
 
 def destructive_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
@@ -181,18 +189,17 @@ def destructive_output(agg: DataFrame, threshold=5, high=10, critical=20) -> Dat
 
 
 # --------------------------------------------------------------------- D3
-def error_predicate() -> Column:
-    code = F.col("sqlerrcode")
-    return F.col("errorLevel").isin(*P.ERROR_LEVELS) | ((code != P.OK_CODE) & (code != ""))
+def error_match(df: DataFrame) -> Column:
+    """Whether a log line counts for D3."""
+    return stored(df, "is_err") & _is_category(df)
 
 
 def error_spike_lines(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
     """D3's log lines, before their session is known."""
-    w = _keeper(wrap)
-    df = since(bronze, as_of, lookback).where(w(flag(bronze, "is_err") & _is_category(bronze) & error_predicate()))
+    df = since(bronze, as_of, lookback).where(_keeper(wrap)(error_match(bronze)))
     return df.withColumns({
         "ErrorCategory": label_case(P.ERROR_SPIKE_CATEGORIES, P.ERROR_SPIKE_DEFAULT),
-        **conn_fields()})
+        **conn_fields(df=bronze)})
 
 
 def error_spike_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
@@ -236,18 +243,24 @@ def error_spike_output(agg: DataFrame, threshold=3, high=8, critical=15) -> Data
 
 
 # --------------------------------------------------------------------- D4
+def privilege_match(df: DataFrame) -> Column:
+    """Whether a log line counts for D4, its session left aside."""
+    return (stored(df, "t_privilege") & _is_category(df)
+            & ~contains("message", P.SYSTEM_USERS[1]) & ~contains("message", P.SUPERUSER)
+            & (_client() | is_empty("backend_type")))
+
+
+def privilege_sample() -> Column:
+    return F.substring("message", 1, 200)
+
+
 def privilege_lines(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
     """D4's log lines, before their session is known."""
-    w = _keeper(wrap)
-    backend = F.col("backend_type")
-    df = since(bronze, as_of, lookback).where(w(
-        _is_category(bronze) & has_any("message", P.PRIVILEGE_TERMS)
-        & ~contains("message", P.SYSTEM_USERS[1]) & ~contains("message", P.SUPERUSER)
-        & ((backend == P.CLIENT_BACKEND) | is_empty(backend))))
+    df = since(bronze, as_of, lookback).where(_keeper(wrap)(privilege_match(bronze)))
     return df.withColumns({
         "PrivilegeOp": label_case(P.PRIVILEGE_OPS, P.PRIVILEGE_OPS_DEFAULT),
-        "QueryText": F.substring("message", 1, 200),
-        "DirectUser": extract(P.USER_RE, "message"),
+        "QueryText": privilege_sample(),
+        "DirectUser": stored(bronze, "p_user"),
         "LogType": F.col("errorLevel")})
 
 
@@ -308,21 +321,24 @@ def cross_schema_recon(bronze: DataFrame, *, as_of=None, lookback="15m", bucket=
     return cross_schema_output(agg, threshold, high, critical)
 
 
+def cross_schema_match(df: DataFrame) -> Column:
+    """Whether a log line counts for D5: it names an object of a schema that is no catalog."""
+    return (stored(df, "is_audit") & _is_category(df) & _client()
+            & ~schema_of(stored(df, "p_object")).isin(*P.CATALOG_SCHEMAS, ""))
+
+
 def cross_schema_lines(bronze: DataFrame, *, as_of=None, lookback=None, literal: bool = False,
                        wrap=None) -> DataFrame:
     """D5's log lines, before their session is known."""
-    w = _keeper(wrap)
-    df = since(bronze, as_of, lookback).where(w(
-        flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
-        & (F.col("backend_type") == P.CLIENT_BACKEND)))
-    if literal:
-        df = df.withColumns({
-            "SchemaAccessed": extract(P.AUDIT_SCHEMA_RE, "message"),
-            "TableAccessed": extract(P.AUDIT_OBJECT_TYPE_RE, "message")})
-    else:
-        obj = extract(P.AUDIT_OBJECT_NAME_RE, "message")
-        df = df.withColumn("TableAccessed", obj).withColumn("SchemaAccessed", schema_of("TableAccessed"))
-    df = df.withColumn("DirectUser", extract(P.USER_RE, "message"))
+    w, user = _keeper(wrap), stored(bronze, "p_user").alias("DirectUser")
+    df = since(bronze, as_of, lookback)
+    if not literal:
+        obj = stored(bronze, "p_object")
+        return df.where(w(cross_schema_match(bronze))).withColumns({
+            "TableAccessed": obj, "SchemaAccessed": schema_of(obj), "SchemaName": schema_of(obj), "DirectUser": user})
+    df = df.where(w(stored(bronze, "is_audit") & _is_category(bronze) & _client())).withColumns({
+        "SchemaAccessed": extract(P.AUDIT_SCHEMA_RE, "message"),
+        "TableAccessed": stored(bronze, "p_object_type"), "DirectUser": user})
     df = df.where(w(is_not_empty("SchemaAccessed") | is_not_empty("TableAccessed")))
     df = df.withColumn("SchemaName", F.when(is_not_empty("SchemaAccessed"), F.col("SchemaAccessed"))
                        .otherwise(schema_of("TableAccessed")))
@@ -363,8 +379,7 @@ def cross_schema_output(agg: DataFrame, threshold=4, high=5, critical=8) -> Data
 
 # --------------------------------------------------------------------- D6
 def catalog_query_text() -> Column:
-    return first_non_empty(trim_chars('"', extract(P.QUERY_TEXT_RE, "message")),
-                           extract(P.STATEMENT_TEXT_RE, "message"), "message")
+    return first_non_empty(query_text(), extract(P.STATEMENT_TEXT_RE, "message"), "message")
 
 
 def deep_schema_enum(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="5m",
@@ -380,15 +395,17 @@ def deep_schema_enum(bronze: DataFrame, *, as_of=None, lookback="10m", bucket="5
     return deep_enum_output(agg, threshold, high, critical, multi_table)
 
 
+def deep_enum_match(df: DataFrame) -> Column:
+    """Whether a log line counts for D6, its session left aside."""
+    return stored(df, "is_audit") & _is_category(df) & _client() & stored(df, "t_catalog")
+
+
 def deep_enum_lines(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
     """D6's log lines, before their session is known."""
-    w = _keeper(wrap)
-    df = since(bronze, as_of, lookback).where(w(
-        flag(bronze, "is_audit") & _is_category(bronze) & contains("message", P.AUDIT_MARK)
-        & (F.col("backend_type") == P.CLIENT_BACKEND) & has_any("message", P.CATALOG_TERMS)))
+    df = since(bronze, as_of, lookback).where(_keeper(wrap)(deep_enum_match(bronze)))
     df = df.withColumn("QueryText", catalog_query_text())
     return df.withColumns({"SystemTable": label_case(P.SYSTEM_TABLES, P.SYSTEM_TABLES_DEFAULT, msg="QueryText"),
-                           "DirectUser": extract(P.USER_RE, "message")})
+                           "DirectUser": stored(bronze, "p_user")})
 
 
 def deep_enum_rows(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback=None,
@@ -424,20 +441,18 @@ def deep_enum_output(agg: DataFrame, threshold=10, high=15, critical=30, multi_t
 
 
 # --------------------------------------------------------------------- D7
-def auth_failure_predicate() -> Column:
-    return (contains("message", "authentication failed")
-            | contains("message", "password authentication failed")
-            | (F.col("sqlerrcode") == "28P01"))
+def brute_force_match(df: DataFrame) -> Column:
+    """Whether a log line counts for D7."""
+    return (stored(df, "is_auth_failure") & _is_category(df)
+            & ((stored(df, "p_host") != "") | (stored(df, "p_user") != "")))
 
 
 def brute_force_rows(bronze: DataFrame, *, as_of=None, lookback=None, wrap=None) -> DataFrame:
     """D7's input rows (shared by the batch and streaming detector)."""
-    w = wrap if wrap is not None else (lambda c: c)
-    df = since(bronze, as_of, lookback).where(w(_is_category(bronze) & auth_failure_predicate()))
-    df = df.withColumns({"UserName": extract(P.USER_RE, "message"),
-                         "ClientHost": extract(P.HOST_RE, "message"),
-                         "DatabaseName": extract(P.DATABASE_RE, "message")})
-    return df.where(w(is_not_empty("ClientHost") | is_not_empty("UserName")))
+    df = since(bronze, as_of, lookback).where(_keeper(wrap)(brute_force_match(bronze)))
+    return df.withColumns({"UserName": stored(bronze, "p_user"),
+                           "ClientHost": stored(bronze, "p_host"),
+                           "DatabaseName": stored(bronze, "p_database")})
 
 
 def brute_force(bronze: DataFrame, *, as_of=None, lookback="24h",
@@ -464,24 +479,15 @@ def brute_force_output(agg: DataFrame, threshold=5, high=10, critical=20) -> Dat
         _hms_window("FirstAttempt", "LastAttempt").alias("TimeWindow"))
 
 
-def auth_code_predicate() -> Column:
-    code = F.col("sqlerrcode")
-    lvl = F.lower(F.col("errorLevel"))
-    err = lvl.isin("error", "fatal")
-    return ((code.startswith("28") & (code != "28000"))
-            | ((code == "28000") & err)
-            | (err & contains("message", "authentication")))
-
-
 def brute_force_by_code(bronze: DataFrame, *, as_of=None, lookback="24h",
                         low=5, high=10, critical=20) -> DataFrame:
     """Authentication failures by SQLSTATE class 28, per host and server,
     with a LOW tier for hosts under the threshold."""
     as_of = _as_of(bronze, as_of, lookback)
-    df = since(bronze, as_of, lookback).where(auth_code_predicate())
-    df = df.withColumns({"UserName": extract(P.USER_RE, "message"),
-                         "ClientHost": first_non_empty(extract(P.HOST_RE, "message"), default=P.UNKNOWN),
-                         "DatabaseName": extract(P.DATABASE_RE, "message"),
+    df = since(bronze, as_of, lookback).where(stored(bronze, "is_auth_code"))
+    df = df.withColumns({"UserName": stored(bronze, "p_user"),
+                         "ClientHost": first_non_empty(stored(bronze, "p_host"), default=P.UNKNOWN),
+                         "DatabaseName": stored(bronze, "p_database"),
                          "ErrorCode": F.col("sqlerrcode")})
     keys = ["ClientHost", SRV]
     agg = aggregate_with_sets(df, keys, [
@@ -543,13 +549,13 @@ def exfiltration_by_user(bronze: DataFrame, *, as_of=None, lookback="1h",
     as_of = _as_of(bronze, as_of, lookback, session_lookback)
     sessions = session_info(bronze, as_of, session_lookback, terms=CONN_TERMS_AUTHORIZED)
     df = since(bronze, as_of, lookback).where(
-        flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK) & has_any("message", P.USER_SELECT_TERMS)
+        stored(bronze, "is_audit") & stored(bronze, "t_select")
         & (F.col("backend_type") == P.CLIENT_BACKEND))
     df = join_sessions(df, sessions, "left")
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("User", "Database", "SourceHost")})
     agg = df.groupBy("User", "Database", "SourceHost", "processId").agg(
         F.count(F.lit(1)).alias("SelectCount"), F.max(TS).alias("LastQuery"),
-        F.count_distinct(extract(P.AUDIT_OBJECT_TYPE_RE, "message")).alias("TablesAccessed"))
+        F.count_distinct(stored(bronze, "p_object_type")).alias("TablesAccessed"))
     agg = agg.where(F.col("SelectCount") > threshold)
     return agg.select("User", "Database", "SourceHost", "SelectCount", "TablesAccessed",
                       severity("SelectCount", high, critical).alias("Severity"), "LastQuery"
@@ -560,7 +566,7 @@ def exfiltration_by_user(bronze: DataFrame, *, as_of=None, lookback="1h",
 def _quick(bronze, as_of, lookback, session_lookback, pred, exclude, keys_fn, bucket,
            count_name, first_name, last_name, threshold, high, critical, anomaly, last_alias):
     df = since(bronze, as_of, lookback).where(_is_category(bronze) & pred)
-    df = df.withColumn("DirectUser", extract(P.USER_RE, "message"))
+    df = df.withColumn("DirectUser", stored(bronze, "p_user"))
     sessions = session_info(bronze, as_of, session_lookback, terms=CONN_TERMS_AUTHORIZED, fields=("User",))
     df = session_enrich(df, sessions, fields=("User",))
     if exclude:
@@ -578,7 +584,7 @@ def _quick(bronze, as_of, lookback, session_lookback, pred, exclude, keys_fn, bu
 def quick_exfil(bronze, *, as_of=None, lookback="5m", bucket=None, threshold=15, high=30, critical=50,
                 session_lookback="24h"):
     as_of = _as_of(bronze, as_of, lookback, session_lookback)
-    pred = (flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK) & has_any("message", P.EXFIL_TERMS)
+    pred = (stored(bronze, "is_audit") & stored(bronze, "t_exfil")
             & (F.col("backend_type") == P.CLIENT_BACKEND))
     return _quick(bronze, as_of, lookback, session_lookback, pred, (P.SUPERUSER,), ["processId"], bucket,
                   "SelectCount", "FirstSeen", "LastSeen", threshold, high, critical, "Data Exfiltration", None)
@@ -587,7 +593,7 @@ def quick_exfil(bronze, *, as_of=None, lookback="5m", bucket=None, threshold=15,
 def quick_destructive(bronze, *, as_of=None, lookback="10m", bucket="2m", threshold=5, high=10, critical=20,
                       session_lookback="24h"):
     as_of = _as_of(bronze, as_of, lookback, session_lookback)
-    pred = (flag(bronze, "is_audit") & contains("message", P.AUDIT_MARK) & has_any("message", P.DESTRUCTIVE_TERMS)
+    pred = (stored(bronze, "is_audit") & stored(bronze, "t_destructive")
             & (F.col("backend_type") == P.CLIENT_BACKEND))
     return _quick(bronze, as_of, lookback, session_lookback, pred, (), [], bucket,
                   "OperationCount", "FirstOp", "LastOp", threshold, high, critical, "Destructive Operations", None)
@@ -604,7 +610,7 @@ def quick_errors(bronze, *, as_of=None, lookback="15m", bucket="1m", threshold=3
 def quick_privilege(bronze, *, as_of=None, lookback="10m", bucket="5m", threshold=3, high=5, critical=10,
                     session_lookback="24h"):
     as_of = _as_of(bronze, as_of, lookback, session_lookback)
-    pred = has_any("message", P.ACTIVITY_PRIVILEGE_TERMS)
+    pred = stored(bronze, "t_privilege_activity")
     return _quick(bronze, as_of, lookback, session_lookback, pred, (P.SUPERUSER,), [], bucket,
                   "PrivilegeOpsCount", "FirstOp", "LastOp", threshold, high, critical, "Privilege Escalation", None)
 

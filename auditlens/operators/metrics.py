@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from auditlens.config import path_exists, shared_dir
 from auditlens.functions import patterns as P
-from auditlens.functions.text import contains, extract, has_any, is_not_empty, label_case
+from auditlens.functions.text import is_not_empty, label_case
 from auditlens.functions.timefn import TS, bin_ts, since
 from auditlens.operators.sessions import join_sessions, session_info
 from auditlens.operators.sets import join_set, small_set
-from auditlens.sources.bronze import CATEGORY, flag
+from auditlens.sources.bronze import CATEGORY
+from auditlens.sources.parsed import flag, stored
 
 ACTIVITY_COLS = ["Timestamp", "ServerName", "HourOfDay", "DayOfWeek", "ActivityCount", "AuditLogs",
                  "Errors", "Connections", "UniqueUsers", "SelectOps", "WriteOps", "DDLOps", "PrivilegeOps"]
@@ -29,20 +30,19 @@ def _dcount(c, distinct: str):
     return F.approx_count_distinct(c) if distinct == "approx" else F.count_distinct(c)
 
 
-def activity_aggs(distinct: str = "exact", users: bool = True):
-    m = "message"
+def activity_aggs(distinct: str = "exact", users: bool = True, log: DataFrame | None = None):
     out = [
         F.count(F.lit(1)).alias("ActivityCount"),
-        F.count_if(contains(m, P.AUDIT_MARK)).alias("AuditLogs"),
+        F.count_if(stored(log, "is_audit")).alias("AuditLogs"),
         F.count_if(F.col("errorLevel").isin(*P.ERROR_LEVELS)).alias("Errors"),
-        F.count_if(contains(m, P.CONN_AUTHORIZED)).alias("Connections"),
-        F.count_if(has_any(m, P.ACTIVITY_SELECT_TERMS)).alias("SelectOps"),
-        F.count_if(has_any(m, P.ACTIVITY_WRITE_TERMS)).alias("WriteOps"),
-        F.count_if(has_any(m, P.ACTIVITY_DDL_TERMS)).alias("DDLOps"),
-        F.count_if(has_any(m, P.ACTIVITY_PRIVILEGE_TERMS)).alias("PrivilegeOps"),
+        F.count_if(stored(log, "is_conn_auth")).alias("Connections"),
+        F.count_if(stored(log, "t_activity_select")).alias("SelectOps"),
+        F.count_if(stored(log, "t_activity_write")).alias("WriteOps"),
+        F.count_if(stored(log, "t_activity_ddl")).alias("DDLOps"),
+        F.count_if(stored(log, "t_privilege_activity")).alias("PrivilegeOps"),
     ]
     if users:
-        out.insert(4, _dcount(F.nullif(extract(P.USER_RE, m), F.lit("")), distinct).alias("UniqueUsers"))
+        out.insert(4, _dcount(F.nullif(stored(log, "p_user"), F.lit("")), distinct).alias("UniqueUsers"))
     return out
 
 
@@ -57,7 +57,7 @@ def activity_metrics(bronze: DataFrame, *, as_of=None, lookback=None, bucket="5m
     agg = df.groupBy(F.col("LogicalServerName").alias("ServerName"),
                      bin_ts(TS, bucket).alias("Timestamp"),
                      F.hour(TS).cast("int").alias("HourOfDay"),
-                     (F.dayofweek(TS) - 1).cast("int").alias("DayOfWeek")).agg(*activity_aggs(distinct))
+                     (F.dayofweek(TS) - 1).cast("int").alias("DayOfWeek")).agg(*activity_aggs(distinct, log=df))
     return agg.select(*ACTIVITY_COLS)
 
 
@@ -82,11 +82,10 @@ def error_metrics(bronze: DataFrame, *, as_of=None, lookback=None, bucket="1m")
     return agg.select(*ERROR_COLS)
 
 
-def user_aggs():
-    m = "message"
+def user_aggs(log: DataFrame | None = None):
     return [F.count(F.lit(1)).alias("QueryCount"),
-            F.count_if(has_any(m, P.USER_SELECT_TERMS)).alias("SelectQueries"),
-            F.count_if(has_any(m, P.USER_DESTRUCTIVE_TERMS)).alias("DestructiveOps")]
+            F.count_if(stored(log, "t_select")).alias("SelectQueries"),
+            F.count_if(stored(log, "t_destructive")).alias("DestructiveOps")]
 
 
 def user_metrics(bronze: DataFrame, *, as_of=None, lookback=None, session_lookback="24h",
@@ -96,11 +95,10 @@ def user_metrics(bronze: DataFrame, *, as_of=None, lookback=None, session_lookba
     non-empty test is an inner join."""
     if sessions is None:
         sessions = session_info(bronze, as_of, session_lookback, fields=("User",))
-    df = since(bronze, as_of, lookback).where(flag(bronze, "is_audit") & (F.col("category") == CATEGORY)
-                                              & contains("message", P.AUDIT_MARK))
+    df = since(bronze, as_of, lookback).where(stored(bronze, "is_audit") & (F.col("category") == CATEGORY))
     df = join_sessions(df, sessions.where(is_not_empty("User")), "inner")
     agg = df.groupBy(F.col("User").alias("UserName"), F.col("LogicalServerName").alias("ServerName"),
-                     bin_ts(TS, bucket).alias("Timestamp")).agg(*user_aggs())
+                     bin_ts(TS, bucket).alias("Timestamp")).agg(*user_aggs(df))
     return agg.select(*USER_COLS)
 
 

@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditlens.functions import patterns as P
-from auditlens.functions.text import contains_any, extract, first_non_empty, is_not_empty
+from auditlens.functions.text import contains_any, first_non_empty, is_not_empty
 from auditlens.functions.timefn import TS, since
-from auditlens.sources.bronze import flag
+from auditlens.sources.parsed import flag, stored
 
 KEYS = ["processId", "LogicalServerName"]
 CONN_TERMS_ALL = (P.CONN_AUTHORIZED, P.CONN_RECEIVED)
@@ -35,15 +35,23 @@ def session_info(bronze: DataFrame, as_of=None, lookback: str | None = "24h",
 
     ``any()`` is taken as ``max`` (deterministic; prefers a non-empty value).
     """
-    conn = since(bronze, as_of, lookback).where(flag(bronze, "is_conn") & contains_any("message", terms))
+    conn = since(bronze, as_of, lookback).where(connection_lines(bronze, terms))
     conn = conn.select(*KEYS,
-                       extract(P.USER_RE, "message").alias("User"),
-                       extract(P.DATABASE_RE, "message").alias("Database"),
-                       extract(P.HOST_RE, "message").alias("SourceHost"))
+                       stored(bronze, "p_user").alias("User"),
+                       stored(bronze, "p_database").alias("Database"),
+                       stored(bronze, "p_host").alias("SourceHost"))
     conn = conn.where(is_not_empty("User"))
     return conn.groupBy(*KEYS).agg(*[F.max(f).alias(f) for f in fields])
 
 
+def connection_lines(bronze: DataFrame, terms=CONN_TERMS_ALL) -> Column:
+    if tuple(terms) == CONN_TERMS_ALL:
+        return stored(bronze, "is_conn")
+    if tuple(terms) == CONN_TERMS_AUTHORIZED:
+        return flag(bronze, "is_conn") & stored(bronze, "is_conn_auth")
+    return flag(bronze, "is_conn") & contains_any("message", terms)
+
+
 def backend_key() -> Column:
     """Server and process in one text; null, so without a match, if either is."""
     return F.concat("LogicalServerName", F.lit("\x1f"), F.col("processId").cast("string"))
@@ -86,11 +94,11 @@ def session_asof(events: DataFrame, bronze: DataFrame, as_of=None, lookback: str
     from auditlens.functions.timefn import duration
     from pyspark.sql import Window
 
-    conn = since(bronze, as_of, lookback).where(flag(bronze, "is_conn") & contains_any("message", CONN_TERMS_ALL))
+    conn = since(bronze, as_of, lookback).where(stored(bronze, "is_conn"))
     conn = conn.select(*KEYS, F.col(TS).alias("valid_from"),
-                       extract(P.USER_RE, "message").alias("AsOfUser"),
-                       extract(P.DATABASE_RE, "message").alias("AsOfDatabase"),
-                       extract(P.HOST_RE, "message").alias("AsOfHost"))
+                       stored(bronze, "p_user").alias("AsOfUser"),
+                       stored(bronze, "p_database").alias("AsOfDatabase"),
+                       stored(bronze, "p_host").alias("AsOfHost"))
     conn = conn.where(is_not_empty("AsOfUser"))
     w = Window.partitionBy(*KEYS).orderBy("valid_from", "AsOfUser", "AsOfDatabase", "AsOfHost")
     far = F.lit("9999-12-31 00:00:00").cast(events.schema[TS].dataType)

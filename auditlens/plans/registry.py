@@ -24,6 +24,7 @@ from auditlens.operators import metrics as M
 from auditlens.operators import series as SR
 from auditlens.plans.profile import HUNT, HUNT_RULES
 from auditlens.sources.events_adapter import load_bronze
+from auditlens.sources.parsed import stored
 
 
 def display(df: DataFrame) -> DataFrame:
@@ -320,20 +321,19 @@ def _backfill(fn, name: str):
 
 
 def _audit_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from auditlens.functions.text import contains
     from auditlens.operators.parse import audit_fields
-    b = load_bronze(spark, sf_dir).where(contains("message", "AUDIT:"))
+    b = load_bronze(spark, sf_dir)
+    b = b.where(stored(b, "is_audit"))
     return b.select("EventProcessedUtcTime", "LogicalServerName", "processId",
-                    *[c.alias(n) for n, c in audit_fields().items()])
+                    *[c.alias(n) for n, c in audit_fields(df=b).items()])
 
 
 def _conn_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from auditlens.functions.text import contains_any
     from auditlens.operators.parse import conn_fields
-    from auditlens.operators.sessions import CONN_TERMS_ALL
-    b = load_bronze(spark, sf_dir).where(contains_any("message", CONN_TERMS_ALL))
+    b = load_bronze(spark, sf_dir)
+    b = b.where(stored(b, "is_conn"))
     return b.select("EventProcessedUtcTime", "LogicalServerName", "processId",
-                    *[c.alias(n) for n, c in conn_fields().items()])
+                    *[c.alias(n) for n, c in conn_fields(df=b).items()])
 
 
 def _session_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,21 +342,19 @@ def _session_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _session_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from auditlens.functions.text import contains
     from auditlens.operators.parse import conn_parse
     from auditlens.operators.sessions import session_enrich, session_info
     b = load_bronze(spark, sf_dir)
-    ev = conn_parse(b.where(contains("message", "AUDIT:")))
+    ev = conn_parse(b.where(stored(b, "is_audit")))
     out = session_enrich(ev, session_info(b, lookback=None))
     return out.select("EventProcessedUtcTime", "LogicalServerName", "processId",
                       "FinalUser", "FinalDatabase", "FinalHost")
 
 
 def _session_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from auditlens.functions.text import contains
     from auditlens.operators.sessions import session_asof
     b = load_bronze(spark, sf_dir)
-    ev = b.where(contains("message", "AUDIT:")).select("EventProcessedUtcTime", "LogicalServerName", "processId")
+    ev = b.where(stored(b, "is_audit")).select("EventProcessedUtcTime", "LogicalServerName", "processId")
     return session_asof(ev, b)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.config import apply_engine_conf, path_exists, remove_matching
+from auditlens.sources.parsed import EXPRESSIONS, FLAGS, MARKER, with_parsed
 
 TS = "EventProcessedUtcTime"
 
@@ -43,7 +44,7 @@ def normalize_bronze(df: DataFrame) -> DataFrame:
             cols.append(F.col(f.name).cast("long").alias(f.name))
         else:
             cols.append(F.col(f.name))
-    for c in ("event_date", "is_audit", "is_conn", "is_err"):
+    for c in ("event_date", *FLAGS):
         if c in df.columns:
             cols.append(F.col(c))
     return df.select(*cols)
@@ -54,37 +55,18 @@ def with_event_date(df: DataFrame) -> DataFrame:
     return df.withColumn("event_date", F.to_date(F.col(TS)))
 
 
-# Stored line-kind flags. Each is exactly the predicate the queries use, so
-# a query may AND it onto its own filter without changing results; the
-# flag is a plain boolean column that Parquet can skip row groups on.
-FLAGS = ("is_audit", "is_conn", "is_err")
-STORED_EXTRA = ("event_date", *FLAGS)
+# Stored beside the raw columns: the partition column and the parsed log.
+STORED_EXTRA = ("event_date", *EXPRESSIONS)
 
 
 def with_flags(df: DataFrame) -> DataFrame:
-    from auditlens.functions import patterns as P
-    from auditlens.functions.text import contains, contains_any
-
-    code = F.col("sqlerrcode")
-    return df.withColumns({
-        "is_audit": contains("message", P.AUDIT_MARK),
-        "is_conn": contains_any("message", (P.CONN_AUTHORIZED, P.CONN_RECEIVED)),
-        "is_err": F.col("errorLevel").isin(*P.ERROR_LEVELS) | ((code != P.OK_CODE) & (code != "")),
-    })
-
-
-def flag(df: DataFrame, name: str):
-    """The stored flag column if ``df`` has it, else TRUE (no pruning).
-
-    Rows of another writer carry no flag; a NULL flag prunes nothing. Both
-    halves reach the Parquet scan (``= true`` or ``IS NULL``).
-    """
-    return F.col(name) | F.col(name).isNull() if name in df.columns else F.lit(True)
+    """The line-kind flags. Each is exactly the predicate the queries use."""
+    return df.withColumns({n: e() for n, e in FLAGS.items()})
 
 
 def write_bronze(df: DataFrame, path: str, mode: str = "append",
                  max_records_per_file: int = 5_000_000, batch: str | None = None) -> None:
-    """Store bronze as Parquet partitioned by event date.
+    """Store bronze, parsed (``sources/parsed.py``), as Parquet partitioned by event date.
 
     Time-window queries then prune whole partitions. Rows are range-
     partitioned on (date, line kind, server, time): one day -- or one server
@@ -98,14 +80,17 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append",
     of the same batch is removed first, so a retried append adds no row twice.
     """
     spark = df.sparkSession
+    complete = with_parsed
     if path_exists(spark, path) and mode == "append":
-        stored = spark.read.parquet(path).schema[TS].dataType
-        df = df.withColumn(TS, F.col(TS).cast(stored))
+        schema = spark.read.parquet(path).schema
+        df = df.withColumn(TS, F.col(TS).cast(schema[TS].dataType))
+        if MARKER not in schema.fieldNames():
+            complete = with_flags           # an older table keeps its columns
     if batch:
         remove_matching(spark, f"{path}/event_date=*/{batch}-*")
     kind = (F.when(F.col("is_audit"), 0).when(F.col("is_conn"), 1).when(F.col("is_err"), 2)
             .otherwise(3).alias("__kind"))
-    (with_flags(with_event_date(normalize_bronze(df))).withColumn("__kind", kind)
+    (complete(with_event_date(normalize_bronze(df).select(*BRONZE_COLS))).withColumn("__kind", kind)
      .repartitionByRange("event_date", "__kind", "LogicalServerName", TS)
      .sortWithinPartitions("event_date", "__kind", "LogicalServerName", TS)
      .drop("__kind")

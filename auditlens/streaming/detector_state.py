@@ -36,7 +36,8 @@ from auditlens.functions.timefn import TS, bin_ts, seconds
 from auditlens.operators import detectors as D
 from auditlens.operators.sessions import CONN_TERMS_ALL, CONN_TERMS_AUTHORIZED, KEYS
 from auditlens.operators.sets import aggregate_with_sets, merge_partials
-from auditlens.sources.bronze import BRONZE_SCHEMA, flag
+from auditlens.sources.bronze import BRONZE_SCHEMA
+from auditlens.sources.parsed import flag
 
 SRV = "LogicalServerName"
 FINAL = {"User": ("FinalUser", "DirectUser"), "Database": ("FinalDatabase", "DirectDatabase"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.functions import patterns as P
-from auditlens.functions.text import extract, first_non_empty, has_any, is_empty, is_not_empty, trim_chars
+from auditlens.functions.text import extract, first_non_empty, has_any, is_empty, is_not_empty, severity, trim_chars
 from auditlens.functions.timefn import TS, resolve_as_of, since
 from auditlens.operators.feed import COMMON, UNION_KINDS, anomalies_union, by_tag, details_text, tag_lines  # noqa: F401
 from auditlens.operators.parse import schema_of
@@ -195,3 +195,59 @@ def alert_rules(candidates: DataFrame, rules: DataFrame, keep: tuple[str, ...] =
     return j.select("RuleName", "QuerySource", "TriggerField", "Threshold", "ServerName", "GroupKey",
                     "WindowStart", "MetricValue", sev.alias("Severity"), "Action", "Frequency", "TimeGenerated",
                     *keep)
+
+
+# --------------------------------------------------- alerts with conditions
+# Alerts on anomaly rows (name, source query, anomaly type,
+# conditions that must all hold, action, frequency).
+FEED_ALERTS = [
+    ("Data Exfiltration", "suspiciousDataAccess", "Potential Data Exfiltration",
+     (("Severity", "in", ("CRITICAL",)),), "Email + Teams", "5m"),
+    ("Destructive Operations", "destructiveOperations", "Mass Destructive Operations",
+     (("Severity", "in", ("CRITICAL", "HIGH")),), "Email + Teams + SMS", "2m"),
+    ("Privilege Escalation", "privilegeEscalation", "Privilege Escalation",
+     (("Severity", "in", ("CRITICAL", "HIGH")),), "Email + Teams + Incident in Sentinel", "5m"),
+    ("ML Anomaly Detection", "mlAnomalyDetection", "ML Baseline Deviation",
+     (("Severity", "in", ("CRITICAL",)), ("Score", ">", 3.0)), "Email + Teams", "5m"),
+]
+
+_TESTS = {"in": lambda c, v: c.isin(*v), "==": lambda c, v: c == v, ">": lambda c, v: c > v,
+          ">=": lambda c, v: c >= v, "<": lambda c, v: c < v, "<=": lambda c, v: c <= v}
+
+
+def rule_condition(anomaly_type: str | None, conditions) -> Column:
+    """One rule as a Column: the anomaly type (None: any) and every (field, test, value)."""
+    out = F.lit(True) if anomaly_type is None else F.col("AnomalyType") == anomaly_type
+    for field, test, value in conditions:
+        if test not in _TESTS:
+            raise ValueError(f"a condition tests with one of {sorted(_TESTS)}, not {test!r}")
+        out = out & _TESTS[test](F.col(field), value)
+    return out
+
+
+def scored_rows(feed: DataFrame, ml: DataFrame | None = None, *, high=2.0, critical=3.0) -> DataFrame:
+    """Anomaly rows that rules test: (TimeGenerated, AnomalyType, Severity, ServerName, User, Score).
+
+    ``ml``: baseline deviations (``series.series_anomalies``); their score is |DeviationScore|.
+    """
+    cols = ["TimeGenerated", "AnomalyType", "Severity", "ServerName", "User"]
+    out = feed.select(*cols, F.col("MetricValue").cast("double").alias("Score"))
+    if ml is None:
+        return out
+    return out.unionByName(ml.select(
+        "TimeGenerated", F.lit("ML Baseline Deviation").alias("AnomalyType"),
+        severity(F.abs("score"), high, critical).alias("Severity"), "ServerName",
+        F.lit(None).cast("string").alias("User"), F.abs("DeviationScore").alias("Score")))
+
+
+def condition_alerts(rows: DataFrame, alerts=FEED_ALERTS) -> DataFrame:
+    """One row per anomaly row and alert whose conditions it fulfils, with the alert's action.
+
+    All alerts are tested in one pass, as an array of the alerts that fire on a row; nothing is joined.
+    """
+    def fired(name, source, kind, conditions, action, frequency):
+        return F.when(rule_condition(kind, conditions), F.struct(
+            F.lit(name).alias("AlertName"), F.lit(source).alias("QuerySource"), F.lit(action).alias("Action"),
+            F.lit(frequency).alias("Frequency")))
+    out = rows.withColumn("fired", F.explode(F.array(*[fired(*a) for a in alerts])))
+    return out.where(F.col("fired").isNotNull()).select("fired.*", *rows.columns)

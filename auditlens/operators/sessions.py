@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from auditlens.functions import patterns as P
 from auditlens.functions.text import contains_any, first_non_empty, is_not_empty
-from auditlens.functions.timefn import TS, since
+from auditlens.functions.timefn import TS, duration, since
 from auditlens.sources.parsed import flag, stored
 
 KEYS = ["processId", "LogicalServerName"]
@@ -91,7 +91,6 @@ def session_asof(events: DataFrame, bronze: DataFrame, as_of=None, lookback: str
     interval test: no backend's events meet more intervals than overlap
     their own bucket.
     """
-    from auditlens.functions.timefn import duration
     from pyspark.sql import Window
 
     conn = since(bronze, as_of, lookback).where(stored(bronze, "is_conn"))
@@ -116,3 +115,25 @@ def session_asof(events: DataFrame, bronze: DataFrame, as_of=None, lookback: str
     out = ev.join(conn.select(*KEYS, "b", "valid_from", "valid_to", "AsOfUser", "AsOfDatabase", "AsOfHost")
                   .alias("c"), cond, "left")
     return out.select(ev["*"], "AsOfUser", "AsOfDatabase", "AsOfHost").drop("b")
+
+
+def backend_sessions(bronze: DataFrame, *, as_of=None, lookback: str | None = "24h", gap: str = "30m",
+                     wrap=None) -> DataFrame:
+    """Spells of activity: the lines of a backend without a pause longer than ``gap``.
+
+    One row per backend and spell: SessionStart, LastEvent, Events, AuditLogs, Errors and User
+    (from the spell's own lines; '' where none names one). Lines without an event time take no
+    part. Spells of a partition are merged before the shuffle (``config``), so a
+    backend with a third of all lines sends its spells, not its lines. Works on a stream with a watermark too,
+    which passes ``wrap=above_watermark``.
+    """
+    df = since(bronze, as_of, lookback)
+    if wrap:
+        df = df.where(wrap(F.lit(True)))
+    agg = df.groupBy(*KEYS, F.session_window(TS, duration(gap)).alias("spell")).agg(
+        F.max(TS).alias("LastEvent"), F.count(F.lit(1)).alias("Events"),
+        F.count_if(stored(bronze, "is_audit")).alias("AuditLogs"),
+        F.count_if(F.col("errorLevel").isin(*P.ERROR_LEVELS)).alias("Errors"),
+        F.max(stored(bronze, "p_user")).alias("User"))
+    return agg.select(*KEYS, F.col("spell.start").alias("SessionStart"), "LastEvent", "Events", "AuditLogs", "Errors",
+                      "User")

@@ -647,35 +647,98 @@ COMMON_ORDER = ('TimeGenerated DESC, AnomalyType NULLS FIRST, Severity NULLS FIR
                 'MetricValue NULLS FIRST, Details NULLS FIRST')
 
 
-def anomalies_union_sql(hunt=True):
-    def part(sql, u, d, h, metric, kvs):
-        det = "concat_ws('; ', " + ", ".join(_kv(k, e) for k, e in kvs) + ")"
-        return (f"SELECT TimeGenerated, AnomalyType, Severity, ServerName, {u} AS \"User\", {d} AS \"Database\", "
-                f"{h} AS SourceHost, '{metric}' AS MetricName, CAST({metric} AS BIGINT) AS MetricValue, "
-                f"{det} AS Details FROM ({sql}) x")
+def _union_parts():
+    """Per detector: (SQL, user, database, host, metric, entries of Details)."""
     N = "CAST(NULL AS VARCHAR)"
-    parts = [
-        part(exfiltration_sql(), '"User"', '"Database"', "SourceHost", "SelectCount",
+    return [
+        (exfiltration_sql(), '"User"', '"Database"', "SourceHost", "SelectCount",
              [("ProcessID", "ProcessID"), ("BackendType", "BackendType"), ("TimeWindow", "TimeWindow"),
               ("TablesAccessed", "TablesAccessed"), ("SampleQueries", "SampleQueries")]),
-        part(destructive_ops_sql(), '"User"', '"Database"', "SourceHost", "OperationCount",
+        (destructive_ops_sql(), '"User"', '"Database"', "SourceHost", "OperationCount",
              [("BackendType", "BackendType"), ("Operations", "Operations"), ("TablesAffected", "TablesAffected"),
               ("TimeWindow", "TimeWindow"), ("SampleMessages", "SampleMessages")]),
-        part(error_spike_sql(), '"User"', '"Database"', "SourceHost", "ErrorCount",
+        (error_spike_sql(), '"User"', '"Database"', "SourceHost", "ErrorCount",
              [("BackendType", "BackendType"), ("ErrorTypes", "ErrorTypes"), ("ErrorCodes", "ErrorCodes"),
               ("TimeWindow", "TimeWindow"), ("SampleErrors", "SampleErrors")]),
-        part(privilege_escalation_sql(), '"User"', N, N, "PrivilegeOpsCount",
+        (privilege_escalation_sql(), '"User"', N, N, "PrivilegeOpsCount",
              [("Operations", "Operations"), ("LogTypes", "LogTypes"), ("TimeWindow", "TimeWindow"),
               ("SampleQueries", "SampleQueries")]),
-        part(cross_schema_recon_sql(), '"User"', N, N, "SchemasAccessed",
+        (cross_schema_recon_sql(), '"User"', N, N, "SchemasAccessed",
              [("SchemaList", "SchemaList"), ("TablesAccessed", "TablesAccessed"), ("TimeWindow", "TimeWindow")]),
-        part(deep_schema_enum_sql(), '"User"', N, N, "SystemTableQueries",
+        (deep_schema_enum_sql(), '"User"', N, N, "SystemTableQueries",
              [("RiskLevel", "RiskLevel"), ("UniqueSystemTables", "UniqueSystemTables"),
               ("TablesScanned", "TablesScanned"), ("TimeWindow", "TimeWindow")]),
-        part(brute_force_sql(), N, N, "SourceHost", "FailedAttempts",
+        (brute_force_sql(), N, N, "SourceHost", "FailedAttempts",
              [("Users", "Users"), ("Databases", "Databases"), ("TimeWindow", "TimeWindow")]),
     ]
-    return "\nUNION ALL\n".join(f"({p})" for p in parts)
+
+
+def anomalies_union_sql(hunt=True):
+    def part(sql, u, d, h, metric, kvs):
+        det = "concat_ws('; ', " + ", ".join(_kv(k, e) for k, e in kvs) + ")"
+        return (f"SELECT TimeGenerated, AnomalyType, Severity, ServerName, {u} AS \"User\", {d} AS \"Database\", "
+                f"{h} AS SourceHost, '{metric}' AS MetricName, CAST({metric} AS BIGINT) AS MetricValue, "
+                f"{det} AS Details FROM ({sql}) x")
+    return "\nUNION ALL\n".join(f"({part(*p)})" for p in _union_parts())
+
+
+def anomaly_details_sql():
+    def part(sql, u, d, h, metric, kvs):
+        names = ", ".join(f"'{k}'" for k, _ in kvs)
+        values = ", ".join(f"COALESCE(CAST({e} AS VARCHAR), '')" for _, e in kvs)
+        return (f'SELECT TimeGenerated, AnomalyType, Severity, ServerName, {u} AS "User", {h} AS SourceHost, '
+                f"CAST({metric} AS BIGINT) AS MetricValue, TimeWindow, unnest([{names}]) AS Detail, "
+                f"unnest([{values}]) AS DetailValue FROM ({sql}) x")
+    return "\nUNION ALL\n".join(f"({part(*p)})" for p in _union_parts())
+
+
+def condition_alerts_sql():
+    rows = f"""
+SELECT TimeGenerated, AnomalyType, Severity, ServerName, "User", CAST(MetricValue AS DOUBLE) AS Score
+FROM ({anomalies_union_sql()}) u
+UNION ALL SELECT ts, 'ML Baseline Deviation',
+  CASE WHEN abs(score) > 3 THEN 'CRITICAL' WHEN abs(score) > 2 THEN 'HIGH' ELSE 'MEDIUM' END,
+  ServerName, NULL, abs(round(score, 2)) FROM sc WHERE anomalies <> 0"""
+    alerts = """
+  VALUES ('Potential Data Exfiltration', 'CRITICAL', NULL, 'Data Exfiltration', 'suspiciousDataAccess', 'Email + Teams', '5m'),
+    ('Mass Destructive Operations', 'CRITICAL,HIGH', NULL, 'Destructive Operations', 'destructiveOperations', 'Email + Teams + SMS', '2m'),
+    ('Privilege Escalation', 'CRITICAL,HIGH', NULL, 'Privilege Escalation', 'privilegeEscalation', 'Email + Teams + Incident in Sentinel', '5m'),
+    ('ML Baseline Deviation', 'CRITICAL', 3.0, 'ML Anomaly Detection', 'mlAnomalyDetection', 'Email + Teams', '5m')"""
+    return with_bronze(*series_ctes()) + f"""
+SELECT AlertName, QuerySource, "Action", Frequency, TimeGenerated, r.AnomalyType, Severity, ServerName, "User", Score
+FROM ({rows}) r JOIN ({alerts}) a(AnomalyType, sev, above, AlertName, QuerySource, "Action", Frequency)
+  ON r.AnomalyType = a.AnomalyType AND list_contains(string_split(sev, ','), Severity) AND (above IS NULL OR Score > above)"""
+
+
+def activity_rollup_sql(span):
+    return with_bronze() + f"""
+SELECT LogicalServerName AS ServerName, date_trunc('{span}', EventProcessedUtcTime) AS "Timestamp",
+  count(*) AS ActivityCount, count(*) FILTER (WHERE contains(lower(message), 'audit:')) AS AuditLogs,
+  count(*) FILTER (WHERE errorLevel IN ('ERROR', 'FATAL', 'PANIC')) AS Errors,
+  count(DISTINCT nullif(regexp_extract(message, 'user=([^\\s,]+)', 1), '')) AS UniqueUsers,
+  count(DISTINCT nullif(regexp_extract(message, 'host=([^\\s]+)', 1), '')) AS UniqueHosts
+FROM bronze WHERE category = 'PostgreSQLLogs' GROUP BY 1, 2"""
+
+
+def backend_sessions_sql(gap="1 DAY"):
+    return with_bronze() + f"""
+, marked AS (SELECT *, CASE WHEN EventProcessedUtcTime - lag(EventProcessedUtcTime) OVER w <= INTERVAL {gap} THEN 0 ELSE 1 END AS fresh
+  FROM bronze WHERE EventProcessedUtcTime IS NOT NULL
+  WINDOW w AS (PARTITION BY processId, LogicalServerName ORDER BY EventProcessedUtcTime)),
+spells AS (SELECT *, sum(fresh) OVER (PARTITION BY processId, LogicalServerName ORDER BY EventProcessedUtcTime) AS spell FROM marked)
+SELECT processId, LogicalServerName, min(EventProcessedUtcTime) AS SessionStart, max(EventProcessedUtcTime) AS LastEvent,
+  count(*) AS Events, count(*) FILTER (WHERE contains(lower(message), 'audit:')) AS AuditLogs,
+  count(*) FILTER (WHERE errorLevel IN ('ERROR', 'FATAL', 'PANIC')) AS Errors,
+  max(regexp_extract(message, 'user=([^\\s,]+)', 1)) AS "User"
+FROM spells GROUP BY processId, LogicalServerName, spell"""
+
+
+def recent_errors_sql():
+    return f"""
+SELECT ServerName, count(*) AS Minutes, CAST(sum(ErrorRate) AS BIGINT) AS Errors, max("Timestamp") AS LastMinute
+FROM ({error_metrics_sql()}) m
+WHERE "Timestamp" >= (SELECT max(EventProcessedUtcTime) FROM ({bronze_sql()}) b) - INTERVAL 168 HOUR
+GROUP BY ServerName"""
 
 
 def anomalies_all_sql(limit=100):

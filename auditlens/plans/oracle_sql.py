@@ -34,6 +34,13 @@ def _whole() -> dict[str, str]:
         "quick_privilege": O.quick_privilege_sql(),
         "anomalies_all": O.anomalies_all_sql(),
         "security_kpis": O.security_kpis_sql(),
+        "anomaly_details": O.anomaly_details_sql(),
+        "condition_alerts": O.condition_alerts_sql(),
+        "activity_rollup_hour": O.activity_rollup_sql("hour"),
+        "activity_rollup_day": O.activity_rollup_sql("day"),
+        "backend_sessions": O.backend_sessions_sql(),
+        "backend_sessions_stream": O.backend_sessions_sql(),
+        "recent_errors_sql": O.recent_errors_sql(),
         "alert_rules": O.alert_rules_sql(),
         "metric_stream": O.activity_metrics_sql(),
         "error_metric_stream": O.error_metrics_sql(),

@@ -22,6 +22,7 @@ from auditlens.operators import dashboards as Q
 from auditlens.operators import detectors as D
 from auditlens.operators import metrics as M
 from auditlens.operators import series as SR
+from auditlens.operators.sessions import backend_sessions
 from auditlens.plans.profile import HUNT, HUNT_RULES
 from auditlens.sources.events_adapter import load_bronze
 from auditlens.sources.parsed import stored
@@ -123,6 +124,43 @@ def _alert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.alert_rules(cands.unionByName(ml), A.rules_df(spark))
 
 
+def _anomaly_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D12's rows in long form, one per entry of the Details map."""
+    from auditlens.operators.feed import anomaly_details
+    return anomaly_details(A.anomalies_union(load_bronze(spark, sf_dir), params=HUNT_UNION))
+
+
+def _condition_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts by severity and score, on the feed and the baseline deviations."""
+    bronze = load_bronze(spark, sf_dir)
+    ml = SR.series_anomalies(M.activity_metrics(bronze), lookback=None, report=None)
+    return A.condition_alerts(A.scored_rows(A.anomalies_union(bronze, params=HUNT_UNION), ml))
+
+
+def _activity_rollup(bucket: str):
+    """Totals of longer buckets from the stored 5-minute rows with sketches."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = M.sketch_backfill(spark, load_bronze(spark, sf_dir), shared_dir(spark, "sketches"), lookback=None)
+        return M.roll_up(table, bucket)
+    return run
+
+
+def _backend_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spells of activity as a stream: a spell is emitted when the watermark passes its end."""
+    from auditlens.functions.timefn import above_watermark
+    out = _replay(spark, sf_dir, "backend_sessions", lambda s: backend_sessions(
+        s.withWatermark(TS, "10 minutes"), lookback=None, gap="1d", wrap=above_watermark))
+    return _ntz(out, "SessionStart", "LastEvent")
+
+
+def _recent_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A SQL table function with a lookback, called from SQL: errors of the last week by server."""
+    from auditlens.plans.views import register_functions
+    register_functions(spark, load_bronze(spark, sf_dir), anomaly_params=HUNT_UNION)
+    return spark.sql("SELECT ServerName, count(*) AS Minutes, sum(ErrorRate) AS Errors, max(Timestamp) AS LastMinute "
+                     "FROM recent_errors(168) GROUP BY ServerName")
+
+
 def _run_stream(df: DataFrame, spark: SparkSession, name: str, out: str | None = None, ck: str | None = None) -> DataFrame:
     """Run a streaming query over everything available, return its output table."""
     out, ck = out or shared_dir(spark, name), ck or shared_dir(spark, name + "_ck")
@@ -388,6 +426,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["ddl_offhours"] = _on_metrics(D.privilege_offhours, lookback=None, ops="DDLOps")
     out["anomalies_all"] = _anomalies_all
     out["security_kpis"] = _security_kpis
+    out["anomaly_details"] = _anomaly_details
+    out["condition_alerts"] = _condition_alerts
+    out["activity_rollup_hour"] = _activity_rollup("1h")
+    out["activity_rollup_day"] = _activity_rollup("1d")
+    out["backend_sessions"] = _on_bronze(backend_sessions, lookback=None, gap="1d")
+    out["backend_sessions_stream"] = _backend_sessions_stream
+    out["recent_errors_sql"] = _recent_errors
     out["alert_rules"] = _alert_rules
     out.update({
         "activity_metrics": _on_bronze(M.activity_metrics),

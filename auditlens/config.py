@@ -17,7 +17,7 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # spells of activity (session windows) are merged before the shuffle
+    # a stream merges session windows before its shuffle
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 

@@ -162,7 +162,8 @@ def alert_candidates(bronze: DataFrame, *, as_of=None, windows: dict | None = No
     """
     w, as_of = _alert_windows(bronze, as_of, windows)
     matches = {rule: (cond, keys, distinct) for rule, cond, keys, distinct in alert_matches(bronze)}
-    df = tag_lines(bronze, {r: m[0] for r, m in matches.items()}, as_of, w, "RuleName")
+    df = tag_lines(bronze, {r: m[0] for r, m in matches.items()}, as_of, w, "RuleName",
+                   ("is_audit", "is_err", "t_privilege_alert"))
     df = df.withColumns({
         "GroupKey": by_tag("RuleName", {r: _group_key(m[1]) for r, m in matches.items()}),
         "distinct": by_tag("RuleName", {r: alert_schema(bronze) for r, m in matches.items() if m[2]})})

@@ -41,6 +41,8 @@ _MATCHES = {"exfiltration": D.exfiltration_match, "destructive_ops": D.destructi
             "error_spike": D.error_match, "privilege_escalation": D.privilege_match,
             "cross_schema_recon": D.cross_schema_match, "deep_schema_enum": D.deep_enum_match,
             "brute_force": D.brute_force_match}
+#: Line kinds that cover all of them.
+_LINES = ("is_audit", "is_err", "t_privilege", "is_auth_failure")
 _DETECTORS = {k: getattr(D, k) for k in UNION_KINDS}
 _KEYS = {"exfiltration": [SRV, "backend_type", "processId"], "destructive_ops": [SRV, "backend_type"],
          "error_spike": [SRV, "backend_type"], "privilege_escalation": [SRV], "cross_schema_recon": [SRV, "processId"],
@@ -55,18 +57,21 @@ def by_tag(tag: str, values: dict[str, Column], default: Column | None = None) -
     return out.otherwise(default) if default is not None else out
 
 
-def tag_lines(bronze: DataFrame, matches: dict[str, Column], as_of, windows: dict[str, tuple], tag: str) -> DataFrame:
+def tag_lines(bronze: DataFrame, matches: dict[str, Column], as_of, windows: dict[str, tuple], tag: str,
+              kinds: tuple[str, ...]) -> DataFrame:
     """One row per line and name in ``matches`` whose condition it fulfils within the name's
     lookback, with that name in ``tag`` and the start of the name's window in ``Bucket``.
 
     ``windows``: name -> (lookback or None, bucket or None). The log is read once, over the longest lookback.
+    ``kinds``: columns of the parsed log of which every such line has at least one; tested
+    first, in the scan of a parsed log, so that each condition is evaluated once and on few lines.
     """
     used = {n: windows[n] for n in matches}
     lookbacks = [lb for lb, _ in used.values()]
     df = bronze if any(lb is None for lb in lookbacks) else since(bronze, as_of, max(lookbacks, key=seconds))
     conds = {n: c & within(bronze, as_of, used[n][0]) for n, c in matches.items()}
     conds = {n: c & F.col(TS).isNotNull() if used[n][1] is not None else c for n, c in conds.items()}
-    df = df.where(reduce(lambda a, b: a | b, conds.values()))
+    df = df.where(reduce(lambda a, b: a | b, [stored(bronze, k) for k in kinds]))
     df = df.withColumn(tag, F.explode(F.array(*[F.when(c, F.lit(n)) for n, c in conds.items()])))
     df = df.where(F.col(tag).isNotNull())
     bins = {}                   # one bin column per length, as Spark plans one window at a time
@@ -111,7 +116,7 @@ def anomaly_groups(bronze: DataFrame, *, as_of=None, params: dict | None = None,
     if _needs_as_of(params, kinds):
         as_of = resolve_as_of(bronze, as_of)
     windows = {k: (_param(params, k, "lookback"), _param(params, k, "bucket")) for k in kinds}
-    df = tag_lines(bronze, {k: _MATCHES[k](bronze) for k in kinds}, as_of, windows, "kind")
+    df = tag_lines(bronze, {k: _MATCHES[k](bronze) for k in kinds}, as_of, windows, "kind", _LINES)
     obj, kind_of = stored(bronze, "p_object"), stored(bronze, "p_object_type")
     system_table = label_case(P.SYSTEM_TABLES, P.SYSTEM_TABLES_DEFAULT, msg=D.catalog_query_text())
     df = df.select(

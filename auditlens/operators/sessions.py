@@ -16,7 +16,7 @@ aggregation's partitioning, and AQE splits only where both sides are shuffled.)
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlens.functions import patterns as P
@@ -91,8 +91,6 @@ def session_asof(events: DataFrame, bronze: DataFrame, as_of=None, lookback: str
     interval test: no backend's events meet more intervals than overlap
     their own bucket.
     """
-    from pyspark.sql import Window
-
     conn = since(bronze, as_of, lookback).where(stored(bronze, "is_conn"))
     conn = conn.select(*KEYS, F.col(TS).alias("valid_from"),
                        stored(bronze, "p_user").alias("AsOfUser"),
@@ -117,23 +115,39 @@ def session_asof(events: DataFrame, bronze: DataFrame, as_of=None, lookback: str
     return out.select(ev["*"], "AsOfUser", "AsOfDatabase", "AsOfHost").drop("b")
 
 
-def backend_sessions(bronze: DataFrame, *, as_of=None, lookback: str | None = "24h", gap: str = "30m",
-                     wrap=None) -> DataFrame:
+def _spell_aggs(log: DataFrame):
+    return [F.max(TS).alias("LastEvent"), F.count(F.lit(1)).alias("Events"),
+            F.count_if(stored(log, "is_audit")).alias("AuditLogs"),
+            F.count_if(F.col("errorLevel").isin(*P.ERROR_LEVELS)).alias("Errors"),
+            F.max(stored(log, "p_user")).alias("User")]
+
+
+SPELL_COLS = [*KEYS, "SessionStart", "LastEvent", "Events", "AuditLogs", "Errors", "User"]
+
+
+def backend_sessions(bronze: DataFrame, *, as_of=None, lookback: str | None = "24h", gap: str = "30m") -> DataFrame:
     """Spells of activity: the lines of a backend without a pause longer than ``gap``.
 
     One row per backend and spell: SessionStart, LastEvent, Events, AuditLogs, Errors and User
-    (from the spell's own lines; '' where none names one). Lines without an event time take no
-    part. Spells of a partition are merged before the shuffle (``config``), so a
-    backend with a third of all lines sends its spells, not its lines. Works on a stream with a watermark too,
-    which passes ``wrap=above_watermark``.
+    (from the spell's own lines; '' where none names one). Lines without an event time take no part.
+
+    Lines in one bin of length ``gap`` belong to one spell, so they are counted per backend and
+    bin first, with map-side combine, and only the bins are put in order: a backend with a third of all lines
+    costs its task one narrow row per bin. (A plain session window sends such a backend's lines to one task.)
     """
-    df = since(bronze, as_of, lookback)
-    if wrap:
-        df = df.where(wrap(F.lit(True)))
-    agg = df.groupBy(*KEYS, F.session_window(TS, duration(gap)).alias("spell")).agg(
-        F.max(TS).alias("LastEvent"), F.count(F.lit(1)).alias("Events"),
-        F.count_if(stored(bronze, "is_audit")).alias("AuditLogs"),
-        F.count_if(F.col("errorLevel").isin(*P.ERROR_LEVELS)).alias("Errors"),
-        F.max(stored(bronze, "p_user")).alias("User"))
-    return agg.select(*KEYS, F.col("spell.start").alias("SessionStart"), "LastEvent", "Events", "AuditLogs", "Errors",
-                      "User")
+    df = since(bronze, as_of, lookback).where(F.col(TS).isNotNull())
+    bins = df.groupBy(*KEYS, F.window(TS, duration(gap)).alias("bin")).agg(
+        F.min(TS).alias("SessionStart"), *_spell_aggs(bronze))
+    w = Window.partitionBy(*KEYS).orderBy("SessionStart")
+    pause = F.col("SessionStart") > F.lag("LastEvent").over(w) + F.expr(f"INTERVAL {duration(gap)}")
+    spells = bins.withColumn("pause", pause.cast("int")).withColumn("spell", F.sum(F.coalesce("pause", F.lit(1))).over(w))
+    return spells.groupBy(*KEYS, "spell").agg(
+        F.min("SessionStart").alias("SessionStart"), F.max("LastEvent").alias("LastEvent"),
+        *[F.sum(c).alias(c) for c in ("Events", "AuditLogs", "Errors")], F.max("User").alias("User")).select(*SPELL_COLS)
+
+
+def backend_sessions_stream(stream: DataFrame, *, gap: str = "30m", watermark: str = "10 minutes") -> DataFrame:
+    """The same spells from a stream: a session window, emitted when the watermark passes its end."""
+    df = stream.withWatermark(TS, watermark)
+    agg = df.groupBy(*KEYS, F.session_window(TS, duration(gap)).alias("spell")).agg(*_spell_aggs(stream))
+    return agg.withColumn("SessionStart", F.col("spell.start")).select(*SPELL_COLS)

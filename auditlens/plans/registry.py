@@ -22,7 +22,7 @@ from auditlens.operators import dashboards as Q
 from auditlens.operators import detectors as D
 from auditlens.operators import metrics as M
 from auditlens.operators import series as SR
-from auditlens.operators.sessions import backend_sessions
+from auditlens.operators.sessions import backend_sessions, backend_sessions_stream
 from auditlens.plans.profile import HUNT, HUNT_RULES
 from auditlens.sources.events_adapter import load_bronze
 from auditlens.sources.parsed import stored
@@ -147,9 +147,7 @@ def _activity_rollup(bucket: str):
 
 def _backend_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spells of activity as a stream: a spell is emitted when the watermark passes its end."""
-    from auditlens.functions.timefn import above_watermark
-    out = _replay(spark, sf_dir, "backend_sessions", lambda s: backend_sessions(
-        s.withWatermark(TS, "10 minutes"), lookback=None, gap="1d", wrap=above_watermark))
+    out = _replay(spark, sf_dir, "backend_sessions", lambda s: backend_sessions_stream(s, gap="1d"))
     return _ntz(out, "SessionStart", "LastEvent")
 
 

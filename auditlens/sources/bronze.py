@@ -80,21 +80,21 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append",
     of the same batch is removed first, so a retried append adds no row twice.
     """
     spark = df.sparkSession
-    complete = with_parsed
+    parse = True
     if path_exists(spark, path) and mode == "append":
         schema = spark.read.parquet(path).schema
         df = df.withColumn(TS, F.col(TS).cast(schema[TS].dataType))
         if MARKER not in schema.fieldNames():
-            complete = with_flags           # an older table keeps its columns
+            parse = False                   # an older table keeps its columns
     if batch:
         remove_matching(spark, f"{path}/event_date=*/{batch}-*")
     kind = (F.when(F.col("is_audit"), 0).when(F.col("is_conn"), 1).when(F.col("is_err"), 2)
             .otherwise(3).alias("__kind"))
-    (complete(with_event_date(normalize_bronze(df).select(*BRONZE_COLS))).withColumn("__kind", kind)
-     .repartitionByRange("event_date", "__kind", "LogicalServerName", TS)
-     .sortWithinPartitions("event_date", "__kind", "LogicalServerName", TS)
-     .drop("__kind")
-     .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    # the message fields come after the shuffle, which carries (and samples) the raw columns and flags
+    placed = (with_flags(with_event_date(normalize_bronze(df).select(*BRONZE_COLS))).withColumn("__kind", kind)
+              .repartitionByRange("event_date", "__kind", "LogicalServerName", TS)
+              .sortWithinPartitions("event_date", "__kind", "LogicalServerName", TS).drop("__kind"))
+    ((with_parsed(placed) if parse else placed).write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .option("mapreduce.output.basename", batch or "part")
      .partitionBy("event_date").parquet(path))
 

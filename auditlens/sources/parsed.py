@@ -105,5 +105,5 @@ def stored(df: DataFrame | None, name: str) -> Column:
 
 
 def with_parsed(df: DataFrame) -> DataFrame:
-    """``df`` with all columns of the parsed log; a parsed one stays as it is."""
-    return df if is_parsed(df) else df.withColumns({n: e() for n, e in EXPRESSIONS.items()})
+    """``df`` with all columns of the parsed log; those it has stay as they are."""
+    return df.withColumns({n: e() for n, e in EXPRESSIONS.items() if n not in df.columns})

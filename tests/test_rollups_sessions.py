@@ -60,11 +60,14 @@ def test_spells_end_with_a_pause_longer_than_the_gap(mk):
     assert backend_sessions(mk([]), lookback=None).count() == 0
 
 
-def test_spells_are_merged_before_the_shuffle(spark, mk):
-    log = mk([row(T0 + i * M1, "x", pid=1) for i in range(50)])
-    plan = backend_sessions(log, lookback=None)._jdf.queryExecution().executedPlan().toString()
-    below = plan[plan.index("Exchange"):]
-    assert "MergingSessions" in below and "partial" in below
+def test_a_hot_backend_sends_bins_not_lines(spark, mk):
+    """Lines are counted per bin before the first exchange; the second holds bins."""
+    log = mk([row(T0 + i * dt.timedelta(seconds=1), "x", pid=1) for i in range(3000)])
+    df = backend_sessions(log, lookback=None)
+    assert [(r.Events, r.LastEvent - r.SessionStart) for r in df.collect()] == [(3000, dt.timedelta(seconds=2999))]
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    window = next(i for i, x in enumerate(plan) if "Window [" in x)
+    assert sum("Aggregate(" in x and "keys=[processId" in x or "Aggregate(key=[processId" in x for x in plan[window:]) >= 2
 
 
 ROWS = [("Potential Data Exfiltration", "CRITICAL", 60.0), ("Potential Data Exfiltration", "HIGH", 40.0),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from auditlens.functions import patterns as P
 from auditlens.functions.text import is_not_empty, label_case, severity, trim_chars
 from auditlens.functions.timefn import TS, bin_ts, day_boundaries, minute_boundaries, resolve_as_of, since
-from auditlens.operators.sets import aggregate_with_sets, join_set, small_set
+from auditlens.operators.sets import aggregate_with_sets, join_set
 from auditlens.sources.parsed import flag, stored
 
 SRV = "LogicalServerName"
@@ -142,14 +142,15 @@ def user_db_heatmap(bronze, *, as_of=None, lookback="24h", min_activity=10, top=
 
 
 # Q10
-def auth_failures(bronze, *, as_of=None, lookback="24h", top=20):
+def auth_failures(bronze, *, as_of=None, lookback="24h", top=20, databases=100):
+    """``Databases`` holds the ``databases`` smallest names: whoever fails to log in chooses them freely."""
     df = since(bronze, as_of, lookback).where(stored(bronze, "is_auth_failure"))
     df = df.withColumns({"UserName": stored(bronze, "p_user"),
                          "ClientHost": stored(bronze, "p_host"),
                          "DatabaseName": stored(bronze, "p_database")})
-    agg = df.groupBy("UserName", "ClientHost").agg(
-        F.count(F.lit(1)).alias("FailedAttempts"), F.min(TS).alias("FirstAttempt"),
-        F.max(TS).alias("LastAttempt"), small_set("DatabaseName").alias("Databases"))
+    agg = aggregate_with_sets(df, ["UserName", "ClientHost"], [
+        ("FailedAttempts", "count", None), ("FirstAttempt", "min", TS), ("LastAttempt", "max", TS)],
+        [("Databases", "DatabaseName", databases)])
     return (agg.withColumn("ThreatLevel", severity("FailedAttempts", 10, 20, low=5))
             .orderBy(F.desc("FailedAttempts"), "UserName", "ClientHost").limit(top)
             .select("UserName", "ClientHost", "FailedAttempts", "ThreatLevel", "Databases",

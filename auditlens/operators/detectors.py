@@ -562,6 +562,14 @@ def exfiltration_by_user(bronze: DataFrame, *, as_of=None, lookback="1h",
                       ).orderBy(F.desc("SelectCount"), "User", "Database", "SourceHost")
 
 
+def exfiltration_by_message_user(bronze: DataFrame, *, as_of=None, lookback="1h", threshold=15) -> DataFrame:
+    """D11's simple form: excessive reads by the user that the message itself names ('' where it names none)."""
+    df = since(bronze, _as_of(bronze, as_of, lookback), lookback).where(
+        stored(bronze, "is_audit") & stored(bronze, "t_select"))
+    agg = df.groupBy(stored(bronze, "p_user").alias("UserName")).agg(F.count(F.lit(1)).alias("SelectCount"))
+    return agg.where(F.col("SelectCount") > threshold).withColumn("Severity", F.lit("CRITICAL"))
+
+
 # --------------------------------------------------------------------- D13
 def _quick(bronze, as_of, lookback, session_lookback, pred, exclude, keys_fn, bucket,
            count_name, first_name, last_name, threshold, high, critical, anomaly, last_alias):

@@ -3,6 +3,8 @@
 ``make_series``   dense per-key series on a fixed step, zeros where no
                   metric row exists (each key from its own first to its
                   own last bucket).
+``pack_series`` / ``expand_series``  the same series as one row per key with
+                  array columns, and back (a parallel ``mv-expand``).
 ``decompose``     per key: linear trend (``regr_slope``/``regr_intercept``
                   on the position), seasonality chosen by the lag
                   autocorrelation of the detrended series at candidate
@@ -59,6 +61,41 @@ def make_series(metrics: DataFrame, *, as_of=None, lookback="7d", step="5m", val
             .select(by, ts, F.col("idx").cast("long").alias("idx"), F.coalesce("v", F.lit(0)).alias("v")))
 
 
+def pack_series(points: DataFrame, values=("v",), *, by="ServerName", ts="Timestamp") -> DataFrame:
+    """One row per key: ``ts`` and each of ``values`` as arrays in order of time.
+
+    For dense series and other rows whose number per key is bounded by
+    lookback / step; a key's points become one row. Arrays of a key have one length:
+    a NULL value keeps its place.
+    """
+    packed = points.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(ts, *values))).alias("__points"))
+    return packed.select(by, *[F.col("__points").getField(c).alias(c) for c in (ts, *values)])
+
+
+def expand_series(packed: DataFrame, columns, *, types: dict[str, str] | None = None) -> DataFrame:
+    """Parallel ``mv-expand``: the arrays ``columns`` are unfolded together, place by place.
+
+    The other columns repeat. A shorter array gives NULL in its missing places; a NULL array
+    counts as empty; a row whose arrays are all empty gives no row. ``types`` casts
+    unfolded columns (``to typeof()``). It is a generator on the row: no shuffle.
+    """
+    types = types or {}
+    whole = packed.withColumns({c: F.coalesce(F.col(c), F.array().cast(packed.schema[c].dataType)) for c in columns})
+    rest = [c for c in packed.columns if c not in columns]
+    out = whole.select(*rest, F.inline(F.arrays_zip(*columns)))
+    return out.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in out.columns])
+
+
+def decompose_packed(packed: DataFrame, *, value="v", by="ServerName", ts="Timestamp", **options) -> DataFrame:
+    """Packed dense series with the arrays anomalies, score and baseline beside ``ts`` and ``value``
+    (``options`` as in :func:`decompose`, which does the work on the points)."""
+    at = packed.select(by, ts, F.col(value).alias("v"),
+                       F.transform(value, lambda _, i: i.cast("long")).alias("idx"))
+    scored = decompose(expand_series(at, [ts, "idx", "v"]), by=by, **options)
+    out = pack_series(scored, ("v", "anomalies", "score", "baseline"), by=by, ts=ts)
+    return out.withColumnRenamed("v", value)
+
+
 def _clean(c):
     return F.when(c.isNull() | F.isnan(c), F.lit(0.0)).otherwise(c)
 

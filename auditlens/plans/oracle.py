@@ -904,6 +904,42 @@ SELECT ServerName, t0 AS origin, CAST(period AS INTEGER) AS period, n, round(slo
 FROM tr JOIN bnd USING (ServerName) JOIN per USING (ServerName) JOIN q USING (ServerName)"""
 
 
+def activity_series_sql():
+    return with_bronze(*series_ctes()) + """
+SELECT ServerName, count(*) AS Points, min(ts) AS FirstPoint, max(ts) AS LastPoint,
+  string_agg(CAST(v AS VARCHAR), ', ' ORDER BY ts) AS ActivityCounts
+FROM x GROUP BY ServerName"""
+
+
+def series_expanded_sql():
+    return with_bronze(*series_ctes()) + """
+SELECT ServerName, ts AS "Timestamp", v AS ActivityCount, CAST(anomalies AS DOUBLE) AS anomalies,
+  round(score, 6) + 0.0 AS score, round(baseline, 6) + 0.0 AS baseline
+FROM sc"""
+
+
+def stream_health_sql(cut="2024-01-15 10:02:00", delay="10 MINUTES", bin_secs=300):
+    end = f"{S.bin_ts(TS, bin_secs)} + INTERVAL {bin_secs} SECONDS"
+    return with_bronze(f"""landed AS (
+  SELECT *, CASE WHEN {TS} < TIMESTAMP '{cut}' AND processId % 7 <> 0 THEN 0 ELSE 1 END AS batch FROM bronze)""",
+                       """mark AS (SELECT max(EventProcessedUtcTime) AS newest FROM landed WHERE batch = 0)""",
+                       f"""marked AS (
+  SELECT l.*, CASE WHEN batch = 1 THEN newest END AS before, CASE WHEN batch = 1 THEN newest - INTERVAL {delay} END AS wm
+  FROM landed l, mark)""") + f"""
+SELECT CAST(batch AS BIGINT) AS Batch, LogicalServerName AS ServerName, count(*) AS "Rows",
+  count(*) FILTER (WHERE {TS} < wm) AS LateRows, count(*) FILTER (WHERE {end} <= wm) AS DroppedRows,
+  COALESCE(max(CASE WHEN {TS} < wm THEN CAST(epoch_us(before) - epoch_us({TS}) AS DOUBLE) / 1000000.0 END), 0.0) AS MaxDelaySeconds,
+  min({TS}) AS OldestEvent, max({TS}) AS NewestEvent, max(wm) AS Watermark
+FROM marked GROUP BY batch, LogicalServerName"""
+
+
+def exfiltration_by_message_user_sql(threshold=15):
+    return with_bronze() + f"""
+SELECT {S.extract(P.USER_RE, 'message')} AS UserName, count(*) AS SelectCount, 'CRITICAL' AS Severity
+FROM bronze WHERE {AUDIT} AND {S.has_any('message', P.USER_SELECT_TERMS)}
+GROUP BY 1 HAVING count(*) > {threshold}"""
+
+
 def alert_stream_sql(ml=False):
     candidates = alert_candidates_sql(exfil_bucketed=True) + (f" UNION ALL ({ML_CANDIDATES})" if ml else "")
     from auditlens.plans.profile import HUNT_RULES

@@ -61,6 +61,10 @@ def _whole() -> dict[str, str]:
         "cross_schema_recon_literal": O.cross_schema_recon_sql(literal=True),
         "alert_stream": O.alert_stream_sql(ml=True),
         "baseline_model": O.baseline_model_sql(),
+        "activity_series": O.activity_series_sql(),
+        "series_expanded": O.series_expanded_sql(),
+        "stream_health": O.stream_health_sql(),
+        "exfiltration_by_message_user": O.exfiltration_by_message_user_sql(),
         "alert_once_stream": O.alert_once_stream_sql(),
         "alert_burst_stream": O.alert_burst_stream_sql(),
         "ingest_stream": O.bronze_sql(),

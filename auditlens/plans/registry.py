@@ -300,6 +300,38 @@ def _baseline_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.select("ServerName", "origin", "period", "n", *rounded, F.size("slots").cast("long").alias("n_slots"))
 
 
+def _activity_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``make-series`` as it stands: one row per server, times and counts as arrays."""
+    packed = SR.pack_series(SR.make_series(M.activity_metrics(load_bronze(spark, sf_dir)), lookback=None))
+    return display(packed.select("ServerName", F.size("v").cast("long").alias("Points"),
+                                 F.element_at("Timestamp", 1).alias("FirstPoint"),
+                                 F.element_at("Timestamp", -1).alias("LastPoint"),
+                                 F.col("v").cast("array<string>").alias("ActivityCounts")))
+
+
+def _series_expanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series as arrays, decomposed, then expanded in parallel: every point with its baseline and flag."""
+    packed = SR.pack_series(SR.make_series(M.activity_metrics(load_bronze(spark, sf_dir)), lookback=None))
+    arrays = SR.decompose_packed(packed)
+    points = SR.expand_series(arrays, ["Timestamp", "v", "anomalies", "score", "baseline"], types={"anomalies": "double"})
+    return points.select("ServerName", "Timestamp", F.col("v").alias("ActivityCount"), "anomalies",
+                         *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("score", "baseline")])
+
+
+def _stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows, counted: every seventh backend's older lines land only with the second step."""
+    from auditlens.sources.bronze import BRONZE_COLS
+    from auditlens.streaming.health import read_health, start_health
+    from auditlens.streaming.sources import bronze_stream
+    hub, path, ck = (shared_dir(spark, n) for n in ("health_hub", "stream_health", "health_ck"))
+    log = load_bronze(spark, sf_dir).select(*BRONZE_COLS)
+    first = (F.col(TS) < F.lit(REPLAY_CUT).cast("timestamp_ntz")) & (F.col("processId") % 7 != 0)
+    for part in (log.where(first), log.where(~F.coalesce(first, F.lit(False)))):
+        part.write.mode("append").parquet(hub)
+        start_health(bronze_stream(spark, hub, fmt="parquet"), path, ck, trigger={"availableNow": True}).awaitTermination()
+    return _ntz(read_health(spark, path).drop("ProcessedAt"), "OldestEvent", "NewestEvent", "Watermark")
+
+
 def _alert_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per rule, key and burst, as soon as its first window fires."""
     from auditlens.streaming.alert_stream import alert_once_stream
@@ -417,6 +449,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["baseline_model"] = _baseline_model
     out["alert_once_stream"] = _alert_once_stream
     out["alert_burst_stream"] = _alert_burst_stream
+    out["activity_series"] = _activity_series
+    out["series_expanded"] = _series_expanded
+    out["stream_health"] = _stream_health
+    out["exfiltration_by_message_user"] = _on_bronze(D.exfiltration_by_message_user, lookback=None)
     out["ingest_stream"] = _ingest_stream
     out["backfill_resumed"] = _backfill_resumed
     out["error_backfill"] = _backfill(M.error_backfill, "error_metrics")

@@ -27,6 +27,7 @@ from auditlens.functions.text import first_non_empty, is_not_empty, label_case,
 from auditlens.functions.timefn import TS, bin_ts, hms, iso_datetime_text, resolve_as_of, seconds, since, within
 from auditlens.operators import detectors as D
 from auditlens.operators.parse import query_text, schema_of
+from auditlens.operators.session_table import feed_sessions_at
 from auditlens.operators.sessions import CONN_TERMS_AUTHORIZED, KEYS, connection_lines, join_sessions
 from auditlens.operators.sets import aggregate_with_sets, join_set
 from auditlens.sources.parsed import stored
@@ -109,7 +110,8 @@ def _needs_as_of(params: dict, kinds) -> bool:
     return any(_param(params, k, n) is not None for k in kinds for n in ("lookback", "session_lookback"))
 
 
-def anomaly_groups(bronze: DataFrame, *, as_of=None, params: dict | None = None, kinds=UNION_KINDS) -> DataFrame:
+def anomaly_groups(bronze: DataFrame, *, as_of=None, params: dict | None = None, kinds=UNION_KINDS,
+                   spans: DataFrame | None = None) -> DataFrame:
     """The detectors' groups before any threshold: kind, keys and window, N lines, first and last
     time, session, small sets S1 and S2, bounded sets A (10), B (3) and C (5)."""
     params = params or {}
@@ -135,8 +137,8 @@ def anomaly_groups(bronze: DataFrame, *, as_of=None, params: dict | None = None,
                         "error_spike": F.col("message"), "privilege_escalation": D.privilege_sample()}).alias("b"),
         by_tag("kind", {"brute_force": stored(bronze, "p_database")}).alias("c"))
     auth_kinds = [k for k in ("cross_schema_recon", "deep_schema_enum") if k in kinds]
-    sessions = feed_sessions(bronze, as_of, _session_span(params, kinds, "exfiltration"),
-                             _session_span(params, kinds, "cross_schema_recon"))
+    reach = (_session_span(params, kinds, "exfiltration"), _session_span(params, kinds, "cross_schema_recon"))
+    sessions = feed_sessions(bronze, as_of, *reach) if spans is None else feed_sessions_at(spans, as_of, *reach)
     df = join_sessions(df, sessions, "left")
     found = F.when(F.col("kind").isin(*auth_kinds), F.col("AuthUser")).otherwise(F.col("User")) if auth_kinds else "User"
     df = df.withColumns({"FinalUser": first_non_empty("DirectUser", found, default=P.UNKNOWN),
@@ -161,14 +163,16 @@ def _session_span(params: dict, kinds, kind: str):
     return params.get(kind, {}).get("session_lookback", "24h") if kind in kinds else "24h"
 
 
-def anomalies_union(bronze: DataFrame, *, as_of=None, params: dict | None = None, kinds=UNION_KINDS) -> DataFrame:
+def anomalies_union(bronze: DataFrame, *, as_of=None, params: dict | None = None, kinds=UNION_KINDS,
+                    spans: DataFrame | None = None) -> DataFrame:
     """All detector rows in the common schema with ``TimeWindow`` (no ordering, no limit).
 
     ``params``: detector -> its parameters. Session lookbacks are those of ``exfiltration`` and,
-    for the two reconnaissance detectors, of ``cross_schema_recon``.
+    for the two reconnaissance detectors, of ``cross_schema_recon``. ``spans``: the stored session
+    table, read instead of the log's connection lines.
     """
     params = params or {}
-    g = anomaly_groups(bronze, as_of=as_of, params=params, kinds=kinds)
+    g = anomaly_groups(bronze, as_of=as_of, params=params, kinds=kinds, spans=spans)
     size = {c: F.size(c).cast("long") for c in ("S1", "S2")}
     iso = F.concat(iso_datetime_text("First"), F.lit(" to "), iso_datetime_text("Last"))
     short = F.concat(hms("First"), F.lit(" - "), hms("Last"))

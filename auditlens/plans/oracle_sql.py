@@ -11,6 +11,8 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _whole() -> dict[str, str]:
+    from auditlens.plans import windowed
+
     return {
         "bronze": O.bronze_sql(),
         "audit_parse": O.audit_parse_sql(),
@@ -63,6 +65,9 @@ def _whole() -> dict[str, str]:
         "baseline_model": O.baseline_model_sql(),
         "activity_series": O.activity_series_sql(),
         "series_expanded": O.series_expanded_sql(),
+        "session_table": O.session_info_sql(),
+        "session_table_window": windowed.cut_log(O.session_info_sql(), "24h"),
+        "anomaly_details_stored": O.anomaly_details_sql(),
         "stream_health": O.stream_health_sql(),
         "exfiltration_by_message_user": O.exfiltration_by_message_user_sql(),
         "alert_once_stream": O.alert_once_stream_sql(),

@@ -374,6 +374,38 @@ def _ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, path, normalized=True).select(*BRONZE_COLS)
 
 
+def _session_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The session table as ingest keeps it: the older part of the log as a batch, the rest as a stream."""
+    from auditlens.operators.session_table import read_session_spans, write_session_spans
+    from auditlens.sources.bronze import BRONZE_COLS
+    from auditlens.streaming.sources import bronze_stream, write_bronze_stream
+    log = load_bronze(spark, sf_dir)
+    older = F.col(TS) < F.lit(REPLAY_CUT).cast("timestamp_ntz")
+    hub, live, spans, ck = (shared_dir(spark, n) for n in ("spans_hub", "spans_log", "session_spans", "spans_ck"))
+    write_session_spans(log.where(older), spans)
+    log.where(~F.coalesce(older, F.lit(False))).select(*BRONZE_COLS).write.parquet(hub)
+    write_bronze_stream(bronze_stream(spark, hub, fmt="parquet"), live, ck, trigger={"availableNow": True},
+                        sessions=spans).awaitTermination()
+    return read_session_spans(spark, spans)
+
+
+def _session_table(lookback: str | None):
+    """I4 from the stored table; "now" is the newest line of the log."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from auditlens.functions.timefn import resolve_as_of
+        from auditlens.operators.session_table import sessions_at
+        as_of = resolve_as_of(load_bronze(spark, sf_dir)) if lookback else None
+        return sessions_at(_session_spans(spark, sf_dir), as_of, lookback)
+    return run
+
+
+def _anomalies_stored_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole feed with its sessions from the stored table."""
+    from auditlens.operators.feed import anomaly_details
+    return anomaly_details(A.anomalies_union(load_bronze(spark, sf_dir), params=HUNT_UNION,
+                                             spans=_session_spans(spark, sf_dir)))
+
+
 def _backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I7 run twice: the first time the log ends inside a bucket."""
     path, log = shared_dir(spark, "activity_metrics"), load_bronze(spark, sf_dir)
@@ -452,6 +484,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["activity_series"] = _activity_series
     out["series_expanded"] = _series_expanded
     out["stream_health"] = _stream_health
+    out["session_table"] = _session_table(None)
+    out["session_table_window"] = _session_table("24h")
+    out["anomaly_details_stored"] = _anomalies_stored_sessions
     out["exfiltration_by_message_user"] = _on_bronze(D.exfiltration_by_message_user, lookback=None)
     out["ingest_stream"] = _ingest_stream
     out["backfill_resumed"] = _backfill_resumed

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlens.config import apply_engine_conf
+from auditlens.operators.session_table import write_session_spans
 from auditlens.sources.bronze import BRONZE_SCHEMA, TS, normalize_bronze, write_bronze
 
 
@@ -60,16 +61,19 @@ def write_heartbeat(spark: SparkSession, path: str, at: dt.datetime, *, fmt: str
 
 
 def write_bronze_stream(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                        name: str = "stream"):
+                        name: str = "stream", sessions: str | None = None):
     """Land the stream in a bronze table, by the batch writer.
 
     Every micro-batch goes through :func:`write_bronze`, so history and stream
     share one table with flags, clustering and date partitions, and no sink
     log hides the files of either. A micro-batch that is run again replaces
-    its own files (``name`` tells streams into one table apart).
+    its own files (``name`` tells streams into one table apart). ``sessions``
+    is the path of a session table to keep up with the log.
     """
     def land(batch: DataFrame, epoch: int) -> None:
         write_bronze(batch, path, batch=f"{name}-{epoch:012d}")
+        if sessions is not None:
+            write_session_spans(batch, sessions, batch=f"{name}-{epoch:012d}")
 
     w = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))

@@ -80,39 +80,48 @@ def session_enrich(events: DataFrame, sessions: DataFrame,
 
 
 def session_asof(events: DataFrame, bronze: DataFrame, as_of=None, lookback: str | None = None,
-                 bucket: str = "1 day") -> DataFrame:
+                 bucket: str = "10 minutes") -> DataFrame:
     """PID-reuse aware lookup: the newest connection of the backend at or
     before each event (``AsOfUser``, ``AsOfDatabase``, ``AsOfHost``).
 
-    Connection lines of one backend are turned into validity intervals
-    [connected, next connection) with a window over connection lines only
-    (few per backend). Each interval is cut into ``bucket``-sized pieces so
-    the range join is an equi-join on (processId, server, bucket) plus an
-    interval test: no backend's events meet more intervals than overlap
-    their own bucket.
+    Linear, whatever a backend reconnects: nothing is joined on an interval. Events and
+    connections are put in order per backend and ``bucket``, where a running maximum is the newest
+    connection so far; for events before their bucket's first connection, a second, narrow table carries the
+    newest connection of all earlier buckets in. A hot backend is spread over its buckets; the
+    carry's window holds one row per backend and bucket. Of connections at one time
+    the largest (User, Database, SourceHost) counts. Events without a time or a backend find none.
+    The events are scanned twice, the second time for backend and time only.
     """
+    d, session = duration(bucket), F.struct("at", "AsOfUser", "AsOfDatabase", "AsOfHost")
     conn = since(bronze, as_of, lookback).where(stored(bronze, "is_conn"))
-    conn = conn.select(*KEYS, F.col(TS).alias("valid_from"),
+    conn = conn.select(*KEYS, F.col(TS).cast(events.schema[TS].dataType).alias("at"),
                        stored(bronze, "p_user").alias("AsOfUser"),
                        stored(bronze, "p_database").alias("AsOfDatabase"),
                        stored(bronze, "p_host").alias("AsOfHost"))
-    conn = conn.where(is_not_empty("AsOfUser"))
-    w = Window.partitionBy(*KEYS).orderBy("valid_from", "AsOfUser", "AsOfDatabase", "AsOfHost")
-    far = F.lit("9999-12-31 00:00:00").cast(events.schema[TS].dataType)
-    conn = conn.withColumn("valid_to", F.coalesce(F.lead("valid_from").over(w), far))
-    # The interval of a backend that never reconnects runs to the newest event.
-    top = events.select(F.max(TS)).scalar()
-    conn = conn.withColumn("valid_to_cut", F.least(F.col("valid_to"), F.greatest(top, F.col("valid_from"))))
-    d = duration(bucket)
-    conn = conn.withColumn("b_from", F.window("valid_from", d).start)
-    conn = conn.withColumn("b_to", F.window("valid_to_cut", d).start)
-    conn = conn.withColumn("b", F.explode(F.sequence("b_from", "b_to", F.expr(f"INTERVAL {d}"))))
-    ev = events.withColumn("b", F.window(TS, d).start)
-    cond = [ev[k] == conn[k] for k in KEYS] + [ev["b"] == conn["b"],
-                                              ev[TS] >= conn["valid_from"], ev[TS] < conn["valid_to"]]
-    out = ev.join(conn.select(*KEYS, "b", "valid_from", "valid_to", "AsOfUser", "AsOfDatabase", "AsOfHost")
-                  .alias("c"), cond, "left")
-    return out.select(ev["*"], "AsOfUser", "AsOfDatabase", "AsOfHost").drop("b")
+    whole = [F.col(c).isNotNull() for c in (*KEYS, "at")]
+    conn = conn.where(is_not_empty("AsOfUser") & whole[0] & whole[1] & whole[2])
+    conn = conn.select(*KEYS, "at", F.window("at", d).start.alias("bin"), session.alias("session"))
+
+    # F.window leaves out rows without a time, so these take a bin of their own
+    epoch = F.lit("1970-01-01 00:00:00").cast(events.schema[TS].dataType)
+    bin_of = F.when(F.col(TS).isNotNull(), F.col("__bin"))
+    ev = events.withColumn("__bin", F.window(F.coalesce(F.col(TS), epoch), d).start)
+    none = F.lit(None).cast(conn.schema["session"].dataType)
+    row = F.struct(*[F.col(c) for c in events.columns])
+    lines = ev.select(*KEYS, F.col(TS).alias("at"), bin_of.alias("bin"), none.alias("session"), row.alias("row"))
+
+    bins = lines.select(*KEYS, "bin", "session").unionByName(conn.select(*KEYS, "bin", "session"))
+    bins = bins.where(F.col("bin").isNotNull()).groupBy(*KEYS, "bin").agg(F.max("session").alias("newest"))
+    earlier = Window.partitionBy(*KEYS).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    carry = bins.select(*KEYS, "bin", F.max("newest").over(earlier).alias("carried"))
+
+    so_far = (Window.partitionBy(*KEYS, "bin").orderBy("at")
+              .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    both = lines.unionByName(conn.withColumn("row", F.lit(None).cast(lines.schema["row"].dataType)))
+    placed = both.withColumn("session", F.max("session").over(so_far)).where(F.col("row").isNotNull())
+    found = placed.join(carry.where(F.col("carried").isNotNull()), [*KEYS, "bin"], "left")
+    newest = F.coalesce("session", "carried")
+    return found.select("row.*", *[newest[c].alias(c) for c in ("AsOfUser", "AsOfDatabase", "AsOfHost")])
 
 
 def _spell_aggs(log: DataFrame):

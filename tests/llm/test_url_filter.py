@@ -48,6 +48,17 @@ def test_trees_learn_the_labels(spark):
     assert sum(got[400 + i].verdict == ("allow" if i < 20 else "block") for i in range(40)) >= 38
 
 
+def test_every_labelled_url_counts(spark):
+    url = F.concat(F.lit("http://s"), "id", F.when(F.col("id") < 24_000, ".com/").otherwise(".net/es/"))
+    rows = spark.range(25_000).select(url.alias("url")).union(spark.createDataFrame([("http://s0.com/",)], "url string"))
+    host, path = url_filter.split_url(F.col("url"))
+    rows = rows.withColumns({"host": host, "path": path})
+    model, suffixes, only = url_filter.train(
+        rows.withColumn("verdict", url_filter.rule_of(F.col("host"), F.col("path"))[1]))
+    assert {(r.suffix, r.seen, r.blocked) for r in suffixes.collect()} == {("com", 24_000, 0), ("net", 1_000, 1_000)}
+    assert model is not None and only is None
+
+
 def test_features(spark):
     import math
     row = spark.createDataFrame([("https://a-b.c.org/x/y?k=1&l=22#z", "a-b.c.org", "/x/y")], "url string, host string, path string")

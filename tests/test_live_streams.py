@@ -3,6 +3,7 @@ Each replay lands in several micro-batches with a restart in between."""
 
 import datetime as dt
 import os
+import random
 
 import pytest
 from log_rows import T0, audit, conn, row
@@ -73,6 +74,30 @@ def test_lines_find_the_newest_session_of_the_stream(spark, tmp_path):
     assert got == sorted(want)
 
 
+def test_a_backend_that_connects_often(spark):
+    """Every line finds its newest connection, and lines times connections are not formed."""
+    from auditlens.streaming.session_stream import session_candidates
+    rng, us = random.Random(3), dt.timedelta(microseconds=1)
+    day, at = 86400, lambda s: T0 + dt.timedelta(seconds=s)
+    conns = [(1, at(rng.randrange(2 * day))) for _ in range(600)] + [(2, at(5)), (3, at(3600)), (3, at(7200))]
+    conns += [(1, conns[0][1]), (2, at(day + 9000))]
+    lines = [(1, at(rng.randrange(2 * day))) for _ in range(300)] + [(p, c[1]) for p, c in enumerate(conns[600:603], 1)]
+    lines += [(p, t + k * us) for p, t in ((2, at(day + 5)), (2, at(5)), (3, at(3600)), (3, at(7200)), (3, at(day + 7200)))
+              for k in (-1, 0, 1)] + [(4, at(0)), (None, at(1))]
+    c = spark.createDataFrame([("s\x1f%d" % p, t, f"u{i}", "d", "h") for i, (p, t) in enumerate(conns)],
+                              "conn_backend string, ConnTime timestamp, User string, Database string, SourceHost string")
+    e = spark.createDataFrame([(t, p, "s", "", "", "", i) for i, (p, t) in enumerate(lines)],
+                              f"{TS} timestamp, processId long, LogicalServerName string, DirectUser string, "
+                              "DirectDatabase string, DirectHost string, n long")
+    got = {r.n: r.FinalUser for r in session_enrich_stream(e, c).collect()}
+    for i, (p, t) in enumerate(lines):
+        near = [(ct, f"u{k}") for k, (cp, ct) in enumerate(conns) if cp == p and t - dt.timedelta(days=1) <= ct <= t]
+        assert got[i] == (max(near)[1] if near else "UNKNOWN")
+    assert len(got) == len(lines)
+    met = session_candidates(e.withColumn("LineId", F.col("n")), c)
+    assert met.count() < 26 * len(lines)         # each line with every connection of a day before it: some 60,000
+
+
 def test_live_detectors_equal_the_batch(spark, mk, tmp_path):
     """D2 and D4 over three micro-batches: sessions that open late, no user left UNKNOWN."""
     parts = [[row(T0, conn("alice"), pid=1), *[update(T0 + sec(i), 1) for i in range(4)]],

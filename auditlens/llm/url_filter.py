@@ -92,8 +92,8 @@ def train(labelled: DataFrame):
     """(url, host, path, verdict) -> (model or None, suffix table, the only label)."""
     once = labelled.groupBy("url").agg(*(F.first(c).alias(c) for c in ("host", "path", "verdict")))
     # sorted, so that reruns meet the same rows in the same order
-    known = materialise(once.withColumn("label", (F.col("verdict") == "block").cast("double"))
-                        .sortWithinPartitions("url"), "url-labelled")
+    known = materialise(once.orderBy(F.xxhash64("url"), "url")
+                        .withColumn("label", (F.col("verdict") == "block").cast("double")), "url-labelled")
     suffixes = materialise(_lexical(known).groupBy("suffix").agg(
         F.count(F.lit(1)).alias("seen"), F.sum("label").alias("blocked")), "url-suffixes")
     kinds = [r["verdict"] for r in known.select("verdict").distinct().collect()]

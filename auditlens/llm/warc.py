@@ -9,8 +9,13 @@ segment carries the digest of the payload up to its end, updated chunk by
 chunk, so neither side builds a whole record. Rows go to Spark's text writer, one
 file per partition, with the record end (two line breaks) as separator.
 
-Reading. Spark's text reader splits at ``record end + version line``. A chunk
-never holds that sequence: the writer cuts any occurrence in two. The archives
+Reading. Spark's text reader splits at a version line, taken with the line break
+before it; a record's last line break goes with it. A chunk never holds that
+sequence: the writer cuts any occurrence in two. The sequence does not overlap
+itself before its end, which the reader needs: where a buffer of it ends in the first
+bytes of a separator that turn out to be something else, it does not look at
+them again (``record end + version line`` gets lost there if a line break
+precedes it, as after a revisit or a page that ends in one). The archives
 are gzipped, so a file is read by one task in order, and its segments arrive in
 turn; the reader keeps one running digest, checks it at each segment, and emits
 a row when a record ends.
@@ -44,8 +49,11 @@ CHUNK_BYTES, MIN_REVISIT = 1 << 16, 1000
 BATCH_BYTES = 1 << 22
 
 VERSION, END = b"WARC/1.0\r\n", b"\r\n\r\n"
-#: A block may not hold this: it would read as the end of a record.
-FENCE = END + b"WARC/1.0"
+#: Where the reader cuts.
+SEPARATOR = END[-1:] + VERSION
+#: A block may not hold this, nor begin with it less its first byte, which a
+#: header's end has: it would read as the end of a record.
+FENCE = END[-1:] + b"WARC/1.0"
 
 RECORDS = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
            "url string, n_segments long")
@@ -78,9 +86,9 @@ def chunks(block: np.ndarray, head: bytes, chunk_bytes: int) -> Iterator[tuple[b
         if end == at and n:  # a character longer than a chunk
             end = min(n, at + 4)
         piece = block[at:end].tobytes()
-        cut = (END + head + piece).find(FENCE)
+        cut = (FENCE[:1] + head + piece).find(FENCE)
         if cut >= 0:  # keep its first six bytes, less those before the piece
-            end = at + cut + 6 - len(END) - len(head)
+            end = at + cut + 6 - 1 - len(head)
             piece = block[at:end].tobytes()
         yield head, piece, end >= n
         if end >= n:
@@ -97,43 +105,51 @@ def _header(fields: list[tuple[str, object]]) -> bytes:
     return VERSION + "".join(f"{k}: {clean(v)}\r\n" for k, v in fields if v is not None).encode() + b"\r\n"
 
 
+def _segments(page, url, n_bytes: int, digest: str, refers_to, payload: np.ndarray, record: str, chunk_bytes: int,
+              date: str) -> Iterator[bytes]:
+    """The segments of a record, without their end."""
+    whole = "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()
+    common = [("WARC-Date", date), ("WARC-Target-URI", url), ("X-Page-Id", page),
+              ("X-Payload-Length", n_bytes), ("WARC-Payload-Digest", whole)]
+    if refers_to is not None:
+        yield _header([("WARC-Type", "revisit"), ("WARC-Record-ID", record), *common, (
+            "WARC-Profile", "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"),
+            ("X-Refers-To-Page-Id", refers_to), ("Content-Length", 0)])
+        return
+    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % n_bytes
+    so_far = hashlib.sha1()
+    for k, (before, piece, last) in enumerate(chunks(payload, head, chunk_bytes), 1):
+        so_far.update(piece)
+        whole_record = k == 1 and last
+        kind = [("WARC-Type", "response" if k == 1 else "continuation")]
+        kind += [("WARC-Record-ID", record if k == 1 else f"{record[:-1]}/{k}>")]
+        if not whole_record:
+            kind += [("WARC-Segment-Number", k), ("WARC-Segment-Origin-ID", record if k > 1 else None),
+                     ("WARC-Segment-Total-Length", len(head) + n_bytes if last else None)]
+        yield _header([*kind, *common, ("X-Digest-So-Far", _b32(so_far)), (
+            "Content-Type", "application/http; msgtype=response"),
+            ("Content-Length", len(before) + len(piece))]) + before + piece
+
+
 def _writer(chunk_bytes: int, date: str):
-    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def lines(segments: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(segments, pa.binary()).cast(pa.string())], ["value"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count, out, held = TaskContext.get().partitionId(), 0, [], 0
         for batch in slices(batches, 64):
             rows = zip(*(batch.column(i).to_pylist() for i in range(5)), byte_views(batch.column(5)))
             for page, url, n_bytes, digest, refers_to, payload in rows:
                 record = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page}:{digest}:{part}:{count}')}>"
                 count += 1
-                whole = "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()
-                common = [("WARC-Date", date), ("WARC-Target-URI", url), ("X-Page-Id", page),
-                          ("X-Payload-Length", n_bytes), ("WARC-Payload-Digest", whole)]
-                if refers_to is not None:
-                    out.append(_header([("WARC-Type", "revisit"), ("WARC-Record-ID", record), *common, (
-                        "WARC-Profile", "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"),
-                        ("X-Refers-To-Page-Id", refers_to), ("Content-Length", 0)]))
-                    held += len(out[-1])
-                    continue
-                head = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
-                        % n_bytes)
-                so_far = hashlib.sha1()
-                for k, (before, piece, last) in enumerate(chunks(payload, head, chunk_bytes), 1):
-                    so_far.update(piece)
-                    whole_record = k == 1 and last
-                    kind = [("WARC-Type", "response" if k == 1 else "continuation")]
-                    kind += [("WARC-Record-ID", record if k == 1 else f"{record[:-1]}/{k}>")]
-                    if not whole_record:
-                        kind += [("WARC-Segment-Number", k), ("WARC-Segment-Origin-ID", record if k > 1 else None),
-                                 ("WARC-Segment-Total-Length", len(head) + n_bytes if last else None)]
-                    out.append(_header([*kind, *common, ("X-Digest-So-Far", _b32(so_far)), (
-                        "Content-Type", "application/http; msgtype=response"),
-                        ("Content-Length", len(before) + len(piece))]) + before + piece)
-                    held += len(out[-1])
-                    if held >= BATCH_BYTES:
-                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], ["value"])
+                for segment in _segments(page, url, n_bytes, digest, refers_to, payload, record, chunk_bytes, date):
+                    out.append(segment)
+                    held += len(segment)
+                    if held >= BATCH_BYTES:  # revisits count too: a group of copies is a long run of them
+                        yield lines(out)
                         out, held = [], 0
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], ["value"])
-    return segments
+        yield lines(out)
+    return write
 
 
 def write_archives(pages: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES, min_revisit: int = MIN_REVISIT,
@@ -154,7 +170,7 @@ def _read_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             head, _, block = raw.removeprefix(VERSION).partition(END)
             field = dict(x.split(": ", 1) for x in head.decode().split("\r\n") if ": " in x)
             length = int(field["Content-Length"])
-            if len(block) < length or block[length:] not in (b"", END):
+            if len(block) < length or block[length:] not in (END, END[:-1]):
                 raise ValueError(f"record {field['WARC-Record-ID']}: {len(block)} bytes, {length} stated")
             block = block[:length]
             page = int(field["X-Page-Id"]) if "X-Page-Id" in field else None
@@ -183,7 +199,7 @@ def _read_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record (segments joined): the columns of RECORDS."""
-    text = spark.read.option("lineSep", (END + VERSION).decode()).text(path)
+    text = spark.read.option("lineSep", SEPARATOR.decode()).text(path)
     return text.mapInArrow(_read_segments, RECORDS)
 
 

@@ -83,3 +83,50 @@ def test_chunks_join_to_the_payload():
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archive_round_trip(docs).count() == 0
+
+
+@pytest.mark.parametrize("revisits", [True, False])
+def test_record_ends_anywhere_in_a_buffer(spark, tmp_path, revisits):
+    """Spark's reader has buffers of 64 KB: the end of one falls on each byte of a
+    record's end, after a revisit or a page that ends in a line break."""
+    def table(lengths):
+        rows = [(100 + i, "u" * n, "x" * 1200) if revisits else (100 + i, "u", "x" * (n - 2) + "\r\n")
+                for i, n in enumerate(lengths)]
+        rows.append((200, "last", "x" * 1200))
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+        written = warc.plan_records(pages).mapInArrow(warc._writer(1 << 20, "d"), "value string").collect()
+        return rows, sorted((r[0].encode() for r in written), key=len)
+
+    rest = len(table([60000])[1][-1]) - 60000
+    rows, (last, *records) = table([(1 << 16) - rest - i for i in range(18)])
+    assert [len(r) - (1 << 16) for r in records] == [*range(-17, 1)]
+    import gzip
+    for i, record in enumerate(records):
+        (tmp_path / f"{i}.gz").write_bytes(gzip.compress(record + warc.END + last + warc.END))
+    want = brute(rows)
+    want = Counter({r: n * (18 if r[0] == 200 else 1) for r, n in want.items()})
+    assert Counter(tuple(r)[:5] for r in warc.read_archives(spark, str(tmp_path)).collect()) == want
+
+
+def test_a_version_line_in_a_page_or_an_address(spark):
+    rows = [(i, u, t) for i, (u, t) in enumerate((u, t) for u in ("http://h/WARC/1.0", "x\nWARC/1.0\r\n") for t in (
+        "WARC/1.0\r\n", "\nWARC/1.0", "a\nWARC/1.0\r\nWARC/1.0\r\n", "\n" * 9, "\r\n\r", "WARC/1.0\n\nWARC/1.0\r"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for chunk in (4, 1 << 16):
+        got = warc.archive_round_trip(pages, chunk_bytes=chunk)
+        assert Counter(tuple(r)[:5] for r in got.collect()) == brute(rows)
+
+
+def test_revisits_are_handed_over_in_batches(monkeypatch):
+    """A long run of copies is no longer one list of a task."""
+    import pyarrow as pa
+    monkeypatch.setattr(warc.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda _: 0})())
+    monkeypatch.setattr(warc, "BATCH_BYTES", 1 << 16)
+    n = 2000
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(range(n), pa.int64()), pa.array(["u"] * n), pa.array([1200] * n, pa.int64()),
+         pa.array(["ab" * 20] * n), pa.array([n] * n, pa.int64()), pa.array([None] * n, pa.string())],
+        ["page_id", "url", "n_bytes", "digest", "refers_to", "payload"])
+    sizes = [(b.num_rows, b.nbytes) for b in warc._writer(1 << 16, "d")(iter([rows]))]
+    assert sum(k for k, _ in sizes) == n
+    assert max(size for _, size in sizes) < 1 << 17 and len(sizes) > 5
